@@ -1,0 +1,21 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a lookup side may have and still be shipped whole to every task.
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a huge
+    side; beyond the bound the join falls back to a shuffle join that AQE
+    (with skew-join splitting) re-plans at run time.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
