@@ -1,6 +1,6 @@
 """Registered queries over the driver tables, plus the end-to-end flows."""
 
-from tallysheet.plans import report_queries  # noqa: F401  (registers queries)
+from tallysheet.plans import report_queries, scan_queries  # noqa: F401  (registers queries)
 from tallysheet.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
