@@ -30,6 +30,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TALLYSHEET_DRIVER_MEMORY", "8g"))
     )
     for key, value in DEFAULT_CONF.items():
