@@ -1,6 +1,11 @@
 """Registered queries over the driver tables, plus the end-to-end flows."""
 
-from tallysheet.plans import report_queries, scan_queries, state_queries  # noqa: F401  (registers queries)
+from tallysheet.plans import (  # noqa: F401  (importing registers the queries)
+    report_queries,
+    scan_queries,
+    state_queries,
+    warehouse_queries,
+)
 from tallysheet.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
