@@ -1,6 +1,8 @@
 """Registered queries over the driver tables, plus the end-to-end flows."""
 
 from tallysheet.plans import (  # noqa: F401  (importing registers the queries)
+    integrity_queries,
+    load_queries,
     report_queries,
     scan_queries,
     state_queries,
