@@ -51,6 +51,24 @@ def dtype_tag(data_type: T.DataType) -> str:
     return "object"
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+
+
+def try_number(col: Column, target: T.DataType, source_type: T.DataType | None = None) -> Column:
+    """``try_cast`` to a numeric type, with a cheap guard for text.
+
+    Text without a digit can never parse as a number (doubles also take
+    NaN / Infinity), and a failed parse costs an exception per row; the
+    guard answers NULL for such text without trying, so the result is the
+    same as a plain ``try_cast``.
+    """
+    if source_type is not None and not isinstance(source_type, T.StringType):
+        return col.try_cast(target)
+    pattern = "[0-9]" if isinstance(target, _INTEGRAL) else "[0-9]|(?i)nan|inf"
+    return F.when(col.rlike(pattern), col.try_cast(target))
+
+
 def parse_timestamp(col: Column) -> Column:
     """ISO text (date, or date-time with up to millisecond precision) -> timestamp_ntz."""
     return F.left(col.cast("string"), F.lit(ISO_PREFIX)).try_cast("timestamp_ntz")
@@ -67,6 +85,8 @@ def cast_as(col: Column, kind: str, source_type: T.DataType | None = None) -> Co
     target = spark_type(kind)
     if isinstance(target, T.StringType):
         return col.cast("string")
+    if isinstance(target, (*_INTEGRAL, *_FRACTIONAL)):
+        return try_number(col, target, source_type)
     return col.try_cast(target)
 
 

@@ -16,7 +16,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallysheet.functions.casts import try_number
 from tallysheet.operators.broadcast import bounded_broadcast
 
 
@@ -79,8 +81,10 @@ class BandSpec:
 
 def fill_cast(df: DataFrame, columns: Iterable[str] = FILLED_COLUMNS) -> DataFrame:
     """Missing -> 0, then integer (fractions truncate); absent columns are skipped."""
-    present = set(df.columns)
-    replace = {c: F.coalesce(F.col(c).try_cast("int"), F.lit(0)) for c in columns if c in present}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    replace = {
+        c: F.coalesce(try_number(F.col(c), T.IntegerType(), types[c]), F.lit(0)) for c in columns if c in types
+    }
     return df.withColumns(replace) if replace else df
 
 

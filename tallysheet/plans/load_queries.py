@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallysheet.functions.casts import parse_timestamp, truncate_seconds
+from tallysheet.functions.casts import parse_timestamp, truncate_seconds, try_number
 from tallysheet.functions.keys import composite_key, sanitize_col
 from tallysheet.operators.incremental import group_members, having_data, leaves, next_mark, since_mark
 from tallysheet.operators.unnest import explode_links
@@ -157,8 +158,8 @@ def q_scalar_tour(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_count("o_orderpriority", F.lit("-")).alias("f_dashes"),
         composite_key(["o_orderkey", "o_custkey"]).alias("f_key"),
         F.col("o_orderkey").cast("string").alias("f_text"),
-        F.col("o_orderstatus").try_cast("int").alias("f_int"),
-        F.coalesce(F.col("o_orderstatus").try_cast("int"), F.lit(0)).alias("f_filled"),
+        try_number(F.col("o_orderstatus"), T.IntegerType()).alias("f_int"),
+        F.coalesce(try_number(F.col("o_orderstatus"), T.IntegerType()), F.lit(0)).alias("f_filled"),
         json_text.alias("f_json"),
         F.from_json(json_text, "k bigint").getField("k").alias("f_json_k"),
         F.map_contains_key(status_codes, F.col("o_orderstatus")).alias("f_has_key"),

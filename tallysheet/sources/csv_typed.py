@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallysheet.functions.casts import spark_type
+from tallysheet.functions.casts import spark_type, try_number
 from tallysheet.functions.keys import quoted
 
 WAREHOUSE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -35,6 +35,6 @@ def read_typed_csv(
         elif kind == "date":
             col = F.try_to_timestamp(col, F.lit(timestamp_format)).cast("date")
         elif kind is not None:
-            col = col.try_cast(spark_type(kind))
+            col = try_number(col, spark_type(kind)) if kind in ("int", "long", "float") else col.try_cast(spark_type(kind))
         cols.append(col.alias(name))
     return raw.select(*cols)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallysheet.functions.casts import DTYPE_TAGS
+from tallysheet.functions.casts import DTYPE_TAGS, try_number
 from tallysheet.sinks.eav import CELLS_COL, PK_COL
 
 CELL = T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType())])
@@ -44,7 +44,12 @@ def typed_columns(cells: DataFrame, tags: Mapping[str, str], exclude: Iterable[s
         if name in excluded:
             continue
         value = F.col(CELLS_COL).getItem(name).getField("value")
-        cols.append(value.try_cast(DTYPE_TAGS.get(tag, T.StringType())).alias(name))
+        target = DTYPE_TAGS.get(tag, T.StringType())
+        if isinstance(target, (T.LongType, T.DoubleType)):
+            typed = try_number(value, target)
+        else:
+            typed = value.try_cast(target)
+        cols.append(typed.alias(name))
     return cells.select(*cols)
 
 
