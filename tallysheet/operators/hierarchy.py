@@ -34,9 +34,14 @@ def flatten_hierarchy(
     name: str = "name",
     path: str = "path",
     keep: Sequence[str] = (),
+    lookup: DataFrame | None = None,
 ) -> DataFrame:
     """One row per unit: ``uid, name, *keep, level`` then the per-level uid / name columns.
 
+    Ancestor names come from ``lookup`` (``uid``/``name`` columns; default:
+    ``units`` itself) - pass the full unit table when flattening only the
+    changed units.
+
     The path is exploded once (rows x depth, bounded by the tree depth), the
     ancestor names come from one join against the unit table (broadcast when
     its size is within bounds; otherwise a shuffle join, where AQE splits
@@ -48,8 +53,9 @@ def flatten_hierarchy(
         F.col(uid).alias("_unit"),
         F.posexplode(F.slice(F.split(F.col(path), "/"), 2, max(n_levels, 1))).alias("_pos", "_anc"),
     ).where(F.length(F.trim("_anc")) > 0)
-    lookup = bounded_broadcast(units.select(F.col(uid).alias("_anc"), F.col(name).alias("_anc_name")))
-    named = elements.join(lookup, "_anc", "left")
+    source = units if lookup is None else lookup
+    names = bounded_broadcast(source.select(F.col(uid).alias("_anc"), F.col(name).alias("_anc_name")))
+    named = elements.join(names, "_anc", "left")
 
     aggs = []
     for i in range(n_levels):

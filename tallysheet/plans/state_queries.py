@@ -21,6 +21,7 @@ from tallysheet.operators.upsert import (
 from tallysheet.plans.registry import register
 from tallysheet.session import scratch_path
 from tallysheet.sinks.files import append_rows
+from tallysheet.sources.sql_scan import query_frames
 from tallysheet.sources.tables import Tables
 
 ORDER_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -118,6 +119,20 @@ def staged_customers(t: Tables) -> DataFrame:
     return t.customer.withColumn("change", change)
 
 
+@register(
+    "changed_rows_scan",
+    """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'insert' ELSE 'update' END AS change
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""",
+)
+def q_changed_rows_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = staged_customers(Tables(spark, sf_dir))
+    return query_frames(
+        spark,
+        "SELECT c_custkey, c_name, change FROM {staged} WHERE change = 'insert' OR change = 'update'",
+        staged=staged,
+    )
+
+
 @register("flush_changes", "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
 def q_flush_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staged_customers(Tables(spark, sf_dir))

@@ -29,10 +29,17 @@ def payload_chunks(
     items: Sequence[str],
     size: int = DEFAULT_SIZE,
     list_key: str = "dataValues",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_width: int | None = DEFAULT_BUCKET_WIDTH,
 ) -> DataFrame:
-    """``(*partition_by, bucket, chunk, n, payload)``; ``sort_key`` must be unique and integral."""
-    bucket = F.floor(F.col(quoted(sort_key)) / F.lit(bucket_width)).alias("bucket")
+    """``(*partition_by, bucket, chunk, n, payload)``; ``sort_key`` is unique within a partition.
+
+    With ``bucket_width`` the sort key must be integral; pass ``None`` when the
+    partition key alone already bounds the group size (bucket is then 0).
+    """
+    if bucket_width:
+        bucket = F.floor(F.col(quoted(sort_key)) / F.lit(bucket_width)).alias("bucket")
+    else:
+        bucket = F.lit(0).cast("bigint").alias("bucket")
     with_bucket = df.select(*[quoted(c) for c in partition_by], bucket, *[quoted(c) for c in dict.fromkeys([sort_key, *items])])
     w = Window.partitionBy(*partition_by, "bucket").orderBy(sort_key)
     numbered = with_bucket.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / F.lit(size)))
