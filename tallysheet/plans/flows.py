@@ -32,6 +32,7 @@ from tallysheet.operators.schema_evolution import schema_plan
 from tallysheet.operators.unnest import explode_links
 from tallysheet.operators.upsert import changed_rows, insert_new, last_per_key
 from tallysheet.operators.widen import membership_flags, pivot_options
+from tallysheet.sinks.partitioned_upsert import merge_into_partitions, read_partitioned
 from tallysheet.sinks.payload import payload_chunks
 from tallysheet.sinks.versioned import commit, read_latest
 from tallysheet.sources.documents import read_documents, read_unit_documents, tag_union
@@ -189,8 +190,12 @@ def dataelement_dimension(elements: DataFrame, element_groups: DataFrame, groups
 
 def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_url: str, mark: str,
                      group_links: DataFrame | None = None, groups: Sequence[str] = (),
-                     layout: str = "file") -> tuple[int, object]:
-    """Fact ingest since ``mark``: returns (new staged version, next mark)."""
+                     layout: str = "file") -> object:
+    """Fact ingest since ``mark`` into ``<store>/datavalue`` (partitioned by period); returns the next mark.
+
+    Only the periods the slice touches are read and rewritten; the period is
+    part of the key, so no other partition can change.
+    """
     item = read_schema(DATA_VALUE_SPEC)
     raw = read_unit_documents(spark, landed_dir, "dataValues", item, "_unit", layout=layout, multi_line=True)
     mapped = apply_mapping(raw, DATA_VALUE_SPEC, source_url)
@@ -198,11 +203,19 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
     if group_links is not None and groups:
         fresh = group_members(fresh, group_links, groups, "dataelementid", "dataelement_id", "group_id")
     ep = Endpoint("dataValues", DATA_VALUE_SPEC, "datavalue", keys=DATA_VALUE_KEYS, tracked=["value"])
-    path = f"{store}/datavalue"
-    current = read_latest(spark, path, _staged_schema(mapped, ep))
-    version = commit(stage_rows(current, fresh, ep), path)
+    merge_into_partitions(
+        spark, f"{store}/datavalue", fresh, ["period"], lambda cur, new: stage_rows(cur, new, ep),
+        _staged_schema(mapped, ep),
+    )
     top = fresh.agg(F.max("lastupdated")).first()[0]  # one value: the next mark
-    return version, (top if top is not None else mark)
+    return top if top is not None else mark
+
+
+def read_data_values(spark: SparkSession, store: str) -> DataFrame:
+    item = read_schema(DATA_VALUE_SPEC)
+    ep = Endpoint("dataValues", DATA_VALUE_SPEC, "datavalue", keys=DATA_VALUE_KEYS, tracked=["value"])
+    empty = apply_mapping(spark.createDataFrame([], item), DATA_VALUE_SPEC, "")
+    return read_partitioned(spark, f"{store}/datavalue", _staged_schema(empty, ep))
 
 
 def case_control_payloads(forms: Mapping[str, DataFrame], config: ReportConfig, orgunits: DataFrame,
@@ -244,6 +257,7 @@ __all__ = [
     "category_dimension",
     "dataelement_dimension",
     "load_data_values",
+    "read_data_values",
     "orgunit_dimension",
     "source_row",
     "stage_endpoint",
