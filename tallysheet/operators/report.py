@@ -97,13 +97,22 @@ def band_report_wide(
     df: DataFrame,
     keys: Sequence[str] = ("interview_date", "health_facility"),
     spec: BandSpec = BandSpec(),
+    sum_numeric: bool = False,
 ) -> DataFrame:
-    """Group sums of every grid cell; rows with a NULL key are dropped first."""
+    """Group sums of every grid cell; rows with a NULL key are dropped first.
+
+    ``sum_numeric`` also sums every other numeric input column (under its own
+    name), as a frame-wide ``sum()`` would.
+    """
     not_null = None
     for k in keys:
         cond = F.col(k).isNotNull()
         not_null = cond if not_null is None else not_null & cond
     sums = [F.sum(flag).alias(name) for name, flag in spec.indicators()]
+    if sum_numeric:
+        numeric = [f.name for f in df.schema.fields
+                   if f.name not in keys and isinstance(f.dataType, T.NumericType)]
+        sums += [F.sum(F.col(f"`{c}`")).alias(c) for c in numeric]
     return df.where(not_null).groupBy(*keys).agg(*sums)
 
 

@@ -83,3 +83,19 @@ def test_long_report_rows_and_zeros(spark):
 def test_empty_input_gives_empty_report(spark):
     empty = submissions(spark).where(F.lit(False))
     assert form_report(empty, CONFIG, units(spark)).count() == 0
+
+
+def test_wide_report_can_sum_every_numeric_column(spark):
+    wide = band_report_wide(submissions(spark), sum_numeric=True)
+    row = wide.where(F.col("health_facility") == "F1").collect()[0]
+    assert row["participant_age"] == 3 + 2 + 9 and row["consent_granted"] == 2
+
+
+def test_config_tables(spark):
+    from tallysheet.sources.config import config_table, report_entries
+
+    units = config_table(spark, {"F1": "OU_1", "F2": "OU_2"}, "health_facility", "orgUnit")
+    out = form_report(submissions(spark), CONFIG, units)
+    assert out.count() == 6
+    entries = sorted(tuple(r) for r in report_entries(spark, CONFIG.dataelements).collect())
+    assert entries == sorted(CONFIG.entries())

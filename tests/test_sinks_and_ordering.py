@@ -66,3 +66,18 @@ def test_csv_typed_round_trip(spark, tmp_dir):
     back = read_typed_csv(spark, tmp_dir, {"level": "int", "lastupdated": "timestamp"})
     assert [f.dataType.simpleString() for f in back.schema.fields] == ["string", "string", "int", "timestamp_ntz"]
     assert tuple(back.collect()[0])[:3] == ("u1", "Clinic", 3)
+
+
+def test_cluster_for_write_sorts_ranges_and_splits_a_hot_key(spark):
+    from tallysheet.operators.ordering import cluster_for_write
+
+    data = [(0, i) for i in range(3000)] + [(k, 0) for k in range(1, 300)]
+    df = spark.createDataFrame(data, "k int, v int")
+    clustered = cluster_for_write(df, ["k"], partitions=6)
+    parts = clustered.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+        F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n"), F.sum(F.when(F.col("k") == 0, 1)).alias("hot")
+    ).orderBy("p").collect()
+    assert sum(r["n"] for r in parts) == len(data)
+    assert sum(1 for r in parts if r["hot"]) > 1  # the hot key spans several ranges
+    for a, b in zip(parts, parts[1:]):
+        assert a["hi"] <= b["lo"]  # ranges are ordered
