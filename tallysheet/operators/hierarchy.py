@@ -46,28 +46,29 @@ def flatten_hierarchy(
     ancestor names come from one join against the unit table (broadcast when
     its size is within bounds; otherwise a shuffle join, where AQE splits
     the partition of the root ancestor that every path shares), and one
-    aggregation per unit (groups bounded by the depth) folds them back.
+    aggregation keyed by the unit's own columns (groups bounded by the
+    depth) folds them back - a single scan of ``units`` and one shuffle.
     """
     n_levels = len(levels)
+    level = F.coalesce(F.regexp_count(F.col(path), F.lit("/")), F.lit(0)).alias("level")
+    base = [F.col(quoted(c)) for c in (uid, name, *keep)]
+    # posexplode_outer keeps units without a path (one row, no element).
     elements = units.select(
-        F.col(uid).alias("_unit"),
-        F.posexplode(F.slice(F.split(F.col(path), "/"), 2, max(n_levels, 1))).alias("_pos", "_anc"),
-    ).where(F.length(F.trim("_anc")) > 0)
+        *base, level,
+        F.posexplode_outer(F.slice(F.split(F.col(path), "/"), 2, max(n_levels, 1))).alias("_pos", "_raw"),
+    ).withColumn("_anc", F.when(F.length(F.trim("_raw")) > 0, F.col("_raw")))
     source = units if lookup is None else lookup
     names = bounded_broadcast(source.select(F.col(uid).alias("_anc"), F.col(name).alias("_anc_name")))
     named = elements.join(names, "_anc", "left")
 
     aggs = []
     for i in range(n_levels):
-        at = F.col("_pos") == i
+        at = (F.col("_pos") == i) & F.col("_anc").isNotNull()
         aggs.append(F.max(F.when(at, F.col("_anc"))).alias(f"_u{i}"))
         aggs.append(F.max(F.when(at, F.coalesce("_anc_name", F.lit("")))).alias(f"_n{i}"))
-    per_unit = named.groupBy("_unit").agg(*aggs) if aggs else named.select("_unit").distinct()
-
-    base = units.select(
-        uid, name, *keep, F.coalesce(F.regexp_count(F.col(path), F.lit("/")), F.lit(0)).alias("level")
-    )
-    joined = base.join(per_unit.withColumnRenamed("_unit", uid), uid, "left")
+    # One group per unit row (its own columns are the key), bounded by the depth.
+    group_cols = [uid, name, *keep, "level"]
+    joined = named.groupBy(*[quoted(c) for c in group_cols]).agg(*aggs) if aggs else named.select(*group_cols)
 
     # Output columns in level order; a name shared by two levels keeps the deeper value.
     columns: dict[str, object] = {}

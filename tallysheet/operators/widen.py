@@ -18,11 +18,19 @@ from pyspark.sql import functions as F
 from tallysheet.functions.keys import quoted, sanitize
 
 
+def _head(carry: Sequence[str], order: str) -> Column:
+    """Struct ordered by ``order`` first: ``min`` of it is the first row's ``carry`` columns."""
+    return F.struct(F.col(order).alias("_ord"), *[F.col(quoted(c)).alias(c) for c in carry])
+
+
 def option_entries(links: DataFrame, key: str, cat_uid: str, cat_name: str, opt_uid: str, opt_name: str,
-                   order: str) -> DataFrame:
-    """Per (row key, map key): the last value in ``order``, for both id->id and name->name entries."""
+                   order: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Per (row key, map key): the last value in ``order``, for both id->id and name->name entries.
+
+    ``carry`` columns travel along as ``_head`` (the first row in ``order``).
+    """
     entries = links.select(
-        key, order,
+        key, order, _head(carry, order).alias("_h"),
         F.inline(
             F.array(
                 F.struct(F.col(cat_uid).alias("k"), F.col(opt_uid).alias("v")),
@@ -30,16 +38,20 @@ def option_entries(links: DataFrame, key: str, cat_uid: str, cat_name: str, opt_
             )
         ),
     )
-    return entries.groupBy(key, "k").agg(F.max_by("v", order).alias("v"))
+    return entries.groupBy(key, "k").agg(F.max_by("v", order).alias("v"), F.min("_h").alias("_head"))
 
 
 def fold_option_map(links: DataFrame, key: str, name: str, cat_uid: str, cat_name: str, opt_uid: str,
                     opt_name: str, order: str) -> DataFrame:
-    """``key, name, options map`` (O-42): the first name in ``order`` wins, map entries last-wins."""
-    entries = option_entries(links, key, cat_uid, cat_name, opt_uid, opt_name, order)
-    maps = entries.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("options"))
-    names = links.groupBy(key).agg(F.min_by(name, order).alias(name))
-    return names.join(maps, key)
+    """``key, name, options map`` (O-42): the first name in ``order`` wins, map entries last-wins.
+
+    Two aggregations (per entry, then per key), no join: the name rides along.
+    """
+    entries = option_entries(links, key, cat_uid, cat_name, opt_uid, opt_name, order, carry=[name])
+    return entries.groupBy(key).agg(
+        F.min("_head").getField(name).alias(name),
+        F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("options"),
+    )
 
 
 def map_as_text(m: Column, sep: str = ";") -> Column:
@@ -49,18 +61,20 @@ def map_as_text(m: Column, sep: str = ";") -> Column:
 
 
 def pivot_options(links: DataFrame, key: str, categories: Sequence[tuple[str, str]], cat_uid: str,
-                  opt_uid: str, opt_name: str, order: str, fill: str = "") -> DataFrame:
+                  opt_uid: str, opt_name: str, order: str, fill: str = "", carry: Sequence[str] = ()) -> DataFrame:
     """Per key: ``<category uid>`` = option uid and ``<category name>`` = option name (O-43).
 
     ``categories`` is the (uid, name) metadata list; the last option in ``order``
-    wins; a category with no option is ``fill``.
+    wins; a category with no option is ``fill``.  ``carry`` columns come out
+    as the values of the key's first row in ``order``.
     """
     last = links.groupBy(key, cat_uid).agg(
-        F.max_by(F.struct(F.col(opt_uid).alias("u"), F.col(opt_name).alias("n")), order).alias("o")
+        F.max_by(F.struct(F.col(opt_uid).alias("u"), F.col(opt_name).alias("n")), order).alias("o"),
+        F.min(_head(carry, order)).alias("_h"),
     )
-    uids = [u for u, _ in categories]
-    wide = last.groupBy(key).pivot(cat_uid, uids).agg(F.first("o"))
-    cols = []
+    cells = [F.first(F.when(F.col(cat_uid) == uid, F.col("o")), ignorenulls=True).alias(uid) for uid, _ in categories]
+    wide = last.groupBy(key).agg(F.min("_h").alias("_h"), *cells)
+    cols = [F.col("_h").getField(c).alias(c) for c in carry]
     for uid, name in categories:
         cell = F.col(quoted(uid))
         cols.append(F.coalesce(cell.getField("u").cast("string"), F.lit(fill)).alias(uid))

@@ -166,14 +166,13 @@ def category_dimension(combos: DataFrame, combo_options: DataFrame, options: Dat
         .join(categories.select(F.col("uid").alias("cat"), F.col("name").alias("cat_name")), "cat")
     )
     cats = [(r["uid"], r["name"]) for r in categories.select("uid", "name").orderBy("uid").collect()]
-    wide = pivot_options(links, "coc", cats, "cat", "opt", "opt_name", "opt")
-    heads = links.groupBy("coc").agg(F.min_by(F.struct("coc_name", "sourceid"), "opt").alias("h"))
-    return heads.join(wide, "coc").select(
+    wide = pivot_options(links, "coc", cats, "cat", "opt", "opt_name", "opt", carry=["coc_name", "sourceid"])
+    return wide.select(
         F.col("coc").alias("categoryoptioncomboid"),
-        F.col("h.coc_name").alias("categoryoptioncomboname"),
-        F.col("h.sourceid").alias("sourceid"),
+        F.col("coc_name").alias("categoryoptioncomboname"),
+        "sourceid",
         load_timestamp(as_of).alias("lastupdated"),
-        *[F.col(f"`{c}`") for c in wide.columns if c != "coc"],
+        *[F.col(f"`{c}`") for c in wide.columns if c not in ("coc", "coc_name", "sourceid")],
     )
 
 

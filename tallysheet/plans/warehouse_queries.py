@@ -229,12 +229,11 @@ def q_category_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderpriority").alias("cat_name"),
         ).distinct().orderBy("cat_uid").collect()
     ]
-    wide = pivot_options(links, "c_custkey", categories, "cat_uid", "opt_uid", "opt_name", "ord")
-    names = links.groupBy("c_custkey").agg(F.min_by("c_name", "ord").alias("categoryoptioncomboname"))
-    value_cols = [c for c in wide.columns if c != "c_custkey"]
-    return wide.join(names, "c_custkey").select(
+    wide = pivot_options(links, "c_custkey", categories, "cat_uid", "opt_uid", "opt_name", "ord", carry=["c_name"])
+    value_cols = [c for c in wide.columns if c not in ("c_custkey", "c_name")]
+    return wide.select(
         F.col("c_custkey").cast("string").alias("categoryoptioncomboid"),
-        "categoryoptioncomboname",
+        F.col("c_name").alias("categoryoptioncomboname"),
         source_key(SOURCE_URL).alias("sourceid"),
         load_timestamp(AS_OF).alias("lastupdated"),
         *[F.col(f"`{c}`") for c in value_cols],
