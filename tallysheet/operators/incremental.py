@@ -39,13 +39,18 @@ def leaves(units: DataFrame, leaf_col: str = "leaf") -> DataFrame:
 def having_data(units: DataFrame, landed: DataFrame, unit_col: str, landed_col: str | None = None) -> DataFrame:
     """Units that have landed data (a semi join; no rows of ``landed`` are carried)."""
     landed_col = landed_col or unit_col
-    return units.join(landed.select(F.col(quoted(landed_col)).alias(unit_col)), unit_col, "left_semi")
+    # Distinct first: a unit with a third of all landed rows shrinks to one key per
+    # task before the shuffle instead of loading one task with its whole share.
+    present = landed.select(F.col(quoted(landed_col)).alias(unit_col)).distinct()
+    return units.join(present, unit_col, "left_semi")
 
 
 def group_members(facts: DataFrame, links: DataFrame, groups: Sequence[str], fact_col: str, link_col: str,
                   group_col: str) -> DataFrame:
     """Facts whose element belongs to one of the configured ``groups`` (via the M:N link)."""
-    members = links.where(F.col(quoted(group_col)).isin(*groups)).select(F.col(quoted(link_col)).alias(fact_col))
+    members = (
+        links.where(F.col(quoted(group_col)).isin(*groups)).select(F.col(quoted(link_col)).alias(fact_col)).distinct()
+    )
     return facts.join(members, fact_col, "left_semi")
 
 

@@ -29,7 +29,7 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str]
     for c in child_cols:
         cond = F.col(quoted(c)).isNotNull()
         present = cond if present is None else present & cond
-    keys = parent.select(*[F.col(quoted(p)).alias(c) for p, c in zip(parent_cols, child_cols)])
+    keys = parent.select(*[F.col(quoted(p)).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct()
     missing = child.where(present).join(keys, list(child_cols), "left_anti")
     return missing.select(F.lit(name).alias("fk"), composite_key(child_cols).alias("child_key"))
 
