@@ -90,9 +90,37 @@ def cast_as(col: Column, kind: str, source_type: T.DataType | None = None) -> Co
     return col.try_cast(target)
 
 
+# Wall-clock helpers for timestamp_ntz.  date_format / date_trunc go through the
+# session time zone (a cast to TIMESTAMP), which moves wall-clock times that
+# fall in a daylight-saving gap; these read the fields directly instead.
+
+
 def truncate_seconds(col: Column) -> Column:
     """Drop the sub-second part, keeping a timestamp without time zone."""
-    return F.date_trunc("second", col).cast("timestamp_ntz")
+    return F.make_timestamp_ntz(F.year(col), F.month(col), F.dayofmonth(col), F.hour(col), F.minute(col),
+                                F.second(col))
+
+
+def _two(c: Column) -> Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def day_text(col: Column) -> Column:
+    """``yyyy-MM-dd``."""
+    return col.cast("date").cast("string")
+
+
+def datetime_text(col: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``."""
+    return F.concat(day_text(col), F.lit(" "), _two(F.hour(col)), F.lit(":"), _two(F.minute(col)), F.lit(":"),
+                    _two(F.second(col)))
+
+
+def iso_text(col: Column) -> Column:
+    """``yyyy-MM-dd'T'HH:mm:ss.SSS`` (the API's timestamp text)."""
+    millis = F.floor(F.extract(F.lit("SECOND"), col) * 1000) - F.second(col) * 1000
+    return F.concat(day_text(col), F.lit("T"), _two(F.hour(col)), F.lit(":"), _two(F.minute(col)), F.lit(":"),
+                    _two(F.second(col)), F.lit("."), F.lpad(millis.cast("string"), 3, "0"))
 
 
 def load_timestamp(as_of: dt.datetime | str) -> Column:

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallysheet.functions.casts import parse_timestamp, truncate_seconds, try_number
+from tallysheet.functions.casts import (
+    datetime_text,
+    day_text,
+    iso_text,
+    parse_timestamp,
+    truncate_seconds,
+    try_number,
+)
 from tallysheet.functions.keys import composite_key, sanitize_col
 from tallysheet.operators.incremental import group_members, having_data, leaves, next_mark, since_mark
 from tallysheet.operators.unnest import explode_links
@@ -95,7 +102,7 @@ FROM n GROUP BY o_orderpriority, bucket, chunk""",
 def q_payload_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders.select(
         "o_orderpriority", "o_orderkey", "o_custkey", "o_orderstatus",
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+        day_text(F.col("o_orderdate")).alias("o_orderdate"),
     )
     chunks = payload_chunks(orders, ["o_orderpriority"], "o_orderkey",
                             ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
@@ -143,16 +150,16 @@ def q_scalar_tour(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders
     status_codes = F.create_map(F.lit("F"), F.lit(1), F.lit("O"), F.lit(2))
     json_text = F.to_json(F.struct(F.col("o_orderkey").alias("k")))
-    iso = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000 trailing"))
+    iso = F.concat(iso_text(F.col("o_orderdate")), F.lit("+0000 trailing"))
     return o.select(
         "o_orderkey",
         F.md5("o_orderpriority").alias("f_md5"),
         parse_timestamp(iso).alias("f_parsed"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("f_day"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("f_datetime"),
+        day_text(F.col("o_orderdate")).alias("f_day"),
+        datetime_text(F.col("o_orderdate")).alias("f_datetime"),
         truncate_seconds(F.col("o_orderdate")).alias("f_trunc"),
         sanitize_col(F.col("o_orderpriority")).alias("f_nospace"),
-        F.replace(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("-"), F.lit("")).alias("f_period"),
+        F.replace(day_text(F.col("o_orderdate")), F.lit("-"), F.lit("")).alias("f_period"),
         (F.length(F.trim("o_orderpriority")) > 0).alias("f_nonempty"),
         F.split_part("o_orderpriority", F.lit("-"), F.lit(2)).alias("f_second_part"),
         F.regexp_count("o_orderpriority", F.lit("-")).alias("f_dashes"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallysheet.functions.casts import day_text
 from tallysheet.operators.report import (
     BandSpec,
     ReportConfig,
@@ -46,7 +47,7 @@ def submissions(t: Tables) -> DataFrame:
     """Lineitem as survey submissions, filled and cast like the form data."""
     li = t.lineitem
     raw = li.select(
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("interview_date"),
+        day_text(F.col("l_shipdate")).alias("interview_date"),
         F.col("l_suppkey").alias("health_facility"),
         F.col("l_quantity").alias("participant_age"),
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2).alias("participant_gender"),

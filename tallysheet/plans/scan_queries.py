@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallysheet.functions.casts import truncate_seconds
+from tallysheet.functions.casts import day_text, iso_text, truncate_seconds
 from tallysheet.functions.keys import source_key
 from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
 from tallysheet.plans.registry import register
@@ -134,7 +134,7 @@ def q_mapping_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The API form of the row: ISO text timestamps with a zone suffix, numbers as text.
     raw = orders.select(
         F.col("o_orderkey").cast("string").alias("o_orderkey"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+0000")).alias("created"),
+        F.concat(iso_text(F.col("o_orderdate")), F.lit("+0000")).alias("created"),
         "o_orderpriority",
         F.col("o_totalprice").cast("string").alias("o_totalprice"),
         F.col("o_custkey").cast("string").alias("o_custkey"),
@@ -208,7 +208,7 @@ def q_section_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("o_orderkey").alias("s1"),
         F.struct("o_custkey", "o_orderstatus").alias("s2"),
         F.struct("o_totalprice").alias("s3"),
-        F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("interview_date")).alias("s4"),
+        F.struct(day_text(F.col("o_orderdate")).alias("interview_date")).alias("s4"),
         # Optional section: present only on open orders, and it re-states two fields.
         F.when(
             is_open,

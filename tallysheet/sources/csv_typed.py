@@ -1,4 +1,4 @@
-"""Typed CSV scan (O-05): header row, declared columns cast, the rest text."""
+"""Typed CSV scan (O-05): header row, declared columns typed, the rest text."""
 
 from __future__ import annotations
 
@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallysheet.functions.casts import spark_type, try_number
+from tallysheet.functions.casts import spark_type
 from tallysheet.functions.keys import quoted
 
 WAREHOUSE_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -19,22 +20,28 @@ def read_typed_csv(
     declared: Mapping[str, str],
     timestamp_format: str = WAREHOUSE_TS_FORMAT,
 ) -> DataFrame:
-    """Read every column as text (no inference pass), then cast the declared ones.
+    """Read a CSV folder: declared columns typed by the CSV parser, the rest strings.
 
     ``declared`` maps column -> vocabulary word (``int``, ``long``, ``float``,
-    ``bool``, ``timestamp``, ``date``); timestamps parse with ``timestamp_format``.
-    Undeclared columns stay strings.
+    ``bool``, ``timestamp``, ``date``); timestamps parse with ``timestamp_format``
+    straight into ``timestamp_ntz`` (no time-zone round trip); malformed values
+    become NULL.  Only the header line is read to learn the column names; no
+    inference pass runs.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    cols = []
-    for name in raw.columns:
-        col = F.col(quoted(name))
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    fields = []
+    for name in header:
         kind = declared.get(name)
-        if kind == "timestamp":
-            col = F.try_to_timestamp(col, F.lit(timestamp_format)).cast("timestamp_ntz")
-        elif kind == "date":
-            col = F.try_to_timestamp(col, F.lit(timestamp_format)).cast("date")
-        elif kind is not None:
-            col = try_number(col, spark_type(kind)) if kind in ("int", "long", "float") else col.try_cast(spark_type(kind))
-        cols.append(col.alias(name))
-    return raw.select(*cols)
+        data_type = T.TimestampNTZType() if kind in ("timestamp", "date") else spark_type(kind or "str")
+        fields.append(T.StructField(name, data_type, True))
+    typed = (
+        spark.read.schema(T.StructType(fields))
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("timestampNTZFormat", timestamp_format)
+        .csv(path)
+    )
+    dates = [n for n in header if declared.get(n) == "date"]
+    if not dates:
+        return typed
+    return typed.select(*[(F.col(quoted(n)).cast("date") if n in dates else F.col(quoted(n))).alias(n) for n in header])
