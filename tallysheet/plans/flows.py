@@ -16,7 +16,6 @@ passes through the driver except metadata lists.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,75 +25,27 @@ from tallysheet.functions.casts import load_timestamp, truncate_seconds
 from tallysheet.operators.changes import ChangeSpec, detect_changes
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
 from tallysheet.operators.incremental import group_members, since_mark
-from tallysheet.operators.mapping import MappingSpec, apply_mapping, read_schema, spread_sections
+from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
 from tallysheet.operators.schema_evolution import schema_plan
 from tallysheet.operators.unnest import explode_links
 from tallysheet.operators.upsert import changed_rows, insert_new, last_per_key
 from tallysheet.operators.widen import membership_flags, pivot_options
+from tallysheet.plans.endpoints import (
+    DATA_VALUE_SPEC,
+    DATA_VALUES,
+    ENDPOINTS,
+    LINKS,
+    ORG_UNIT_LEVEL_SPEC,
+    ORG_UNIT_SPEC,
+    Endpoint,
+    LinkSpec,
+)
 from tallysheet.sinks.partitioned_upsert import merge_into_partitions, read_partitioned
 from tallysheet.sinks.payload import payload_chunks
 from tallysheet.sinks.versioned import commit, read_latest
 from tallysheet.sources.documents import read_documents, read_unit_documents, tag_union
 
-# Mapping specs of the metadata and data-value endpoints
-# (API key -> staging column and type word).
-ORG_UNIT_LEVEL_SPEC = {
-    "id": {"column": "uid", "type": "str"},
-    "code": {"column": "code", "type": "str"},
-    "created": {"column": "created", "type": "timestamp"},
-    "lastUpdated": {"column": "lastupdated", "type": "timestamp"},
-    "name": {"column": "name", "type": "str"},
-    "level": {"column": "level", "type": "int"},
-}
-ORG_UNIT_SPEC = {
-    "id": {"column": "uid", "type": "str"},
-    "code": {"column": "code", "type": "str"},
-    "created": {"column": "created", "type": "timestamp"},
-    "lastUpdated": {"column": "lastupdated", "type": "timestamp"},
-    "name": {"column": "name", "type": "str"},
-    "shortName": {"column": "shortname", "type": "str"},
-    "parent": {"nestedColumns": {"id": {"column": "parentid", "type": "str"}}},
-    "path": {"column": "path", "type": "str"},
-    "leaf": {"column": "leaf", "type": "bool"},
-    "openingDate": {"column": "openingdate", "type": "date"},
-    "closedDate": {"column": "closeddate", "type": "date"},
-    "contactPerson": {"column": "contactperson", "type": "str"},
-    "address": {"column": "address", "type": "str"},
-    "email": {"column": "email", "type": "str"},
-    "phoneNumber": {"column": "phonenumber", "type": "str"},
-    "geometry": {"nestedColumns": {"type": {"column": "featuretype", "type": "str"},
-                                   "coordinates": {"column": "coordinates", "type": "str"}}},
-}
-DATA_VALUE_SPEC = {
-    "dataElement": {"column": "dataelementid", "type": "str"},
-    "period": {"column": "period", "type": "str"},
-    "orgUnit": {"column": "organisationunitid", "type": "str"},
-    "categoryOptionCombo": {"column": "categoryoptioncomboid", "type": "str"},
-    "attributeOptionCombo": {"column": "attributeoptioncomboid", "type": "str"},
-    "value": {"column": "value", "type": "str"},
-    "storedBy": {"column": "storedby", "type": "str"},
-    "created": {"column": "created", "type": "timestamp"},
-    "lastUpdated": {"column": "lastupdated", "type": "timestamp"},
-    "followup": {"column": "followup", "type": "bool"},
-}
-DATA_VALUE_KEYS = ["dataelementid", "period", "organisationunitid", "categoryoptioncomboid",
-                   "attributeoptioncomboid", "sourceid"]
-
-
-@dataclass(frozen=True)
-class Endpoint:
-    """One metadata endpoint and the staging table it feeds."""
-
-    list_key: str
-    spec: MappingSpec
-    table: str
-    keys: Sequence[str] = ("uid", "sourceid")
-    tracked: Sequence[str] = ("name",)
-    previous: Mapping[str, str] = field(default_factory=dict)
-    order_col: str = "lastupdated"
-
-
 def _staged_schema(mapped: DataFrame, ep: Endpoint) -> T.StructType:
     schema = T.StructType(list(mapped.schema.fields))
     for col in ep.previous.values():
@@ -120,17 +71,15 @@ def stage_endpoint(spark: SparkSession, landed_dir: str, ep: Endpoint, store: st
     return commit(stage_rows(current, mapped, ep), path)
 
 
-def stage_links(spark: SparkSession, landed_dir: str, list_key: str, parent_spec: MappingSpec, child_key: str,
-                child_spec: MappingSpec, keys: Sequence[str], store: str, table: str, source_url: str) -> int:
-    """M:N link table from the child lists of landed pages (insert-only)."""
-    schema = read_schema(parent_spec).add(
-        child_key, T.ArrayType(read_schema(child_spec)), True
-    )
-    docs = read_documents(spark, landed_dir, list_key, schema, multi_line=True)
-    links = explode_links(docs, parent_spec, child_key, child_spec, source_url)
-    path = f"{store}/{table}"
+def stage_links(spark: SparkSession, landed_dir: str, link: LinkSpec, store: str, source_url: str,
+                multi_line: bool = True) -> int:
+    """M:N link table from the child lists of landed pages (insert-only); returns the version."""
+    schema = read_schema(link.parent_spec).add(link.child_key, T.ArrayType(read_schema(link.child_spec)), True)
+    docs = read_documents(spark, landed_dir, link.list_key, schema, multi_line=multi_line)
+    links = explode_links(docs, link.parent_spec, link.child_key, link.child_spec, source_url)
+    path = f"{store}/{link.table}"
     current = read_latest(spark, path, links.schema)
-    return commit(insert_new(current, links, list(keys)), path)
+    return commit(insert_new(current, links, list(link.keys)), path)
 
 
 def orgunit_dimension(units: DataFrame, levels: DataFrame, plan_anchor: str = "lastupdated"
@@ -201,10 +150,9 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
     fresh = since_mark(mapped, "lastupdated", mark)
     if group_links is not None and groups:
         fresh = group_members(fresh, group_links, groups, "dataelementid", "dataelement_id", "group_id")
-    ep = Endpoint("dataValues", DATA_VALUE_SPEC, "datavalue", keys=DATA_VALUE_KEYS, tracked=["value"])
     merge_into_partitions(
-        spark, f"{store}/datavalue", fresh, ["period"], lambda cur, new: stage_rows(cur, new, ep),
-        _staged_schema(mapped, ep),
+        spark, f"{store}/datavalue", fresh, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
+        _staged_schema(mapped, DATA_VALUES),
     )
     top = fresh.agg(F.max("lastupdated")).first()[0]  # one value: the next mark
     return top if top is not None else mark
@@ -212,9 +160,8 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
 
 def read_data_values(spark: SparkSession, store: str) -> DataFrame:
     item = read_schema(DATA_VALUE_SPEC)
-    ep = Endpoint("dataValues", DATA_VALUE_SPEC, "datavalue", keys=DATA_VALUE_KEYS, tracked=["value"])
     empty = apply_mapping(spark.createDataFrame([], item), DATA_VALUE_SPEC, "")
-    return read_partitioned(spark, f"{store}/datavalue", _staged_schema(empty, ep))
+    return read_partitioned(spark, f"{store}/datavalue", _staged_schema(empty, DATA_VALUES))
 
 
 def case_control_payloads(forms: Mapping[str, DataFrame], config: ReportConfig, orgunits: DataFrame,
@@ -247,9 +194,11 @@ def source_row(source_id_url: str, title: str, description: str = "") -> list[tu
 
 
 __all__ = [
-    "DATA_VALUE_KEYS",
     "DATA_VALUE_SPEC",
+    "ENDPOINTS",
+    "LINKS",
     "Endpoint",
+    "LinkSpec",
     "ORG_UNIT_LEVEL_SPEC",
     "ORG_UNIT_SPEC",
     "case_control_payloads",

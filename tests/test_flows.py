@@ -3,10 +3,8 @@
 import json
 import os
 
+from tallysheet.plans.endpoints import ENDPOINTS, LINKS
 from tallysheet.plans.flows import (
-    ORG_UNIT_LEVEL_SPEC,
-    ORG_UNIT_SPEC,
-    Endpoint,
     case_control_payloads,
     category_dimension,
     dataelement_dimension,
@@ -20,9 +18,8 @@ from tallysheet.operators.report import ReportConfig
 from tallysheet.sinks.versioned import read_latest
 
 URL = "https://hmis.example.org/api"
-LEVELS = Endpoint("organisationUnitLevels", ORG_UNIT_LEVEL_SPEC, "orgunitlevel", tracked=["name", "level"],
-                  previous={"name": "previous_name"})
-UNITS = Endpoint("organisationUnits", ORG_UNIT_SPEC, "organisationunit", tracked=["name", "shortname", "parentid"])
+LEVELS = ENDPOINTS["organisationUnitLevels"]
+UNITS = ENDPOINTS["organisationUnits"]
 
 
 def land(path, name, doc):
@@ -83,13 +80,15 @@ def test_orgunit_flow_two_runs(spark, tmp_dir):
 def test_link_table_is_insert_only(spark, tmp_dir):
     store = f"{tmp_dir}/store"
     land(f"{tmp_dir}/combos", "p1.json", {"categoryCombos": [
-        {"id": "cc1", "categories": [{"id": "c1"}, {"id": "c2"}]}, {"id": "cc2"}]})
-    args = ("categoryCombos", {"id": {"column": "categorycombo_id", "type": "str"}}, "categories",
-            {"id": {"column": "dataelementcategory_id", "type": "str"}},
-            ["categorycombo_id", "dataelementcategory_id", "sourceid"], store, "link", URL)
-    stage_links(spark, f"{tmp_dir}/combos", *args)
-    stage_links(spark, f"{tmp_dir}/combos", *args)  # replay: no duplicates
-    rows = sorted((r["categorycombo_id"], r["dataelementcategory_id"]) for r in read_latest(spark, f"{store}/link").collect())
+        {"id": "cc1", "name": "Combo", "categories": [{"id": "c1"}, {"id": "c2"}]}, {"id": "cc2", "name": "Empty"}]})
+    link = LINKS["dataelementcategory_categorycombo"]
+    stage_links(spark, f"{tmp_dir}/combos", link, store, URL)
+    stage_links(spark, f"{tmp_dir}/combos", link, store, URL)  # replay: no duplicates
+    rows = sorted((r["categorycombo_id"], r["dataelementcategory_id"])
+                  for r in read_latest(spark, f"{store}/{link.table}").collect())
+    # the same pages also feed the combo table itself
+    stage_endpoint(spark, f"{tmp_dir}/combos", ENDPOINTS["categoryCombos"], store, URL)
+    assert sorted(r["uid"] for r in read_latest(spark, f"{store}/categorycombo").collect()) == ["cc1", "cc2"]
     assert rows == [("cc1", "c1"), ("cc1", "c2")]
 
 
