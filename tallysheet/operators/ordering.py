@@ -22,7 +22,7 @@ from tallysheet.session import cut_lineage
 _ROW_BITS = 33  # monotonically_increasing_id: partition index above bit 33, row index below
 
 
-def _ordered(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+def _ordered(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:  # large inputs
     """Rows sorted by ``order_by`` with their range (``_part``) and rank inside it (``_local``)."""
     mid = F.monotonically_increasing_id()
     ranked = df.orderBy(*order_by).withColumn("_mid", mid)
@@ -35,8 +35,20 @@ def _ordered(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     )
 
 
-def global_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "rn") -> DataFrame:
+# Inputs up to this many rows (metadata tables) take one plain window in one
+# task - proven small by a bounded probe - instead of the sort + checkpoint.
+SMALL_INPUT_ROWS = 50_000
+
+
+def _small(df: DataFrame, small_rows: int) -> bool:
+    return small_rows > 0 and df.limit(small_rows + 1).count() <= small_rows
+
+
+def global_ordinal(df: DataFrame, order_by: Sequence[str | Column], name: str = "rn",
+                   small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """Add ``name`` = 1-based position in the total order ``order_by`` (make it unique)."""
+    if _small(df, small_rows):
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("bigint"))
     ranked = _ordered(df, order_by)
     counts = ranked.groupBy("_part").agg(F.max("_local").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,11 +63,18 @@ def carry_forward(
     value: Column,
     name: str,
     ordinal: str | None = None,
+    small_rows: int = SMALL_INPUT_ROWS,
 ) -> DataFrame:
     """Add ``name`` = last non-NULL ``value`` strictly before each row in ``order_by`` order.
 
     With ``ordinal`` the global 1-based position is added as well.
     """
+    if _small(df, small_rows):
+        w = Window.orderBy(*order_by)
+        out = df.withColumn(name, F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+        if ordinal:
+            out = out.withColumn(ordinal, F.row_number().over(w).cast("bigint"))
+        return out.select(*[quoted(c) for c in df.columns], name, *([ordinal] if ordinal else []))
     ranked = _ordered(df, order_by).withColumn("_value", value)
     in_range = Window.partitionBy("_part").orderBy("_local").rowsBetween(Window.unboundedPreceding, -1)
     local = ranked.withColumn("_carried", F.last("_value", ignorenulls=True).over(in_range))

@@ -165,13 +165,15 @@ def form_report(
     are left out (see ``unknown_facilities`` for the reject list).
     """
     wide = band_report_wide(rows, (config.date_col, config.facility_col), spec)
-    # Resolve the unit on the wide rows (one per group), before the fan-out to long rows.
+    # Resolve the unit and the period on the wide rows (one per group), before
+    # the fan-out to long rows.  The date may be text (yyyy-MM-dd) or a date.
     units = bounded_broadcast(orgunits.select(config.facility_col, "orgUnit"))
-    located = wide.join(units, config.facility_col, "inner")
-    return long_rows(located, config, keep=["orgUnit"]).select(
+    period = F.replace(F.col(config.date_col).cast("string"), F.lit("-"), F.lit("")).alias("period")
+    located = wide.join(units, config.facility_col, "inner").withColumn("period", period)
+    return long_rows(located, config, keep=["orgUnit", "period"]).select(
         "categoryOptionCombo",
         F.lit(config.attribute_option_combo).alias("attributeOptionCombo"),
-        F.replace(F.col(config.date_col), F.lit("-"), F.lit("")).alias("period"),
+        "period",
         "orgUnit",
         "dataElement",
         "value",

@@ -192,7 +192,7 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "events_table")
     query = start_upsert_stream(
         spark, landing, events.schema, table, ["user_id", "event_type"], ["ts", "event_id"],
-        checkpoint=scratch_path(spark, "events_stream_ckpt"), max_files_per_trigger=1,
+        checkpoint=scratch_path(spark, "events_stream_ckpt"), max_files_per_trigger=2,
     )
     query.awaitTermination()
     return read_current(spark, table, ["user_id", "event_type"], ["ts", "event_id"])

@@ -44,10 +44,14 @@ CONFIG = ReportConfig(
 
 
 def submissions(t: Tables) -> DataFrame:
-    """Lineitem as survey submissions, filled and cast like the form data."""
+    """Lineitem as survey submissions, filled and cast like the form data.
+
+    The interview date is kept as a date (a 4-byte grouping key, about twice as
+    fast to aggregate as its text); text is produced after the aggregation.
+    """
     li = t.lineitem
     raw = li.select(
-        day_text(F.col("l_shipdate")).alias("interview_date"),
+        F.col("l_shipdate").cast("date").alias("interview_date"),
         F.col("l_suppkey").alias("health_facility"),
         F.col("l_quantity").alias("participant_age"),
         F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2).alias("participant_gender"),
@@ -147,7 +151,8 @@ def q_band_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("band_report_wide", _wide_sql())
 def q_band_report_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return band_report_wide(submissions(Tables(spark, sf_dir)), ("interview_date", "health_facility"), SPEC)
+    wide = band_report_wide(submissions(Tables(spark, sf_dir)), ("interview_date", "health_facility"), SPEC)
+    return wide.withColumn("interview_date", day_text(F.col("interview_date")))
 
 
 @register(
@@ -156,7 +161,7 @@ def q_band_report_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_empty_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    rows = submissions(t).where(F.col("interview_date") >= "2100-01-01")
+    rows = submissions(t).where(F.col("interview_date") >= F.lit("2100-01-01").cast("date"))
     return form_report(rows, CONFIG, facility_units(t), SPEC).agg(F.count(F.lit(1)).alias("n"))
 
 

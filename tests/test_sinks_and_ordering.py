@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -26,18 +27,21 @@ def test_chunks_are_bounded_ordered_and_complete(spark):
         assert all(len(json.loads(r["payload"])["dataValues"]) == r["n"] for r in mine)
 
 
-def test_global_ordinal_matches_row_number(spark):
+@pytest.mark.parametrize("small_rows", [0, 10_000])  # 0 forces the distributed path
+def test_global_ordinal_matches_row_number(spark, small_rows):
     df = spark.range(0, 2000).select((F.col("id") * 7919 % 2003).alias("k"), F.col("id")).repartition(7)
-    got = {r["id"]: r["rn"] for r in global_ordinal(df, ["k", "id"]).collect()}
+    got = {r["id"]: r["rn"] for r in global_ordinal(df, ["k", "id"], small_rows=small_rows).collect()}
     w = Window.orderBy("k", "id")
     expected = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == expected
 
 
-def test_carry_forward_matches_brute_force(spark):
+@pytest.mark.parametrize("small_rows", [0, 10_000])
+def test_carry_forward_matches_brute_force(spark, small_rows):
     rows = [(i, f"n{i}" if i % 5 == 0 else None) for i in range(1, 400)]
     df = spark.createDataFrame(rows, "seq int, v string").repartition(6)
-    out = {r["seq"]: (r["prev"], r["rn"]) for r in carry_forward(df, ["seq"], F.col("v"), "prev", ordinal="rn").collect()}
+    out = {r["seq"]: (r["prev"], r["rn"])
+           for r in carry_forward(df, ["seq"], F.col("v"), "prev", ordinal="rn", small_rows=small_rows).collect()}
     last = None
     for seq, v in rows:
         assert out[seq] == (last, seq)
