@@ -54,9 +54,15 @@ def _staged_schema(mapped: DataFrame, ep: Endpoint) -> T.StructType:
 
 
 def stage_rows(current: DataFrame, mapped: DataFrame, ep: Endpoint) -> DataFrame:
-    """Fold the batch per key (newest ``order_col`` wins) and upsert it with change tracking."""
+    """Fold the batch per key (newest ``order_col`` wins) and upsert it with change tracking.
+
+    Equal ``order_col`` values are broken by a hash of the whole row, so a rerun
+    always keeps the same document.
+    """
     keys = list(ep.keys)
-    batch = last_per_key(mapped, keys, [ep.order_col]) if ep.order_col in mapped.columns else mapped.dropDuplicates(keys)
+    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in mapped.columns])
+    order = [F.col(ep.order_col), tiebreak] if ep.order_col in mapped.columns else [tiebreak]
+    batch = last_per_key(mapped, keys, order)
     spec = ChangeSpec(keys=keys, tracked=list(ep.tracked), previous=dict(ep.previous))
     return detect_changes(current, batch, spec, sparse=True)
 
