@@ -29,7 +29,7 @@ from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sect
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
 from tallysheet.operators.schema_evolution import schema_plan
 from tallysheet.operators.unnest import explode_links
-from tallysheet.operators.upsert import changed_rows, insert_new, last_per_key
+from tallysheet.operators.upsert import apply_changes, changed_rows, insert_new, last_per_key
 from tallysheet.operators.widen import membership_flags, pivot_options
 from tallysheet.plans.endpoints import (
     DATA_VALUE_SPEC,
@@ -88,6 +88,21 @@ def stage_links(spark: SparkSession, landed_dir: str, link: LinkSpec, store: str
     return commit(insert_new(current, links, list(link.keys)), path)
 
 
+def data_source_rows(spark: SparkSession, sources: DataFrame | None, url: str, title: str,
+                     description: str = "") -> DataFrame:
+    """The data-source staging table with its seed row added once (insert-only, keyed on ``id``)."""
+    seed = spark.createDataFrame(source_row(url, title, description), "id string, title string, url string, description string")
+    seed = seed.withColumn("change", F.lit("insert"))
+    if sources is None:
+        return seed
+    return insert_new(sources, seed, ["id"])
+
+
+def data_source_dimension(warehouse: DataFrame, staged: DataFrame) -> DataFrame:
+    """Warehouse data-source table after applying the pending staged rows (keyed on ``id``)."""
+    return apply_changes(warehouse, changed_rows(staged), ["id"])
+
+
 def orgunit_dimension(units: DataFrame, levels: DataFrame, plan_anchor: str = "lastupdated"
                       ) -> tuple[DataFrame, DataFrame]:
     """(column plan, warehouse rows) for the org-unit dimension.
@@ -164,6 +179,31 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
     return top if top is not None else mark
 
 
+def start_data_value_stream(spark: SparkSession, landed_dir: str, store: str, source_url: str, checkpoint: str,
+                            max_files_per_trigger: int | None = None, available_now: bool = True):
+    """The fact load as a stream: each new landed file is part of the next slice.
+
+    The stream checkpoint replaces the stored mark; every micro-batch is
+    upserted (with change tracking) into only the periods it touches, so a
+    replayed batch leaves the same table.
+    """
+    doc = T.StructType([T.StructField("dataValues", T.ArrayType(read_schema(DATA_VALUE_SPEC)), True)])
+    reader = spark.readStream.schema(doc).option("multiLine", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.json(landed_dir).select(F.explode("dataValues").alias("v")).select("v.*")
+    path = f"{store}/datavalue"
+
+    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+        mapped = apply_mapping(batch, DATA_VALUE_SPEC, source_url)
+        merge_into_partitions(spark, path, mapped, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
+                              _staged_schema(mapped, DATA_VALUES))
+
+    writer = stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
 def read_data_values(spark: SparkSession, store: str) -> DataFrame:
     item = read_schema(DATA_VALUE_SPEC)
     empty = apply_mapping(spark.createDataFrame([], item), DATA_VALUE_SPEC, "")
@@ -209,9 +249,12 @@ __all__ = [
     "ORG_UNIT_SPEC",
     "case_control_payloads",
     "category_dimension",
+    "data_source_dimension",
+    "data_source_rows",
     "dataelement_dimension",
     "load_data_values",
     "read_data_values",
+    "start_data_value_stream",
     "orgunit_dimension",
     "source_row",
     "stage_endpoint",

@@ -3,6 +3,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from tallysheet.plans.endpoints import ENDPOINTS, LINKS
 from tallysheet.plans.flows import (
     case_control_payloads,
@@ -170,3 +172,40 @@ def test_category_and_dataelement_dimensions(spark):
     out = {r["uid"]: r.asDict() for r in dataelement_dimension(elements, links, groups, "2024-01-01 00:00:00").collect()}
     assert out["de1"]["g1"] == "t" and out["de1"]["MaternalHealth"] == "t" and out["de1"]["g2"] == ""
     assert "de2" not in out  # no group: not exported (inner join semantics)
+
+
+def test_streamed_fact_load_equals_batch_load(spark, tmp_dir):
+    from tallysheet.plans.flows import start_data_value_stream
+
+    landed = f"{tmp_dir}/landing"
+    docs = [
+        ("OU1.json", [value("de1", "OU1", "1", "2024-02-01T00:00:00.000"), value("de2", "OU1", "2", "2024-02-01T00:00:00.000")]),
+        ("OU2.json", [value("de1", "OU2", "3", "2024-02-02T00:00:00.000")]),
+        ("OU1b.json", [value("de1", "OU1", "9", "2024-02-03T00:00:00.000")]),  # a later change of an earlier key
+    ]
+    for name, rows in docs:
+        land(landed, name, {"dataValues": rows})
+    batch_store, stream_store = f"{tmp_dir}/batch", f"{tmp_dir}/stream"
+    load_data_values(spark, landed, batch_store, URL, "2018-01-01 00:00:00")
+    ckpt = f"{tmp_dir}/ckpt"
+    start_data_value_stream(spark, landed, stream_store, URL, ckpt, max_files_per_trigger=1).awaitTermination()
+    start_data_value_stream(spark, landed, stream_store, URL, ckpt).awaitTermination()  # restart: nothing new
+
+    def snapshot(store):
+        return sorted((r["dataelementid"], r["organisationunitid"], r["value"]) for r in read_data_values(spark, store).collect())
+
+    assert snapshot(stream_store) == snapshot(batch_store) == [("de1", "OU1", "9"), ("de1", "OU2", "3"), ("de2", "OU1", "2")]
+
+
+def test_data_source_seed_and_export(spark):
+    from tallysheet.operators.changes import reset_changes
+    from tallysheet.plans.flows import data_source_dimension, data_source_rows
+
+    staged = data_source_rows(spark, None, URL, "HMIS")
+    again = data_source_rows(spark, staged, URL, "HMIS")  # seeding twice keeps one row
+    assert again.count() == 1
+    empty = spark.createDataFrame([], "id string, title string, url string, description string")
+    warehouse = data_source_dimension(empty, again)
+    assert [(r["url"], r["title"]) for r in warehouse.collect()] == [(URL, "HMIS")]
+    renamed = reset_changes(again).withColumn("title", F.lit("HMIS 2")).withColumn("change", F.lit("update"))
+    assert [r["title"] for r in data_source_dimension(warehouse, renamed).collect()] == ["HMIS 2"]
