@@ -117,25 +117,35 @@ def orgunit_dimension(units: DataFrame, levels: DataFrame, plan_anchor: str = "l
 
 
 def category_dimension(combos: DataFrame, combo_options: DataFrame, options: DataFrame,
-                       category_options: DataFrame, categories: DataFrame, as_of: str) -> DataFrame:
+                       category_options: DataFrame, categories: DataFrame, as_of: str,
+                       changed_only: str | None = "options") -> DataFrame:
     """Category dimension: per combo, option uid / name under each category's columns.
 
     Inputs are staged tables: combos (uid, name), combo_options
     (category_option_combo_id, category_option_id), options (uid, name, sourceid,
     change), category_options (category_id, categoryoption_id), categories (uid, name).
-    Only changed options are exported.
+    ``changed_only`` picks the input whose pending rows drive the export
+    ("options", "combos", "categories"; ``None`` exports everything).  When
+    every input carries ``sourceid`` the joins match on it as well, so two
+    sources with colliding uids never mix.
     """
+    frames = {"combos": combos, "options": options, "categories": categories}
+    if changed_only is not None:
+        frames[changed_only] = changed_rows(frames[changed_only])
+    by_source = all("sourceid" in df.columns for df in (combos, combo_options, options, category_options, categories))
+    src = ["sourceid"] if by_source else []
     links = (
-        combos.select(F.col("uid").alias("coc"), F.col("name").alias("coc_name"))
+        frames["combos"].select(F.col("uid").alias("coc"), F.col("name").alias("coc_name"), *src)
         .join(combo_options.select(F.col("category_option_combo_id").alias("coc"),
-                                   F.col("category_option_id").alias("opt")), "coc")
-        .join(changed_rows(options).select(F.col("uid").alias("opt"), F.col("name").alias("opt_name"), "sourceid"),
-              "opt")
-        .join(category_options.select(F.col("categoryoption_id").alias("opt"), F.col("category_id").alias("cat")),
-              "opt")
-        .join(categories.select(F.col("uid").alias("cat"), F.col("name").alias("cat_name")), "cat")
+                                   F.col("category_option_id").alias("opt"), *src), ["coc", *src])
+        .join(frames["options"].select(F.col("uid").alias("opt"), F.col("name").alias("opt_name"),
+                                       *(src or ["sourceid"])), ["opt", *src])
+        .join(category_options.select(F.col("categoryoption_id").alias("opt"), F.col("category_id").alias("cat"), *src),
+              ["opt", *src])
+        .join(frames["categories"].select(F.col("uid").alias("cat"), F.col("name").alias("cat_name"), *src),
+              ["cat", *src])
     )
-    cats = [(r["uid"], r["name"]) for r in categories.select("uid", "name").orderBy("uid").collect()]
+    cats = [(r["uid"], r["name"]) for r in categories.select("uid", "name").distinct().orderBy("uid").collect()]
     wide = pivot_options(links, "coc", cats, "cat", "opt", "opt_name", "opt", carry=["coc_name", "sourceid"])
     return wide.select(
         F.col("coc").alias("categoryoptioncomboid"),

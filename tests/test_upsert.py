@@ -89,3 +89,15 @@ def test_hot_key_fold_keeps_whole_result(spark):
     df = spark.createDataFrame(data, "k int, seq int, v string").repartition(8)
     out = dict(rows(last_per_key(df, ["k"], ["seq"]).select("k", "v"), ["k"]))
     assert out[0] == "v2999" and len(out) == 50
+
+
+def test_merge_into_requires_a_row_level_table(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from tallysheet.sinks.merge import merge_into_table
+
+    spark.createDataFrame([(1, "a")], "k int, v string").createOrReplaceTempView("plain_target")
+    batch = spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string")
+    with pytest.raises((PySparkException, Exception)):
+        merge_into_table(batch, "plain_target", ["k"])
