@@ -12,9 +12,12 @@ DEFAULT_MAX_BROADCAST_ROWS = 200_000
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap on a huge
-    side; beyond the bound the join falls back to a shuffle join that AQE
-    (with skew-join splitting) re-plans at run time.
+    The check reads at most ``max_rows + 1`` rows per task, so it is cheap on
+    a scanned lookup; beyond the bound the join falls back to a shuffle join
+    that AQE (with skew-join splitting) re-plans at run time.  For a lookup
+    that is itself the output of an aggregation, skip the probe (it would
+    recompute the aggregation) and let AQE decide on the shuffle stage's
+    measured size.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)

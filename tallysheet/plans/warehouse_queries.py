@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tallysheet.functions.casts import load_timestamp
 from tallysheet.functions.keys import source_key
-from tallysheet.operators.broadcast import bounded_broadcast
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
 from tallysheet.operators.ordering import global_ordinal
 from tallysheet.operators.upsert import changed_rows
@@ -74,7 +73,10 @@ def q_category_join(spark: SparkSession, sf_dir: str) -> DataFrame:
                       part_change().alias("change"))
     ).drop("change")
     decco = t.part.select(F.col("p_partkey").alias("option_uid"), F.col("p_brand").alias("category_name"))
-    de_c = bounded_broadcast(brand_dimension(t.part))
+    # Categories come out of an aggregation, which ends in a shuffle stage anyway:
+    # AQE sees its real size there and broadcasts it (sort-merge join beyond the
+    # threshold); a probe here would recompute the aggregation.
+    de_c = brand_dimension(t.part)
     return (
         coc.join(cocco, "coc_uid")
         .join(deco, "option_uid")

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallysheet.operators.broadcast import bounded_broadcast
 from tallysheet.session import cut_lineage
 
 
@@ -68,7 +67,9 @@ def merge_into_partitions(
             keep = keep | match
         current = current.where(keep)
     else:
-        current = current.join(bounded_broadcast(touched), list(partition_cols), "left_semi")
+        # Very many partitions: a semi join; the distinct values are an aggregation, so AQE sizes
+        # the join from the measured shuffle stage.
+        current = current.join(touched, list(partition_cols), "left_semi")
     merged = cut_lineage(merge(current, batch).select(*[F.col(f"`{f.name}`") for f in schema.fields]))
     (
         merged.write.mode("overwrite")
