@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import quoted
+from tallysheet.operators.skew import semi_join_keys
 
 DEFAULT_MARK = "2018-01-01 00:00:00"
 
@@ -51,7 +52,9 @@ def group_members(facts: DataFrame, links: DataFrame, groups: Sequence[str], fac
     members = (
         links.where(F.col(quoted(group_col)).isin(*groups)).select(F.col(quoted(link_col)).alias(fact_col)).distinct()
     )
-    return facts.join(members, fact_col, "left_semi")
+    # A data element holding a third of the facts: the member set is broadcast when
+    # small (the usual case), salted otherwise - never one task per hot element.
+    return semi_join_keys(facts, members, [fact_col])
 
 
 def is_empty(df: DataFrame) -> bool:

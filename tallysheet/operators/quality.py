@@ -15,22 +15,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import composite_key, quoted
+from tallysheet.operators.skew import semi_join_keys
+from tallysheet.session import cut_lineage
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str],
                   name: str) -> DataFrame:
     """Child rows whose foreign key has no parent: ``(fk, child_key)``.
 
-    A key with any NULL component passes (SQL MATCH SIMPLE).  The check is a
-    left-anti join; a parent value referenced by a third of the children is
-    a skewed partition that AQE splits (anti joins are eligible).
+    A key with any NULL component passes (SQL MATCH SIMPLE).  Two phases, so a
+    foreign-key value held by a third of the children never lands in one task:
+
+    1. the violating key values - the child's distinct keys (a hot key
+       collapses map-side) anti-joined with the parent's primary key -
+       checkpointed once;
+    2. the child rows holding them, via ``semi_join_keys`` (broadcast when the
+       violating key set is proven small, hash-salted otherwise).
     """
     present = None
     for c in child_cols:
         cond = F.col(quoted(c)).isNotNull()
         present = cond if present is None else present & cond
-    keys = parent.select(*[F.col(quoted(p)).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct()
-    missing = child.where(present).join(keys, list(child_cols), "left_anti")
+    candidates = child.where(present)
+    keys = parent.select(*[F.col(quoted(p)).alias(c) for p, c in zip(parent_cols, child_cols)])
+    bad = cut_lineage(candidates.select(*[quoted(c) for c in child_cols]).distinct().join(keys, list(child_cols), "left_anti"))
+    missing = semi_join_keys(candidates, bad, child_cols)
     return missing.select(F.lit(name).alias("fk"), composite_key(child_cols).alias("child_key"))
 
 
