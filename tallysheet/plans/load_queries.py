@@ -68,6 +68,7 @@ def q_group_semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORDER_DOC_SPEC = {"o_orderkey": {"column": "order_id", "type": "long"}}
+DOC_PAGE = 1000  # children per landed document page
 LINE_SPEC = {"l_partkey": {"column": "part_id", "type": "long"}}
 
 
@@ -78,8 +79,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 )
 def q_mn_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    # Order documents with their line list (an order has a bounded number of lines).
-    lines = t.lineitem.groupBy("l_orderkey").agg(
+    # Order documents with their line lists, paged like an API: a page holds at most
+    # DOC_PAGE consecutive rows of one input split, so even an order holding a third
+    # of all lines never becomes one giant list.
+    page = F.floor(F.monotonically_increasing_id() / F.lit(DOC_PAGE)).alias("_page")
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", page).groupBy("l_orderkey", "_page").agg(
         F.collect_list(F.struct("l_partkey", "l_linenumber")).alias("lines")
     )
     docs = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_orderstatus", "lines")
