@@ -9,7 +9,9 @@ into the staged table (an upsert) sets:
 * otherwise the old status stays.
 
 ``old <> new`` with a NULL on either side is not a change (SQL ``<>``),
-unless ``null_safe``.  A row still pending as ``'insert'`` stays ``'insert'``
+unless ``null_safe``.  With ``version_col`` an incoming row older than the
+stored one is ignored, so re-pulled or out-of-order documents never regress
+a value.  A row still pending as ``'insert'`` stays ``'insert'``
 when it changes again before export (``keep_pending_insert``), so the
 warehouse never gets an update for a row it has not received.
 """
@@ -34,6 +36,7 @@ class ChangeSpec:
     change_col: str = CHANGE_COL
     null_safe: bool = False
     keep_pending_insert: bool = True
+    version_col: str | None = None  # when set, an older incoming row never replaces a newer stored one
 
 
 # Tracked columns of each staging table (what its trigger compares),
@@ -79,6 +82,9 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
     n = incoming.select(*keys, *[F.col(quoted(c)).alias("n__" + c) for c in in_cols], F.lit(True).alias("n__hit"))
     j = o.join(n, keys, "full_outer")
     old_hit, new_hit = F.col("o__hit").isNotNull(), F.col("n__hit").isNotNull()
+    if spec.version_col is not None and spec.version_col in in_cols:
+        newer = F.col(quoted("n__" + spec.version_col)) >= F.col(quoted("o__" + spec.version_col))
+        new_hit = new_hit & (~old_hit | F.coalesce(newer, F.lit(True)))
 
     changed = F.lit(False)
     for c in spec.tracked:
@@ -87,7 +93,7 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
             if sparse:
                 new_value = F.coalesce(new_value, F.col(quoted("o__" + c)))
             changed = changed | _differs(new_value, F.col(quoted("o__" + c)), spec.null_safe)
-    changed = old_hit & new_hit & changed
+    changed = old_hit & new_hit & changed  # new_hit: the incoming row is taken
 
     old_change = F.col(quoted("o__" + spec.change_col))
     status = F.when(~old_hit, F.lit("insert"))

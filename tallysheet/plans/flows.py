@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from tallysheet.functions.casts import load_timestamp, truncate_seconds
 from tallysheet.operators.changes import ChangeSpec, detect_changes
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
-from tallysheet.operators.incremental import group_members, since_mark
+from tallysheet.operators.incremental import group_members, is_empty, since_mark
+from tallysheet.operators.skew import semi_join_keys
 from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
 from tallysheet.operators.schema_evolution import schema_plan
@@ -57,13 +58,15 @@ def stage_rows(current: DataFrame, mapped: DataFrame, ep: Endpoint) -> DataFrame
     """Fold the batch per key (newest ``order_col`` wins) and upsert it with change tracking.
 
     Equal ``order_col`` values are broken by a hash of the whole row, so a rerun
-    always keeps the same document.
+    always keeps the same document; a stored row newer than the incoming one
+    is kept (late or re-pulled documents never regress a value).
     """
     keys = list(ep.keys)
     tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in mapped.columns])
     order = [F.col(ep.order_col), tiebreak] if ep.order_col in mapped.columns else [tiebreak]
     batch = last_per_key(mapped, keys, order)
-    spec = ChangeSpec(keys=keys, tracked=list(ep.tracked), previous=dict(ep.previous))
+    version = ep.order_col if ep.order_col in mapped.columns else None
+    spec = ChangeSpec(keys=keys, tracked=list(ep.tracked), previous=dict(ep.previous), version_col=version)
     return detect_changes(current, batch, spec, sparse=True)
 
 
@@ -169,7 +172,7 @@ def dataelement_dimension(elements: DataFrame, element_groups: DataFrame, groups
 
 def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_url: str, mark: str,
                      group_links: DataFrame | None = None, groups: Sequence[str] = (),
-                     layout: str = "file") -> object:
+                     layout: str = "file", leaf_units: DataFrame | None = None) -> object:
     """Fact ingest since ``mark`` into ``<store>/datavalue`` (partitioned by period); returns the next mark.
 
     Only the periods the slice touches are read and rewritten; the period is
@@ -177,10 +180,15 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
     """
     item = read_schema(DATA_VALUE_SPEC)
     raw = read_unit_documents(spark, landed_dir, "dataValues", item, "_unit", layout=layout, multi_line=True)
+    if leaf_units is not None:
+        # Only files of known leaf units count (a unit id is the file or folder name).
+        raw = semi_join_keys(raw, leaf_units.select(F.col("uid").alias("_unit")).distinct(), ["_unit"])
     mapped = apply_mapping(raw, DATA_VALUE_SPEC, source_url)
     fresh = since_mark(mapped, "lastupdated", mark)
     if group_links is not None and groups:
         fresh = group_members(fresh, group_links, groups, "dataelementid", "dataelement_id", "group_id")
+    if is_empty(fresh):
+        return mark  # nothing new: no write, the mark stays
     merge_into_partitions(
         spark, f"{store}/datavalue", fresh, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
         _staged_schema(mapped, DATA_VALUES),

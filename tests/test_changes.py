@@ -73,3 +73,14 @@ def test_reset_only_flushed_keys(spark):
     flushed = spark.createDataFrame([("tracked", "s")], "uid string, sourceid string")
     out = by_uid(reset_changes(staged, ["uid", "sourceid"], flushed))
     assert out["tracked"]["change"] == "" and out["new"]["change"] == "insert"
+
+
+def test_version_guard_ignores_older_incoming_rows(spark):
+    cur = spark.createDataFrame([("k1", "new", "2024-02-01", ""), ("k2", "old", "2024-01-01", "")],
+                                "uid string, name string, lastupdated string, change string")
+    inc = spark.createDataFrame([("k1", "stale", "2024-01-15"), ("k2", "fresh", "2024-01-20")],
+                                "uid string, name string, lastupdated string")
+    spec = ChangeSpec(keys=["uid"], tracked=["name"], version_col="lastupdated")
+    out = by_uid(detect_changes(cur, inc, spec))
+    assert (out["k1"]["name"], out["k1"]["change"]) == ("new", "")
+    assert (out["k2"]["name"], out["k2"]["change"], out["k2"]["lastupdated"]) == ("fresh", "update", "2024-01-20")

@@ -209,3 +209,15 @@ def test_data_source_seed_and_export(spark):
     assert [(r["url"], r["title"]) for r in warehouse.collect()] == [(URL, "HMIS")]
     renamed = reset_changes(again).withColumn("title", F.lit("HMIS 2")).withColumn("change", F.lit("update"))
     assert [r["title"] for r in data_source_dimension(warehouse, renamed).collect()] == ["HMIS 2"]
+
+
+def test_fact_load_only_leaf_units_and_empty_slice(spark, tmp_dir):
+    landed, store = f"{tmp_dir}/values", f"{tmp_dir}/store"
+    land(landed, "OU1.json", {"dataValues": [value("de1", "OU1", "5", "2024-02-01T00:00:00.000")]})
+    land(landed, "OUX.json", {"dataValues": [value("de1", "OUX", "7", "2024-02-01T00:00:00.000")]})
+    leaves = spark.createDataFrame([("OU1",), ("OU2",)], "uid string")
+    mark = load_data_values(spark, landed, store, URL, "2018-01-01 00:00:00", leaf_units=leaves)
+    assert [r["organisationunitid"] for r in read_data_values(spark, store).collect()] == ["OU1"]
+    # nothing newer than the mark: no write, mark unchanged
+    assert load_data_values(spark, landed, store, URL, "2030-01-01 00:00:00", leaf_units=leaves) == "2030-01-01 00:00:00"
+    assert str(mark) == "2024-02-01 00:00:00"
