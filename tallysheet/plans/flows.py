@@ -1,16 +1,20 @@
 """The end-to-end jobs, composed from the operators.
 
-1. ``stage_endpoint``: landed metadata pages -> mapped rows -> staged table
-   (sparse upsert with change tracking), committed as a new version.
-2. ``orgunit_dimension`` / ``category_dimension`` / ``dataelement_dimension``:
-   pending staged rows -> warehouse dimension rows plus the column plan.
-3. ``load_data_values``: per-unit data-value files since a mark -> staged
-   fact table; returns the next mark.
+1. ``stage_endpoint`` / ``stage_links``: landed metadata pages -> mapped rows ->
+   staged table (sparse, version-guarded upsert with change tracking) or
+   insert-only link table, committed as a new version
+   (``plans.endpoints`` holds the configuration of every endpoint).
+2. ``orgunit_dimension`` / ``category_dimension`` / ``dataelement_dimension`` /
+   ``data_source_dimension``: pending staged rows -> warehouse dimension rows
+   (plus the column plan for the org-unit levels).
+3. ``load_data_values`` / ``start_data_value_stream``: per-unit data-value
+   files since a mark (batch) or as they land (stream) -> staged fact table,
+   rewriting only the periods a slice touches.
 4. ``case_control_payloads``: survey form documents -> long report rows ->
    request bodies of at most 30 values.
 
 Each returns DataFrames (lazy) or writes one new table version; nothing
-passes through the driver except metadata lists.
+passes through the driver except metadata lists and the next mark.
 """
 
 from __future__ import annotations
