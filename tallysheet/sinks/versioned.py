@@ -33,7 +33,12 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType | None = No
 
 
 def commit(df: DataFrame, path: str) -> int:
-    """Write ``df`` as the next version and record it; returns the version number."""
+    """Write ``df`` as the next version and record it; returns the version number.
+
+    One writer per table (the load job).  A load that dies between the data
+    write and the log append leaves an unrecorded folder, which the rerun
+    overwrites under the same number.
+    """
     spark = df.sparkSession
     current = latest_version(spark, path)
     version = 0 if current is None else current + 1
