@@ -23,7 +23,8 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tallysheet") -> SparkSession:
+def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tallysheet",
+                  extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and local benches; a cluster passes its own session instead."""
     builder = (
         SparkSession.builder.master(master)
@@ -33,7 +34,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TALLYSHEET_DRIVER_MEMORY", "8g"))
     )
-    for key, value in DEFAULT_CONF.items():
+    for key, value in {**DEFAULT_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
