@@ -41,6 +41,7 @@ def _lines(name: str):
 def summarise(path: str, top: int = 15) -> list[dict]:
     tasks = defaultdict(lambda: {"n": 0, "max_ms": 0, "sum_ms": 0, "shuffle_read": 0, "shuffle_write": 0})
     stages = {}
+    job_of: dict = {}
     for name in _files(path):
         for line in _lines(name):
             ev = json.loads(line)
@@ -56,6 +57,10 @@ def summarise(path: str, top: int = 15) -> list[dict]:
                 t["shuffle_read"] += (metrics.get("Shuffle Read Metrics") or {}).get("Remote Bytes Read", 0) + (
                     metrics.get("Shuffle Read Metrics") or {}).get("Local Bytes Read", 0)
                 t["shuffle_write"] += (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+            elif kind == "SparkListenerJobStart":
+                label = (ev.get("Properties") or {}).get("spark.job.description")
+                for sid in ev.get("Stage IDs", []):
+                    job_of[sid] = label
             elif kind == "SparkListenerStageCompleted":
                 si = ev["Stage Info"]
                 key = (si["Stage ID"], si.get("Stage Attempt ID", 0))
@@ -68,7 +73,7 @@ def summarise(path: str, top: int = 15) -> list[dict]:
     for key, st in stages.items():
         t = tasks.get(key, {"n": 0, "max_ms": 0, "sum_ms": 0, "shuffle_read": 0, "shuffle_write": 0})
         mean = t["sum_ms"] / t["n"] if t["n"] else 0
-        rows.append({**st, "tasks": t["n"], "max_task_ms": t["max_ms"],
+        rows.append({**st, "query": job_of.get(st["stage"]), "tasks": t["n"], "max_task_ms": t["max_ms"],
                      "skew": round(t["max_ms"] / mean, 1) if mean else 0,
                      "shuffle_read_mb": round(t["shuffle_read"] / 2**20, 1),
                      "shuffle_write_mb": round(t["shuffle_write"] / 2**20, 1)})
