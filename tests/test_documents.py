@@ -110,3 +110,12 @@ def test_mn_explode_then_insert_only(spark):
     out = insert_new(existing, links, ["categorycombo_id", "dataelementcategory_id", "sourceid"])
     got = sorted((r["categorycombo_id"], r["dataelementcategory_id"]) for r in out.collect())
     assert got == [("cc1", "c1"), ("cc1", "c2")]
+
+
+def test_section_field_beats_the_source_tag(spark):
+    rows = spark.createDataFrame(
+        [({"a": 1}, {"SOURCE_FORM": "from-section"}), ({"a": 2}, None)],
+        "s1 struct<a:int>, s2 struct<SOURCE_FORM:string>",
+    )
+    flat = spread_sections(rows, ["s1", "s2"], tag=("SOURCE_FORM", F.lit("formA")))
+    assert sorted((r["a"], r["SOURCE_FORM"]) for r in flat.collect()) == [(1, "from-section"), (2, "formA")]
