@@ -3,13 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from tallysheet.plans import ORACLES, QUERIES
 from tests.conftest import SF_ORACLE
 from tools.oracle_check import compare, duckdb_views
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
-
-
 @pytest.fixture(scope="module")
 def con():
     return duckdb_views(SF_ORACLE)
