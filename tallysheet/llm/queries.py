@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.sources.tables import table
-from tallysheet.llm import decontaminate
+from tallysheet.llm import decontaminate, line_dedup, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("row.doc_id", "n_lines", "n_gone", F.length("text").cast("long").alias("n_chars_left"),
+                       F.sha2("text", 256).alias("text_sha256"))
