@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.sources.tables import table
-from tallysheet.llm import decontaminate, line_dedup, toxicity
+from tallysheet.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +71,38 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "n_lines", "n_gone", F.length("text").cast("long").alias("n_chars_left"),
                        F.sha2("text", 256).alias("text_sha256"))
+
+
+@register("op7_ngram_join")
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op8_mixing", oracle="""
+WITH sizes AS (
+  SELECT source, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS size FROM documents GROUP BY source
+), rates AS (
+  SELECT source, CASE WHEN size > 0 THEN (1.0::DOUBLE / (SELECT count(*) FROM sizes)) * (SELECT sum(size) FROM sizes)::DOUBLE / size
+                      ELSE 0.0 END AS rate FROM sizes
+), terms AS (
+  SELECT source, rate, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p
+  FROM (SELECT source, rate, unnest(generate_series(0, CAST(ceil(rate + 12 * sqrt(rate) + 20) AS BIGINT))) AS k
+        FROM rates WHERE rate > 0)
+), cdf AS (
+  SELECT source, rate, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms
+), drawn AS (
+  SELECT doc_id, source, md5(text) AS text_md5, (('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+         / 4503599627370496.0::DOUBLE AS u FROM documents
+), counts AS (
+  SELECT doc_id, d.source, text_md5, u, (SELECT max(rate) FROM rates r WHERE r.source IS NOT DISTINCT FROM d.source) AS rate,
+         (SELECT count(*) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM d.source AND cdf.c < d.u) AS times
+  FROM drawn d
+)
+SELECT doc_id, source, text_md5, rate, CAST(copy AS INTEGER) AS copy,
+       (('0x' || substr(md5('17:order:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || CAST(copy AS VARCHAR)), 1, 13))::BIGINT
+        + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS order_key
+FROM (SELECT doc_id, source, text_md5, rate, unnest(generate_series(1, times)) AS copy FROM counts)
+""")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(documents).select("doc_id", "source", "rate", "copy", "order_key", F.md5("text").alias("text_md5"))
