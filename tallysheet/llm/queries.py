@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.sources.tables import table
-from tallysheet.llm import decontaminate, line_dedup, mixing, ngram_join, toxicity
+from tallysheet.llm import decontaminate, language, line_dedup, mixing, ngram_join, quality, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,15 @@ FROM (SELECT doc_id, source, text_md5, rate, unnest(generate_series(1, times)) A
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(documents).select("doc_id", "source", "rate", "copy", "order_key", F.md5("text").alias("text_md5"))
+
+
+@register("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = language.identify(documents, language.learn(documents))
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@register("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
