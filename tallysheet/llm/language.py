@@ -37,8 +37,8 @@ from tallysheet.llm.toxicity import held_out
 PER_LANGUAGE = 300
 DICTIONARY = 128 * 1024
 MAX_LANGUAGES = 500
-PIECE = 4096
-LEVEL = 3
+PIECE = 2048
+LEVEL = 9
 MIN_MARGIN = 0.01
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")

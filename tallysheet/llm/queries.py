@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.sources.tables import table
-from tallysheet.llm import decontaminate, language, line_dedup, mixing, ngram_join, quality, toxicity
+from tallysheet.llm import chat, decontaminate, language, line_dedup, mixing, ngram_join, quality, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,29 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@register("op3_chat_snapshots", oracle="""
+WITH t AS (
+  SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS pos,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+  SELECT conv_id, n_turns, pos, string_agg(md5(role || chr(0) || text), ',') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix
+  FROM t
+), whole AS (SELECT n_turns, prefix, min(conv_id) AS conv_id FROM p WHERE pos = n_turns GROUP BY 1, 2
+), kept AS (
+  SELECT conv_id, n_turns FROM whole
+  WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.pos < p.n_turns AND p.pos = whole.n_turns AND p.prefix = whole.prefix)
+)
+SELECT conv_id, CAST(kept.n_turns AS BIGINT) AS n_turns, 0 AS part,
+       string_agg('<|' || role || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY turn) AS text
+FROM kept JOIN t USING (conv_id) GROUP BY conv_id, kept.n_turns
+""")
+def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+@register("op10_warc")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
