@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.sources.tables import table
-from tallysheet.llm import chat, decontaminate, language, line_dedup, mixing, ngram_join, quality, toxicity, warc
+from tallysheet.llm import chat, decontaminate, language, line_dedup, mixing, ngram_join, quality, secrets, toxicity, warc
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +144,10 @@ def op3_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op9_secrets")
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "pos", F.sha2("value", 256).alias("value_sha256"), *secrets.FEATURES, "label", "score",
+                        "secret")
