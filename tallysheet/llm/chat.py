@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallysheet.llm.staging import staged
+
 BLOCK = 4096
 OPEN, CLOSE, END = "<|", "|>", "<|end|>"
 
@@ -51,7 +53,8 @@ def prefix_hashes(conversations: DataFrame) -> DataFrame:
     """``(conv_id, n_turns, pos, x1, x2)``: the rolling hash after each turn."""
     rows = _turns(conversations).select("conv_id", "block", "turn", _content(1).alias("h1"), _content(2).alias("h2"))
     sizes = rows.groupBy("conv_id", "block").agg(F.count("*").alias("size"))
-    sizes = sizes.select("conv_id", "block", _before("size", F.sum).alias("offset"))
+    # A row per block, staged: the joins below then deal rows by block, not by conversation.
+    sizes = staged(sizes.select("conv_id", "block", _before("size", F.sum).alias("offset")), "chat-offsets")
     order = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "h1", "h2")
     rows = rows.withColumn("number", F.row_number().over(order)).join(sizes, ["conv_id", "block"])
     rows = rows.withColumn("pos", F.col("offset") + F.col("number"))
@@ -59,8 +62,9 @@ def prefix_hashes(conversations: DataFrame) -> DataFrame:
     totals = rows.groupBy("conv_id", "block").agg(F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2"),
                                                   F.max("pos").alias("upto"))
     whole = Window.partitionBy("conv_id")
-    totals = totals.select("conv_id", "block", _before("b1", F.bit_xor).alias("o1"), _before("b2", F.bit_xor).alias("o2"),
-                           F.max("upto").over(whole).alias("n_turns"))
+    totals = staged(totals.select(
+        "conv_id", "block", _before("b1", F.bit_xor).alias("o1"), _before("b2", F.bit_xor).alias("o2"),
+        F.max("upto").over(whole).alias("n_turns")), "chat-prefixes")
     run = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("r1", F.bit_xor("h1").over(run)).withColumn("r2", F.bit_xor("h2").over(run))
     return rows.join(totals, ["conv_id", "block"]).select(
@@ -70,7 +74,7 @@ def prefix_hashes(conversations: DataFrame) -> DataFrame:
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """``(conv_id, n_turns)`` of the conversations that are no prefix of another."""
-    hashes = prefix_hashes(conversations)
+    hashes = staged(prefix_hashes(conversations), "chat-hashes")
     whole = hashes.where("pos = n_turns").groupBy("n_turns", "x1", "x2").agg(F.min("conv_id").alias("conv_id"))
     proper = hashes.where("pos < n_turns").select(F.col("pos").alias("n_turns"), "x1", "x2").distinct()
     return whole.join(proper, ["n_turns", "x1", "x2"], "left_anti").select("conv_id", "n_turns")
@@ -78,12 +82,15 @@ def maximal(conversations: DataFrame) -> DataFrame:
 
 def render(conversations: DataFrame) -> DataFrame:
     """``(conv_id, n_turns, part, text)``: the maximal conversations, in parts of ``BLOCK`` turn numbers."""
-    rows = _turns(conversations).join(maximal(conversations), "conv_id")
+    turns = _turns(conversations)
+    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("block")) - 1
+    parts = turns.select("conv_id", "block").distinct().join(maximal(conversations), "conv_id")
+    # A row per block, staged: texts are dealt by block, never by conversation.
+    parts = staged(parts.select("conv_id", "block", "n_turns", number.cast("int").alias("part")), "chat-parts")
     safe = F.replace(F.coalesce("text", F.lit("")), F.lit(OPEN), F.lit("< |"))
     said = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("unknown")), F.lit(CLOSE + "\n"), safe, F.lit(END + "\n"))
     key = F.struct(F.col("turn").isNull(), "turn", _content(1).alias("h1"), _content(2).alias("h2"), said.alias("said"))
-    parts = rows.select("conv_id", "n_turns", "block", key.alias("t")).groupBy("conv_id", "n_turns", "block").agg(
-        F.sort_array(F.collect_list("t")).alias("turns"))
-    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("block")) - 1
-    return parts.select("conv_id", "n_turns", "block", F.array_join(F.transform("turns", lambda t: t["said"]), "").alias("text")
-                        ).select("conv_id", "n_turns", number.cast("int").alias("part"), "text")
+    rows = turns.join(parts, ["conv_id", "block"]).select("conv_id", "block", "n_turns", "part", key.alias("t"))
+    rows = rows.groupBy("conv_id", "block", "n_turns", "part").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    return rows.select("conv_id", "n_turns", "part",
+                       F.array_join(F.transform("turns", lambda t: t["said"]), "").alias("text"))

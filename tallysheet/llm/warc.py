@@ -186,8 +186,10 @@ def with_references(pages: DataFrame, min_bytes: int) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1(F.col("html").cast("binary")))
     first = (rows.where((F.octet_length("html") >= min_bytes) & F.col("page_id").isNotNull())
-             .groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n")))
-    joined = rows.join(first.select("sha", "first"), "sha", "left")
+             .groupBy("sha").agg(F.min("page_id").alias("first")))
+    # Staged, so that the join deals both sides anew and Spark can split a payload of many pages.
+    first = staged(first, "warc-first")
+    joined = rows.join(first, "sha", "left")
     revisit = F.col("first").isNotNull() & (F.octet_length("html") >= min_bytes) & (
         F.col("page_id").isNull() | (F.col("page_id") > F.col("first")))
     return joined.select("page_id", "url", "html", F.when(revisit, F.col("first")).alias("refers_to"))
