@@ -98,11 +98,14 @@ def repeated_ranges(documents: DataFrame, min_lines: int = MIN_LINES, min_words:
     ``tk`` is the hash of the text: it parts rows with one ``doc_id`` but different texts.
     """
     occ = staged(_occurrences(documents, min_lines, min_words), "line-fingerprints")
-    shared = occ.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    # Staged, so that the join deals both sides anew and Spark can split a hot fingerprint.
+    shared = staged(occ.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "line-shared")
     around = (occ.join(shared, "fp", "left_semi").select("doc_id", "tk", F.explode("wins").alias("w"))
               .select("doc_id", "tk", "w.*").distinct())  # neighbouring positions name the same window
-    first = around.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc_id", "tk", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    around = staged(around, "line-windows")
+    first = staged(around.groupBy("h1", "h2").agg(
+        F.min(F.struct("doc_id", "tk", "s", "e")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"),
+        "line-first")
     later = around.join(first, ["h1", "h2"]).where(F.struct("doc_id", "tk", "s", "e") > F.col("first"))
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tk") == F.col("first.tk"))
     later = later.select("doc_id", "tk", F.when(own, F.greatest("s", "first.e")).otherwise(F.col("s")).alias("s"), "e")

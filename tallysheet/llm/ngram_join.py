@@ -280,6 +280,8 @@ def similarity_classes(documents: DataFrame, n: int = NGRAM, threshold: float =
     grouped = labels.join(ids, "label").select("k", "class_id")
     grouped = grouped.join(links.groupBy("k").agg(F.sum("links").alias("links")), "k")
     known = classes.select("k", F.col("rep.doc_id").alias("copy_of"), "copies").join(grouped, "k", "left")
+    # Staged, so that the join deals both sides anew and Spark can split the class of many copies.
+    known = staged(known, "ngram-known")
     out = signed.where("n > 0").select("doc_id", "k").join(known, "k")
     out = out.select("doc_id", F.coalesce("class_id", "copy_of").alias("class_id"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copy_of",
