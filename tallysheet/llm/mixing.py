@@ -78,7 +78,8 @@ def mix(documents: DataFrame, weights: DataFrame | None = None, unit: str = "cha
     """Each document repeated by its Poisson count, in a global random order.
 
     Adds ``copy`` (from 1), ``order_key`` (uniform, the position in the order) and ``rate``.
-    ``weights`` is ``(source, weight)``; without it all sources weigh the same.
+    They replace columns of the same names.  ``weights`` is ``(source, weight)``; without it
+    all sources weigh the same.
     """
     sizes = source_sizes(documents, unit)
     table = with_distribution(sizes, equal_weights(sizes) if weights is None else weights)
@@ -96,5 +97,6 @@ def mix(documents: DataFrame, weights: DataFrame | None = None, unit: str = "cha
     key = _hash_unit(F.lit(str(seed)), F.lit("order"), doc_id, F.col("__copy").cast("string"))
     copies = copies.withColumn("__order", key)
     spread = copies.repartition(F.col("__order")).sortWithinPartitions("__order")
-    return spread.select(*[F.col("row")[c].alias(c) for c in documents.columns], F.col("__copy").alias(copy),
+    kept = [c for c in documents.columns if c not in (copy, order, rate)]
+    return spread.select(*[F.col("row")[c].alias(c) for c in kept], F.col("__copy").alias(copy),
                          F.col("__order").alias(order), F.col("__rate").alias(rate))
