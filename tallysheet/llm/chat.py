@@ -12,8 +12,8 @@ block, so a conversation that holds a third of all turns is spread over tasks an
 rendered in parts.  Prefixes are made distinct with map-side combining before the
 anti-join, so a first turn that every conversation shares is one row.
 
-Defined cases: turns without ``conv_id`` belong to no conversation; a null ``turn`` comes
-last; turns with one number are ordered by a hash of role and text; null role and text
+Defined cases: turns without ``conv_id`` belong to no conversation; null ``turn`` numbers come
+last, in a part of their own; turns with one number are ordered by a hash of role and text; null role and text
 differ from empty ones when compared and are rendered as ``unknown`` and as nothing;
 template marks inside texts are broken up, so no text can end its own turn; other
 columns are ignored.

@@ -80,8 +80,9 @@ def measure(texts: list[str | None]) -> dict[str, np.ndarray]:
     text = np.repeat(np.arange(n), n_words)
     chars = _word_chars(b"\n".join(raws))
     word_chars = _by_text(chars, text, n)
-    # Window hashes start from the number of their text, so equal keys are in one text.
-    hashed, key, starts = _mix(ids + np.uint64(1)), _mix(text.astype(np.uint64)), np.arange(len(ids))
+    # Window hashes start from the number of their text, so equal keys are in one text; texts and
+    # words are numbered apart, as their hashes are added.
+    hashed, key, starts = _mix(ids + np.uint64(1)), _mix(text.astype(np.uint64) + np.uint64(1 << 48)), np.arange(len(ids))
     failed = np.zeros(n, bool)
     n_repeat = np.zeros(n, np.int64)
     covered_chars = {}

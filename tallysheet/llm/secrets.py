@@ -1,7 +1,7 @@
 """Secret scan with a random forest for false-positive removal (DataFrame functions only).
 
 Findings are blank-delimited tokens of at least ``MIN_LENGTH`` characters that hold
-a digit, or a key word such as ``password`` with a value behind ``=`` or ``:``.  Each is
+a digit, the format of an access key, or a key word such as ``password`` with a value behind ``=`` or ``:``.  Each is
 described by
 
 * length, and the shares of digits, upper case, hexadecimal and other characters;
@@ -51,6 +51,9 @@ MAX_BROADCAST = 1_000_000
 TREES, DEPTH, SEED = 20, 6, 7
 KEY_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|auth|bearer|credential)"
 
+#: Formats of access-key ids and platform tokens.
+KEY_FORMAT = r"\b((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})\b"
+
 FEATURES = ["length", "digits", "upper", "hexadecimal", "other", "transitions", "entropy", "coverage", "slashes", "dots",
             "at_sign", "scheme", "key_before", "key_behind", "assigned", "quoted"]
 
@@ -63,7 +66,7 @@ def _share(value: Column, keep: str) -> Column:
 def findings(documents: DataFrame) -> DataFrame:
     """``(doc_id, pos, token, before2, before, behind, key, value)``; ``pos`` is the token's number in its text."""
     def candidate(w: Column) -> Column:
-        return (F.length(w) >= MIN_LENGTH) & (w.rlike("[0-9]") | w.rlike(KEY_WORDS + r"[A-Za-z_]*[\"']?[:=].{4,}"))
+        return (F.length(w) >= MIN_LENGTH) & (w.rlike("[0-9]") | w.rlike(KEY_FORMAT) | w.rlike(KEY_WORDS + r"[A-Za-z_]*[\"']?[:=].{4,}"))
 
     rows = documents.select("doc_id", F.split(F.coalesce("text", F.lit("")), r"\s+").alias("tokens"))
     rows = rows.withColumn("n", F.size("tokens"))
@@ -129,7 +132,7 @@ def featured(documents: DataFrame, found: DataFrame, max_broadcast: int = MAX_BR
 def labelled(found: DataFrame) -> DataFrame:
     """Adds ``label``: 1 or 0 where the format decides it, else null."""
     value = F.col("value")
-    secret = value.rlike("^(AKIA|ASIA)[A-Z0-9]{16}$") | value.rlike("^gh[pousr]_[A-Za-z0-9]{36}$") | (
+    secret = value.rlike(f"^{KEY_FORMAT}$") | (
         value.rlike("^([0-9a-f]{16,64}|[0-9A-F]{16,64})$") & value.rlike("[a-fA-F]") & value.rlike("[0-9]")
         & (F.col("assigned") == 1) & (F.col("key_before") == 1))
     plain = (value.rlike(r"^[\w.+-]+@[\w-]+(\.[\w-]+)+$") | value.rlike(r"^\d{1,3}(\.\d{1,3}){3}(:\d+)?$")
