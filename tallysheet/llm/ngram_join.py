@@ -147,7 +147,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
 
 def _verify(threshold: float, bands: int):
     """Links among the classes of one bucket, or between two of its blocks."""
-    def links(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def links(key, rows):
         band, _, first, second = key
         rows = rows.drop_duplicates(["k1", "k2"]).sort_values(["k1", "k2"], ignore_index=True)
         sets = [np.frombuffer(g, np.uint64) for g in rows["grams"]]
