@@ -27,19 +27,20 @@ Repeated rows each get the same result.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PER_CLASS = 3000
+MAX_PER_CLASS = 2000
 MAX_FEATURES = 4096
 MIN_DOCS = 4
 PREFIXES = (4, 5, 6)
 #: The L1 weight is this times sqrt(log(features) / rows): small samples get stronger shrinkage.
 L1_SCALE = 0.02
+RELAXED = 0.1
 CF_WEIGHT = 1.0
 
 #: Identity terms by kind; a swap stays within its kind.
@@ -73,6 +74,14 @@ def features(text: str | None) -> set[str]:
     return out
 
 
+def _hash(feature: str) -> int:
+    return xxhash.xxh3_64_intdigest(feature.encode())
+
+
+def hashed(names: set[str]) -> np.ndarray:
+    return np.unique(np.fromiter(map(_hash, names), np.uint64, len(names)))
+
+
 def counterfactual(text: str | None) -> str | None:
     """The text with identity terms swapped in the sentences that have any; None if none has."""
     sentences = SENTENCE.split((text or "").lower())
@@ -103,10 +112,10 @@ class Model:
 class _Sparse:
     """Rows of feature numbers (value 1, or the given values) for products with a vector."""
 
-    def __init__(self, rows: list[list[int]], width: int, values: list[list[float]] | None = None):
+    def __init__(self, rows: list[np.ndarray], width: int, values: list[np.ndarray] | None = None):
         self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.col = np.array([c for r in rows for c in r], dtype=np.int64)
-        self.val = np.ones(len(self.col)) if values is None else np.array([v for r in values for v in r])
+        self.col = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
+        self.val = np.ones(len(self.col)) if values is None else np.concatenate([*values, np.empty(0)])
         self.n, self.width = len(rows), width
 
     def dot(self, w):
@@ -127,26 +136,38 @@ def fit(texts: list[str | None], labels: list[int], class_size: dict[int, int] |
     if len(set(labels)) < 2:
         share = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 1e-9
         return Model({}, float(np.log(share / (1 - share))))
-    seen = [features(t) for t in texts]
-    swapped = [(i, features(s)) for i, t in enumerate(texts) if (s := counterfactual(t)) is not None]
-    by_class = [Counter(f for s, c in zip(seen, labels) if c == k for f in s) for k in (0, 1)]
-    n0, n1 = len(y) - y.sum(), y.sum()
-    identity = {"=" + t for t in SWAP}
-
-    def strength(f):  # z value of the difference of the two shares
-        a, b = by_class[0][f], by_class[1][f]
-        p = (a + b) / (n0 + n1)
-        return abs(b / n1 - a / n0) / np.sqrt(max(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
-
-    names = [f for f in by_class[0].keys() | by_class[1].keys()
-             if f in identity or by_class[0][f] + by_class[1][f] >= MIN_DOCS]
-    names = sorted(names, key=lambda f: (f not in identity, -strength(f), f))[:MAX_FEATURES]
-    number = {f: i for i, f in enumerate(names)}
+    # Texts are held as sorted arrays of feature hashes; names are looked up for the chosen ones only.
+    seen = [hashed(features(t)) for t in texts]
+    swapped = [(i, hashed(features(s))) for i, t in enumerate(texts) if (s := counterfactual(t)) is not None]
+    n0, n1 = float(len(y) - y.sum()), float(y.sum())
+    known, which = np.unique(np.concatenate(seen), return_inverse=True)
+    doc = np.repeat(np.arange(len(seen)), [len(s) for s in seen])
+    in0, in1 = (np.bincount(which[y[doc] == c], minlength=len(known)) for c in (0, 1))
+    p = (in0 + in1) / len(y)
+    # z value of the difference of the two shares
+    strength = np.abs(in1 / n1 - in0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
+    identity = np.isin(known, hashed({"=" + t for t in SWAP}))
+    strength[identity] = np.inf
+    usable = np.flatnonzero(identity | (in0 + in1 >= MIN_DOCS))
+    usable = usable[np.lexsort((known[usable], -strength[usable]))][:MAX_FEATURES]
+    chosen = np.sort(known[usable])
+    wanted, name_of = set(chosen.tolist()), {}
+    for t in texts:
+        if len(name_of) == len(chosen):
+            break
+        name_of.update((h, f) for f in features(t) if (h := _hash(f)) in wanted)
+    names = [name_of[int(h)] for h in chosen]
     l1 = l1_scale * np.sqrt(np.log(len(names) + 2) / len(y))
-    x = _Sparse([[number[f] for f in s if f in number] for s in seen], len(names))
-    delta = [{number[f]: 1.0 for f in seen[i] - s if f in number} | {number[f]: -1.0 for f in s - seen[i] if f in number}
-             for i, s in swapped]
-    d = _Sparse([list(r) for r in delta], len(names), [list(r.values()) for r in delta])
+
+    def numbers(hashes):
+        at = np.searchsorted(chosen, hashes)
+        at[at == len(chosen)] = 0
+        return at[chosen[at] == hashes]
+
+    x = _Sparse([numbers(s) for s in seen], len(names))
+    delta = [(numbers(np.setdiff1d(seen[i], s)), numbers(np.setdiff1d(s, seen[i]))) for i, s in swapped]
+    d = _Sparse([np.concatenate(r) for r in delta], len(names),
+                [np.concatenate((np.ones(len(r[0])), -np.ones(len(r[1])))) for r in delta])
     size = class_size or {0: int(n0), 1: int(n1)}
     weight = np.where(y == 1, size[1] / n1, size[0] / n0)
     weight /= weight.sum()
@@ -157,17 +178,21 @@ def fit(texts: list[str | None], labels: list[int], class_size: dict[int, int] |
         top = np.linalg.norm(u) or 1.0
         v = u / top
     step = 1 / (top + 0.25)
-    w, z, b, bz, t = np.zeros(len(names)), np.zeros(len(names)), 0.0, 0.0, 1.0
-    for _ in range(steps):
-        g = weight * (1 / (1 + np.exp(-np.clip(x.dot(z) + bz, -40, 40))) - y)
-        grad = x.t_dot(g) + 2 * cf_weight / max(d.n, 1) * d.t_dot(d.dot(z))
-        new = z - step * grad
-        new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
-        new_b = bz - step * g.sum()
-        t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        z, bz = new + (t - 1) / t2 * (new - w), new_b + (t - 1) / t2 * (new_b - b)
-        w, b, t = new, new_b, t2
-    return Model({f: float(w[i]) for f, i in number.items() if w[i]}, float(b))
+    w, b, free = np.zeros(len(names)), 0.0, np.ones(len(names), bool)
+    # First the features are chosen, then the chosen ones are fitted with RELAXED of the penalty.
+    for penalty in (l1, RELAXED * l1):
+        z, bz, t = w, b, 1.0
+        for _ in range(steps):
+            g = weight * (1 / (1 + np.exp(-np.clip(x.dot(z) + bz, -40, 40))) - y)
+            grad = x.t_dot(g) + 2 * cf_weight / max(d.n, 1) * d.t_dot(d.dot(z))
+            new = z - step * grad
+            new = np.where(free, np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0), 0.0)
+            new_b = bz - step * g.sum()
+            t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            z, bz = new + (t - 1) / t2 * (new - w), new_b + (t - 1) / t2 * (new_b - b)
+            w, b, t = new, new_b, t2
+        free = w != 0
+    return Model({f: float(w[i]) for i, f in enumerate(names) if w[i]}, float(b))
 
 
 def train(documents: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
