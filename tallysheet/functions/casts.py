@@ -29,9 +29,9 @@ DTYPE_TAGS: dict[str, T.DataType] = {
     "object": T.StringType(),
 }
 
-# Source timestamps are ISO text ("2021-03-04T10:11:12.345+0000"); only the first
-# 23 characters are read, trailing text is ignored.
-ISO_PREFIX = 23
+# Source timestamps are ISO text ("2021-03-04T10:11:12.345+0000"): a date, and a time with up to
+# milliseconds.  The wall-clock part is read by its pattern; a zone or other trailing text is ignored.
+ISO_STAMP = r"^\s*(\d{4}-\d{1,2}-\d{1,2}(?:[T ]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,3})?)?)?)"
 
 
 def spark_type(kind: str) -> T.DataType:
@@ -71,7 +71,7 @@ def try_number(col: Column, target: T.DataType, source_type: T.DataType | None =
 
 def parse_timestamp(col: Column) -> Column:
     """ISO text (date, or date-time with up to millisecond precision) -> timestamp_ntz."""
-    return F.left(col.cast("string"), F.lit(ISO_PREFIX)).try_cast("timestamp_ntz")
+    return F.regexp_extract(col.cast("string"), ISO_STAMP, 1).try_cast("timestamp_ntz")
 
 
 def cast_as(col: Column, kind: str, source_type: T.DataType | None = None) -> Column:

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+#: The source whose key stamps the rows of the registered queries.
+SOURCE_URL = "https://source.example.org/api"
+
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 

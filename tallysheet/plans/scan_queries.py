@@ -14,19 +14,18 @@ from pyspark.sql import types as T
 from tallysheet.functions.casts import day_text, iso_text, truncate_seconds
 from tallysheet.functions.keys import source_key
 from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
-from tallysheet.plans.registry import register
+from tallysheet.plans.registry import SOURCE_URL, register
 from tallysheet.session import scratch_path
 from tallysheet.sinks.documents import write_documents
 from tallysheet.sinks.eav import to_eav, write_eav
 from tallysheet.sinks.files import write_csv
 from tallysheet.sources.csv_typed import read_typed_csv
-from tallysheet.sources.documents import parse_documents, read_documents, read_unit_documents, tag_union
+from tallysheet.sources.documents import parse_documents, read_documents, read_unit_documents, rejected_documents, tag_union
 from tallysheet.sources.eav import read_eav
 from tallysheet.sources.tables import Tables
 
 # Documents per landed page are bounded by a key range of this width.
 PAGE_WIDTH = 500
-SOURCE_URL = "https://hmis.example.org/api"
 
 CUSTOMER_SPEC = {
     "c_custkey": {"column": "custkey", "type": "long"},
@@ -41,13 +40,43 @@ CUSTOMER_SPEC = {
     "SELECT c_custkey AS custkey, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal FROM customer",
 )
 def q_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = scratch_path(spark, "json_scan")
-    customer = Tables(spark, sf_dir).customer
-    write_documents(customer, landed, "customers", F.floor(F.col("c_custkey") / PAGE_WIDTH))
-    items = read_documents(spark, landed, "customers", read_schema(CUSTOMER_SPEC))
+    landed = _land_customers(Tables(spark, sf_dir).customer, "json_scan")
+    # A page cut off in the middle, on top of the whole ones: skipped here, listed by ``rejects``.
+    spark.createDataFrame([('{"customers":[{"c_custkey":1,"c_na',)], "value string").write.text(f"{landed}/cut")
+    items = read_documents(spark, f"{landed}/*", "customers", read_schema(CUSTOMER_SPEC), on_bad="skip")
     return apply_mapping(items, CUSTOMER_SPEC)
 
 
+def _land_customers(customer: DataFrame, name: str) -> str:
+    """Customer pages in both layouts: every other page is a bare list."""
+    landed = scratch_path(customer.sparkSession, name)
+    page = F.floor(F.col("c_custkey") / PAGE_WIDTH)
+    write_documents(customer.where(page % 2 == 0), f"{landed}/named", "customers", page)
+    write_documents(customer.where(page % 2 == 1), f"{landed}/bare", None, page)
+    return landed
+
+
+@register(
+    "rejects",
+    f"""SELECT count(*) AS documents, count(*) FILTER (WHERE page % 3 = 0) AS rejected,
+       CAST(sum(n) FILTER (WHERE page % 3 <> 0) AS BIGINT) AS items
+FROM (SELECT CAST(floor(c_custkey / {PAGE_WIDTH}) AS BIGINT) AS page, count(*) AS n FROM customer GROUP BY 1)""",
+)
+def q_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third page loses its end: it must be listed, and nothing of it may be read."""
+    path = scratch_path(spark, "rejects")
+    page = F.floor(F.col("c_custkey") / PAGE_WIDTH).alias("page")
+    pages = Tables(spark, sf_dir).customer.groupBy(page).agg(F.collect_list(F.struct("c_custkey", "c_name")).alias("items"))
+    text = F.when(F.col("page") % 2 == 0, F.to_json(F.struct(F.col("items").alias("customers")))).otherwise(F.to_json("items"))
+    cut = F.when(F.col("page") % 3 == 0, F.left(text, F.length(text) - 9)).otherwise(text)
+    pages.select(cut.alias("value")).write.text(path)
+    schema = read_schema(CUSTOMER_SPEC)
+    read = read_documents(spark, path, "customers", schema, on_bad="skip").agg(F.count("c_custkey").alias("items"))
+    bad = rejected_documents(spark, path, "customers", schema).agg(F.count("text").alias("rejected"))
+    return spark.read.text(path).agg(F.count("value").alias("documents")).select(
+        "documents", bad.scalar().alias("rejected"), read.scalar().alias("items"))
+
+
 DATA_VALUE_ITEM = T.StructType(
     [
         T.StructField("o_orderkey", T.LongType()),
@@ -67,7 +96,10 @@ def q_partitioned_json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders.select(
         F.col("o_orderpriority").alias("orgunit"), "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )
-    write_documents(orders, landed, "dataValues", F.floor(F.col("o_orderkey") / PAGE_WIDTH), partition_by=["orgunit"])
+    # Units of one letter land bare lists, the others named ones.
+    page, urgent = F.floor(F.col("o_orderkey") / PAGE_WIDTH), F.col("orgunit").startswith("1")
+    write_documents(orders.where(~urgent), landed, "dataValues", page, partition_by=["orgunit"])
+    write_documents(orders.where(urgent), landed, None, page, partition_by=["orgunit"], mode="append")
     # A unit whose download came back empty: an empty file, zero rows.
     spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{landed}/orgunit=EMPTYUNIT")
     return read_unit_documents(spark, landed, "dataValues", DATA_VALUE_ITEM, "orgunit", layout="directory")

@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 def write_documents(
     df: DataFrame,
     path: str,
-    list_key: str,
+    list_key: str | None,
     page: Column,
     partition_by: Sequence[str] = (),
     order_by: Sequence[str] = (),
+    mode: str = "overwrite",
 ) -> None:
-    """One JSON document per (partition, page) written as a line of text.
+    """One JSON document per (partition, page) written as a line of text: ``{"<list_key>": [...]}``,
+    or a bare list without a ``list_key``.
 
     ``partition_by`` columns become ``col=value`` folders (the unit id of a
     per-unit landing) and are left out of the items.
@@ -35,9 +37,9 @@ def write_documents(
     listed = F.col("_items")
     if order_by:
         listed = F.transform(F.array_sort(listed), lambda x: x["_v"])
-    text = F.to_json(F.struct(listed.alias(list_key))).alias("value")
+    text = F.to_json(listed if list_key is None else F.struct(listed.alias(list_key))).alias("value")
     out = grouped.select(*partition_by, text)
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.text(path)

@@ -45,3 +45,27 @@ def read_typed_csv(
     if not dates:
         return typed
     return typed.select(*[(F.col(quoted(n)).cast("date") if n in dates else F.col(quoted(n))).alias(n) for n in header])
+
+
+def rejected_cells(spark: SparkSession, path: str, declared: Mapping[str, str],
+                   timestamp_format: str = WAREHOUSE_TS_FORMAT) -> DataFrame:
+    """``(column, value, row)`` of every non-empty cell that its declared type cannot hold (``read_typed_csv`` reads NULL).
+
+    ``row`` is the whole line as text columns.
+    """
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+
+    def typed(c: str, kind: str):
+        if kind in ("timestamp", "date"):
+            return F.try_to_timestamp(F.col(quoted(c)), F.lit(timestamp_format))
+        return F.col(quoted(c)).try_cast(spark_type(kind))
+
+    cells = [
+        F.when(F.col(quoted(c)).isNotNull() & typed(c, kind).isNull(),
+               F.struct(F.lit(c).alias("column"), F.col(quoted(c)).alias("value")))
+        for c, kind in declared.items() if c in raw.columns and kind in ("timestamp", "date", "int", "long", "float", "bool")
+    ]
+    if not cells:
+        cells = [F.lit(None).cast("struct<column:string,value:string>")]
+    bad = raw.select(F.struct(*[quoted(c) for c in raw.columns]).alias("row"), F.array_compact(F.array(*cells)).alias("bad"))
+    return bad.select("row", F.inline("bad")).select("column", "value", "row")

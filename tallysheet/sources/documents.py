@@ -1,9 +1,15 @@
 """Landed JSON documents: metadata lists, per-unit data values, survey forms.
 
-An API page lands as one JSON document ``{"<list key>": [item, ...]}``; a
-folder of pages is one DataFrame (pages merge by reading the folder).
-Every scan takes a declared item schema, so nothing is inferred and only
-the declared keys are parsed (O-01..O-03, O-55, O-57).
+A page lands as one JSON document, either a bare list ``[item, ...]`` or an
+object ``{"<list key>": [item, ...]}``; a folder of pages is one DataFrame
+(pages merge by reading the folder).  Every scan takes a declared item
+schema, so nothing is inferred and only the declared keys are parsed
+(O-01..O-03, O-55, O-57).
+
+No document is lost silently.  One that cannot be parsed whole (truncated, not
+JSON, neither shape, without the list) fails the scan by default; with
+``on_bad="skip"`` it is left out and :func:`rejected_documents` lists it.
+Blank documents (an empty download) and ``{}`` are valid and give no rows.
 """
 
 from __future__ import annotations
@@ -14,11 +20,57 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SHAPES = ("either", "list", "named")
+
 
 def document_schema(list_key: str, item_schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(list_key, T.ArrayType(item_schema, True), True)])
 
 
+def parse_documents(text: Column, list_key: str, item_schema: T.StructType, shape: str = "either") -> Column:
+    """Items of a JSON document held as text (one response body per row); NULL for a bad document.
+
+    ``shape`` says which layouts count: a bare ``list``, a ``named`` list, or ``either``.
+    """
+    if shape not in SHAPES:
+        raise ValueError(f"shape must be one of {SHAPES}, not {shape!r}")
+    # A string that stops early parses as a prefix unless the closing bracket is there too.
+    body = F.regexp_replace(text, r"^[\s\uFEFF]+|\s+$", "")
+    bare = F.from_json(body, T.ArrayType(item_schema, True), {"mode": "PERMISSIVE"})
+    marked = document_schema(list_key, item_schema).add("_corrupt_record", T.StringType())
+    named = F.from_json(body, marked, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    named = F.when(named["_corrupt_record"].isNull(), named[list_key])
+    cases = []
+    if shape != "named":
+        cases.append((body.startswith("[") & body.endswith("]"), bare))
+    if shape != "list":
+        cases.append((body.startswith("{") & body.endswith("}"), named))
+    out = F.when((F.length(body) == 0) | body.rlike(r"^\{\s*\}$"), F.array().cast(T.ArrayType(item_schema, True)))
+    for condition, items in cases:
+        out = out.when(condition, items)
+    return out
+
+
+def parsed_files(spark: SparkSession, path: str, list_key: str, item_schema: T.StructType, multi_line: bool,
+                 extra_fields: tuple[T.StructField, ...] = (), shape: str = "either") -> DataFrame:
+    """``(file, *extra fields, text, items)`` of every document under ``path``; ``items`` is NULL for a bad one."""
+    schema = T.StructType([T.StructField("value", T.StringType()), *extra_fields])
+    docs = spark.read.schema(schema).text(path, wholetext=multi_line)
+    return docs.select(F.col("_metadata.file_path").alias("file"), *[f.name for f in extra_fields],
+                       F.col("value").alias("text"), parse_documents(F.col("value"), list_key, item_schema, shape).alias("items"))
+
+
+def items_of(parsed: DataFrame, keep: tuple[str, ...], on_bad: str) -> DataFrame:
+    """One row per list element; a bad document fails the query or is skipped."""
+    if on_bad not in ("fail", "skip"):
+        raise ValueError(f"on_bad must be 'fail' or 'skip', not {on_bad!r}")
+    items = F.col("items")
+    if on_bad == "fail":
+        bad = F.raise_error(F.concat(F.lit("bad document in "), F.coalesce("file", F.lit("a stream"))))
+        items = F.when(items.isNull(), bad).otherwise(items)
+    return parsed.select(*keep, F.explode(items).alias("_item")).select(*keep, "_item.*")
+
+
 def read_documents(
     spark: SparkSession,
     path: str,
@@ -26,20 +78,25 @@ def read_documents(
     item_schema: T.StructType,
     multi_line: bool = False,
     extra_fields: tuple[T.StructField, ...] = (),
+    shape: str = "either",
+    on_bad: str = "fail",
 ) -> DataFrame:
     """Items of every document under ``path``: one row per list element (O-01, O-55).
 
-    ``multi_line`` reads pretty-printed files (one document per file); the
-    default reads one document per line, which splits across tasks.
-    Documents without the list, or empty files, give no rows.
+    ``multi_line`` reads one document per file (pages as they are downloaded);
+    the default reads one document per line, which splits across tasks.
     ``extra_fields`` are read next to the list (partition columns, say).
     """
-    schema = document_schema(list_key, item_schema)
-    for extra in extra_fields:
-        schema = schema.add(extra)
-    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    extras = [f.name for f in extra_fields]
-    return docs.select(*extras, F.explode(list_key).alias("_item")).select(*extras, "_item.*")
+    parsed = parsed_files(spark, path, list_key, item_schema, multi_line, extra_fields, shape)
+    return items_of(parsed, tuple(f.name for f in extra_fields), on_bad)
+
+
+def rejected_documents(spark: SparkSession, path: str, list_key: str, item_schema: T.StructType,
+                       multi_line: bool = False, extra_fields: tuple[T.StructField, ...] = (),
+                       shape: str = "either") -> DataFrame:
+    """``(file, *extra fields, text)`` of the documents no item can be read from."""
+    parsed = parsed_files(spark, path, list_key, item_schema, multi_line, extra_fields, shape)
+    return parsed.where("items IS NULL").drop("items")
 
 
 def read_unit_documents(
@@ -50,6 +107,8 @@ def read_unit_documents(
     unit_col: str,
     layout: str = "directory",
     multi_line: bool = False,
+    shape: str = "either",
+    on_bad: str = "fail",
 ) -> DataFrame:
     """Per-unit landed documents with the unit id taken from the path (O-02).
 
@@ -61,12 +120,18 @@ def read_unit_documents(
     if layout == "directory":
         return read_documents(
             spark, path, list_key, item_schema, multi_line,
-            extra_fields=(T.StructField(unit_col, T.StringType(), True),),
+            extra_fields=(T.StructField(unit_col, T.StringType(), True),), shape=shape, on_bad=on_bad,
         )
-    schema = document_schema(list_key, item_schema)
-    docs = spark.read.schema(schema).option("multiLine", multi_line).json(path)
-    unit = F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1)
-    return docs.select(unit.alias(unit_col), F.explode(list_key).alias("_item")).select(unit_col, "_item.*")
+    parsed = parsed_files(spark, path, list_key, item_schema, multi_line, shape=shape)
+    unit = F.regexp_extract(F.col("file"), r"([^/.]*)[^/]*$", 1)
+    return items_of(parsed.withColumn(unit_col, unit), (unit_col,), on_bad)
+
+
+def read_forms(spark: SparkSession, paths: Mapping[str, str], list_key: str, item_schema: T.StructType,
+               multi_line: bool = True, on_bad: str = "fail") -> dict[str, DataFrame]:
+    """The landed submissions of several survey forms: form name -> its items (O-03); tag them with ``tag_union``."""
+    return {form: read_documents(spark, path, list_key, item_schema, multi_line, on_bad=on_bad)
+            for form, path in paths.items()}
 
 
 def tag_union(frames: Mapping[str, DataFrame], tag_col: str = "SOURCE_FORM") -> DataFrame:
@@ -78,8 +143,3 @@ def tag_union(frames: Mapping[str, DataFrame], tag_col: str = "SOURCE_FORM") ->
     if out is None:
         raise ValueError("no frames to union")
     return out
-
-
-def parse_documents(text: Column, list_key: str, item_schema: T.StructType) -> Column:
-    """Items of a JSON document held as text (one response body per row)."""
-    return F.from_json(text, document_schema(list_key, item_schema)).getField(list_key)

@@ -4,13 +4,15 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
 from tallysheet.operators.unnest import explode_links
 from tallysheet.operators.upsert import insert_new
-from tallysheet.sources.documents import read_documents, read_unit_documents, tag_union
+from tallysheet.sources.csv_typed import read_typed_csv, rejected_cells
+from tallysheet.sources.documents import read_documents, read_unit_documents, rejected_documents, tag_union
 
 ORG_UNIT_SPEC = {
     "id": {"column": "uid", "type": "str"},
@@ -69,13 +71,42 @@ def test_unit_files_with_empty_and_missing_units(spark, tmp_dir):
         {"dataElement": "de1", "period": "202401", "orgUnit": "OUa", "categoryOptionCombo": "c", "attributeOptionCombo": "a",
          "value": "6", "lastUpdated": "2024-02-02T00:00:00.000"},
     ]})
-    write_json(tmp_dir, "OUb.json", {"status": "no data"})  # a document without the list
+    write_json(tmp_dir, "OUb.json", {})  # no values
     open(os.path.join(tmp_dir, "OUc.json"), "w").close()  # an empty download
     rows = read_unit_documents(spark, tmp_dir, "dataValues", DATA_VALUE, "unit", layout="file", multi_line=True)
     got = sorted((r["unit"], r["value"], r["storedBy"]) for r in rows.collect())
     assert got == [("OUa", "5", "u"), ("OUa", "6", None)]
 
 
+def test_bare_and_named_lists_and_rejects(spark, tmp_dir):
+    item = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())])
+    write_json(tmp_dir, "a.json", [{"id": "1", "name": "x"}, {"id": "2"}])  # the layout downloads are written in
+    write_json(tmp_dir, "b.json", {"items": [{"id": "3", "name": "]"}]})
+    bad = {"c.json": '[{"id": "4"}, {"id": "5"', "d.json": '{"items": [{"id": "6"}]', "e.json": "not json",
+           "f.json": '{"other": [{"id": "7"}]}', "g.json": '[{"id": "8"} {"id": "9"}]'}
+    for name, text in bad.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    args = (spark, tmp_dir, "items", item, True)
+    got = sorted((r["id"], r["name"]) for r in read_documents(*args, on_bad="skip").collect())
+    assert got == [("1", "x"), ("2", None), ("3", "]")]
+    rejects = {os.path.basename(r["file"]): r["text"] for r in rejected_documents(*args).collect()}
+    assert rejects == bad  # nothing is lost: every document is read whole or listed
+    with pytest.raises(Exception, match="bad document"):
+        read_documents(*args).collect()
+    only = {os.path.basename(r["file"]) for r in rejected_documents(*args, shape="list").collect()}
+    assert only == {*bad, "b.json"}
+
+
+def test_csv_cells_that_do_not_fit_their_type_are_listed(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as f:
+        f.write("uid,level,lastupdated\nu1,3,2024-01-02 03:04:05\nu2,three,2024-01-02 03:04:05\nu3,,yesterday\n")
+    declared = {"level": "int", "lastupdated": "timestamp"}
+    assert [r["level"] for r in read_typed_csv(spark, tmp_dir, declared).orderBy("uid").collect()] == [3, None, None]
+    cells = sorted((r["row"]["uid"], r["column"], r["value"]) for r in rejected_cells(spark, tmp_dir, declared).collect())
+    assert cells == [("u2", "level", "three"), ("u3", "lastupdated", "yesterday")]
+
+
 def test_survey_sections_spread_with_optional_section(spark, tmp_dir):
     form = {"value": [
         {"s1": {"interview_date": "2024-01-02", "health_facility": "F1"}, "s2": {"participant_age": 4, "note": "s2"},
