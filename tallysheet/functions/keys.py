@@ -16,8 +16,12 @@ def source_key(url: str) -> Column:
 
 
 def composite_key(cols: Iterable[str | Column], sep: str = KEY_SEPARATOR) -> Column:
-    """Key values as text joined by ``sep``."""
-    return F.concat_ws(sep, *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols])
+    """Key values as text joined by ``sep``; NULL if any part is NULL, so two keys never look alike."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = F.concat(joined, F.lit(sep), part)
+    return joined
 
 
 def sanitize(name: str) -> str:
@@ -25,6 +29,17 @@ def sanitize(name: str) -> str:
     return name.replace(" ", "")
 
 
+def merge_named(columns: Iterable[tuple[str, Column]]) -> list[Column]:
+    """One column per name, in order of first mention: a later non-NULL value wins, else an earlier one.
+
+    The one policy for generated names that meet (two metadata names that sanitise alike).
+    """
+    values: dict[str, list[Column]] = {}
+    for name, value in columns:
+        values.setdefault(name, []).insert(0, value)
+    return [(vs[0] if len(vs) == 1 else F.coalesce(*vs)).alias(name) for name, vs in values.items()]
+
+
 def sanitize_col(col: Column) -> Column:
     return F.replace(col, F.lit(" "), F.lit(""))
 

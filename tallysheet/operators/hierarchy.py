@@ -17,13 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallysheet.functions.keys import quoted, sanitize
-from tallysheet.operators.broadcast import bounded_broadcast
+from tallysheet.functions.keys import merge_named, quoted, sanitize
+from tallysheet.operators.skew import salted_left_join
+from tallysheet.session import bounded_rows
 
 
 def level_columns(levels: DataFrame, uid: str = "uid", name: str = "name", level: str = "level") -> list[tuple[str, str]]:
     """(uid column, name column) per level, in level order; metadata-sized, so collected."""
-    rows = levels.select(uid, name, level).orderBy(level, uid).collect()
+    rows = bounded_rows(levels.select(uid, name, level).distinct().orderBy(level, uid), "hierarchy levels")
     return [(r[uid], sanitize(r[name])) for r in rows]
 
 
@@ -35,48 +36,52 @@ def flatten_hierarchy(
     path: str = "path",
     keep: Sequence[str] = (),
     lookup: DataFrame | None = None,
+    source: str | None = None,
 ) -> DataFrame:
     """One row per unit: ``uid, name, *keep, level`` then the per-level uid / name columns.
 
     Ancestor names come from ``lookup`` (``uid``/``name`` columns; default:
     ``units`` itself) - pass the full unit table when flattening only the
-    changed units.
+    changed units.  With ``source`` (a column of both) an ancestor is looked up
+    among the units of the same source only.
 
-    The path is exploded once (rows x depth, bounded by the tree depth), the
-    ancestor names come from one join against the unit table (broadcast when
-    its size is within bounds; otherwise a shuffle join, where AQE splits
-    the partition of the root ancestor that every path shares), and one
-    aggregation keyed by the unit's own columns (groups bounded by the
-    depth) folds them back - a single scan of ``units`` and one shuffle.
+    The last element of a path is the unit itself, whose name is in the row.
+    The ancestors above it are the same for all units of one parent, so names
+    are resolved once per distinct parent path (a table of inner units) and
+    joined back by that path.  Each level is then picked by array position:
+    rows are never exploded or regrouped, and the root, which is on every
+    path, is no join key of the units.
     """
     n_levels = len(levels)
-    level = F.coalesce(F.regexp_count(F.col(path), F.lit("/")), F.lit(0)).alias("level")
-    base = [F.col(quoted(c)) for c in (uid, name, *keep)]
-    # posexplode_outer keeps units without a path (one row, no element).
-    elements = units.select(
-        *base, level,
-        F.posexplode_outer(F.slice(F.split(F.col(path), "/"), 2, max(n_levels, 1))).alias("_pos", "_raw"),
-    ).withColumn("_anc", F.when(F.length(F.trim("_raw")) > 0, F.col("_raw")))
-    source = units if lookup is None else lookup
-    names = bounded_broadcast(source.select(F.col(uid).alias("_anc"), F.col(name).alias("_anc_name")))
-    named = elements.join(names, "_anc", "left")
+    src = [source] if source else []
+    # A blank path element (after the leading slash) is no ancestor.
+    parts = F.slice(F.split(F.col(quoted(path)), "/"), 2, 1_000_000)
+    parts = F.transform(parts, lambda p: F.when(F.length(F.trim(p)) > 0, p))
+    own = F.coalesce(F.try_element_at(parts, F.lit(-1)) == F.col(quoted(uid)), F.lit(False))
+    above = F.when(own, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    above = F.slice(F.coalesce(above, F.array().cast("array<string>")), 1, max(n_levels, 1))
+    level = F.coalesce(F.regexp_count(F.col(quoted(path)), F.lit("/")), F.lit(0)).alias("level")
+    rows = units.select(
+        *[F.col(quoted(c)) for c in dict.fromkeys([uid, name, *keep, *src])], level,
+        F.coalesce(parts, F.array().cast("array<string>")).alias("_parts"), own.alias("_own"), above.alias("_above"))
 
-    aggs = []
-    for i in range(n_levels):
-        at = (F.col("_pos") == i) & F.col("_anc").isNotNull()
-        aggs.append(F.max(F.when(at, F.col("_anc"))).alias(f"_u{i}"))
-        aggs.append(F.max(F.when(at, F.coalesce("_anc_name", F.lit("")))).alias(f"_n{i}"))
-    # One group per unit row (its own columns are the key), bounded by the depth.
-    group_cols = [uid, name, *keep, "level"]
-    joined = named.groupBy(*[quoted(c) for c in group_cols]).agg(*aggs) if aggs else named.select(*group_cols)
+    inner = rows.select(*[quoted(c) for c in src], "_above").where(F.size("_above") > 0).distinct()
+    elements = inner.select(*[quoted(c) for c in src], "_above", F.posexplode("_above").alias("_pos", "_anc"))
+    table = (units if lookup is None else lookup).select(
+        *[quoted(c) for c in src], F.col(quoted(uid)).alias("_anc"), F.col(quoted(name)).alias("_anc_name"))
+    # A uid listed more than once must not multiply rows: its greatest name counts.
+    table = table.groupBy(*[quoted(c) for c in src], "_anc").agg(F.max(F.struct("_anc_name")).alias("_n"))
+    table = table.select(*[quoted(c) for c in src], "_anc", F.col("_n._anc_name").alias("_anc_name"))
+    named = salted_left_join(elements, table, [*src, "_anc"]).groupBy(*[quoted(c) for c in src], "_above").agg(
+        F.map_from_entries(F.collect_list(F.struct("_pos", F.coalesce("_anc_name", F.lit(""))))).alias("_names"))
+    joined = salted_left_join(rows, named, [*src, "_above"])
 
-    # Output columns in level order; a name shared by two levels keeps the deeper value.
-    columns: dict[str, object] = {}
+    pairs = []
     for i, (level_uid, level_name) in enumerate(levels):
-        for col_name, src in ((level_uid, f"_u{i}"), (level_name, f"_n{i}")):
-            value = F.col(src)
-            if col_name in columns:
-                value = F.coalesce(value, columns[col_name])
-            columns[col_name] = value
-    wide = [F.coalesce(v, F.lit("")).alias(k) for k, v in columns.items()]
-    return joined.select(quoted(uid), quoted(name), *[quoted(k) for k in keep], "level", *wide)
+        at = F.get("_parts", F.lit(i))
+        self_here = F.col("_own") & (F.size("_parts") == i + 1)
+        shown = F.when(self_here, F.coalesce(F.col(quoted(name)), F.lit(""))).otherwise(
+            F.coalesce(F.try_element_at("_names", F.lit(i)), F.lit("")))
+        pairs += [(level_uid, at), (level_name, F.when(at.isNotNull(), shown))]
+    wide = joined.select(quoted(uid), quoted(name), *[quoted(k) for k in keep], "level", *merge_named(pairs))
+    return wide.fillna("", subset=[quoted(n) for n in dict.fromkeys(n for n, _ in pairs)]) if pairs else wide

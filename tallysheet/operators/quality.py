@@ -16,31 +16,34 @@ from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import composite_key, quoted
 from tallysheet.operators.skew import semi_join_keys
-from tallysheet.session import cut_lineage
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, child_cols: Sequence[str], parent_cols: Sequence[str],
                   name: str) -> DataFrame:
-    """Child rows whose foreign key has no parent: ``(fk, child_key)``.
+    """Foreign-key values without a parent: ``(fk, child_key, n)``, ``n`` child rows each.
 
-    A key with any NULL component passes (SQL MATCH SIMPLE).  Two phases, so a
-    foreign-key value held by a third of the children never lands in one task:
-
-    1. the violating key values - the child's distinct keys (a hot key
-       collapses map-side) anti-joined with the parent's primary key -
-       checkpointed once;
-    2. the child rows holding them, via ``semi_join_keys`` (broadcast when the
-       violating key set is proven small, hash-salted otherwise).
+    A key with any NULL component passes (SQL MATCH SIMPLE).  The child's key
+    columns are counted first (a value held by a third of the children shrinks
+    to a row per task before the shuffle), then anti-joined with the parent's
+    key: one pass over the key columns only.
     """
-    present = None
+    present = F.lit(True)
     for c in child_cols:
-        cond = F.col(quoted(c)).isNotNull()
-        present = cond if present is None else present & cond
-    candidates = child.where(present)
+        present = present & F.col(quoted(c)).isNotNull()
+    counts = child.where(present).groupBy(*[quoted(c) for c in child_cols]).agg(F.count(F.lit(1)).alias("n"))
     keys = parent.select(*[F.col(quoted(p)).alias(c) for p, c in zip(parent_cols, child_cols)])
-    bad = cut_lineage(candidates.select(*[quoted(c) for c in child_cols]).distinct().join(keys, list(child_cols), "left_anti"))
-    missing = semi_join_keys(candidates, bad, child_cols)
-    return missing.select(F.lit(name).alias("fk"), composite_key(child_cols).alias("child_key"))
+    missing = counts.join(keys, list(child_cols), "left_anti")
+    return missing.select(F.lit(name).alias("fk"), composite_key(child_cols).alias("child_key"), "n")
+
+
+def fk_violating_rows(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
+                      parent_cols: Sequence[str]) -> DataFrame:
+    """The child rows themselves whose foreign key has no parent (hot keys are salted)."""
+    present = F.lit(True)
+    for c in child_cols:
+        present = present & F.col(quoted(c)).isNotNull()
+    keys = parent.select(*[F.col(quoted(p)).alias(c) for p, c in zip(parent_cols, child_cols)]).distinct()
+    return semi_join_keys(child.where(present), keys, child_cols, anti=True)
 
 
 @dataclass(frozen=True)

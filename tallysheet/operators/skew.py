@@ -3,11 +3,11 @@
 AQE splits a skewed shuffle partition only when it is large *in bytes*; rows
 that carry little more than a repeated key compress to almost nothing, so a
 key held by a third of the rows can still land in one task.  ``semi_join_keys``
-never relies on that: the key set is broadcast when it is proven small
-(the usual case - violations, configured groups), and otherwise both sides
-are salted: every big-side row gets a salt from a hash of the whole row and
-the key set is replicated once per salt (a generator, not a cross join), so
-a hot key spreads over ``salt_buckets`` tasks.
+finds the heavy keys first: those with more than one in ``HEAVY_SHARE`` of the
+rows, so there are fewer than ``HEAVY_SHARE`` of them whatever the data's size
+(that is the bound of the broadcast).  Only their rows get a salt, from the
+row's position and not its content, so identical rows spread as well; only
+their entries of the key set are repeated per salt.
 """
 
 from __future__ import annotations
@@ -19,18 +19,45 @@ from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import quoted
 
-DEFAULT_MAX_KEYS = 200_000
-DEFAULT_SALT_BUCKETS = 64
+HEAVY_SHARE = 200
+SALTS = 64
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE) -> DataFrame:
+    """Key values with more than one in ``share`` of the rows (fewer than ``share`` rows); reads only the key."""
+    counts = df.groupBy(*[quoted(c) for c in on]).agg(F.count(F.lit(1)).alias("_rows"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return counts.where(F.col("_rows") * share > total).select(*[quoted(c) for c in on])
+
+
+def _salted(big: DataFrame, small: DataFrame, on: list[str], share: int, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: rows of heavy (or NULL) keys are spread, entries of heavy keys repeated."""
+    heavy = F.broadcast(heavy_keys(big, on, share).withColumn("_heavy", F.lit(True)))
+    missing = F.lit(False)
+    for c in on:
+        missing = missing | F.col(quoted(c)).isNull()
+    salt = F.when(F.col("_heavy") | missing, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0)
+    salted_big = big.join(heavy, on, "left").withColumn("_salt", salt.cast("int")).drop("_heavy")
+    last = F.when(F.col("_heavy"), salts - 1).otherwise(0)
+    salted_small = (small.join(heavy, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+                    .drop("_heavy"))
+    return salted_big, salted_small
 
 
 def semi_join_keys(big: DataFrame, keys: DataFrame, on: Sequence[str], anti: bool = False,
-                   max_keys: int = DEFAULT_MAX_KEYS, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Rows of ``big`` whose ``on`` values are (``anti``: are not) in ``keys``; ``keys`` holds unique rows."""
-    how = "left_anti" if anti else "left_semi"
-    key_set = keys.select(*[quoted(c) for c in on])
-    if key_set.limit(max_keys + 1).count() <= max_keys:
-        return big.join(F.broadcast(key_set), list(on), how)
-    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in big.columns]), F.lit(salt_buckets)).cast("int")
-    salted_big = big.withColumn("_salt", salt)
-    salted_keys = key_set.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted_big.join(salted_keys, [*on, "_salt"], how).drop("_salt")
+                   share: int = HEAVY_SHARE, salts: int = SALTS) -> DataFrame:
+    """Rows of ``big`` whose ``on`` values are (``anti``: are not) in ``keys``; ``keys`` holds unique rows.
+
+    A NULL in ``on`` equals nothing; such rows are salted too.
+    """
+    salted_big, salted_keys = _salted(big, keys.select(*[quoted(c) for c in on]), list(on), share, salts)
+    joined = salted_big.join(salted_keys, [*on, "_salt"], "left_anti" if anti else "left_semi")
+    return joined.select(*[quoted(c) for c in big.columns])
+
+
+def salted_left_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE,
+                     salts: int = SALTS) -> DataFrame:
+    """``big`` with the other columns of ``lookup``, whose ``on`` values are unique; NULLs find nothing."""
+    salted_big, salted_lookup = _salted(big, lookup, list(on), share, salts)
+    added = [c for c in lookup.columns if c not in on]
+    return salted_big.join(salted_lookup, [*on, "_salt"], "left").select(*[quoted(c) for c in [*big.columns, *added]])

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallysheet.functions.keys import quoted, sanitize
+from tallysheet.functions.keys import merge_named, quoted, sanitize
 
 
 def _head(carry: Sequence[str], order: str) -> Column:
@@ -60,37 +60,52 @@ def map_as_text(m: Column, sep: str = ";") -> Column:
     return F.array_join(F.array_sort(pairs), sep)
 
 
-def pivot_options(links: DataFrame, key: str, categories: Sequence[tuple[str, str]], cat_uid: str,
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def pivot_options(links: DataFrame, key: str | Sequence[str], categories: Sequence[tuple[str, str]], cat_uid: str,
                   opt_uid: str, opt_name: str, order: str, fill: str = "", carry: Sequence[str] = ()) -> DataFrame:
     """Per key: ``<category uid>`` = option uid and ``<category name>`` = option name (O-43).
 
-    ``categories`` is the (uid, name) metadata list; the last option in ``order``
-    wins; a category with no option is ``fill``.  ``carry`` columns come out
-    as the values of the key's first row in ``order``.
+    ``key`` may be several columns (uid and source).  ``categories`` is the (uid,
+    name) metadata list; the last option in ``order`` wins; a category with no
+    option is ``fill``.  Categories whose names sanitise alike share a column
+    (``merge_named``).  ``carry`` columns come out as the values of the key's first
+    row in ``order``.
     """
-    last = links.groupBy(key, cat_uid).agg(
+    keys = _keys(key)
+    last = links.groupBy(*keys, cat_uid).agg(
         F.max_by(F.struct(F.col(opt_uid).alias("u"), F.col(opt_name).alias("n")), order).alias("o"),
         F.min(_head(carry, order)).alias("_h"),
     )
-    cells = [F.first(F.when(F.col(cat_uid) == uid, F.col("o")), ignorenulls=True).alias(uid) for uid, _ in categories]
-    wide = last.groupBy(key).agg(F.min("_h").alias("_h"), *cells)
+    uids = list(dict.fromkeys(uid for uid, _ in categories))
+    cells = [F.first(F.when(F.col(cat_uid) == uid, F.col("o")), ignorenulls=True).alias(f"_c{i}")
+             for i, uid in enumerate(uids)]
+    wide = last.groupBy(*keys).agg(F.min("_h").alias("_h"), *cells)
     cols = [F.col("_h").getField(c).alias(c) for c in carry]
+    pairs = []
     for uid, name in categories:
-        cell = F.col(quoted(uid))
-        cols.append(F.coalesce(cell.getField("u").cast("string"), F.lit(fill)).alias(uid))
-        cols.append(F.coalesce(cell.getField("n").cast("string"), F.lit(fill)).alias(sanitize(name)))
-    return wide.select(key, *cols)
+        cell = F.col(f"_c{uids.index(uid)}")
+        pairs += [(uid, cell.getField("u").cast("string")), (sanitize(name), cell.getField("n").cast("string"))]
+    merged = wide.select(*keys, *cols, *merge_named(pairs))
+    return merged.fillna(fill, subset=[quoted(n) for n in dict.fromkeys(n for n, _ in pairs)])
 
 
-def membership_flags(links: DataFrame, key: str, groups: Sequence[tuple[str, str]], group_uid: str,
+def membership_flags(links: DataFrame, key: str | Sequence[str], groups: Sequence[tuple[str, str]], group_uid: str,
                      flag: str = "t", fill: str = "") -> DataFrame:
-    """Per key: ``<group uid>`` and ``<group name>`` = ``flag`` when a member, else ``fill`` (O-44)."""
-    pairs = links.select(key, group_uid).distinct()
-    uids = [u for u, _ in groups]
-    wide = pairs.groupBy(key).pivot(group_uid, uids).agg(F.max(F.lit(True)))
-    cols = []
+    """Per key: ``<group uid>`` and ``<group name>`` = ``flag`` when a member, else ``fill`` (O-44).
+
+    ``key`` may be several columns (uid and source); groups whose names sanitise
+    alike share a column, flagged if either has the member.
+    """
+    keys = _keys(key)
+    uids = list(dict.fromkeys(u for u, _ in groups))
+    marks = [F.max(F.when(F.col(group_uid) == uid, F.lit(flag))).alias(f"_g{i}") for i, uid in enumerate(uids)]
+    wide = links.select(*keys, group_uid).distinct().groupBy(*keys).agg(*marks) if marks else links.select(*keys).distinct()
+    pairs = []
     for uid, name in groups:
-        mark = F.when(F.col(quoted(uid)), F.lit(flag)).otherwise(F.lit(fill))
-        cols.append(mark.alias(uid))
-        cols.append(mark.alias(sanitize(name)))
-    return wide.select(key, *cols)
+        pairs += [(uid, F.col(f"_g{uids.index(uid)}")), (sanitize(name), F.col(f"_g{uids.index(uid)}"))]
+    merged = wide.select(*keys, *merge_named(pairs))
+    names = [quoted(n) for n in dict.fromkeys(n for n, _ in pairs)]
+    return merged.fillna(fill, subset=names) if names else merged

@@ -11,10 +11,9 @@ from tallysheet.functions.casts import load_timestamp
 from tallysheet.functions.keys import source_key
 from tallysheet.operators.quality import Rule, duplicate_keys, fk_violations, rule_violations
 from tallysheet.operators.schema_evolution import apply_plan, schema_plan
-from tallysheet.plans.registry import register
+from tallysheet.plans.registry import SOURCE_URL, register
 from tallysheet.sources.tables import Tables
 
-SOURCE_URL = "https://hmis.example.org/api"
 AS_OF = "2024-01-31 00:00:00"
 
 
@@ -24,14 +23,15 @@ AS_OF = "2024-01-31 00:00:00"
 ord AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus
         FROM orders),
 link AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag <> 'R')
-SELECT 'fk_orders_customer' AS fk, CAST(o_custkey AS VARCHAR) AS child_key FROM ord
-WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cust WHERE c_custkey = o_custkey)
+SELECT 'fk_orders_customer' AS fk, CAST(o_custkey AS VARCHAR) AS child_key, count(*) AS n FROM ord
+WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cust WHERE c_custkey = o_custkey) GROUP BY o_custkey
 UNION ALL
-SELECT 'fk_lineitem_orders', CAST(l_orderkey AS VARCHAR) FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM ord WHERE ord.o_orderkey = l_orderkey AND ord.o_orderstatus <> 'P')
+SELECT 'fk_lineitem_orders', CAST(l_orderkey AS VARCHAR), count(*) FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM ord WHERE ord.o_orderkey = l_orderkey AND ord.o_orderstatus <> 'P') GROUP BY l_orderkey
 UNION ALL
-SELECT 'fk_lineitem_partsupp', CAST(l.l_partkey AS VARCHAR) || '-' || CAST(l.l_suppkey AS VARCHAR) FROM lineitem l
-WHERE NOT EXISTS (SELECT 1 FROM link WHERE link.l_partkey = l.l_partkey AND link.l_suppkey = l.l_suppkey)""",
+SELECT 'fk_lineitem_partsupp', CAST(l.l_partkey AS VARCHAR) || '-' || CAST(l.l_suppkey AS VARCHAR), count(*) FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM link WHERE link.l_partkey = l.l_partkey AND link.l_suppkey = l.l_suppkey)
+GROUP BY l.l_partkey, l.l_suppkey""",
 )
 def q_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)

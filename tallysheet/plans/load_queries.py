@@ -17,15 +17,14 @@ from tallysheet.functions.casts import (
 from tallysheet.functions.keys import composite_key, sanitize_col
 from tallysheet.operators.incremental import group_members, having_data, leaves, next_mark, since_mark
 from tallysheet.operators.unnest import explode_links
-from tallysheet.plans.registry import register
+from tallysheet.plans.registry import SOURCE_URL, register
 from tallysheet.plans.warehouse_queries import org_units
 from tallysheet.session import scratch_path
 from tallysheet.sinks.files import write_partitioned
-from tallysheet.sinks.payload import DEFAULT_BUCKET_WIDTH, payload_chunks
+from tallysheet.sinks.payload import payload_chunks
 from tallysheet.sources.tables import Tables
 from tallysheet.streaming.incremental_load import read_current, start_upsert_stream
 
-SOURCE_URL = "https://hmis.example.org/api"
 MARK = "2024-01-15 00:00:00"
 
 
@@ -94,23 +93,22 @@ def q_mn_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "payload_chunks",
-    f"""WITH b AS (SELECT o_orderpriority, CAST(floor(o_orderkey / {DEFAULT_BUCKET_WIDTH}) AS BIGINT) AS bucket,
-                  o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders),
-n AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY o_orderpriority, bucket ORDER BY o_orderkey) - 1) / 30) AS BIGINT) AS chunk
-      FROM b)
-SELECT o_orderpriority, bucket, chunk, count(*) AS n,
-       md5('{{"dataValues":[' || string_agg(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey,
-           'o_orderstatus', o_orderstatus, 'o_orderdate', o_orderdate)::VARCHAR, ',' ORDER BY o_orderkey) || ']}}') AS payload_md5
-FROM n GROUP BY o_orderpriority, bucket, chunk""",
+    """WITH n AS (SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, rn,
+                  CAST(floor((rn - 1) / 30) AS BIGINT) AS chunk
+           FROM (SELECT *, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) AS rn FROM orders))
+SELECT chunk, count(*) AS n,
+       md5('{"dataValues":[' || string_agg(json_object('o_orderkey', o_orderkey, 'o_custkey', o_custkey,
+           'o_orderstatus', o_orderstatus, 'o_orderdate', o_orderdate)::VARCHAR, ',' ORDER BY rn) || ']}') AS payload_md5
+FROM n GROUP BY chunk""",
 )
 def q_payload_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Tables(spark, sf_dir).orders.select(
         "o_orderpriority", "o_orderkey", "o_custkey", "o_orderstatus",
         day_text(F.col("o_orderdate")).alias("o_orderdate"),
     )
-    chunks = payload_chunks(orders, ["o_orderpriority"], "o_orderkey",
+    chunks = payload_chunks(orders, ["o_orderpriority", "o_orderkey"],
                             ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
-    return chunks.select("o_orderpriority", "bucket", "chunk", "n", F.md5("payload").alias("payload_md5"))
+    return chunks.select("chunk", "n", F.md5("payload").alias("payload_md5"))
 
 
 @register(

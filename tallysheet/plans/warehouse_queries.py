@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallysheet.functions.casts import load_timestamp
-from tallysheet.functions.keys import source_key
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
 from tallysheet.operators.ordering import global_ordinal
 from tallysheet.operators.upsert import changed_rows
@@ -19,7 +18,6 @@ from tallysheet.operators.widen import fold_option_map, map_as_text, membership_
 from tallysheet.plans.registry import register
 from tallysheet.sources.tables import Tables
 
-SOURCE_URL = "https://hmis.example.org/api"
 AS_OF = "2024-01-31 00:00:00"
 
 # Metadata lists of the driver tables (identical at every scale factor); the
@@ -139,17 +137,23 @@ _UNITS_SQL = """SELECT 'R' || r_regionkey AS uid, r_name AS name, '/R' || r_regi
 
 @register(
     "hierarchy_flatten",
-    f"""WITH u AS ({_UNITS_SQL}),
-p AS (SELECT uid, name, path, string_split(path, '/') AS parts FROM u)
-SELECT p.uid, p.name, CAST(length(p.path) - length(replace(p.path, '/', '')) AS INTEGER) AS level,
+    f"""WITH one AS ({_UNITS_SQL}),
+u AS (SELECT 'A' AS sourceid, uid, name, path FROM one UNION ALL SELECT 'B', uid, name || ' B', path FROM one),
+p AS (SELECT sourceid, uid, name, path, string_split(path, '/') AS parts FROM u)
+SELECT p.uid, p.name, p.sourceid, CAST(length(p.path) - length(replace(p.path, '/', '')) AS INTEGER) AS level,
        COALESCE(NULLIF(p.parts[2], ''), '') AS lvlRegion, CASE WHEN NULLIF(p.parts[2], '') IS NULL THEN '' ELSE COALESCE(a1.name, '') END AS Region,
        COALESCE(NULLIF(p.parts[3], ''), '') AS lvlNation, CASE WHEN NULLIF(p.parts[3], '') IS NULL THEN '' ELSE COALESCE(a2.name, '') END AS Nation,
        COALESCE(NULLIF(p.parts[4], ''), '') AS lvlCustomer, CASE WHEN NULLIF(p.parts[4], '') IS NULL THEN '' ELSE COALESCE(a3.name, '') END AS Customer
-FROM p LEFT JOIN u a1 ON a1.uid = p.parts[2] LEFT JOIN u a2 ON a2.uid = p.parts[3] LEFT JOIN u a3 ON a3.uid = p.parts[4]""",
+FROM p LEFT JOIN u a1 ON a1.uid = p.parts[2] AND a1.sourceid = p.sourceid
+LEFT JOIN u a2 ON a2.uid = p.parts[3] AND a2.sourceid = p.sourceid
+LEFT JOIN u a3 ON a3.uid = p.parts[4] AND a3.sourceid = p.sourceid""",
 )
 def q_hierarchy_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = org_units(Tables(spark, sf_dir))
-    return flatten_hierarchy(units, level_columns(org_levels(spark)))
+    """Two sources with the same uids and paths and different names: each resolves among its own."""
+    one = org_units(Tables(spark, sf_dir))
+    units = one.select(F.lit("A").alias("sourceid"), "uid", "name", "path").unionByName(
+        one.select(F.lit("B").alias("sourceid"), "uid", F.concat("name", F.lit(" B")).alias("name"), "path"))
+    return flatten_hierarchy(units, level_columns(org_levels(spark)), keep=["sourceid"], source="sourceid")
 
 
 @register(
@@ -179,10 +183,11 @@ def combo_links(t: Tables) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("opt_uid"),
         F.col("o_orderstatus").alias("opt_name"),
         F.col("o_orderkey").alias("ord"),
+        F.when(F.col("o_orderstatus") == "F", "A").otherwise("B").alias("sourceid"),
     )
 
 
-_LINKS_SQL = """SELECT c_custkey, c_name, 'P' || substr(o_orderpriority, 1, 1) AS cat_uid, o_orderpriority AS cat_name,
+_LINKS_SQL = """SELECT c_custkey, c_name, CASE WHEN o_orderstatus = 'F' THEN 'A' ELSE 'B' END AS sourceid, 'P' || substr(o_orderpriority, 1, 1) AS cat_uid, o_orderpriority AS cat_name,
        CAST(o_orderkey AS VARCHAR) AS opt_uid, o_orderstatus AS opt_name, o_orderkey AS ord
 FROM orders JOIN customer ON o_custkey = c_custkey"""
 
@@ -210,33 +215,28 @@ def _category_wide_sql() -> str:
         cells.append(f"COALESCE(max(CASE WHEN cat_uid = '{uid}' THEN opt_uid END), '') AS {_q(uid)}")
         cells.append(f"COALESCE(max(CASE WHEN cat_uid = '{uid}' THEN opt_name END), '') AS {_q(p.replace(' ', ''))}")
     return f"""WITH links AS ({_LINKS_SQL}),
-last AS (SELECT c_custkey, cat_uid, arg_max(opt_uid, ord) AS opt_uid, arg_max(opt_name, ord) AS opt_name
-         FROM links GROUP BY c_custkey, cat_uid),
+last AS (SELECT c_custkey, sourceid, cat_uid, arg_max(opt_uid, ord) AS opt_uid, arg_max(opt_name, ord) AS opt_name
+         FROM links GROUP BY c_custkey, sourceid, cat_uid),
 names AS (SELECT c_custkey, arg_min(c_name, ord) AS c_name FROM links GROUP BY c_custkey)
 SELECT CAST(last.c_custkey AS VARCHAR) AS categoryoptioncomboid, names.c_name AS categoryoptioncomboname,
-       md5('{SOURCE_URL}') AS sourceid, TIMESTAMP '{AS_OF}' AS lastupdated,
+       last.sourceid, TIMESTAMP '{AS_OF}' AS lastupdated,
        {", ".join(cells)}
 FROM last JOIN names ON last.c_custkey = names.c_custkey
-GROUP BY last.c_custkey, names.c_name"""
+GROUP BY last.c_custkey, last.sourceid, names.c_name"""
 
 
 @register("category_wide", _category_wide_sql())
 def q_category_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    links = combo_links(t)
-    categories = [
-        (r["cat_uid"], r["cat_name"])
-        for r in t.orders.select(
-            F.concat(F.lit("P"), F.substring("o_orderpriority", 1, 1)).alias("cat_uid"),
-            F.col("o_orderpriority").alias("cat_name"),
-        ).distinct().orderBy("cat_uid").collect()
-    ]
-    wide = pivot_options(links, "c_custkey", categories, "cat_uid", "opt_uid", "opt_name", "ord", carry=["c_name"])
-    value_cols = [c for c in wide.columns if c not in ("c_custkey", "c_name")]
+    """Combos that two sources share stay two rows; the columns come from the category metadata."""
+    links = combo_links(Tables(spark, sf_dir))
+    categories = [("P" + p[0], p) for p in PRIORITIES]
+    wide = pivot_options(links, ["c_custkey", "sourceid"], categories, "cat_uid", "opt_uid", "opt_name", "ord",
+                         carry=["c_name"])
+    value_cols = [c for c in wide.columns if c not in ("c_custkey", "sourceid", "c_name")]
     return wide.select(
         F.col("c_custkey").cast("string").alias("categoryoptioncomboid"),
         F.col("c_name").alias("categoryoptioncomboname"),
-        source_key(SOURCE_URL).alias("sourceid"),
+        "sourceid",
         load_timestamp(AS_OF).alias("lastupdated"),
         *[F.col(f"`{c}`") for c in value_cols],
     )
@@ -249,22 +249,26 @@ def _group_flags_sql() -> str:
         flag = f"CASE WHEN bool_or(brand = '{b}') THEN 't' ELSE '' END"
         cells.append(f"{flag} AS {_q(uid)}")
         cells.append(f"{flag} AS {_q(b)}")
-    return f"""WITH m AS (SELECT DISTINCT l_suppkey, p_brand AS brand FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT s_suppkey AS uid, s_name AS name, md5('{SOURCE_URL}') AS sourceid, TIMESTAMP '{AS_OF}' AS lastupdated,
+    return f"""WITH m AS (SELECT DISTINCT l_suppkey, CASE WHEN l_returnflag = 'R' THEN 'B' ELSE 'A' END AS sourceid, p_brand AS brand
+           FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT s_suppkey AS uid, s_name AS name, sourceid, TIMESTAMP '{AS_OF}' AS lastupdated,
        {", ".join(cells)}
-FROM m JOIN supplier ON m.l_suppkey = s_suppkey GROUP BY s_suppkey, s_name"""
+FROM m JOIN supplier ON m.l_suppkey = s_suppkey GROUP BY s_suppkey, s_name, sourceid"""
 
 
 @register("group_flags", _group_flags_sql())
 def q_group_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    links = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_suppkey").alias("uid"), F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("BR")).alias("group_uid")
+    source = F.when(F.col("l_returnflag") == "R", "B").otherwise("A").alias("sourceid")
+    # Distinct links first: a hot part is a row per supplier and source before the join.
+    links = t.lineitem.select("l_partkey", F.col("l_suppkey").alias("uid"), source).distinct()
+    links = links.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "uid", "sourceid", F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("BR")).alias("group_uid")
     )
     groups = [(r["category_uid"], r["category_name"]) for r in brand_dimension(t.part).orderBy("category_uid").collect()]
-    flags = membership_flags(links, "uid", groups, "group_uid")
+    flags = membership_flags(links, ["uid", "sourceid"], groups, "group_uid")
     elements = t.supplier.select(F.col("s_suppkey").alias("uid"), F.col("s_name").alias("name"))
     return elements.join(flags, "uid").select(
-        "uid", "name", source_key(SOURCE_URL).alias("sourceid"), load_timestamp(AS_OF).alias("lastupdated"),
-        *[F.col(f"`{c}`") for c in flags.columns if c != "uid"],
+        "uid", "name", "sourceid", load_timestamp(AS_OF).alias("lastupdated"),
+        *[F.col(f"`{c}`") for c in flags.columns if c not in ("uid", "sourceid")],
     )

@@ -50,7 +50,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: local runs and tests only.  A cluster always names a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            # A temporary folder would be another one on each machine.
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tallysheet-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
@@ -65,3 +67,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder wherever Spark's file systems reach it; whether there was one."""
+    fs, target = _file_system(spark, path)
+    return bool(fs.delete(target, True))
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Delete this session's scratch folders, once nothing reads from them any more.
+
+    Checkpoints of DataFrames go by themselves with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints=true``.
+    """
+    return delete_path(spark, f"{checkpoint_root(spark)}/scratch")
+
+
+def path_is_missing(error: Exception) -> bool:
+    """Whether an analysis error says that a path does not exist (yet), and nothing else."""
+    return (error.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
+# Metadata lists (levels, categories, groups, column tags) that size generated column lists.
+MAX_METADATA_ROWS = 10_000
+
+
+def bounded_rows(df: DataFrame, what: str, limit: int = MAX_METADATA_ROWS) -> list:
+    """The rows of a metadata list; raises (never truncates) past ``limit``."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}: too many for generated columns")
+    return rows

@@ -4,10 +4,10 @@ A daily slice of data values touches a handful of periods out of years of
 history.  Rewriting the whole table per load would make every load cost the
 table size; instead:
 
-1. the batch's partition values (a short list: the periods it touches,
-   collected under a bound) become a partition filter on the current table,
-   so the scan lists and reads only those folders; beyond the bound a semi
-   join on the partition columns keeps the result right;
+1. the batch's partition values prune the current table's scan to those
+   folders, and a null-safe semi join keeps exactly their rows (one path for
+   any number of values; more than ``MAX_PARTITIONS`` raise, as the table's own
+   folder listing would not fit the driver either);
 2. the merged rows are checkpointed to the shared checkpoint folder - this
    cuts the lineage back to the files about to be replaced, and a lost
    executor re-reads the checkpoint rather than the half-replaced files;
@@ -24,16 +24,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallysheet.session import cut_lineage
+from tallysheet.functions.keys import quoted
+from tallysheet.session import cut_lineage, path_is_missing
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_is_missing(e):
+            raise
         return spark.createDataFrame([], schema)
 
 
+# Folders a batch may touch; partition values are metadata, never truncated.
+MAX_PARTITIONS = 100_000
+
+
+def touched_rows(current: DataFrame, batch: DataFrame, partition_cols: Sequence[str],
+                 max_partitions: int = MAX_PARTITIONS) -> DataFrame:
+    """The rows of ``current`` in partitions that ``batch`` touches; NULL is a partition like any other."""
+    touched = batch.select(*partition_cols).distinct()
+    values = touched.limit(max_partitions + 1).collect()
+    if len(values) > max_partitions:
+        raise ValueError(f"the batch touches more than {max_partitions} partitions; load it in smaller slices")
+    pruned = current
+    for c in partition_cols:
+        seen = {r[c] for r in values}
+        keep = F.col(quoted(c)).isin(sorted(v for v in seen if v is not None))
+        pruned = pruned.where(keep | F.col(quoted(c)).isNull() if None in seen else keep)
+    if len(partition_cols) == 1:
+        return pruned  # one column: the pruning filter is exact
+    spark = current.sparkSession
+    exact = F.broadcast(spark.createDataFrame(values, touched.schema))  # max_partitions rows at most
+    same = F.lit(True)
+    for c in partition_cols:
+        same = same & pruned[quoted(c)].eqNullSafe(exact[quoted(c)])
+    return pruned.join(exact, same, "left_semi")
+
+
 def merge_into_partitions(
     spark: SparkSession,
     path: str,
@@ -41,35 +70,14 @@ def merge_into_partitions(
     partition_cols: Sequence[str],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
     schema: T.StructType,
-    max_partitions: int = 10_000,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """``merge(current_rows_of_touched_partitions, batch)`` written back over those partitions.
 
     ``schema`` is the table schema (partition columns included).  Returns the
     checkpointed merged rows that were written.
     """
-    current = read_partitioned(spark, path, schema)
-    touched = batch.select(*partition_cols).distinct()
-    values = touched.limit(max_partitions + 1).collect()
-    if len(values) <= max_partitions and len(partition_cols) == 1:
-        c = partition_cols[0]
-        present = [r[c] for r in values if r[c] is not None]
-        keep = F.col(c).isin(present)
-        if len(present) < len(values):
-            keep = keep | F.col(c).isNull()
-        current = current.where(keep)
-    elif len(values) <= max_partitions:
-        keep = F.lit(False)
-        for row in values:
-            match = F.lit(True)
-            for c in partition_cols:
-                match = match & (F.col(c).isNull() if row[c] is None else F.col(c) == F.lit(row[c]))
-            keep = keep | match
-        current = current.where(keep)
-    else:
-        # Very many partitions: a semi join; the distinct values are an aggregation, so AQE sizes
-        # the join from the measured shuffle stage.
-        current = current.join(touched, list(partition_cols), "left_semi")
+    current = touched_rows(read_partitioned(spark, path, schema), batch, partition_cols, max_partitions)
     merged = cut_lineage(merge(current, batch).select(*[F.col(f"`{f.name}`") for f in schema.fields]))
     (
         merged.write.mode("overwrite")

@@ -1,58 +1,37 @@
-"""Payload batching (O-15): ordered rows cut into chunks of at most N values.
-
-Each chunk becomes one request body ``{"dataValues": [...]}``.  Numbering
-needs an order, and an order over a whole partition key would run in one
-task; so rows are first split into bounded buckets of the sort key (a key
-range of ``bucket_width`` holds at most that many unique keys) and chunks
-are numbered inside ``(partition key, bucket)``.  Every chunk has at most
-``size`` values, chunk order follows the sort key, and the concatenation of
-the chunks is the input.
+"""Payload batching (O-15): one ordered list of rows cut into chunks of at most N values.
+
+Each chunk becomes one request body ``{"dataValues": [...]}``.  The rows are
+numbered over the whole order (range-partitioned, no one-task window), so
+every chunk but the last has exactly ``size`` values, chunk order follows the
+sort key, and the concatenation of the chunks is the input.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import quoted
+from tallysheet.operators.ordering import global_ordinal
 
 DEFAULT_SIZE = 30  # values per request
-DEFAULT_BUCKET_WIDTH = 1 << 20  # sort-key range per numbering window
-
-
-def payload_chunks(
-    df: DataFrame,
-    partition_by: Sequence[str],
-    sort_key: str,
-    items: Sequence[str],
-    size: int = DEFAULT_SIZE,
-    list_key: str = "dataValues",
-    bucket_width: int | None = DEFAULT_BUCKET_WIDTH,
-) -> DataFrame:
-    """``(*partition_by, bucket, chunk, n, payload)``; ``sort_key`` is unique within a partition.
-
-    With ``bucket_width`` the sort key must be integral; pass ``None`` when the
-    partition key alone already bounds the group size (bucket is then 0).
-    """
-    if bucket_width:
-        bucket = F.floor(F.col(quoted(sort_key)) / F.lit(bucket_width)).alias("bucket")
-    else:
-        bucket = F.lit(0).cast("bigint").alias("bucket")
-    with_bucket = df.select(*[quoted(c) for c in partition_by], bucket, *[quoted(c) for c in dict.fromkeys([sort_key, *items])])
-    w = Window.partitionBy(*partition_by, "bucket").orderBy(sort_key)
-    numbered = with_bucket.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / F.lit(size)))
-    item = F.struct(F.col(quoted(sort_key)).alias("_k"), F.struct(*[F.col(quoted(c)) for c in items]).alias("_v"))
-    grouped = numbered.groupBy(*partition_by, "bucket", "chunk").agg(
+
+
+def payload_chunks(df: DataFrame, order_by: Sequence[str], items: Sequence[str], size: int = DEFAULT_SIZE,
+                   list_key: str = "dataValues") -> DataFrame:
+    """``(chunk, n, payload)``; ``order_by`` makes a total order, ``items`` are the fields of a value."""
+    needed = list(dict.fromkeys([*order_by, *items]))
+    numbered = global_ordinal(df.select(*[quoted(c) for c in needed]), [F.col(quoted(c)) for c in order_by], "_rn")
+    item = F.struct("_rn", F.struct(*[F.col(quoted(c)) for c in items]).alias("_v"))
+    grouped = numbered.groupBy(F.floor((F.col("_rn") - 1) / size).alias("chunk")).agg(
         F.count(F.lit(1)).alias("n"), F.collect_list(item).alias("_items")
     )
     values = F.transform(F.array_sort("_items"), lambda x: x["_v"])
-    return grouped.select(
-        *partition_by, "bucket", "chunk", "n", F.to_json(F.struct(values.alias(list_key))).alias("payload")
-    )
+    return grouped.select("chunk", "n", F.to_json(F.struct(values.alias(list_key))).alias("payload"))
 
 
 def write_payloads(chunks: DataFrame, path: str) -> None:
-    """Request bodies as JSON lines, one per chunk (what a sender task posts in order)."""
-    chunks.select(F.col("payload").alias("value")).write.mode("overwrite").text(path)
+    """Request bodies as JSON lines in chunk order (what a sender task posts)."""
+    chunks.orderBy("chunk").select(F.col("payload").alias("value")).write.mode("overwrite").text(path)

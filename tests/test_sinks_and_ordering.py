@@ -2,46 +2,43 @@
 
 import json
 
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallysheet.operators.ordering import carry_forward, global_ordinal
 from tallysheet.sinks.eav import to_eav, write_eav
 from tallysheet.sinks.files import write_csv
-from tallysheet.sinks.payload import payload_chunks
+from tallysheet.sinks.payload import payload_chunks, write_payloads
 from tallysheet.sources.csv_typed import read_typed_csv
 from tallysheet.sources.eav import read_eav
 
 
-def test_chunks_are_bounded_ordered_and_complete(spark):
+def test_one_ordered_list_is_cut_in_full_chunks(spark, tmp_dir):
     data = [("p1" if i % 3 else "p2", i * 7, f"v{i}") for i in range(500)]
     df = spark.createDataFrame(data, "part string, key long, v string").repartition(5)
-    chunks = payload_chunks(df, ["part"], "key", ["key", "v"], size=30, bucket_width=1000).collect()
-    assert all(r["n"] <= 30 for r in chunks)
-    for part in ("p1", "p2"):
-        mine = sorted((r for r in chunks if r["part"] == part), key=lambda r: (r["bucket"], r["chunk"]))
-        values = [item["key"] for r in mine for item in json.loads(r["payload"])["dataValues"]]
-        expected = sorted(k for p, k, _ in data if p == part)
-        assert values == expected  # concatenation of the chunks = the input, in order
-        assert all(len(json.loads(r["payload"])["dataValues"]) == r["n"] for r in mine)
-
-
-@pytest.mark.parametrize("small_rows", [0, 10_000])  # 0 forces the distributed path
-def test_global_ordinal_matches_row_number(spark, small_rows):
+    chunks = payload_chunks(df, ["part", "key"], ["key", "v"])
+    rows = sorted(chunks.collect(), key=lambda r: r["chunk"])
+    assert [r["n"] for r in rows] == [30] * 16 + [20]  # groups of any size never cut a chunk short
+    values = [item["key"] for r in rows for item in json.loads(r["payload"])["dataValues"]]
+    assert values == [k for _, k, _ in sorted(data)]
+    write_payloads(chunks, f"{tmp_dir}/bodies")
+    bodies = [r["value"] for r in spark.read.text(f"{tmp_dir}/bodies").collect()]
+    assert sorted(bodies) == sorted(r["payload"] for r in rows)
+
+
+def test_global_ordinal_matches_row_number(spark):
     df = spark.range(0, 2000).select((F.col("id") * 7919 % 2003).alias("k"), F.col("id")).repartition(7)
-    got = {r["id"]: r["rn"] for r in global_ordinal(df, ["k", "id"], small_rows=small_rows).collect()}
+    got = {r["id"]: r["rn"] for r in global_ordinal(df, ["k", "id"]).collect()}
     w = Window.orderBy("k", "id")
     expected = {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == expected
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000])
-def test_carry_forward_matches_brute_force(spark, small_rows):
+def test_carry_forward_matches_brute_force(spark):
     rows = [(i, f"n{i}" if i % 5 == 0 else None) for i in range(1, 400)]
     df = spark.createDataFrame(rows, "seq int, v string").repartition(6)
     out = {r["seq"]: (r["prev"], r["rn"])
-           for r in carry_forward(df, ["seq"], F.col("v"), "prev", ordinal="rn", small_rows=small_rows).collect()}
+           for r in carry_forward(df, ["seq"], F.col("v"), "prev", ordinal="rn").collect()}
     last = None
     for seq, v in rows:
         assert out[seq] == (last, seq)

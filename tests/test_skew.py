@@ -4,7 +4,7 @@ aggregations combine map-side; results stay whole."""
 import pytest
 from pyspark.sql import functions as F
 
-from tallysheet.operators.quality import fk_violations
+from tallysheet.operators.quality import fk_violating_rows, fk_violations
 from tallysheet.operators.skew import semi_join_keys
 from tallysheet.operators.upsert import last_per_key
 
@@ -41,10 +41,31 @@ def test_fk_check_never_puts_a_hot_key_in_one_task(spark, skew_conf):
     )
     parent = spark.range(0, n).select(F.col("id").alias("pk"))
     out = fk_violations(child, parent, ["fk"], ["pk"], "fk_hot")
-    rows = out.collect()
-    assert len(rows) == n // 3 and {r["child_key"] for r in rows} == {"-7"}  # whole result, nothing dropped
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # the child is never shuffled by key
+    assert [tuple(r) for r in out.collect()] == [("fk_hot", "-7", n // 3)]  # counted whole, nothing dropped
+    scan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in scan  # a hot key is a row per task before the shuffle
+    rows = fk_violating_rows(child, parent, ["fk"], ["pk"])
+    per_task = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == n // 3 and max(r["count"] for r in per_task) < n // 30
+
+
+def test_identical_rows_of_a_hot_key_spread(spark, skew_conf):
+    n = 90_000
+    child = spark.range(0, n).select(F.when(F.col("id") % 3 == 0, F.lit(-7)).otherwise(F.col("id")).alias("fk"))
+    known = spark.range(0, 50).select((F.col("id") - 10).alias("fk"))
+    kept = semi_join_keys(child, known, ["fk"])
+    per_task = kept.where("fk = -7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == n // 3 and max(r["count"] for r in per_task) < n // 10
+
+
+def test_null_keys_spread_and_survive_the_anti_join(spark, skew_conf):
+    big = spark.range(0, 30_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"))
+    keys = spark.range(0, 100).select(F.col("id").alias("k"))
+    assert semi_join_keys(big, keys, ["k"]).count() == 66
+    left = semi_join_keys(big, keys, ["k"], anti=True)
+    assert left.count() == 30_000 - 66
+    nulls = left.where("k IS NULL").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in nulls) == 10_000 and max(r["count"] for r in nulls) <= 2_500
 
 
 def test_salted_semi_join_spreads_a_hot_key(spark, skew_conf):
@@ -52,13 +73,13 @@ def test_salted_semi_join_spreads_a_hot_key(spark, skew_conf):
     big = spark.range(0, n).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"),
                                    F.col("id").alias("v"))
     keys = spark.range(0, 1000).select(F.col("id").alias("k"))
-    out = semi_join_keys(big, keys, ["k"], max_keys=10, salt_buckets=16)  # force the salted path
+    out = semi_join_keys(big, keys, ["k"], salts=16)
     per_task = out.where(F.col("k") == 5).groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in per_task) == big.where(F.col("k") == 5).count()
     assert len(per_task) > 4  # the hot key is spread over many tasks
     expected = big.join(keys, "k", "left_semi").count()
     assert out.count() == expected
-    anti = semi_join_keys(big, keys, ["k"], anti=True, max_keys=10, salt_buckets=16)
+    anti = semi_join_keys(big, keys, ["k"], anti=True, salts=16)
     assert anti.count() == n - expected
 
 
