@@ -10,8 +10,9 @@ into the staged table (an upsert) sets:
 
 ``old <> new`` with a NULL on either side is not a change (SQL ``<>``),
 unless ``null_safe``.  With ``version_col`` an incoming row older than the
-stored one is ignored, so re-pulled or out-of-order documents never regress
-a value.  A row still pending as ``'insert'`` stays ``'insert'``
+stored one never replaces a value (a sparse load still takes from it what the
+stored row lacks), so re-pulled or out-of-order documents never regress a
+value.  Rows with a NULL key never enter.  A row still pending as ``'insert'`` stays ``'insert'``
 when it changes again before export (``keep_pending_insert``), so the
 warehouse never gets an update for a row it has not received.
 """
@@ -75,6 +76,8 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
     outer join on the keys, everything else is a projection.
     """
     keys = list(spec.keys)
+    for k in keys:  # a NULL key equals nothing: such rows never enter (split_rejects lists them)
+        incoming = incoming.where(F.col(quoted(k)).isNotNull())
     state_cols = {spec.change_col, *spec.previous.values()}
     in_cols = [c for c in incoming.columns if c not in keys]
     o = current.select(*keys, *[F.col(quoted(c)).alias("o__" + c) for c in current.columns if c not in keys],
@@ -84,7 +87,10 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
     old_hit, new_hit = F.col("o__hit").isNotNull(), F.col("n__hit").isNotNull()
     if spec.version_col is not None and spec.version_col in in_cols:
         newer = F.col(quoted("n__" + spec.version_col)) >= F.col(quoted("o__" + spec.version_col))
-        new_hit = new_hit & (~old_hit | F.coalesce(newer, F.lit(True)))
+        late = new_hit & old_hit & ~F.coalesce(newer, F.lit(True))
+        new_hit = new_hit & ~late
+    else:
+        late = F.lit(False)
 
     changed = F.lit(False)
     for c in spec.tracked:
@@ -114,12 +120,28 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
             new_value, old_value = F.col(quoted("n__" + c)), F.col(quoted("o__" + c))
             if sparse:
                 new_value = F.coalesce(new_value, old_value)
-            out.append(F.when(new_hit, new_value).otherwise(old_value).alias(c))
+            kept = old_value
+            if sparse:  # a late document still fills what no newer one carried
+                kept = F.when(late, F.coalesce(old_value, F.col(quoted("n__" + c)))).otherwise(old_value)
+            out.append(F.when(new_hit, new_value).otherwise(kept).alias(c))
         else:
             out.append(F.col(quoted("o__" + c)).alias(c))
+    # Columns that the mapping gained since the table was written.
+    added = [c for c in in_cols if c not in current.columns and c not in state_cols]
+    out += [F.when(new_hit, F.col(quoted("n__" + c))).alias(c) for c in added]
     return j.select(*out)
 
 
+def split_rejects(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that have every required column, and the others with a ``reason`` (O-10, O-50: PRIMARY KEY / NOT NULL)."""
+    missing = [F.when(F.col(quoted(c)).isNull(), F.lit(c)) for c in required]
+    reason = F.concat(F.lit("missing "), F.array_join(F.array_compact(F.array(*missing)), ", "))
+    bad = F.lit(False)
+    for c in required:
+        bad = bad | F.col(quoted(c)).isNull()
+    return df.where(~bad), df.where(bad).withColumn("reason", reason)
+
+
 def reset_changes(df: DataFrame, keys: Sequence[str] | None = None, flushed: DataFrame | None = None,
                   change_col: str = CHANGE_COL) -> DataFrame:
     """After an export, pending rows become ``''`` (O-49).

@@ -115,27 +115,24 @@ def spread_sections(
 
     Sections are applied in order and a later section wins a name clash; the
     ``tag`` column (e.g. the source form) is applied first, so any section
-    field of the same name beats it.  A NULL (absent) value never overrides:
-    an optional section that is missing leaves the earlier values in place.
+    field of the same name beats it.  Presence decides: a section that is there
+    wins with NULL as well, one that is missing leaves the earlier values in place.
+    Names are compared without case, as Spark resolves them.
     """
     present = [s for s in sections if s in df.columns]
-    holders: dict[str, list[str]] = {}
+    holders: dict[str, list[tuple[str, str]]] = {}  # lower-case name -> (section, field) in order
     for section in present:
         for field in df.schema[section].dataType.fieldNames():
-            holders.setdefault(field, []).append(section)
+            holders.setdefault(field.lower(), []).append((section, field))
     cols: list[Column] = []
-    if tag is not None:
-        tag_name, tag_value = tag
-        if tag_name not in holders:
-            cols.append(tag_value.alias(tag_name))
-        else:
-            holders[tag_name].insert(0, "__tag__")
-    for field, owners in holders.items():
-        values = []
-        for owner in reversed(owners):
-            if owner == "__tag__":
-                values.append(tag[1])
-            else:
-                values.append(F.col(f"{quoted(owner)}.{quoted(field)}"))
-        cols.append((values[0] if len(values) == 1 else F.coalesce(*values)).alias(field))
+    if tag is not None and tag[0].lower() not in holders:
+        cols.append(tag[1].alias(tag[0]))
+    for lower, owners in holders.items():
+        tagged = tag is not None and tag[0].lower() == lower
+        value = tag[1] if tagged else None
+        for section, field in owners:
+            own = F.col(f"{quoted(section)}.{quoted(field)}")
+            earlier = F.lit(None) if value is None else value
+            value = F.when(F.col(quoted(section)).isNotNull(), own).otherwise(earlier)
+        cols.append(value.alias(tag[0] if tagged else owners[0][1]))
     return df.select(*cols)

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallysheet.functions.casts import try_number
-from tallysheet.operators.broadcast import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -80,11 +79,18 @@ class BandSpec:
 
 
 def fill_cast(df: DataFrame, columns: Iterable[str] = FILLED_COLUMNS) -> DataFrame:
-    """Missing -> 0, then integer (fractions truncate); absent columns are skipped."""
+    """Missing -> 0, then integer (fractions truncate, also in text); absent columns are skipped."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    replace = {
-        c: F.coalesce(try_number(F.col(c), T.IntegerType(), types[c]), F.lit(0)) for c in columns if c in types
-    }
+
+    def whole(c: str) -> Column:
+        exact = try_number(F.col(c), T.IntegerType(), types[c])
+        if not isinstance(types[c], T.StringType):
+            return exact
+        # Only text with a fraction or an exponent needs the detour over a double.
+        fraction = F.when(F.col(c).rlike("[.eE]"), try_number(F.col(c), T.DoubleType(), types[c]).try_cast("int"))
+        return F.coalesce(exact, fraction)
+
+    replace = {c: F.coalesce(whole(c), F.lit(0)) for c in columns if c in types}
     return df.withColumns(replace) if replace else df
 
 
@@ -97,12 +103,14 @@ def band_report_wide(
     df: DataFrame,
     keys: Sequence[str] = ("interview_date", "health_facility"),
     spec: BandSpec = BandSpec(),
-    sum_numeric: bool = False,
+    sum_numeric: bool | Sequence[str] = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """Group sums of every grid cell; rows with a NULL key are dropped first.
 
     ``sum_numeric`` also sums every other numeric input column (under its own
-    name), as a frame-wide ``sum()`` would.
+    name), as a frame-wide ``sum()`` would, or those it names.  ``ordered``
+    sorts by the keys, as a group-by of a frame does.
     """
     not_null = None
     for k in keys:
@@ -111,9 +119,11 @@ def band_report_wide(
     sums = [F.sum(flag).alias(name) for name, flag in spec.indicators()]
     if sum_numeric:
         numeric = [f.name for f in df.schema.fields
-                   if f.name not in keys and isinstance(f.dataType, T.NumericType)]
+                   if f.name not in keys and isinstance(f.dataType, T.NumericType)
+                   and f.name not in spec.names() and (sum_numeric is True or f.name in sum_numeric)]
         sums += [F.sum(F.col(f"`{c}`")).alias(c) for c in numeric]
-    return df.where(not_null).groupBy(*keys).agg(*sums)
+    out = df.where(not_null).groupBy(*keys).agg(*sums)
+    return out.orderBy(*keys) if ordered else out
 
 
 @dataclass(frozen=True)
@@ -166,12 +176,16 @@ def form_report(
     ``orgunits`` maps ``config.facility_col`` to ``orgUnit``; facilities it lacks
     are left out (see ``unknown_facilities`` for the reject list).
     """
-    wide = band_report_wide(rows, (config.date_col, config.facility_col), spec)
+    # A configuration may name any summed column, not only the grid's.
+    others = sorted({indicator for indicator, _, _ in config.entries()} - set(spec.names()))
+    wide = band_report_wide(rows, (config.date_col, config.facility_col), spec, sum_numeric=others)
     # Resolve the unit and the period on the wide rows (one per group), before
     # the fan-out to long rows.  The date may be text (yyyy-MM-dd) or a date.
-    units = bounded_broadcast(orgunits.select(config.facility_col, "orgUnit"))
+    # Facility codes are compared as text: a map may hold codes that are no numbers.
+    units = orgunits.select(F.col(config.facility_col).cast("string").alias("_facility"), "orgUnit")
     period = F.replace(F.col(config.date_col).cast("string"), F.lit("-"), F.lit("")).alias("period")
-    located = wide.join(units, config.facility_col, "inner").withColumn("period", period)
+    located = wide.withColumn("_facility", F.col(config.facility_col).cast("string")).join(units, "_facility")
+    located = located.withColumn("period", period)
     return long_rows(located, config, keep=["orgUnit", "period"]).select(
         "categoryOptionCombo",
         F.lit(config.attribute_option_combo).alias("attributeOptionCombo"),
@@ -184,5 +198,6 @@ def form_report(
 
 def unknown_facilities(rows: DataFrame, config: ReportConfig, orgunits: DataFrame) -> DataFrame:
     """Reject output: facilities in the submissions that the unit map does not know."""
-    facilities = rows.where(F.col(config.facility_col).isNotNull()).select(config.facility_col)
-    return facilities.join(orgunits.select(config.facility_col), config.facility_col, "left_anti").distinct()
+    facilities = rows.where(F.col(config.facility_col).isNotNull()).select(config.facility_col).distinct()
+    known = orgunits.select(F.col(config.facility_col).cast("string").alias("_facility")).distinct()
+    return facilities.join(known, F.col(config.facility_col).cast("string") == F.col("_facility"), "left_anti")

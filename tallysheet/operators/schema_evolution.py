@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tallysheet.functions.keys import quoted, sanitize_col
 from tallysheet.operators.ordering import carry_forward
 from tallysheet.operators.upsert import changed_rows
+from tallysheet.session import bounded_rows
 
 BASE_ANCHOR = "lastupdated"
 
@@ -84,7 +85,7 @@ def plan_columns(columns: Sequence[str], actions: Sequence[tuple[str, str, str]]
 
 def apply_plan(df: DataFrame, plan: DataFrame, fill: str = "") -> DataFrame:
     """Evolve ``df``'s columns by the plan: one ``select``, new columns filled with ``fill``."""
-    actions = [(r["action"], r["column_name"], r["anchor"]) for r in plan.orderBy("seq").collect()]
+    actions = [(r["action"], r["column_name"], r["anchor"]) for r in bounded_rows(plan.orderBy("seq"), "schema actions")]
     cols = []
     for out_name, source in plan_columns(df.columns, actions):
         cols.append((F.col(quoted(source)) if source is not None else F.lit(fill)).alias(out_name))

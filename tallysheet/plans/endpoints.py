@@ -23,6 +23,7 @@ class Endpoint:
     tracked: Sequence[str] = ("name",)
     previous: Mapping[str, str] = field(default_factory=dict)
     order_col: str = "lastupdated"
+    required: Sequence[str] = ()  # besides the keys; rows without them are rejected
 
 
 @dataclass(frozen=True)
@@ -174,4 +175,5 @@ ENDPOINTS = {
     "dataElements": _endpoint("dataElements", DATA_ELEMENT_SPEC, "dataelement"),
     "dataElementGroups": _endpoint("dataElementGroups", DATA_ELEMENT_GROUP_SPEC, "dataelementgroup"),
 }
-DATA_VALUES = Endpoint("dataValues", DATA_VALUE_SPEC, "datavalue", keys=DATA_VALUE_KEYS, tracked=["value"])
+DATA_VALUES = Endpoint("dataValues", DATA_VALUE_SPEC, "datavalue", keys=DATA_VALUE_KEYS, tracked=["value"],
+                       required=["lastupdated"])

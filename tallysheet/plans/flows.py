@@ -20,21 +20,23 @@ passes through the driver except metadata lists and the next mark.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallysheet.functions.casts import load_timestamp, truncate_seconds
-from tallysheet.operators.changes import ChangeSpec, detect_changes
+from tallysheet.operators.changes import ChangeSpec, detect_changes, reset_changes, split_rejects
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
 from tallysheet.operators.incremental import group_members, is_empty, since_mark
 from tallysheet.operators.skew import semi_join_keys
+from tallysheet.operators.ordering import cluster_for_write
 from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
-from tallysheet.operators.schema_evolution import schema_plan
+from tallysheet.operators.schema_evolution import apply_plan, schema_plan
 from tallysheet.operators.unnest import explode_links
-from tallysheet.operators.upsert import apply_changes, changed_rows, insert_new, last_per_key
+from tallysheet.operators.upsert import apply_changes, changed_rows, fold_sparse, insert_new, upsert
 from tallysheet.operators.widen import membership_flags, pivot_options
 from tallysheet.plans.endpoints import (
     DATA_VALUE_SPEC,
@@ -49,7 +51,15 @@ from tallysheet.plans.endpoints import (
 from tallysheet.sinks.partitioned_upsert import merge_into_partitions, read_partitioned
 from tallysheet.sinks.payload import payload_chunks
 from tallysheet.sinks.versioned import commit, read_latest
-from tallysheet.sources.documents import read_documents, read_unit_documents, tag_union
+from tallysheet.session import bounded_rows, cut_lineage
+from tallysheet.sources.documents import (
+    items_of,
+    parse_documents,
+    read_documents,
+    read_unit_documents,
+    rejected_documents,
+)
+
 
 def _staged_schema(mapped: DataFrame, ep: Endpoint) -> T.StructType:
     schema = T.StructType(list(mapped.schema.fields))
@@ -59,27 +69,52 @@ def _staged_schema(mapped: DataFrame, ep: Endpoint) -> T.StructType:
 
 
 def stage_rows(current: DataFrame, mapped: DataFrame, ep: Endpoint) -> DataFrame:
-    """Fold the batch per key (newest ``order_col`` wins) and upsert it with change tracking.
-
-    Equal ``order_col`` values are broken by a hash of the whole row, so a rerun
-    always keeps the same document; a stored row newer than the incoming one
-    is kept (late or re-pulled documents never regress a value).
+    """Fold the batch per key and column (newest present value wins) and upsert it with change tracking.
+
+    A partial document keeps the other columns of the documents before it, as
+    if they had come one by one: documents in the order of ``order_col`` give the same table
+    however they are split into batches.  Equal ``order_col`` values are broken by
+    a hash of the whole row, so a rerun always keeps the same document; a stored
+    value newer than the incoming one is kept (late or re-pulled documents never
+    regress a value).  Rows with a NULL key part never enter (``rejected_rows``).
     """
     keys = list(ep.keys)
+    mapped = split_rejects(mapped, keys)[0]
     tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in mapped.columns])
-    order = [F.col(ep.order_col), tiebreak] if ep.order_col in mapped.columns else [tiebreak]
-    batch = last_per_key(mapped, keys, order)
     version = ep.order_col if ep.order_col in mapped.columns else None
+    seq = F.struct(*([F.col(version)] if version else []), tiebreak)
+    batch = fold_sparse(mapped.withColumn("_seq", seq), keys, "_seq")
     spec = ChangeSpec(keys=keys, tracked=list(ep.tracked), previous=dict(ep.previous), version_col=version)
     return detect_changes(current, batch, spec, sparse=True)
 
 
+def rejected_rows(mapped: DataFrame, ep: Endpoint) -> DataFrame:
+    """Mapped rows that cannot be staged, with a ``reason``: a missing key part, or a missing required column."""
+    return split_rejects(mapped, [*ep.keys, *[c for c in ep.required if c not in ep.keys]])[1]
+
+
+def _keep_rejects(rejects: DataFrame, store: str, table: str) -> None:
+    """Rejected rows and documents as JSON text with their reason, next to the table."""
+    if not is_empty(rejects):
+        row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rejects.columns if c != "reason"]))
+        rejects.select("reason", row.alias("row")).write.mode("append").parquet(f"{store}/{table}_rejects")
+
+
 def stage_endpoint(spark: SparkSession, landed_dir: str, ep: Endpoint, store: str, source_url: str,
-                   multi_line: bool = True) -> int:
-    """Landed pages of one endpoint -> new version of its staging table; returns the version."""
-    items = read_documents(spark, landed_dir, ep.list_key, read_schema(ep.spec), multi_line=multi_line)
+                   multi_line: bool = True, on_bad: str = "fail") -> int:
+    """Landed pages of one endpoint -> new version of its staging table; returns the version.
+
+    Rows without a key go to ``<table>_rejects``; a document that cannot be read fails the
+    load, or goes there too with ``on_bad="skip"``.
+    """
+    schema = read_schema(ep.spec)
+    items = read_documents(spark, landed_dir, ep.list_key, schema, multi_line=multi_line, on_bad=on_bad)
     mapped = apply_mapping(items, ep.spec, source_url)
     path = f"{store}/{ep.table}"
+    _keep_rejects(rejected_rows(mapped, ep), store, ep.table)
+    if on_bad == "skip":
+        bad = rejected_documents(spark, landed_dir, ep.list_key, schema, multi_line=multi_line)
+        _keep_rejects(bad.withColumn("reason", F.lit("unreadable document")), store, ep.table)
     current = read_latest(spark, path, _staged_schema(mapped, ep))
     return commit(stage_rows(current, mapped, ep), path)
 
@@ -119,7 +154,8 @@ def orgunit_dimension(units: DataFrame, levels: DataFrame, plan_anchor: str = "l
     """
     plan = schema_plan(levels, ["level", "uid"], anchor=plan_anchor)
     pending = changed_rows(units)
-    flat = flatten_hierarchy(pending, level_columns(levels), keep=["sourceid", "lastupdated"], lookup=units)
+    flat = flatten_hierarchy(pending, level_columns(levels), keep=["sourceid", "lastupdated"], lookup=units,
+                             source="sourceid")
     return plan, flat.withColumn("lastupdated", truncate_seconds(F.col("lastupdated")))
 
 
@@ -133,8 +169,8 @@ def category_dimension(combos: DataFrame, combo_options: DataFrame, options: Dat
     change), category_options (category_id, categoryoption_id), categories (uid, name).
     ``changed_only`` picks the input whose pending rows drive the export
     ("options", "combos", "categories"; ``None`` exports everything).  When
-    every input carries ``sourceid`` the joins match on it as well, so two
-    sources with colliding uids never mix.
+    every input carries ``sourceid`` the joins and the pivot match on it as well,
+    so two sources with colliding uids never mix; without it, uids are unique.
     """
     frames = {"combos": combos, "options": options, "categories": categories}
     if changed_only is not None:
@@ -152,8 +188,8 @@ def category_dimension(combos: DataFrame, combo_options: DataFrame, options: Dat
         .join(frames["categories"].select(F.col("uid").alias("cat"), F.col("name").alias("cat_name"), *src),
               ["cat", *src])
     )
-    cats = [(r["uid"], r["name"]) for r in categories.select("uid", "name").distinct().orderBy("uid").collect()]
-    wide = pivot_options(links, "coc", cats, "cat", "opt", "opt_name", "opt", carry=["coc_name", "sourceid"])
+    wide = pivot_options(links, ["coc", *src], column_names(categories), "cat", "opt", "opt_name", "opt",
+                         carry=["coc_name"] if by_source else ["coc_name", "sourceid"])
     return wide.select(
         F.col("coc").alias("categoryoptioncomboid"),
         F.col("coc_name").alias("categoryoptioncomboname"),
@@ -163,17 +199,70 @@ def category_dimension(combos: DataFrame, combo_options: DataFrame, options: Dat
     )
 
 
+def column_names(metadata: DataFrame) -> list[tuple[str, str]]:
+    """(uid, name) of a metadata table, one name per uid (two sources may both have it), in uid order."""
+    names = metadata.groupBy("uid").agg(F.max("name").alias("name")).where("uid is not null and name is not null")
+    return [(r["uid"], r["name"]) for r in bounded_rows(names.orderBy("uid"), "metadata columns")]
+
+
 def dataelement_dimension(elements: DataFrame, element_groups: DataFrame, groups: DataFrame, as_of: str) -> DataFrame:
-    """Data-element dimension: ``'t'`` under each group's uid and name columns (full export)."""
-    links = element_groups.select(F.col("dataelement_id").alias("uid"), F.col("group_id").alias("group_uid"))
-    grp = [(r["uid"], r["name"]) for r in groups.select("uid", "name").orderBy("uid").collect()]
-    flags = membership_flags(links, "uid", grp, "group_uid")
-    return elements.select("uid", "name", "sourceid").join(flags, "uid").select(
+    """Data-element dimension: ``'t'`` under each group's uid and name columns (full export).
+
+    When both inputs carry ``sourceid``, a link flags elements of its own source only.
+    """
+    src = ["sourceid"] if "sourceid" in element_groups.columns and "sourceid" in elements.columns else []
+    links = element_groups.select(F.col("dataelement_id").alias("uid"), *src, F.col("group_id").alias("group_uid"))
+    flags = membership_flags(links, ["uid", *src], column_names(groups), "group_uid")
+    return elements.select("uid", "name", "sourceid").join(flags, ["uid", *src]).select(
         "uid", "name", "sourceid", load_timestamp(as_of).alias("lastupdated"),
-        *[F.col(f"`{c}`") for c in flags.columns if c != "uid"],
+        *[F.col(f"`{c}`") for c in flags.columns if c not in ("uid", *src)],
     )
 
 
+def category_plan(categories: DataFrame, anchor: str = "lastupdated") -> DataFrame:
+    """Column plan of the category dimension: a uid and a name column per pending category."""
+    return schema_plan(categories, ["uid"], anchor=anchor)
+
+
+def dataelement_plan(groups: DataFrame, anchor: str = "lastupdated") -> DataFrame:
+    """Column plan of the data-element dimension: a uid and a name column per pending group."""
+    return schema_plan(groups, ["uid"], anchor=anchor)
+
+
+def load_dimension(spark: SparkSession, path: str, rows: DataFrame, plan: DataFrame | None, keys: Sequence[str],
+                   cluster_by: Sequence[str] = ()) -> int:
+    """Warehouse load of one dimension: evolve the stored table by the plan, upsert the rows, commit a version.
+
+    New columns are ``''`` in rows that the load does not carry; the table is written
+    clustered by ``cluster_by`` (default: the keys).  Read it with ``read_latest``.
+    """
+    stored = read_latest(spark, path)
+    if stored is None:
+        table = rows
+    else:
+        evolved = stored if plan is None else apply_plan(stored, plan)
+        table = upsert(evolved, rows, list(keys))
+        filled = [c for c in table.columns if dict(table.dtypes)[c] == "string" and c not in keys]
+        table = table.fillna("", subset=[f"`{c}`" for c in filled])
+    return commit(cluster_for_write(table, list(cluster_by or keys)), path)
+
+
+def export_orgunits(spark: SparkSession, store: str, warehouse: str) -> int | None:
+    """One warehouse load of the org-unit dimension: plan, flatten, load, then reset what was exported.
+
+    Works on one snapshot of the staged tables and resets exactly its rows, so rows
+    that change meanwhile stay pending.  Returns the warehouse version (None: nothing pending).
+    """
+    units, levels = read_latest(spark, f"{store}/organisationunit"), read_latest(spark, f"{store}/orgunitlevel")
+    if is_empty(changed_rows(units)) and is_empty(changed_rows(levels)):
+        return None
+    plan, rows = orgunit_dimension(units, levels)
+    version = load_dimension(spark, f"{warehouse}/organisationunit", rows, plan, ["uid", "sourceid"])
+    for table, frame, keys in (("organisationunit", units, ["uid", "sourceid"]), ("orgunitlevel", levels, ["uid", "sourceid"])):
+        commit(reset_changes(read_latest(spark, f"{store}/{table}"), keys, changed_rows(frame)), f"{store}/{table}")
+    return version
+
+
 def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_url: str, mark: str,
                      group_links: DataFrame | None = None, groups: Sequence[str] = (),
                      layout: str = "file", leaf_units: DataFrame | None = None) -> object:
@@ -188,9 +277,13 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
         # Only files of known leaf units count (a unit id is the file or folder name).
         raw = semi_join_keys(raw, leaf_units.select(F.col("uid").alias("_unit")).distinct(), ["_unit"])
     mapped = apply_mapping(raw, DATA_VALUE_SPEC, source_url)
-    fresh = since_mark(mapped, "lastupdated", mark)
+    # A value without a time can neither be ordered nor marked: it is kept aside, not dropped.
+    _keep_rejects(rejected_rows(mapped, DATA_VALUES), store, "datavalue")
+    fresh = since_mark(split_rejects(mapped, DATA_VALUES.keys)[0], "lastupdated", mark)
     if group_links is not None and groups:
         fresh = group_members(fresh, group_links, groups, "dataelementid", "dataelement_id", "group_id")
+    # Parsed once: the guard, the partition list, the merge and the next mark read the staged slice.
+    fresh = cut_lineage(fresh)
     if is_empty(fresh):
         return mark  # nothing new: no write, the mark stays
     merge_into_partitions(
@@ -209,15 +302,19 @@ def start_data_value_stream(spark: SparkSession, landed_dir: str, store: str, so
     upserted (with change tracking) into only the periods it touches, so a
     replayed batch leaves the same table.
     """
-    doc = T.StructType([T.StructField("dataValues", T.ArrayType(read_schema(DATA_VALUE_SPEC)), True)])
-    reader = spark.readStream.schema(doc).option("multiLine", True)
+    item = read_schema(DATA_VALUE_SPEC)
+    reader = spark.readStream.schema("value string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landed_dir).select(F.explode("dataValues").alias("v")).select("v.*")
+    stream = reader.text(landed_dir, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), parse_documents(F.col("value"), "dataValues", item).alias("items"))
+    stream = items_of(stream, (), "fail")
     path = f"{store}/datavalue"
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         mapped = apply_mapping(batch, DATA_VALUE_SPEC, source_url)
+        _keep_rejects(rejected_rows(mapped, DATA_VALUES), store, "datavalue")
+        mapped = split_rejects(mapped, [*DATA_VALUES.keys, *DATA_VALUES.required])[0]
         merge_into_partitions(spark, path, mapped, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
                               _staged_schema(mapped, DATA_VALUES))
 
@@ -237,20 +334,19 @@ def case_control_payloads(forms: Mapping[str, DataFrame], config: ReportConfig,
                           sections: Sequence[str] = ("s1", "s2", "s3", "s4", "s6", "s7", "s5")) -> DataFrame:
     """Form documents (``value`` array of section structs) -> request bodies of at most ``size`` values.
 
-    Chunks are numbered inside each (period, orgUnit) report group, whose size
-    is bounded by the configuration (data elements x indicators).
+    The values of all report groups make one ordered list that is cut into
+    chunks, so every body but the last is full.  A section field with the tag's
+    name beats the tag.
     """
-    spread = {
-        name: spread_sections(doc.select(F.explode("value").alias("r")).select("r.*"), list(sections))
+    spread = [
+        spread_sections(doc.select(F.explode("value").alias("r")).select("r.*"), list(sections), ("SOURCE_FORM", F.lit(name)))
         for name, doc in forms.items()
-    }
-    rows = fill_cast(tag_union(spread))
+    ]
+    rows = fill_cast(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), spread))
     report = form_report(rows, config, orgunits, spec)
-    keyed = report.withColumn("_order", F.concat_ws("|", "dataElement", "categoryOptionCombo"))
     return payload_chunks(
-        keyed, ["period", "orgUnit"], "_order",
-        ["categoryOptionCombo", "attributeOptionCombo", "period", "orgUnit", "dataElement", "value"],
-        size=size, bucket_width=None,
+        report, ["period", "orgUnit", "dataElement", "categoryOptionCombo", "value"],
+        ["categoryOptionCombo", "attributeOptionCombo", "period", "orgUnit", "dataElement", "value"], size=size,
     )
 
 
@@ -271,9 +367,14 @@ __all__ = [
     "ORG_UNIT_SPEC",
     "case_control_payloads",
     "category_dimension",
+    "category_plan",
     "data_source_dimension",
     "data_source_rows",
     "dataelement_dimension",
+    "dataelement_plan",
+    "export_orgunits",
+    "load_dimension",
+    "rejected_rows",
     "load_data_values",
     "read_data_values",
     "start_data_value_stream",

@@ -32,6 +32,9 @@ def to_eav(
     million times never gathers its rows in one place.
     """
     excluded = set(exclude)
+    # Parts stand in the table's column order, and a missing part fails the dump: it would merge entities.
+    parts = [c for c in df.columns if c in set(unique_keys)]
+    pk = F.coalesce(composite_key(parts), F.raise_error(F.lit(f"a part of the key {parts} is missing")).cast("string"))
     fields = [f for f in df.schema.fields if f.name not in excluded]
     cells = F.map_from_arrays(
         F.array(*[F.lit(f.name) for f in fields]),
@@ -42,7 +45,7 @@ def to_eav(
             ]
         ),
     )
-    keyed = df.select(composite_key(unique_keys).alias(PK_COL), cells.alias(CELLS_COL),
+    keyed = df.select(pk.alias(PK_COL), cells.alias(CELLS_COL),
                       *([order_by.alias("_seq")] if order_by is not None else []))
     if order_by is None:
         return keyed

@@ -19,7 +19,7 @@ from tallysheet.plans.flows import (
 from tallysheet.operators.report import ReportConfig
 from tallysheet.sinks.versioned import read_latest
 
-URL = "https://hmis.example.org/api"
+URL = "https://source.example.org/api"
 LEVELS = ENDPOINTS["organisationUnitLevels"]
 UNITS = ENDPOINTS["organisationUnits"]
 
@@ -113,7 +113,7 @@ def test_fact_load_incremental_and_idempotent(spark, tmp_dir):
     links = spark.createDataFrame([("de1", "g1"), ("de2", "g1")], "dataelement_id string, group_id string")
     mark = load_data_values(spark, landed, store, URL, "2018-01-01 00:00:00", links, ["g1"])
     rows = read_data_values(spark, store).collect()
-    assert [(r["dataelementid"], r["value"], r["storedby"], r["change"]) for r in rows] == [("de1", "6", None, "insert")]
+    assert [(r["dataelementid"], r["value"], r["storedby"], r["change"]) for r in rows] == [("de1", "6", "u", "insert")]
     assert str(mark) == "2024-02-02 00:00:00"
     assert load_data_values(spark, landed, store, URL, str(mark), links, ["g1"]) == mark  # replay: same mark
     again = read_data_values(spark, store).collect()
