@@ -66,14 +66,22 @@ class Rule:
         raise ValueError(f"unknown rule kind {self.kind!r}")
 
 
-def rule_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``(rule, n)`` for every rule, from one pass over ``df`` (zero counts included)."""
-    counts = df.agg(*[F.count_if(r.violated()).alias(f"_r{i}") for i, r in enumerate(rules)])
-    cells = [F.struct(F.lit(r.name).alias("rule"), F.col(f"_r{i}").alias("n")) for i, r in enumerate(rules)]
-    return counts.select(F.inline(F.array(*cells)))
+def _shown(keys: Sequence[str]) -> Column:
+    """Key values as one text; a NULL part shows as ``?``."""
+    return F.concat_ws("-", *[F.coalesce(F.col(quoted(k)).cast("string"), F.lit("?")) for k in keys])
+
+
+def rule_violations(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
+    """``(rule, key, n)``: how many rows with that key violate the rule; one pass over ``df``.
+
+    Only violating rows leave the scan.
+    """
+    broken = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(r.violated(), F.lit(r.name)) for r in rules]))
+    rows = df.select(_shown(keys).alias("key"), F.explode(broken).alias("rule"))
+    return rows.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """``(rule, n)``: the number of primary-key values held by more than one row."""
-    dupes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
-    return dupes.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("rule"), "n")
+    """``(rule, key, n)``: the primary-key values held by more than one row."""
+    counts = df.groupBy(*[quoted(k) for k in keys]).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return counts.select(F.lit(name).alias("rule"), _shown(keys).alias("key"), "n")

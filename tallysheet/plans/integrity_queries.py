@@ -72,7 +72,7 @@ PAGE_RULES = [
 ]
 
 
-def _rule_sql(table: str, rules: list[Rule]) -> str:
+def _rule_sql(table: str, rules: list[Rule], key: str) -> str:
     parts = []
     for r in rules:
         if r.kind == "not_null":
@@ -82,22 +82,23 @@ def _rule_sql(table: str, rules: list[Rule]) -> str:
         else:
             values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in r.arg)
             cond = f"{r.column} IS NOT NULL AND {r.column} NOT IN ({values})"
-        parts.append(f"SELECT '{r.name}' AS rule, count(*) FILTER (WHERE {cond}) AS n FROM {table}")
+        parts.append(f"SELECT '{r.name}' AS rule, coalesce(CAST({key} AS VARCHAR), '?') AS key, count(*) AS n "
+                     f"FROM {table} WHERE {cond} GROUP BY {key}")
     return "\nUNION ALL ".join(parts)
 
 
 def _dupes_sql(table: str, key: str) -> str:
-    return (f"SELECT '{table}.pk' AS rule, count(*) AS n FROM "
-            f"(SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1) d")
+    return (f"SELECT '{table}.pk' AS rule, coalesce(CAST({key} AS VARCHAR), '?') AS key, count(*) AS n "
+            f"FROM {table} GROUP BY {key} HAVING count(*) > 1")
 
 
 @register(
     "dq_violations",
     "\nUNION ALL ".join(
         [
-            _rule_sql("documents", DOCUMENT_RULES),
-            _rule_sql("labels", LABEL_RULES),
-            _rule_sql("pages", PAGE_RULES),
+            _rule_sql("documents", DOCUMENT_RULES, "doc_id"),
+            _rule_sql("labels", LABEL_RULES, "doc_id"),
+            _rule_sql("pages", PAGE_RULES, "page_id"),
             _dupes_sql("documents", "doc_id"),
             _dupes_sql("labels", "doc_id"),
             _dupes_sql("pages", "page_id"),
@@ -107,9 +108,9 @@ def _dupes_sql(table: str, key: str) -> str:
 def q_dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     checks = [
-        rule_violations(t.documents, DOCUMENT_RULES),
-        rule_violations(t.labels, LABEL_RULES),
-        rule_violations(t.pages, PAGE_RULES),
+        rule_violations(t.documents, DOCUMENT_RULES, ["doc_id"]),
+        rule_violations(t.labels, LABEL_RULES, ["doc_id"]),
+        rule_violations(t.pages, PAGE_RULES, ["page_id"]),
         duplicate_keys(t.documents, ["doc_id"], "documents.pk"),
         duplicate_keys(t.labels, ["doc_id"], "labels.pk"),
         duplicate_keys(t.pages, ["page_id"], "pages.pk"),

@@ -81,6 +81,11 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(target, True))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return bool(fs.exists(target))
+
+
 def clean_scratch(spark: SparkSession) -> bool:
     """Delete this session's scratch folders, once nothing reads from them any more.
 

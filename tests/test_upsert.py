@@ -93,11 +93,11 @@ def test_hot_key_fold_keeps_whole_result(spark):
 
 def test_merge_into_requires_a_row_level_table(spark):
     import pytest
-    from pyspark.errors import PySparkException
+    from pyspark.errors import AnalysisException, UnsupportedOperationException
 
     from tallysheet.sinks.merge import merge_into_table
 
     spark.createDataFrame([(1, "a")], "k int, v string").createOrReplaceTempView("plain_target")
     batch = spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string")
-    with pytest.raises((PySparkException, Exception)):
+    with pytest.raises((AnalysisException, UnsupportedOperationException), match="(?i)merge"):
         merge_into_table(batch, "plain_target", ["k"])
