@@ -14,7 +14,7 @@ longer spans.
 
 The benchmark's fingerprints are broadcast only when their counted number is
 within ``max_broadcast``; beyond it, the document side shuffles its distinct
-fingerprints and only documents that share one are read again.
+fingerprints and only documents that share one give their windows.
 
 Defined cases: null and word-less texts have no words and no hits; null or
 word-less items match nothing; a repeated item counts once; an item without an
@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = 10
-K = 5
+#: Words in a k-gram, a power of two; a fingerprint is the least of SPAN - K + 1 gram hashes.
+K = 8
 #: What parts words: everything in ASCII but digits and letters (A-Z are lower-cased later, word by word).
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: 16 bytes a fingerprint: 32 MB of rows at most in each executor.
@@ -41,10 +42,18 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def words_of(text: Column) -> Column:
-    """Words in their own case; null text has none."""
-    # Splitting is linear in the text; extracting all matches copies the text at each match.
-    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
+def pieces_of(text: Column) -> Column:
+    """Words in their own case; text that begins or ends with a gap has an empty first or last piece.
+
+    Splitting is linear in the text; extracting all matches would copy the text at each match.
+    """
+    return F.split(F.coalesce(text, F.lit("")), GAP)
+
+
+def n_words(pieces: Column) -> Column:
+    empty = [(p == "").cast("int") for p in (F.get(pieces, F.lit(0)), F.element_at(pieces, -1))]
+    # A text without words is one empty piece, or two if it is a gap.
+    return F.greatest(F.size(pieces) - empty[0] - empty[1], F.lit(0))
 
 
 def _word_hashes(words: Column) -> Column:
@@ -52,28 +61,36 @@ def _word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.lower(w)))
 
 
-def _gram_hashes(h: Column, n: Column, k: int) -> Column:
-    grams = F.transform(h, lambda _, i: F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
-    return F.slice(grams, 1, F.greatest(n - (k - 1), F.lit(0)))
+def _with_gram_hashes(df: DataFrame, k: int) -> DataFrame:
+    """Adds ``g``: the hash of the k words from each word on, by doubling: each step hashes two neighbours' hashes."""
+    df = df.withColumn("g", _word_hashes(F.col("words")))
+    step = 1
+    while step < k:
+        df = df.withColumn("g", F.transform("g", lambda x, i: F.xxhash64(x, F.get(F.col("g"), i + step))))
+        step *= 2
+    return df
 
 
 def _minima(g: Column, n: Column, span: int, k: int) -> Column:
     width = span - k + 1
-    mins = F.transform(g, lambda _, i: F.array_min(F.slice(g, i + 1, width)))
+    mins = F.transform(g, lambda _, i: F.least(*[F.get(g, i + j) for j in range(width)]))
+    # The last windows would run over the end.
     return F.slice(mins, 1, F.greatest(n - (span - 1), F.lit(0)))
 
 
 def _with_minima(df: DataFrame, span: int, k: int) -> DataFrame:
-    """Adds ``fps``: the fingerprint of the window that starts at each word.
+    """Adds ``fps``: the fingerprint of the window that starts at each word (no item has an empty one,
+    so windows over the empty pieces at the ends match nothing).
 
     One column per step, each used more than once by the next: the optimiser then
     evaluates every array once a row and does not inline it into the lambdas.  The
     generators over these arrays are the outer kind, for which no filter on the
     array's size is inferred and pushed down through all of these steps.
     """
-    df = df.withColumn("n", F.size("words")).withColumn("h", _word_hashes(F.col("words")))
-    df = df.withColumn("g", _gram_hashes(F.col("h"), F.col("n"), k))
-    return df.withColumn("fps", _minima(F.col("g"), F.col("n"), span, k)).drop("h", "g")
+    if k & (k - 1) or k > span:
+        raise ValueError("k must be a power of two and at most span")
+    df = _with_gram_hashes(df.withColumn("n", F.size("words")), k)
+    return df.withColumn("fps", _minima(F.col("g"), F.col("n"), span, k)).drop("g")
 
 
 def _window_text(start: Column, length) -> Column:
@@ -84,13 +101,9 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").withColumn("tk", F.xxhash64("text"))
 
 
-def _same_doc(a: DataFrame, b: DataFrame) -> Column:
-    return a.doc_id.eqNullSafe(b.doc_id) & (a.tk == b.tk)
-
-
 def benchmark_windows(benchmark: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     """``(win, fp, n_win, item_id)``: each window of each item once; ``fp`` is null for short items."""
-    items = benchmark.select("item_id", "text").withColumn("words", words_of(F.col("text"))).drop("text")
+    items = benchmark.select("item_id", F.array_remove(pieces_of(F.col("text")), "").alias("words"))
     items = _with_minima(items.where(F.size("words") > 0), span, k)
     long = items.where(F.col("n") >= span).select("item_id", "words", F.posexplode_outer("fps").alias("start", "fp"))
     long = long.select(_window_text(F.col("start"), span).alias("win"), "fp", F.lit(span).alias("n_win"), "item_id")
@@ -100,32 +113,52 @@ def benchmark_windows(benchmark: DataFrame, span: int = SPAN, k: int = K) -> Dat
     return long.union(short).distinct()
 
 
-def _long_candidates(docs: DataFrame, fps: DataFrame, small: bool, span: int, k: int) -> DataFrame:
-    """Windows of documents whose fingerprint is one of the benchmark's: ``(doc_id, tk, start, n_win, win)``."""
-    def starts(d: DataFrame) -> DataFrame:
-        return d.select("doc_id", "tk", "words", F.posexplode_outer("fps").alias("start", "fp"))
+def _counted(words: Column) -> Column:
+    return n_words(words).cast("long").alias("n_words")
 
-    def windows(d: DataFrame) -> DataFrame:
-        return d.select("doc_id", "tk", "start", F.lit(span).alias("n_win"),
-                        _window_text(F.col("start"), span).alias("win"))
 
-    with_fps = _with_minima(docs.withColumn("words", words_of(F.col("text"))).drop("text"), span, k)
-    if small:
-        # The probe sits in the generator's own loop: words ride along by reference, only matches are written.
-        return windows(starts(with_fps).join(F.broadcast(fps), "fp", "left_semi"))
+def _in_one_pass(docs: DataFrame, fps: DataFrame, span: int, k: int) -> DataFrame:
+    """A row with ``n_words`` per document, and one for each window whose fingerprint is the benchmark's.
+
+    The probe sits in the generator's own loop: the words ride along by reference, and only
+    the rows that stay are written.
+    """
+    rows = _with_minima(docs.withColumn("words", pieces_of(F.col("text"))).drop("text"), span, k)
+    first = F.array(F.lit(None).cast("long"))  # the document's own row stands before those of its windows
+    rows = rows.select("doc_id", "tk", "words", F.posexplode_outer(F.concat(first, "fps")).alias("at", "fp"))
+    rows = rows.join(F.broadcast(fps.withColumn("found", F.lit(True))), "fp", "left").where("at = 0 or found")
+    own = F.col("at") == 0
+    return rows.select("doc_id", "tk", F.when(own, _counted(F.col("words"))).alias("n_words"),
+                       F.when(~own, F.col("at") - 1).alias("start"), F.when(~own, F.lit(span)).alias("n_win"),
+                       F.when(~own, _window_text(F.col("at") - 1, span)).alias("win"))
+
+
+def _in_two_passes(docs: DataFrame, fps: DataFrame, span: int, k: int) -> DataFrame:
+    """The same rows where the benchmark's fingerprints are too many to broadcast.
+
+    Documents shuffle their distinct fingerprints; those that share one give all their windows.
+    """
+    words = docs.withColumn("words", pieces_of(F.col("text"))).drop("text")
+    own = words.select("doc_id", "tk", _counted(F.col("words")), F.lit(None).cast("int").alias("start"),
+                       F.lit(None).cast("int").alias("n_win"), F.lit(None).cast("string").alias("win"))
+    with_fps = _with_minima(words, span, k)
     hit = (with_fps.select("doc_id", "tk", F.explode_outer(F.array_distinct("fps")).alias("fp"))
-           .join(fps, "fp", "left_semi").select("doc_id", "tk").distinct())
-    return windows(starts(with_fps.join(hit, _same_doc(with_fps, hit), "left_semi")))
+           .join(fps, "fp", "left_semi").select(F.col("doc_id").alias("hit_id"), F.col("tk").alias("hit_tk")).distinct())
+    shared = with_fps.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tk") == F.col("hit_tk")), "left_semi")
+    starts = shared.select("doc_id", "tk", "words", F.posexplode_outer("fps").alias("start", "fp")).where("start is not null")
+    return own.union(starts.select("doc_id", "tk", F.lit(None).cast("long"), "start", F.lit(span),
+                                   _window_text(F.col("start"), span)))
 
 
 def _short_candidates(docs: DataFrame, lengths: list[int]) -> DataFrame | None:
     """Every run of each short item length (lengths that occur in the benchmark; fewer than SPAN)."""
     out = None
-    words = docs.withColumn("words", words_of(F.col("text"))).drop("text").withColumn("n", F.size("words"))
+    words = docs.withColumn("words", pieces_of(F.col("text"))).drop("text").withColumn("n", F.size("words"))
     for m in lengths:
         d = words.where(F.col("n") >= m).withColumn("starts", F.sequence(F.lit(0), F.col("n") - m))
         d = d.select("doc_id", "tk", "words", F.explode_outer("starts").alias("start"))
-        d = d.select("doc_id", "tk", "start", F.lit(m).alias("n_win"), _window_text(F.col("start"), m).alias("win"))
+        d = d.select("doc_id", "tk", F.lit(None).cast("long").alias("n_words"), "start", F.lit(m).alias("n_win"),
+                     _window_text(F.col("start"), m).alias("win"))
         out = d if out is None else out.union(d)
     return out
 
@@ -134,8 +167,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
                   max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``(doc_id, n_words, n_hit, spans, item_ids)`` per row of ``documents``.
 
-    ``spans`` is the sorted array of ``(start, end)`` word ranges of the matched
-    windows, ``item_ids`` the sorted array of items (as strings).
+    ``spans`` is the sorted array of ``(start, end)`` ranges of the matched windows, in
+    pieces of the text (:func:`pieces_of`), ``item_ids`` the sorted array of items (as strings).
     """
     wins = benchmark_windows(benchmark, span, k)
     fps = wins.where(F.col("fp").isNotNull()).select("fp").distinct()
@@ -143,29 +176,32 @@ def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
     # The size check is a count of the benchmark's windows, which do not grow with the documents.
     small = wins.count() <= max_broadcast
     docs = _keyed(documents)
-    cand = _long_candidates(docs, fps, small, span, k)
+    rows = (_in_one_pass if small else _in_two_passes)(docs, fps, span, k)
     short = _short_candidates(docs, sorted(r["n_win"] for r in short_rows))
     if short is not None:
-        cand = cand.union(short)
-    known = wins.select("win", "item_id")
-    hits = cand.join(F.broadcast(known) if small else known, "win")
+        rows = rows.union(short)
+    known = wins.select("win", "item_id", F.lit(True).alias("known"))
+    if small:
+        hits = rows.join(F.broadcast(known), "win", "left")
+    else:  # documents' own rows have no window: they stay out of the join
+        hits = rows.where("win is not null").join(known, "win").unionByName(
+            rows.where("win is null").withColumns({"item_id": F.lit(None).cast("long"), "known": F.lit(None).cast("boolean")}))
+    span_of = F.struct("start", (F.col("start") + F.col("n_win")).alias("end"))
     found = hits.groupBy("doc_id", "tk").agg(
-        F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n_win")).alias("end")))).alias("spans"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+        F.max("n_words").alias("n_words"), F.count("n_words").alias("rows"),
+        F.array_sort(F.collect_set(F.when(F.col("known"), span_of))).alias("spans"),
+        F.array_sort(F.collect_set(F.when(F.col("known"), F.col("item_id").cast("string")))).alias("item_ids"))
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto")),
         lambda a, s: F.struct((a["n"] + F.greatest(s["end"] - F.greatest(s["start"], a["upto"]), F.lit(0))).alias("n"),
                               F.greatest(s["end"], a["upto"]).alias("upto")),
         lambda a: a["n"])
-    found = found.withColumn("n_hit", covered)
-    rows = docs.select("doc_id", "tk", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    return rows.join(found, _same_doc(rows, found), "left").select(
-        rows.doc_id, "n_words", F.coalesce(F.col("n_hit"), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    found = found.select("doc_id", "n_words", covered.cast("long").alias("n_hit"), "spans", "item_ids", "rows")
+    # A row of its own for each of the rows that repeat one id and text.
+    return found.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).drop("row", "rows")
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without the rows that hold a benchmark window; columns unchanged."""
-    found = contamination(documents, benchmark).where("n_hit > 0").select("doc_id").distinct()
-    return documents.join(found, documents.doc_id.eqNullSafe(found.doc_id), "left_anti")
+    found = contamination(documents, benchmark).where("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
+    return documents.join(found, documents["doc_id"].eqNullSafe(found["__hit"]), "left_anti")
