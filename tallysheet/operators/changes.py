@@ -156,7 +156,3 @@ def reset_changes(df: DataFrame, keys: Sequence[str] | None = None, flushed: Dat
     joined = df.join(marked, list(keys), "left")
     reset = F.when(pending & F.col("_flushed").isNotNull(), F.lit("")).otherwise(F.col(change_col))
     return joined.withColumn(change_col, reset).drop("_flushed").select(*df.columns)
-
-
-def pending_keys(df: DataFrame, keys: Iterable[str], change_col: str = CHANGE_COL) -> DataFrame:
-    return df.where(F.col(change_col).isin(*PENDING)).select(*keys)

@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import merge_named, quoted, sanitize
-from tallysheet.operators.skew import salted_left_join
 from tallysheet.session import bounded_rows
 
 
@@ -70,11 +69,11 @@ def flatten_hierarchy(
     table = (units if lookup is None else lookup).select(
         *[quoted(c) for c in src], F.col(quoted(uid)).alias("_anc"), F.col(quoted(name)).alias("_anc_name"))
     # A uid listed more than once must not multiply rows: its greatest name counts.
-    table = table.groupBy(*[quoted(c) for c in src], "_anc").agg(F.max(F.struct("_anc_name")).alias("_n"))
-    table = table.select(*[quoted(c) for c in src], "_anc", F.col("_n._anc_name").alias("_anc_name"))
-    named = salted_left_join(elements, table, [*src, "_anc"]).groupBy(*[quoted(c) for c in src], "_above").agg(
+    table = table.groupBy(*[quoted(c) for c in src], "_anc").agg(F.array_max(F.collect_set("_anc_name")).alias("_anc_name"))
+    # One row per inner unit and ancestor: here the root has as many rows as there are inner units.
+    named = elements.join(table, [*src, "_anc"], "left").groupBy(*[quoted(c) for c in src], "_above").agg(
         F.map_from_entries(F.collect_list(F.struct("_pos", F.coalesce("_anc_name", F.lit(""))))).alias("_names"))
-    joined = salted_left_join(rows, named, [*src, "_above"])
+    joined = rows.join(named, [*src, "_above"], "left")
 
     pairs = []
     for i, (level_uid, level_name) in enumerate(levels):

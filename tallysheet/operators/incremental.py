@@ -52,8 +52,7 @@ def group_members(facts: DataFrame, links: DataFrame, groups: Sequence[str], fac
     members = (
         links.where(F.col(quoted(group_col)).isin(*groups)).select(F.col(quoted(link_col)).alias(fact_col)).distinct()
     )
-    # A data element holding a third of the facts: the member set is broadcast when
-    # small (the usual case), salted otherwise - never one task per hot element.
+    # A data element holding a third of the facts is salted: never one task per hot element.
     return semi_join_keys(facts, members, [fact_col])
 
 

@@ -53,11 +53,3 @@ def semi_join_keys(big: DataFrame, keys: DataFrame, on: Sequence[str], anti: boo
     salted_big, salted_keys = _salted(big, keys.select(*[quoted(c) for c in on]), list(on), share, salts)
     joined = salted_big.join(salted_keys, [*on, "_salt"], "left_anti" if anti else "left_semi")
     return joined.select(*[quoted(c) for c in big.columns])
-
-
-def salted_left_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE,
-                     salts: int = SALTS) -> DataFrame:
-    """``big`` with the other columns of ``lookup``, whose ``on`` values are unique; NULLs find nothing."""
-    salted_big, salted_lookup = _salted(big, lookup, list(on), share, salts)
-    added = [c for c in lookup.columns if c not in on]
-    return salted_big.join(salted_lookup, [*on, "_salt"], "left").select(*[quoted(c) for c in [*big.columns, *added]])

@@ -12,6 +12,7 @@ from tallysheet.functions.keys import source_key
 from tallysheet.operators.quality import Rule, duplicate_keys, fk_violations, rule_violations
 from tallysheet.operators.schema_evolution import apply_plan, schema_plan
 from tallysheet.plans.registry import SOURCE_URL, register
+from tallysheet.session import bounded_rows
 from tallysheet.sources.tables import Tables
 
 AS_OF = "2024-01-31 00:00:00"
@@ -175,7 +176,7 @@ def wide_customers(t: Tables) -> DataFrame:
 
     Nations being renamed already have their uid and old-name columns.
     """
-    meta = nation_metadata(t).where(F.col("change") == "update").orderBy("n_nationkey").collect()
+    meta = bounded_rows(nation_metadata(t).where(F.col("change") == "update").orderBy("n_nationkey"), "renamed columns")
     earlier = []
     for r in meta:
         earlier += [F.lit("").alias(r["uid"]), F.lit("").alias(r["previous_name"].replace(" ", ""))]

@@ -19,7 +19,7 @@ from tallysheet.operators.upsert import (
     upsert,
 )
 from tallysheet.plans.registry import register
-from tallysheet.session import scratch_path
+from tallysheet.session import cut_lineage, scratch_path
 from tallysheet.sinks.files import append_rows
 from tallysheet.sources.sql_scan import query_frames
 from tallysheet.sources.tables import Tables
@@ -260,7 +260,8 @@ FROM ({_CHANGE_SQL}) s GROUP BY ALL""",
 )
 def q_reset_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     current, incoming = _customer_snapshots(Tables(spark, sf_dir))
-    staged = detect_changes(current, incoming, CUSTOMER_CHANGES)
+    # Staged once, as the table it is: the export and the reset read the same snapshot.
+    staged = cut_lineage(detect_changes(current, incoming, CUSTOMER_CHANGES).select("c_custkey", "change"))
     flushed = changed_rows(staged).select("c_custkey")  # what the export took
     after = reset_changes(staged.withColumnRenamed("change", "change_before").withColumn(
         "change", F.col("change_before")), ["c_custkey"], flushed)

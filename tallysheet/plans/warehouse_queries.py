@@ -16,6 +16,7 @@ from tallysheet.operators.ordering import global_ordinal
 from tallysheet.operators.upsert import changed_rows
 from tallysheet.operators.widen import fold_option_map, map_as_text, membership_flags, pivot_options
 from tallysheet.plans.registry import register
+from tallysheet.session import bounded_rows
 from tallysheet.sources.tables import Tables
 
 AS_OF = "2024-01-31 00:00:00"
@@ -265,7 +266,8 @@ def q_group_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = links.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "uid", "sourceid", F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("BR")).alias("group_uid")
     )
-    groups = [(r["category_uid"], r["category_name"]) for r in brand_dimension(t.part).orderBy("category_uid").collect()]
+    brands = bounded_rows(brand_dimension(t.part).orderBy("category_uid"), "groups")
+    groups = [(r["category_uid"], r["category_name"]) for r in brands]
     flags = membership_flags(links, ["uid", "sourceid"], groups, "group_uid")
     elements = t.supplier.select(F.col("s_suppkey").alias("uid"), F.col("s_name").alias("name"))
     return elements.join(flags, "uid").select(

@@ -1,8 +1,9 @@
 """Configuration as tables (O-07).
 
 Pipeline settings (facility code -> org unit, data element -> indicator ->
-combo) are small by construction; as DataFrames they join like any
-dimension and are broadcast, their size being the configuration's.
+combo) join like any dimension once they are DataFrames.  Spark sizes them itself
+(a local relation's size is known), so it broadcasts a usual one and shuffles
+a huge one.
 """
 
 from __future__ import annotations
@@ -10,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def config_table(spark: SparkSession, mapping: Mapping[str, str], key_col: str, value_col: str) -> DataFrame:
-    """A ``{key: value}`` setting as a broadcast two-column table."""
+    """A ``{key: value}`` setting as a two-column table."""
     rows = [(str(k), None if v is None else str(v)) for k, v in mapping.items()]
-    return F.broadcast(spark.createDataFrame(rows, f"`{key_col}` string, `{value_col}` string"))
+    return spark.createDataFrame(rows, f"`{key_col}` string, `{value_col}` string")
 
 
 def report_entries(spark: SparkSession, dataelements) -> DataFrame:
@@ -26,4 +26,4 @@ def report_entries(spark: SparkSession, dataelements) -> DataFrame:
         for de in dataelements
         for indicator, combo in de["category_option_combo"].items()
     ]
-    return F.broadcast(spark.createDataFrame(rows, "indicator string, dataElement string, categoryOptionCombo string"))
+    return spark.createDataFrame(rows, "indicator string, dataElement string, categoryOptionCombo string")

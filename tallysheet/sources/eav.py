@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallysheet.functions.casts import DTYPE_TAGS, try_number
+from tallysheet.session import bounded_rows
 from tallysheet.sinks.eav import CELLS_COL, PK_COL
 
 CELL = T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType())])
@@ -31,7 +32,7 @@ def column_tags(cells: DataFrame) -> dict[str, str]:
     pairs = cells.select(F.explode(F.map_entries(CELLS_COL)).alias("e")).select(
         F.col("e.key").alias("column"), F.col("e.value.type").alias("type")
     )
-    rows = pairs.groupBy("column").agg(F.max("type").alias("type")).collect()
+    rows = bounded_rows(pairs.groupBy("column").agg(F.max("type").alias("type")), "dump columns")
     return {r["column"]: r["type"] for r in rows}
 
 
