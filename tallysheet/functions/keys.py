@@ -32,12 +32,23 @@ def sanitize(name: str) -> str:
 def merge_named(columns: Iterable[tuple[str, Column]]) -> list[Column]:
     """One column per name, in order of first mention: a later non-NULL value wins, else an earlier one.
 
-    The one policy for generated names that meet (two metadata names that sanitise alike).
+    The one policy for generated names that meet (two metadata names that sanitise
+    alike); names are compared without case, as Spark resolves them.
     """
+    columns = list(columns)
     values: dict[str, list[Column]] = {}
     for name, value in columns:
-        values.setdefault(name, []).insert(0, value)
-    return [(vs[0] if len(vs) == 1 else F.coalesce(*vs)).alias(name) for name, vs in values.items()]
+        values.setdefault(name.lower(), []).insert(0, value)
+    merged = {key: vs[0] if len(vs) == 1 else F.coalesce(*vs) for key, vs in values.items()}
+    return [merged[name.lower()].alias(name) for name in merged_names(n for n, _ in columns)]
+
+
+def merged_names(names: Iterable[str]) -> list[str]:
+    """The names of ``merge_named``'s columns."""
+    first: dict[str, str] = {}
+    for name in names:
+        first.setdefault(name.lower(), name)
+    return list(first.values())
 
 
 def sanitize_col(col: Column) -> Column:

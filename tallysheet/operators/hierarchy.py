@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallysheet.functions.keys import merge_named, quoted, sanitize
+from tallysheet.functions.keys import merge_named, merged_names, quoted, sanitize
 from tallysheet.session import bounded_rows
 
 
@@ -83,4 +83,4 @@ def flatten_hierarchy(
             F.coalesce(F.try_element_at("_names", F.lit(i)), F.lit("")))
         pairs += [(level_uid, at), (level_name, F.when(at.isNotNull(), shown))]
     wide = joined.select(quoted(uid), quoted(name), *[quoted(k) for k in keep], "level", *merge_named(pairs))
-    return wide.fillna("", subset=[quoted(n) for n in dict.fromkeys(n for n, _ in pairs)]) if pairs else wide
+    return wide.fillna("", subset=[quoted(n) for n in merged_names(n for n, _ in pairs)]) if pairs else wide

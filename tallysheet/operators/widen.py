@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallysheet.functions.keys import merge_named, quoted, sanitize
+from tallysheet.functions.keys import merge_named, merged_names, quoted, sanitize
 
 
 def _head(carry: Sequence[str], order: str) -> Column:
@@ -89,7 +89,7 @@ def pivot_options(links: DataFrame, key: str | Sequence[str], categories: Sequen
         cell = F.col(f"_c{uids.index(uid)}")
         pairs += [(uid, cell.getField("u").cast("string")), (sanitize(name), cell.getField("n").cast("string"))]
     merged = wide.select(*keys, *cols, *merge_named(pairs))
-    return merged.fillna(fill, subset=[quoted(n) for n in dict.fromkeys(n for n, _ in pairs)])
+    return merged.fillna(fill, subset=[quoted(n) for n in merged_names(n for n, _ in pairs)])
 
 
 def membership_flags(links: DataFrame, key: str | Sequence[str], groups: Sequence[tuple[str, str]], group_uid: str,
@@ -107,5 +107,5 @@ def membership_flags(links: DataFrame, key: str | Sequence[str], groups: Sequenc
     for uid, name in groups:
         pairs += [(uid, F.col(f"_g{uids.index(uid)}")), (sanitize(name), F.col(f"_g{uids.index(uid)}"))]
     merged = wide.select(*keys, *merge_named(pairs))
-    names = [quoted(n) for n in dict.fromkeys(n for n, _ in pairs)]
+    names = [quoted(n) for n in merged_names(n for n, _ in pairs)]
     return merged.fillna(fill, subset=names) if names else merged

@@ -247,19 +247,71 @@ def load_dimension(spark: SparkSession, path: str, rows: DataFrame, plan: DataFr
     return commit(cluster_for_write(table, list(cluster_by or keys)), path)
 
 
+def _pending(*snapshots: DataFrame) -> bool:
+    return any(not is_empty(changed_rows(df)) for df in snapshots)
+
+
+def _reset_exported(spark: SparkSession, store: str, snapshots: Mapping[str, DataFrame],
+                    keys: Sequence[str] = ("uid", "sourceid")) -> None:
+    """Reset exactly the rows that were pending in the exported snapshots; rows that changed since stay pending."""
+    for table, snapshot in snapshots.items():
+        path = f"{store}/{table}"
+        commit(reset_changes(read_latest(spark, path), keys, changed_rows(snapshot)), path)
+
+
 def export_orgunits(spark: SparkSession, store: str, warehouse: str) -> int | None:
     """One warehouse load of the org-unit dimension: plan, flatten, load, then reset what was exported.
 
-    Works on one snapshot of the staged tables and resets exactly its rows, so rows
-    that change meanwhile stay pending.  Returns the warehouse version (None: nothing pending).
+    Works on one snapshot of the staged tables.  Returns the warehouse version (None: nothing pending).
     """
     units, levels = read_latest(spark, f"{store}/organisationunit"), read_latest(spark, f"{store}/orgunitlevel")
-    if is_empty(changed_rows(units)) and is_empty(changed_rows(levels)):
+    if not _pending(units, levels):
         return None
     plan, rows = orgunit_dimension(units, levels)
     version = load_dimension(spark, f"{warehouse}/organisationunit", rows, plan, ["uid", "sourceid"])
-    for table, frame, keys in (("organisationunit", units, ["uid", "sourceid"]), ("orgunitlevel", levels, ["uid", "sourceid"])):
-        commit(reset_changes(read_latest(spark, f"{store}/{table}"), keys, changed_rows(frame)), f"{store}/{table}")
+    _reset_exported(spark, store, {"organisationunit": units, "orgunitlevel": levels})
+    return version
+
+
+def export_categories(spark: SparkSession, store: str, warehouse: str, as_of: str) -> int | None:
+    """One warehouse load of the category dimension.
+
+    A pending category changes columns, so every combo is exported; else those of the pending options are.
+    """
+    names = ["categoryoptioncombo", "categoryoptioncombo_categoryoptions", "dataelementcategoryoption",
+             "dataelementcategory_categoryoption", "dataelementcategory"]
+    combos, combo_options, options, category_options, categories = (read_latest(spark, f"{store}/{n}") for n in names)
+    if not _pending(combos, options, categories):
+        return None
+    partial = None if _pending(combos, categories) else "options"
+    rows = category_dimension(combos, combo_options, options, category_options, categories, as_of, changed_only=partial)
+    version = load_dimension(spark, f"{warehouse}/category", rows, category_plan(categories),
+                             ["categoryoptioncomboid", "sourceid"])
+    _reset_exported(spark, store, {names[0]: combos, names[2]: options, names[4]: categories})
+    return version
+
+
+def export_dataelements(spark: SparkSession, store: str, warehouse: str, as_of: str) -> int | None:
+    """One warehouse load of the data-element dimension (a full export, as its flags have no change status)."""
+    elements, links, groups = (read_latest(spark, f"{store}/{n}")
+                               for n in ("dataelement", "dataelement_dataelementgroup", "dataelementgroup"))
+    if not _pending(elements, groups):
+        return None
+    rows = dataelement_dimension(elements, links, groups, as_of)
+    version = load_dimension(spark, f"{warehouse}/dataelement", rows, dataelement_plan(groups), ["uid", "sourceid"])
+    _reset_exported(spark, store, {"dataelement": elements, "dataelementgroup": groups})
+    return version
+
+
+def export_data_sources(spark: SparkSession, store: str, warehouse: str) -> int | None:
+    """One warehouse load of the data-source table: pending rows are inserted or overwrite their key."""
+    staged = read_latest(spark, f"{store}/data_source")
+    if not _pending(staged):
+        return None
+    path = f"{warehouse}/data_source"
+    stored = read_latest(spark, path, staged.drop("change").schema)
+    version = commit(cluster_for_write(data_source_dimension(stored, staged), ["id"]), path)
+    _reset_exported(spark, store, {"data_source": staged}, ["id"])
     return version
 
 
@@ -372,6 +424,9 @@ __all__ = [
     "data_source_rows",
     "dataelement_dimension",
     "dataelement_plan",
+    "export_categories",
+    "export_data_sources",
+    "export_dataelements",
     "export_orgunits",
     "load_dimension",
     "rejected_rows",

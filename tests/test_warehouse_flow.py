@@ -18,6 +18,10 @@ from tallysheet.plans.flows import (
     _staged_schema,
     category_dimension,
     dataelement_dimension,
+    data_source_rows,
+    export_categories,
+    export_data_sources,
+    export_dataelements,
     export_orgunits,
     load_data_values,
     read_data_values,
@@ -132,6 +136,8 @@ def test_pivots_survive_name_collisions(spark):
     assert row.asDict() == {"key": "k", "a": "o1", "G1": "Two", "b": "o2"}  # the later name wins
     flags = membership_flags(links, "key", [("a", "G 1"), ("z", "G1")], "cat").first()
     assert flags.asDict() == {"key": "k", "a": "t", "G1": "t", "z": ""}
+    cased = membership_flags(links, "key", [("a", "Both"), ("b", "BOTH"), ("z", "A")], "cat").first()
+    assert cased.asDict() == {"key": "k", "a": "t", "Both": "t", "b": "t", "z": ""}
 
 
 def test_null_partitions_survive_a_merge(spark):
@@ -171,6 +177,58 @@ def test_warehouse_load_over_two_runs(spark, tmp_dir):
     assert vacuum(spark, f"{store}/organisationunit", keep=1) and read_latest(spark, f"{store}/organisationunit").count() == 3
 
 
+def test_category_and_element_loads_over_two_runs(spark, tmp_dir):
+    store, warehouse = f"{tmp_dir}/store", f"{tmp_dir}/warehouse"
+    as_of = "2024-01-01 00:00:00"
+
+    def stage(table, rows, columns, keys=("uid", "sourceid"), previous=False):
+        df = spark.createDataFrame([(*r, "A") for r in rows], ", ".join(f"{c} string" for c in (*columns, "sourceid")))
+        if "change" not in columns and "uid" in columns:
+            df = df.withColumn("change", F.lit("insert"))
+        if previous:
+            df = df.withColumn("previous_name", F.lit(None).cast("string"))
+        commit(df, f"{store}/{table}")
+
+    stage("categoryoptioncombo", [("k1", "Young male"), ("k2", "Old male")], ["uid", "name"])
+    stage("categoryoptioncombo_categoryoptions", [("k1", "y"), ("k1", "m"), ("k2", "o"), ("k2", "m")],
+          ["category_option_combo_id", "category_option_id"])
+    stage("dataelementcategoryoption", [("y", "Young"), ("o", "Old"), ("m", "Male")], ["uid", "name"])
+    stage("dataelementcategory_categoryoption", [("age", "y"), ("age", "o"), ("sex", "m")], ["category_id", "categoryoption_id"])
+    stage("dataelementcategory", [("age", "Age Band"), ("sex", "Gender")], ["uid", "name"], previous=True)
+    assert export_categories(spark, store, warehouse, as_of) == 0
+    assert export_categories(spark, store, warehouse, as_of) is None
+    table = read_latest(spark, f"{warehouse}/category")
+    got = {r["categoryoptioncomboid"]: (r["age"], r["AgeBand"], r["sex"], r["Gender"]) for r in table.collect()}
+    assert got == {"k1": ("y", "Young", "m", "Male"), "k2": ("o", "Old", "m", "Male")}
+
+    # an option is renamed: only its combos are exported; then a category is: its column is renamed
+    options = read_latest(spark, f"{store}/dataelementcategoryoption")
+    y = F.col("uid") == "y"
+    commit(options.withColumn("name", F.when(y, "Child").otherwise(F.col("name"))).withColumn(
+        "change", F.when(y, "update").otherwise(F.col("change"))), f"{store}/dataelementcategoryoption")
+    assert export_categories(spark, store, warehouse, as_of) == 1
+    categories = read_latest(spark, f"{store}/dataelementcategory")
+    age = F.col("uid") == "age"
+    commit(categories.withColumn("previous_name", F.when(age, F.col("name"))).withColumn(
+        "name", F.when(age, "Years").otherwise(F.col("name"))).withColumn(
+        "change", F.when(age, "update").otherwise(F.col("change"))), f"{store}/dataelementcategory")
+    assert export_categories(spark, store, warehouse, as_of) == 2
+    table = read_latest(spark, f"{warehouse}/category")
+    assert "AgeBand" not in table.columns
+    assert {r["categoryoptioncomboid"]: r["Years"] for r in table.collect()} == {"k1": "Child", "k2": "Old"}
+
+    stage("dataelement", [("e1", "Element"), ("e2", "Other")], ["uid", "name"])
+    stage("dataelement_dataelementgroup", [("e1", "g")], ["dataelement_id", "group_id"])
+    stage("dataelementgroup", [("g", "Group One")], ["uid", "name"], previous=True)
+    assert export_dataelements(spark, store, warehouse, as_of) == 0
+    assert export_dataelements(spark, store, warehouse, as_of) is None
+    assert [(r["uid"], r["GroupOne"]) for r in read_latest(spark, f"{warehouse}/dataelement").collect()] == [("e1", "t")]
+
+    commit(data_source_rows(spark, None, URL, "Source"), f"{store}/data_source")
+    assert export_data_sources(spark, store, warehouse) == 0 and export_data_sources(spark, store, warehouse) is None
+    assert [r["title"] for r in read_latest(spark, f"{warehouse}/data_source").collect()] == ["Source"]
+
+
 def test_read_latest_adds_columns_of_the_schema(spark, tmp_dir):
     commit(spark.createDataFrame([(1,)], "k int"), f"{tmp_dir}/t")
     wanted = spark.createDataFrame([], "k int, code string").schema
