@@ -19,7 +19,8 @@ map over whole texts without a shuffle.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is
 everything if nothing could be learned; with a single language the margin is 1;
-equal totals go to the alphabetically first language; repeated rows each get the same
+equal totals (a few words that no dictionary tells apart) go to the language with more
+documents; repeated rows each get the same
 result; other columns are ignored.
 """
 
@@ -49,7 +50,7 @@ def normalise(text: str) -> bytes:
 
 
 def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> dict[str, bytes]:
-    """The dictionary of each language."""
+    """The dictionary of each language, the one with most documents first."""
     known = documents.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id"))
     counts = known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
@@ -66,14 +67,15 @@ def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> dict[str, b
         held = out.get(row["lang"], b"")
         if len(held) < DICTIONARY:
             out[row["lang"]] = held + normalise(row["text"])[:DICTIONARY - len(held)] + b" "
-    return {k: v for k, v in out.items() if len(v) >= 8}
+    size = {r["lang"]: r["count"] for r in counts}
+    return {k: out[k] for k in sorted(out, key=lambda k: (-size[k], k)) if len(out[k]) >= 8}
 
 
 class Classifier:
     """Compressors by language; one of these lives in each task."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.names = sorted(dictionaries)
+        self.names = list(dictionaries)
         self.compressors = []
         for name in self.names:
             d = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
