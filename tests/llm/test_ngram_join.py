@@ -116,3 +116,12 @@ def test_query_equals_brute_force(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     rows = QUERIES["op7_ngram_join"](spark, sf).collect()
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in rows) == brute(docs)
+
+
+def test_documents_without_an_id(spark, documents_of):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = [(None, text), (None, text), (7, text + " end"), (8, "something else entirely"), (None, None)]
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in J.similarity_classes(documents_of(docs)).collect()), key=str)
+    assert got == sorted([(None, 7, 2), (None, 7, 2), (7, 7, 2), (8, 8, 0), (None, None, 0)], key=str)
+    kept = J.one_of_each(documents_of(docs)).collect()
+    assert {r.doc_id for r in kept} >= {7, 8} and any(r.text is None for r in kept)
