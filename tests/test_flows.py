@@ -201,14 +201,14 @@ def test_data_source_seed_and_export(spark):
     from tallysheet.operators.changes import reset_changes
     from tallysheet.plans.flows import data_source_dimension, data_source_rows
 
-    staged = data_source_rows(spark, None, URL, "HMIS")
-    again = data_source_rows(spark, staged, URL, "HMIS")  # seeding twice keeps one row
+    staged = data_source_rows(spark, None, URL, "Main source")
+    again = data_source_rows(spark, staged, URL, "Main source")  # seeding twice keeps one row
     assert again.count() == 1
     empty = spark.createDataFrame([], "id string, title string, url string, description string")
     warehouse = data_source_dimension(empty, again)
-    assert [(r["url"], r["title"]) for r in warehouse.collect()] == [(URL, "HMIS")]
-    renamed = reset_changes(again).withColumn("title", F.lit("HMIS 2")).withColumn("change", F.lit("update"))
-    assert [r["title"] for r in data_source_dimension(warehouse, renamed).collect()] == ["HMIS 2"]
+    assert [(r["url"], r["title"]) for r in warehouse.collect()] == [(URL, "Main source")]
+    renamed = reset_changes(again).withColumn("title", F.lit("Main source 2")).withColumn("change", F.lit("update"))
+    assert [r["title"] for r in data_source_dimension(warehouse, renamed).collect()] == ["Main source 2"]
 
 
 def test_fact_load_only_leaf_units_and_empty_slice(spark, tmp_dir):
