@@ -73,7 +73,28 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("text", 256).alias("text_sha256"))
 
 
-@register("op7_ngram_join")
+@register("op7_ngram_join", oracle=r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS s FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING count(*) >= 0.8 * (na.n + nb.n - count(*)) - 1e-9
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), sets AS (SELECT doc_id, md5(string_agg(gram, chr(1) ORDER BY gram)) AS k FROM g GROUP BY doc_id
+), copies AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS copy_of, count(*) OVER (PARTITION BY k) AS n_copies FROM sets
+)
+SELECT w.doc_id, least(w.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = w.doc_id), w.doc_id)) AS class_id,
+       (SELECT count(*) FROM links WHERE a = w.doc_id) AS n_links, coalesce(copy_of, w.doc_id) AS copy_of,
+       coalesce(n_copies, 1) AS n_copies
+FROM w LEFT JOIN copies USING (doc_id)
+""")
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
