@@ -4,15 +4,24 @@ A *window* is the shortest stretch of non-blank lines, from some line on, that
 holds ``MIN_LINES`` lines or ``MIN_WORDS`` words.  A window is *repeated* if
 the same lines stand at an earlier place, places being ordered by ``(doc_id,
 line)``.  Every line of a repeated window goes; overlapping windows join into
-runs, so a later copy of a run of any length goes whole and its first
-occurrence stays.  Inside one document only lines behind the earlier window go.
+runs.  A run may end with short lines that no window inside it holds (behind a
+line of ``MIN_WORDS`` words, or at the end of the text).  With ``whole_runs``, as
+the query and the pipeline have it, each window is extended over them as far as
+the same lines follow at an earlier place: a later copy of a run of any length
+that holds a window goes whole, and its first occurrence stays.  Without it
+windows alone count.  Inside one document only lines behind the earlier place go.
 
 Method.  The fingerprint of a window is its least line hash (the rightmost of
 equal ones).  Equal windows have equal fingerprints, so only fingerprints that
 occur more than once are followed: at each of their positions the match is
 extended both ways through the windows around it, which are compared by a hash
-of all their lines.  Every repeated window is found, none is reported wrongly
-(128-bit hashes), and text that shares nothing is left after the first step.
+of all their lines.  To the left a run needs no extension, as a window starts at
+each of its lines.  To the right a window is followed by its *stretches*, which
+start with it and end before the window of the next line does; each has a hash of
+its own, so any earlier place can match, not only the window's first.  Starts and
+ends only grow, so a text has at most one stretch per line besides its windows.
+Every repeated window and stretch is found, none is reported wrongly (128-bit
+hashes), and text that shares nothing is left after the first step.
 
 Scale: the first pass is a map over texts; only hashes and positions are
 shuffled.  Counting a fingerprint and finding a window's first place are
@@ -45,7 +54,7 @@ _OCCURRENCE = pa.schema([
 
 
 def line_windows(text: str, min_lines: int, min_words: int):
-    """``[(start, end, h1, h2, fingerprint position)]`` and the line hashes, over the non-blank lines."""
+    """``[(start, end, h1, h2, fingerprint position)]``, the line hashes and the digests, over the non-blank lines."""
     lines = [s for s in (x.strip() for x in text.split("\n")) if s]
     digest = [xxhash.xxh3_128_digest(s.encode("utf-8", "surrogatepass")) for s in lines]
     hashes = [int.from_bytes(x[:8], "little", signed=True) for x in digest]
@@ -64,23 +73,40 @@ def line_windows(text: str, min_lines: int, min_words: int):
         out.append((start, end, int.from_bytes(whole[:8], "little", signed=True),
                     int.from_bytes(whole[8:], "little", signed=True), least))
         total -= words[start]
-    return out, hashes
+    return out, hashes, digest
 
 
-def _occurrences(documents: DataFrame, min_lines: int, min_words: int) -> DataFrame:
+def stretches(wins, digest, i: int) -> list[dict]:
+    """Window ``i`` and those longer ones from its start on that end before the next window does."""
+    start, end, h1, h2, _ = wins[i]
+    out = [{"s": start, "e": end, "h1": h1, "h2": h2}]
+    upto = wins[i + 1][1] if i + 1 < len(wins) else len(digest) + 1
+    if end + 1 < upto:
+        state = xxhash.xxh3_128(b"".join(digest[start:end]))
+        for e in range(end, upto - 1):
+            state.update(digest[e])
+            whole = state.digest()
+            out.append({"s": start, "e": e + 1, "h1": int.from_bytes(whole[:8], "little", signed=True),
+                        "h2": int.from_bytes(whole[8:], "little", signed=True)})
+    return out
+
+
+def _occurrences(documents: DataFrame, min_lines: int, min_words: int, whole_runs: bool) -> DataFrame:
     """A row for each fingerprint position: ``(doc_id, fp, windows that hold the position)``."""
     def per_batch(batches):
         for batch in batches:
             for doc_id, tk, text in zip(*(batch.column(i) for i in range(3))):
                 if not text.is_valid:
                     continue
-                wins, hashes = line_windows(text.as_py(), min_lines, min_words)
+                wins, hashes, digest = line_windows(text.as_py(), min_lines, min_words)
                 rows = []
                 for p in sorted({w[4] for w in wins}):
                     # windows start at each line and have min_lines lines at most
-                    near = [w for w in wins[max(0, p - min_lines + 1):p + 1] if w[0] <= p < w[1]]
-                    rows.append({"doc_id": doc_id.as_py(), "tk": tk.as_py(), "fp": hashes[p],
-                                 "wins": [{"s": s, "e": e, "h1": a, "h2": b} for s, e, a, b, _ in near]})
+                    near = [i for i in range(max(0, p - min_lines + 1), min(p + 1, len(wins))) if p < wins[i][1]]
+                    # a stretch repeats only where its window does, so the window's own position names it
+                    found = [x for i in near
+                             for x in stretches(wins, digest, i)[:None if whole_runs and wins[i][4] == p else 1]]
+                    rows.append({"doc_id": doc_id.as_py(), "tk": tk.as_py(), "fp": hashes[p], "wins": found})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_OCCURRENCE)
 
@@ -92,12 +118,13 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tk"), "text")
 
 
-def repeated_ranges(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_ranges(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS,
+                    whole_runs: bool = False) -> DataFrame:
     """``(doc_id, tk, ranges)``: the ``[s, e)`` ranges of non-blank lines that repeat an earlier run.
 
     ``tk`` is the hash of the text: it parts rows with one ``doc_id`` but different texts.
     """
-    occ = staged(_occurrences(documents, min_lines, min_words), "line-fingerprints")
+    occ = staged(_occurrences(documents, min_lines, min_words, whole_runs), "line-fingerprints")
     # Staged, so that the join deals both sides anew and Spark can split a hot fingerprint.
     shared = staged(occ.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "line-shared")
     around = (occ.join(shared, "fp", "left_semi").select("doc_id", "tk", F.explode("wins").alias("w"))
@@ -135,12 +162,13 @@ def drop_ranges(text: str, ranges) -> tuple[str, int]:
     return "\n".join(out + held), n
 
 
-def dedup(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS,
+          whole_runs: bool = False) -> DataFrame:
     """``(documents' columns as struct row, text, n_lines, n_gone)``: later repeated runs are deleted from ``text``.
 
     ``n_lines`` counts the non-blank lines, ``n_gone`` those that went.
     """
-    found = repeated_ranges(documents, min_lines, min_words)
+    found = repeated_ranges(documents, min_lines, min_words, whole_runs)
     rows = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"))
     rows = rows.withColumn("tk", F.xxhash64("row.text"))
     same = F.col("row.doc_id").cast("long").eqNullSafe(found.doc_id) & (rows.tk == found.tk)
@@ -158,5 +186,5 @@ def dedup(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
 
 def clean_documents(documents: DataFrame) -> DataFrame:
     """``documents`` without later repeated runs; those that lose every line go. Columns unchanged."""
-    done = dedup(documents).where("n_gone = 0 or n_gone < n_lines")
+    done = dedup(documents, whole_runs=True).where("n_gone = 0 or n_gone < n_lines")
     return done.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns])

@@ -68,7 +68,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_line_dedup")
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), whole_runs=True)
     return done.select("row.doc_id", "n_lines", "n_gone", F.length("text").cast("long").alias("n_chars_left"),
                        F.sha2("text", 256).alias("text_sha256"))
 

@@ -89,3 +89,46 @@ def test_stage_and_empty_table(spark, documents_of):
     assert out.columns == df.columns
     assert {r.doc_id: r.text for r in out.collect()} == {1: "a\nb\nc", 3: "d", 4: None}
     assert L.clean_documents(documents_of([])).count() == 0
+
+
+def brute_runs(docs, min_lines, min_words):
+    """Every pair of places, extended line by line as far as they agree; the numbers of the lines that go."""
+    gone, texts = {}, [(d, lines(t)) for d, t in sorted(docs, key=lambda d: d[0])]
+    for j, (doc_id, late) in enumerate(texts):
+        for i, (_, early) in enumerate(texts[:j + 1]):
+            for q in range(len(late)):
+                for p in range(q if i == j else len(early)):
+                    n = words = 0
+                    while q + n < len(late) and p + n < len(early) and late[q + n] == early[p + n]:
+                        words += len(late[q + n].split())
+                        n += 1
+                        if n >= min_lines or words >= min_words:
+                            gone.setdefault(doc_id, set()).update(range(max(q, p + n) if i == j else q, q + n))
+    return gone
+
+
+@pytest.mark.parametrize("seed,min_lines", [(1, 3), (2, 4)])
+def test_whole_runs_equal_brute_force(spark, documents_of, seed, min_lines):
+    rng = random.Random(seed)
+    docs = []
+    for i in range(100):
+        ls = [rng.choice("abcdefghijklmnopqr") + " w" * rng.choice([0, 0, 12, 30, 60]) for _ in range(rng.randint(0, 12))]
+        if docs and rng.random() < 0.6:
+            source = rng.choice(docs)[1].split("\n")
+            cut = rng.randint(0, len(source))
+            ls[3:3] = source[cut:cut + rng.randint(1, 8)]
+        docs.append((i, "\n".join(ls)))
+    docs += [(200 + i, docs[i][1]) for i in range(0, 100, 3)]  # exact copies go whole
+    gone, windows = brute_runs(docs, min_lines, 50), brute(docs, min_lines, 50)
+    got = run(documents_of(docs), min_lines=min_lines, whole_runs=True)
+    for doc_id, text in docs:
+        ls, out = lines(text), gone.get(doc_id, set())
+        assert got[doc_id] == ([x for i, x in enumerate(ls) if i not in out], len(ls), len(out)), doc_id
+    assert sum(map(len, gone.values())) > sum(map(len, windows.values())) + 10
+
+
+def test_stage_drops_copies_that_end_with_short_lines(spark, documents_of):
+    long = " ".join(f"w{i}" for i in range(51))
+    docs = [(1, f"{long}\nshort\nend"), (2, f"{long}\nshort\nend"), (3, f"own\n{long}\nshort\nother"), (4, f"{long}\nend")]
+    got = {r.doc_id: lines(r.text) for r in L.clean_documents(documents_of(docs)).collect()}
+    assert got == {1: [long, "short", "end"], 3: ["own", "other"], 4: ["end"]}
