@@ -1,8 +1,12 @@
 """Secret scan with a random forest for false-positive removal (DataFrame functions only).
 
-Findings are blank-delimited tokens of at least ``MIN_LENGTH`` characters that hold
-a digit, the format of an access key, or a key word such as ``password`` with a value behind ``=`` or ``:``.  Each is
-described by
+Findings come from blank-delimited tokens.  A token that holds several assignments
+(compact JSON, a query string) is cut in front of each, at ``&``, ``,``, ``;``, ``?``, ``#`` or an
+opening bracket.  A part is a finding if it has ``MIN_LENGTH`` characters and a digit,
+holds the format of an access key, or is a value of any length and any characters
+assigned (``=`` or ``:``) to a key word such as ``password``, in its own token or the ones
+before; a token of ``MIN_LENGTH`` none of whose parts is one counts whole.  What is
+no secret is left to the forest.  Each finding is described by
 
 * length, and the shares of digits, upper case, hexadecimal and other characters;
 * character transitions: changes between character classes per character, and the
@@ -25,8 +29,10 @@ count in how many documents the findings' letter runs stand alone; those runs ar
 broadcast if at most ``MAX_BROADCAST`` were counted, else both sides are shuffled.  All
 counts combine on the map side.
 
-Defined cases: null and empty texts have no findings; a token found twice in a text
-gives two findings; repeated rows give repeated findings, which count as one document
+Defined cases: null and empty texts have no findings; a value in quotes ends at its
+first blank; a separator inside a value cuts it only in front of another assignment;
+a part cut out of a token has no neighbours but those in the text on its own side;
+a token found twice in a text gives two findings; repeated rows give repeated findings, which count as one document
 in the dictionary; with labels of one class only, or none, the score is the
 share of label 1 (0 with none) instead of a forest's.
 """
@@ -51,6 +57,15 @@ MAX_BROADCAST = 1_000_000
 TREES, DEPTH, SEED = 20, 6, 7
 KEY_WORDS = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|auth|bearer|credential)"
 
+#: A name with ``=`` or ``:`` and a value behind it; the scheme of an address is no name.
+NAME = r"[A-Za-z_.\-][A-Za-z0-9_.\-]*+"
+ASSIGNMENT = NAME + r"[\"']?[:=]++>?(?!//)(?=[^\s])"
+OPENING = r"[(\"'\[{<]*"
+#: Separators in front of an assignment; from the first of a run on, so long runs are read once.
+CUT = r"(?<![&,;?#{\[(])[&,;?#{\[(]++(?=[(\"'\[{<]{0,8}+" + ASSIGNMENT + ")"
+KEY_NAME = KEY_WORDS + r"[A-Za-z0-9_.\-]*[\"']?"
+ENDS_ASSIGNED = KEY_NAME + r"[:=]+>?[\"'(\[{]*$"
+
 #: Formats of access-key ids and platform tokens.
 KEY_FORMAT = r"\b((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})\b"
 
@@ -65,24 +80,59 @@ def _share(value: Column, keep: str) -> Column:
 
 def findings(documents: DataFrame) -> DataFrame:
     """``(doc_id, pos, token, before2, before, behind, key, value)``; ``pos`` is the token's number in its text."""
-    def candidate(w: Column) -> Column:
+    def is_long(w: Column) -> Column:
         return (F.length(w) >= MIN_LENGTH) & (w.rlike("[0-9]") | w.rlike(KEY_FORMAT) | w.rlike(KEY_WORDS + r"[A-Za-z_]*[\"']?[:=].{4,}"))
 
+    def has_sign(w: Column) -> Column:
+        return F.contains(w, F.lit(":")) | F.contains(w, F.lit("="))
+
+    def follows(before2: Column, before: Column) -> Column:
+        """Whether the tokens before assign to a key word; the cheap test for a sign comes first."""
+        return (has_sign(before) & (before.rlike(ENDS_ASSIGNED) | (before.rlike(r"^[:=]+>?[\"']*$") & before2.rlike(KEY_NAME + "$")))) | (
+            has_sign(before2) & before2.rlike(ENDS_ASSIGNED) & before.rlike(r"(?i)^[\"']?(bearer|basic|token)$"))
+
+    def at(i: Column) -> Column:
+        return F.coalesce(F.get("tokens", i), F.lit(""))
+
+    def candidate(i: Column) -> Column:
+        w = at(i)
+        return is_long(w) | (has_sign(w) & w.rlike(KEY_NAME + r"[:=]+>?[^\s]")) | follows(at(i - 2), at(i - 1))
+
     rows = documents.select("doc_id", F.split(F.coalesce("text", F.lit("")), r"\s+").alias("tokens"))
     rows = rows.withColumn("n", F.size("tokens"))
-    rows = rows.withColumn("at", F.filter(F.sequence(F.lit(0), F.col("n") - 1),
-                                          lambda i: candidate(F.get("tokens", i))))
+    rows = rows.withColumn("at", F.filter(F.sequence(F.lit(0), F.col("n") - 1), candidate))
     # An outer generator: no filter on the array is inferred and evaluated twice.
     rows = rows.select("doc_id", "tokens", F.explode_outer("at").alias("pos")).where("pos is not null")
-
-    def near(i: int) -> Column:
-        return F.coalesce(F.get("tokens", F.col("pos") + i), F.lit(""))
-
-    rows = rows.select("doc_id", "pos", near(0).alias("token"), near(-2).alias("before2"), near(-1).alias("before"),
-                       near(1).alias("behind"))
-    key = F.regexp_extract("token", r"^[(\"'\[{<]*([A-Za-z_.\-]+)[\"']?[:=]", 1)
-    value = F.regexp_replace("token", r"^[(\"'\[{<]*([A-Za-z_.\-]+[\"']?[:=]+)?[\"'(]*", "")
-    return rows.withColumn("key", key).withColumn("value", F.regexp_replace(value, r"[\"'\])}>,;.!?:]+$", ""))
+    rows = rows.select("doc_id", "pos", *[at(F.col("pos") + i).alias(n) for n, i in (
+        ("token", 0), ("before2", -2), ("before", -1), ("behind", 1))])
+
+    def part(w: Column) -> Column:
+        key = F.regexp_extract(w, f"^{OPENING}({NAME})[\"']?[:=]++>?(?!//)(?=[^\\s])", 1)
+        value = F.regexp_replace(w, f"^{OPENING}({ASSIGNMENT})?[\"'(\\[{{]*", "")
+        return F.struct(w.alias("part"), key.alias("key"), F.regexp_replace(value, r"(?<![\"'\])}>,;.!?:])[\"'\])}>,;.!?:]++$", "").alias("value"))
+
+    parts = F.split(F.regexp_replace("token", CUT, "\x1f"), "\x1f")
+    rows = rows.withColumn("parts", F.transform(parts, part))
+    followed = follows(F.col("before2"), F.col("before"))
+
+    def first(i: Column) -> Column:
+        return F.forall(F.slice("parts", 1, i), lambda x: x["part"] == "")
+
+    def kept(x: Column, i: Column) -> Column:
+        return (x["value"] != "") & (is_long(x["part"]) | x["key"].rlike(KEY_WORDS) | (followed & first(i)))
+
+    # Only the first part has the words before as neighbours, only the last part those behind.
+    numbered = F.transform("parts", lambda x, i: F.struct(
+        x["key"].alias("key"), x["value"].alias("value"), kept(x, i).alias("kept"),
+        first(i).alias("first"), (i == F.size("parts") - 1).alias("last")))
+    rows = rows.withColumn("found", F.filter(numbered, lambda x: x["kept"]))
+    whole = F.struct(part(F.col("token"))["key"].alias("key"), part(F.col("token"))["value"].alias("value"), F.lit(True).alias("kept"),
+                     F.lit(True).alias("first"), F.lit(True).alias("last"))
+    rows = rows.withColumn("found", F.when(F.size("found") > 0, F.col("found")).when(is_long(F.col("token")), F.array(whole)))
+    rows = rows.select("doc_id", "pos", "token", "before2", "before", "behind", F.explode_outer("found").alias("x")).where("x is not null")
+    return rows.select("doc_id", "pos", "token",
+                       *[F.when(F.col(f"x.{side}"), F.col(n)).otherwise("").alias(n) for n, side in (
+                           ("before2", "first"), ("before", "first"), ("behind", "last"))], "x.key", "x.value")
 
 
 def _dictionary(documents: DataFrame, runs: DataFrame, max_broadcast: int) -> DataFrame:
@@ -116,7 +166,7 @@ def featured(documents: DataFrame, found: DataFrame, max_broadcast: int = MAX_BR
         F.contains("token", F.lit("://")).cast("double").alias("scheme"),
         nearby.rlike(KEY_WORDS).cast("double").alias("key_before"),
         F.col("behind").rlike(KEY_WORDS).cast("double").alias("key_behind"),
-        ((F.col("key") != "") | F.col("before").isin("=", ":")).cast("double").alias("assigned"),
+        ((F.col("key") != "") | F.col("before").rlike("[:=]>?[\"'(]*$")).cast("double").alias("assigned"),
         F.col("token").rlike("[\"']").cast("double").alias("quoted"))
     parts = F.array_distinct(F.filter(F.split(F.lower(value), "[^a-z]+"), lambda r: F.length(r) >= 3))
     values = found.select("value").distinct()
@@ -147,7 +197,7 @@ def scan(documents: DataFrame, max_train: int = MAX_TRAIN, max_broadcast: int =
     found = staged(findings(documents), "secret-findings")
     rows = staged(labelled(featured(documents, found, max_broadcast)), "secret-features")
     train = rows.where(F.col("label").isNotNull() & ~held_out("doc_id"))
-    train = train.orderBy(F.xxhash64("doc_id", "pos"), "doc_id", "pos", "value").limit(max_train)
+    train = train.orderBy(F.xxhash64("doc_id", "pos"), "doc_id", "pos", "value", "key").limit(max_train)
     # One partition of at most max_train short rows, in a fixed order: the forest is the same each time.
     train = staged(train.select("label", *FEATURES).coalesce(1), "secret-training")
     sizes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
