@@ -5,8 +5,10 @@ Findings come from blank-delimited tokens.  A token that holds several assignmen
 opening bracket.  A part is a finding if it has ``MIN_LENGTH`` characters and a digit,
 holds the format of an access key, or is a value of any length and any characters
 assigned (``=`` or ``:``) to a key word such as ``password``, in its own token or the ones
-before; a token of ``MIN_LENGTH`` none of whose parts is one counts whole.  What is
-no secret is left to the forest.  Each finding is described by
+before; a token of ``MIN_LENGTH`` none of whose parts is one counts whole.  The
+password of an address (``://user:password@``) is a finding of its own with the key
+``password``, a lone ``://user@`` one without key if it is long or a key.  What is no
+secret is left to the forest.  Each finding is described by
 
 * length, and the shares of digits, upper case, hexadecimal and other characters;
 * character transitions: changes between character classes per character, and the
@@ -19,7 +21,7 @@ no secret is left to the forest.  Each finding is described by
 A random forest (MLlib) trained on labelled findings scores all of them.  The given
 tables label no findings, so ``labelled`` derives labels from formats that can be
 checked by themselves (access-key ids and assigned hexadecimal values against
-addresses, card numbers and plain numbers); everything else is unlabelled and gets
+addresses without password or key-word parameter, card numbers and plain numbers); everything else is unlabelled and gets
 the forest's verdict.  The forest sees the features only.  It is trained on
 ``MAX_TRAIN`` labelled findings at most, chosen by a hash, from documents whose
 ``crc32(doc_id) mod 5`` is not 0.
@@ -66,6 +68,10 @@ CUT = r"(?<![&,;?#{\[(])[&,;?#{\[(]++(?=[(\"'\[{<]{0,8}+" + ASSIGNMENT + ")"
 KEY_NAME = KEY_WORDS + r"[A-Za-z0-9_.\-]*[\"']?"
 ENDS_ASSIGNED = KEY_NAME + r"[:=]+>?[\"'(\[{]*$"
 
+#: The user and the password of an address, and an address that holds a password or a parameter named by a key word.
+LOGIN = r"://([^/?#@:\s]*+)(?::([^/?#\s]*))?@"
+CREDENTIALS = r"://[^/?#@:\s]*+:[^/?#\s]*@|://[^\s]*?[?&;#][A-Za-z0-9_.\-]*" + KEY_NAME + "="
+
 #: Formats of access-key ids and platform tokens.
 KEY_FORMAT = r"\b((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36})\b"
 
@@ -96,7 +102,7 @@ def findings(documents: DataFrame) -> DataFrame:
 
     def candidate(i: Column) -> Column:
         w = at(i)
-        return is_long(w) | (has_sign(w) & w.rlike(KEY_NAME + r"[:=]+>?[^\s]")) | follows(at(i - 2), at(i - 1))
+        return is_long(w) | (has_sign(w) & (w.rlike(KEY_NAME + r"[:=]+>?[^\s]") | w.rlike(LOGIN))) | follows(at(i - 2), at(i - 1))
 
     rows = documents.select("doc_id", F.split(F.coalesce("text", F.lit("")), r"\s+").alias("tokens"))
     rows = rows.withColumn("n", F.size("tokens"))
@@ -111,7 +117,9 @@ def findings(documents: DataFrame) -> DataFrame:
         value = F.regexp_replace(w, f"^{OPENING}({ASSIGNMENT})?[\"'(\\[{{]*", "")
         return F.struct(w.alias("part"), key.alias("key"), F.regexp_replace(value, r"(?<![\"'\])}>,;.!?:])[\"'\])}>,;.!?:]++$", "").alias("value"))
 
-    parts = F.split(F.regexp_replace("token", CUT, "\x1f"), "\x1f")
+    # The fragment of an address is a part too.
+    token = F.regexp_replace("token", r"(://[^\"'<>#]*+)#", "$1\x1f")
+    parts = F.split(F.regexp_replace(token, CUT, "\x1f"), "\x1f")
     rows = rows.withColumn("parts", F.transform(parts, part))
     followed = follows(F.col("before2"), F.col("before"))
 
@@ -125,10 +133,19 @@ def findings(documents: DataFrame) -> DataFrame:
     numbered = F.transform("parts", lambda x, i: F.struct(
         x["key"].alias("key"), x["value"].alias("value"), kept(x, i).alias("kept"),
         first(i).alias("first"), (i == F.size("parts") - 1).alias("last")))
+    login = F.col("token").rlike(LOGIN)
+    user, password = (F.regexp_extract("token", LOGIN, n) for n in (1, 2))
+    lone = (password == "") & is_long(user)
+    logins = F.when(login & ((password != "") | lone), F.array(F.struct(
+        F.when(lone, "").otherwise("password").alias("key"), F.when(lone, user).otherwise(password).alias("value"),
+        F.lit(True).alias("kept"), F.lit(False).alias("first"), F.lit(False).alias("last"))))
     rows = rows.withColumn("found", F.filter(numbered, lambda x: x["kept"]))
+    rows = rows.withColumn("logins", logins)
     whole = F.struct(part(F.col("token"))["key"].alias("key"), part(F.col("token"))["value"].alias("value"), F.lit(True).alias("kept"),
                      F.lit(True).alias("first"), F.lit(True).alias("last"))
     rows = rows.withColumn("found", F.when(F.size("found") > 0, F.col("found")).when(is_long(F.col("token")), F.array(whole)))
+    rows = rows.withColumn("found", F.concat(F.coalesce("found", F.array().cast(rows.schema["found"].dataType)),
+                                             F.coalesce("logins", F.array().cast(rows.schema["found"].dataType))))
     rows = rows.select("doc_id", "pos", "token", "before2", "before", "behind", F.explode_outer("found").alias("x")).where("x is not null")
     return rows.select("doc_id", "pos", "token",
                        *[F.when(F.col(f"x.{side}"), F.col(n)).otherwise("").alias(n) for n, side in (
@@ -163,7 +180,7 @@ def featured(documents: DataFrame, found: DataFrame, max_broadcast: int = MAX_BR
         (F.length(value) - F.length(F.replace(value, F.lit("/"), F.lit("")))).cast("double").alias("slashes"),
         (F.length(value) - F.length(F.replace(value, F.lit("."), F.lit("")))).cast("double").alias("dots"),
         F.contains(value, F.lit("@")).cast("double").alias("at_sign"),
-        F.contains("token", F.lit("://")).cast("double").alias("scheme"),
+        F.contains("value", F.lit("://")).cast("double").alias("scheme"),
         nearby.rlike(KEY_WORDS).cast("double").alias("key_before"),
         F.col("behind").rlike(KEY_WORDS).cast("double").alias("key_behind"),
         ((F.col("key") != "") | F.col("before").rlike("[:=]>?[\"'(]*$")).cast("double").alias("assigned"),
@@ -188,6 +205,7 @@ def labelled(found: DataFrame) -> DataFrame:
     plain = (value.rlike(r"^[\w.+-]+@[\w-]+(\.[\w-]+)+$") | value.rlike(r"^\d{1,3}(\.\d{1,3}){3}(:\d+)?$")
              | value.rlike(r"^[\d .,()+/-]+$") | value.rlike(r"(?i)(example|placeholder|changeme|x{6,})")
              | (F.col("scheme") == 1))
+    plain &= ~((F.col("scheme") == 1) & F.col("token").rlike(CREDENTIALS))
     return found.withColumn("label", F.when(secret, F.lit(1.0)).when(plain, F.lit(0.0)))
 
 
