@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallysheet.operators.quality import fk_violating_rows, fk_violations
-from tallysheet.operators.skew import semi_join_keys
+from tallysheet.operators.skew import lookup_join, semi_join_keys
 from tallysheet.operators.upsert import last_per_key
 
 SKEW_CONF = {
@@ -88,3 +88,33 @@ def test_hot_key_latest_version_is_whole(spark):
     df = spark.range(0, n).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("ts"))
     got = {r["k"]: r["ts"] for r in last_per_key(df, ["k"], ["ts"]).collect()}
     assert got == {1: n - (n % 3 or 3), 0: n - 1}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("spread_by", [None, ["v"]])
+def test_lookup_join_carries_columns_and_spreads_a_hot_key(spark, skew_conf, how, spread_by):
+    n = 120_000
+    key = F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.col("id"))  # a third is NULL
+    big = spark.range(0, n).select(key.alias("k"), F.col("id").alias("v"))
+    small = spark.range(0, 1000).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("twice"))
+    out = lookup_join(big, small, ["k"], how, spread_by=spread_by)
+    assert out.columns == ["k", "v", "twice"]
+    expected = big.join(small, "k", how)
+    assert out.count() == expected.count() and out.exceptAll(expected.select(*out.columns)).isEmpty()
+    per_task = out.where("k = 5").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in per_task) == n // 3 and max(r["count"] for r in per_task) < n // 20
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "approx_top_k" in plan  # one sketch, no count per key
+
+
+def test_lookup_join_refuses_clashing_columns_and_takes_empty_sides(spark):
+    big = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    with pytest.raises(ValueError, match="both sides"):
+        lookup_join(big, spark.createDataFrame([(1, "x")], "k int, V string"), ["k"])
+    with pytest.raises(ValueError, match="how"):
+        lookup_join(big, big.select("k"), ["k"], "right")
+    empty = spark.createDataFrame([], "k int, w string")
+    assert {tuple(r) for r in lookup_join(big, empty, ["k"], "left").collect()} == {(None, "b", None), (1, "a", None)}
+    assert lookup_join(empty, big, ["k"]).count() == 0
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k int, w string")
+    assert sorted(r["w"] for r in lookup_join(big, twice, ["k"]).collect()) == ["x", "y"]
