@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallysheet.functions.casts import cast_as
+from tallysheet.functions.casts import cast_as, spark_type
 from tallysheet.functions.keys import quoted, source_key
 
 MappingSpec = Mapping[str, Mapping]
@@ -85,20 +85,35 @@ def _mapped(schema: T.StructType, parts: Sequence[str], target: Mapping) -> Colu
     kind = target.get("type", "str")
     source_type = _field_type(schema, parts)
     if source_type is None:
-        from tallysheet.functions.casts import spark_type
-
         return F.lit(None).cast(spark_type(kind)).alias(target["column"])
     col = F.col(".".join(quoted(p) for p in parts))
     return cast_as(col, kind, source_type).alias(target["column"])
 
 
 def apply_mapping(df: DataFrame, spec: MappingSpec, source_url: str | None = None,
-                  source_col: str = "sourceid") -> DataFrame:
-    """Rename + cast the declared keys, drop the rest, and stamp the source key."""
+                  source_col: str = "sourceid", carry: Sequence[str] = ()) -> DataFrame:
+    """Rename + cast the declared keys, drop the rest, and stamp the source key; ``carry`` columns come along as they are."""
     cols = mapping_columns(spec, df.schema)
     if source_url is not None:
         cols.append(source_key(source_url).alias(source_col))
-    return df.select(*cols)
+    return df.select(*cols, *[F.col(quoted(c)) for c in carry])
+
+
+def malformed_cells(spec: MappingSpec, schema: T.StructType) -> Column:
+    """Array of ``column: raw text`` for the cells that hold text which is no value of their declared type.
+
+    Blank text counts as no value.
+    """
+    found = []
+    for key, entry in spec.items():
+        parts = _path(key)
+        targets = [([*parts, n], t) for n, t in entry["nestedColumns"].items()] if "nestedColumns" in entry else [(parts, entry)]
+        for path, target in targets:
+            if isinstance(_field_type(schema, path), T.StringType) and spark_type(target.get("type", "str")) != T.StringType():
+                raw = F.col(".".join(quoted(p) for p in path))
+                bad = (F.length(F.btrim(raw)) > 0) & _mapped(schema, path, target).isNull()
+                found.append(F.when(bad, F.concat(F.lit(target["column"] + ": "), raw)))
+    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
 
 
 def spread_sections(

@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 from tallysheet.operators.changes import PREVIOUS_NAME, TRACKED
 from tallysheet.operators.mapping import MappingSpec
+from tallysheet.plans.constraints import TABLES
 
 
 @dataclass(frozen=True)
@@ -23,7 +24,7 @@ class Endpoint:
     tracked: Sequence[str] = ("name",)
     previous: Mapping[str, str] = field(default_factory=dict)
     order_col: str = "lastupdated"
-    required: Sequence[str] = ()  # besides the keys; rows without them are rejected
+    required: Sequence[str] = ()  # besides the keys; a new row without them is rejected
 
 
 @dataclass(frozen=True)
@@ -162,7 +163,9 @@ def _endpoint(list_key: str, spec: MappingSpec, table: str) -> Endpoint:
         n["column"] for e in spec.values() for n in e.get("nestedColumns", {}).values()
     }
     tracked = [c for c in TRACKED.get(table, ["name"]) if c in mapped]
-    return Endpoint(list_key, spec, table, tracked=tracked, previous=PREVIOUS_NAME.get(table, {}))
+    declared = TABLES[table]
+    required = [c for c, rule in declared.columns.items() if "required" in rule and c in mapped and c not in declared.key]
+    return Endpoint(list_key, spec, table, tracked=tracked, previous=PREVIOUS_NAME.get(table, {}), required=required)
 
 
 ENDPOINTS = {

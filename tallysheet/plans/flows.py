@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
 from tallysheet.operators.incremental import group_members, is_empty, since_mark
 from tallysheet.operators.skew import semi_join_keys
 from tallysheet.operators.ordering import cluster_for_write
-from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sections
+from tallysheet.operators.mapping import apply_mapping, malformed_cells, read_schema, spread_sections
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
 from tallysheet.operators.schema_evolution import apply_plan, schema_plan
 from tallysheet.operators.unnest import explode_links
@@ -51,13 +51,16 @@ from tallysheet.plans.endpoints import (
 from tallysheet.sinks.partitioned_upsert import merge_into_partitions, read_partitioned
 from tallysheet.sinks.payload import payload_chunks
 from tallysheet.sinks.versioned import commit, read_latest
-from tallysheet.session import bounded_rows, cut_lineage
+from tallysheet.session import bounded_rows, cut_lineage, path_exists
 from tallysheet.sources.documents import (
-    items_of,
+    BAD_TEXT,
+    FILE,
+    POSITION,
     parse_documents,
+    parsed_files,
+    placed_items,
     read_documents,
-    read_unit_documents,
-    rejected_documents,
+    unit_files,
 )
 
 
@@ -68,23 +71,39 @@ def _staged_schema(mapped: DataFrame, ep: Endpoint) -> T.StructType:
     return schema.add("change", T.StringType())
 
 
+def fold_batch(mapped: DataFrame, ep: Endpoint) -> DataFrame:
+    """One row per key: per column the newest present value, rows with a NULL key part left out.
+
+    Newest by ``order_col``, then by the place the item was read from (file name, position), where ``mapped`` carries
+    it: the order in which the documents would be applied one by one.  Without a place, a hash of
+    the whole row breaks ties, so a rerun keeps the same document.
+    """
+    keys = list(ep.keys)
+    mapped = split_rejects(mapped, keys)[0]
+    version = [F.col(ep.order_col)] if ep.order_col in mapped.columns else []
+    if FILE in mapped.columns:
+        place = [F.col(FILE), F.col(POSITION)]
+    else:
+        place = [F.xxhash64(*[F.col(f"`{c}`") for c in mapped.columns])]
+    batch = mapped.withColumn("_seq", F.struct(*version, *place)).drop(FILE, POSITION)
+    return fold_sparse(batch, keys, "_seq")
+
+
 def stage_rows(current: DataFrame, mapped: DataFrame, ep: Endpoint) -> DataFrame:
     """Fold the batch per key and column (newest present value wins) and upsert it with change tracking.
 
     A partial document keeps the other columns of the documents before it, as
-    if they had come one by one: documents in the order of ``order_col`` give the same table
-    however they are split into batches.  Equal ``order_col`` values are broken by
-    a hash of the whole row, so a rerun always keeps the same document; a stored
+    if they had come one by one: documents in the order of ``order_col``, equal ones in the order of their files, give
+    the same table however they are split into batches (a stored value loses against an equally old one that comes later); a stored
     value newer than the incoming one is kept (late or re-pulled documents never
     regress a value).  Rows with a NULL key part never enter (``rejected_rows``).
     """
-    keys = list(ep.keys)
-    mapped = split_rejects(mapped, keys)[0]
-    tiebreak = F.xxhash64(*[F.col(f"`{c}`") for c in mapped.columns])
-    version = ep.order_col if ep.order_col in mapped.columns else None
-    seq = F.struct(*([F.col(version)] if version else []), tiebreak)
-    batch = fold_sparse(mapped.withColumn("_seq", seq), keys, "_seq")
-    spec = ChangeSpec(keys=keys, tracked=list(ep.tracked), previous=dict(ep.previous), version_col=version)
+    return _stage_folded(current, fold_batch(mapped, ep), ep)
+
+
+def _stage_folded(current: DataFrame, batch: DataFrame, ep: Endpoint) -> DataFrame:
+    version = ep.order_col if ep.order_col in batch.columns else None
+    spec = ChangeSpec(keys=list(ep.keys), tracked=list(ep.tracked), previous=dict(ep.previous), version_col=version)
     return detect_changes(current, batch, spec, sparse=True)
 
 
@@ -93,39 +112,89 @@ def rejected_rows(mapped: DataFrame, ep: Endpoint) -> DataFrame:
     return split_rejects(mapped, [*ep.keys, *[c for c in ep.required if c not in ep.keys]])[1]
 
 
+def mapped_items(placed: DataFrame, spec: Mapping, source_url: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Mapped rows of :func:`placed_items` with their place, and ``reason`` / ``bad`` where one cannot be staged.
+
+    ``bad`` is the unreadable document, or the cells that hold no value of their type.
+    """
+    cells = F.array_join(malformed_cells(spec, placed.schema), ", ")
+    marked = placed.withColumn("_cells", cells)
+    reason = F.when(F.col(BAD_TEXT).isNotNull(), F.lit("unreadable document")).when(
+        F.length("_cells") > 0, F.concat(F.lit("malformed "), F.col("_cells")))
+    marked = marked.withColumn("reason", reason)
+    return apply_mapping(marked, spec, source_url, carry=[*carry, FILE, POSITION, BAD_TEXT, "reason"])
+
+
+def _split_mapped(mapped: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows to stage, and the others as ``(reason, row)``, the row as JSON text."""
+    whole, missing = split_rejects(mapped.where("reason IS NULL").drop("reason"), required)
+    broken = mapped.where("reason IS NOT NULL")
+    document = F.to_json(F.struct(F.col(FILE).alias("file"), F.col(BAD_TEXT).alias("text")))
+    rejects = broken.select("reason", F.when(F.col(BAD_TEXT).isNotNull(), document).otherwise(_row_text(broken)).alias("row"))
+    return whole.drop(BAD_TEXT), rejects.unionByName(missing.select("reason", _row_text(missing).alias("row")))
+
+
+def _row_text(df: DataFrame) -> Column:
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("reason", FILE, POSITION, BAD_TEXT)]))
+
+
 def _keep_rejects(rejects: DataFrame, store: str, table: str) -> None:
-    """Rejected rows and documents as JSON text with their reason, next to the table."""
-    if not is_empty(rejects):
-        row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rejects.columns if c != "reason"]))
-        rejects.select("reason", row.alias("row")).write.mode("append").parquet(f"{store}/{table}_rejects")
+    """Adds ``(reason, row)`` to the table's rejects, each once: a reload or a replayed batch adds none."""
+    spark, path = rejects.sparkSession, f"{store}/{table}_rejects"
+    fresh = rejects.select("reason", "row").distinct()
+    if path_exists(spark, path):
+        fresh = fresh.join(spark.read.schema("reason string, row string").parquet(path), ["reason", "row"], "left_anti")
+    fresh = cut_lineage(fresh)  # the folder it was compared with is about to grow
+    if not is_empty(fresh):
+        fresh.write.mode("append").parquet(path)
 
 
 def stage_endpoint(spark: SparkSession, landed_dir: str, ep: Endpoint, store: str, source_url: str,
                    multi_line: bool = True, on_bad: str = "fail") -> int:
     """Landed pages of one endpoint -> new version of its staging table; returns the version.
 
-    Rows without a key go to ``<table>_rejects``; a document that cannot be read fails the
-    load, or goes there too with ``on_bad="skip"``.
+    Rows without a key, with a cell that is no value of its column's type, and new rows without a required
+    column go to ``<table>_rejects``; a document that cannot be read fails the
+    load, or goes there too with ``on_bad="skip"``.  The pages are parsed once.
     """
     schema = read_schema(ep.spec)
-    items = read_documents(spark, landed_dir, ep.list_key, schema, multi_line=multi_line, on_bad=on_bad)
-    mapped = apply_mapping(items, ep.spec, source_url)
+    parsed = parsed_files(spark, landed_dir, ep.list_key, schema, multi_line)
+    mapped = cut_lineage(mapped_items(placed_items(parsed, on_bad=on_bad), ep.spec, source_url))
+    rows, rejects = _split_mapped(mapped, ep.keys)
     path = f"{store}/{ep.table}"
-    _keep_rejects(rejected_rows(mapped, ep), store, ep.table)
-    if on_bad == "skip":
-        bad = rejected_documents(spark, landed_dir, ep.list_key, schema, multi_line=multi_line)
-        _keep_rejects(bad.withColumn("reason", F.lit("unreadable document")), store, ep.table)
-    current = read_latest(spark, path, _staged_schema(mapped, ep))
-    return commit(stage_rows(current, mapped, ep), path)
+    current = read_latest(spark, path, _staged_schema(rows.drop(FILE, POSITION), ep))
+    batch, incomplete = _without_incomplete(current, fold_batch(rows, ep), ep)
+    _keep_rejects(rejects.unionByName(incomplete), store, ep.table)
+    return commit(_stage_folded(current, batch, ep), path)
+
+
+def _without_incomplete(current: DataFrame, batch: DataFrame, ep: Endpoint) -> tuple[DataFrame, DataFrame]:
+    """``batch`` without the new keys that lack a required column, and those as ``(reason, row)``.
+
+    A partial document of a stored key is fine: the stored row has the rest.
+    """
+    required = [c for c in ep.required if c in batch.columns]
+    stored = current.select(*ep.keys).withColumn("_stored", F.lit(True))
+    known = batch.join(stored, list(ep.keys), "left")
+    lacks = reduce(lambda a, c: a | F.col(f"`{c}`").isNull(), required, F.lit(False)) & F.col("_stored").isNull()
+    reason, row = split_rejects(batch, required)[1], _row_text(batch)
+    incomplete = reason.join(stored, list(ep.keys), "left_anti").select("reason", row.alias("row"))
+    return known.where(~lacks).drop("_stored"), incomplete
 
 
 def stage_links(spark: SparkSession, landed_dir: str, link: LinkSpec, store: str, source_url: str,
                 multi_line: bool = True) -> int:
-    """M:N link table from the child lists of landed pages (insert-only); returns the version."""
+    """M:N link table from the child lists of landed pages (insert-only); returns the version.
+
+    New links are pending (``change``) until an export.  A link without one of its ids goes to ``<table>_rejects``.
+    """
     schema = read_schema(link.parent_spec).add(link.child_key, T.ArrayType(read_schema(link.child_spec)), True)
     docs = read_documents(spark, landed_dir, link.list_key, schema, multi_line=multi_line)
-    links = explode_links(docs, link.parent_spec, link.child_key, link.child_spec, source_url)
+    links = cut_lineage(explode_links(docs, link.parent_spec, link.child_key, link.child_spec, source_url))
+    links, missing = split_rejects(links, link.keys)
+    _keep_rejects(missing.select("reason", _row_text(missing).alias("row")), store, link.table)
     path = f"{store}/{link.table}"
+    links = links.withColumn("change", F.lit("insert"))
     current = read_latest(spark, path, links.schema)
     return commit(insert_new(current, links, list(link.keys)), path)
 
@@ -168,24 +237,28 @@ def category_dimension(combos: DataFrame, combo_options: DataFrame, options: Dat
     (category_option_combo_id, category_option_id), options (uid, name, sourceid,
     change), category_options (category_id, categoryoption_id), categories (uid, name).
     ``changed_only`` picks the input whose pending rows drive the export
-    ("options", "combos", "categories"; ``None`` exports everything).  When
+    ("options", "combos", "categories"; ``None`` exports everything): the combos that hold one of them are exported, each
+    whole, from all its options.  When
     every input carries ``sourceid`` the joins and the pivot match on it as well,
     so two sources with colliding uids never mix; without it, uids are unique.
     """
-    frames = {"combos": combos, "options": options, "categories": categories}
-    if changed_only is not None:
-        frames[changed_only] = changed_rows(frames[changed_only])
     by_source = all("sourceid" in df.columns for df in (combos, combo_options, options, category_options, categories))
     src = ["sourceid"] if by_source else []
+    if changed_only is not None:
+        pending = changed_rows({"combos": combos, "options": options, "categories": categories}[changed_only])
+        if changed_only == "categories":
+            pending = options_of(category_options, pending, src)
+        given = (pending, None) if changed_only == "combos" else (None, pending)
+        combos = combos.join(touched_combos(combo_options, *given, src), ["uid", *src], "left_semi")
     links = (
-        frames["combos"].select(F.col("uid").alias("coc"), F.col("name").alias("coc_name"), *src)
+        combos.select(F.col("uid").alias("coc"), F.col("name").alias("coc_name"), *src)
         .join(combo_options.select(F.col("category_option_combo_id").alias("coc"),
                                    F.col("category_option_id").alias("opt"), *src), ["coc", *src])
-        .join(frames["options"].select(F.col("uid").alias("opt"), F.col("name").alias("opt_name"),
-                                       *(src or ["sourceid"])), ["opt", *src])
+        .join(options.select(F.col("uid").alias("opt"), F.col("name").alias("opt_name"),
+                             *(src or ["sourceid"])), ["opt", *src])
         .join(category_options.select(F.col("categoryoption_id").alias("opt"), F.col("category_id").alias("cat"), *src),
               ["opt", *src])
-        .join(frames["categories"].select(F.col("uid").alias("cat"), F.col("name").alias("cat_name"), *src),
+        .join(categories.select(F.col("uid").alias("cat"), F.col("name").alias("cat_name"), *src),
               ["cat", *src])
     )
     wide = pivot_options(links, ["coc", *src], column_names(categories), "cat", "opt", "opt_name", "opt",
@@ -199,6 +272,22 @@ def category_dimension(combos: DataFrame, combo_options: DataFrame, options: Dat
     )
 
 
+def options_of(category_options: DataFrame, categories: DataFrame, src: Sequence[str] = ()) -> DataFrame:
+    """``(uid, *src)``: the options that belong to one of ``categories``."""
+    chosen = categories.select(F.col("uid").alias("category_id"), *src)
+    return category_options.join(chosen, ["category_id", *src], "left_semi").select(F.col("categoryoption_id").alias("uid"), *src)
+
+
+def touched_combos(combo_options: DataFrame, combos: DataFrame | None, options: DataFrame | None,
+                   src: Sequence[str] = ()) -> DataFrame:
+    """``(uid, *src)``: the given combos, and those that hold one of the given options."""
+    parts = [] if combos is None else [combos.select("uid", *src)]
+    if options is not None:
+        held = combo_options.join(options.select(F.col("uid").alias("category_option_id"), *src), ["category_option_id", *src], "left_semi")
+        parts.append(held.select(F.col("category_option_combo_id").alias("uid"), *src))
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+
+
 def column_names(metadata: DataFrame) -> list[tuple[str, str]]:
     """(uid, name) of a metadata table, one name per uid (two sources may both have it), in uid order."""
     names = metadata.groupBy("uid").agg(F.max("name").alias("name")).where("uid is not null and name is not null")
@@ -251,6 +340,11 @@ def _pending(*snapshots: DataFrame) -> bool:
     return any(not is_empty(changed_rows(df)) for df in snapshots)
 
 
+def _pending_links(links: DataFrame) -> DataFrame:
+    """Links that no export has taken yet; all of them in a table written before links had a status."""
+    return changed_rows(links) if "change" in links.columns else links
+
+
 def _reset_exported(spark: SparkSession, store: str, snapshots: Mapping[str, DataFrame],
                     keys: Sequence[str] = ("uid", "sourceid")) -> None:
     """Reset exactly the rows that were pending in the exported snapshots; rows that changed since stay pending."""
@@ -259,6 +353,14 @@ def _reset_exported(spark: SparkSession, store: str, snapshots: Mapping[str, Dat
         commit(reset_changes(read_latest(spark, path), keys, changed_rows(snapshot)), path)
 
 
+def _reset_links(spark: SparkSession, store: str, snapshots: Mapping[str, DataFrame]) -> None:
+    for table, snapshot in snapshots.items():
+        if "change" not in snapshot.columns:  # from now on with a status, everything in it exported
+            commit(read_latest(spark, f"{store}/{table}").withColumn("change", F.lit("")), f"{store}/{table}")
+        elif _pending(snapshot):
+            _reset_exported(spark, store, {table: snapshot}, LINKS[table].keys)
+
+
 def export_orgunits(spark: SparkSession, store: str, warehouse: str) -> int | None:
     """One warehouse load of the org-unit dimension: plan, flatten, load, then reset what was exported.
 
@@ -276,30 +378,45 @@ def export_orgunits(spark: SparkSession, store: str, warehouse: str) -> int | No
 def export_categories(spark: SparkSession, store: str, warehouse: str, as_of: str) -> int | None:
     """One warehouse load of the category dimension.
 
-    A pending category changes columns, so every combo is exported; else those of the pending options are.
+    A pending category changes columns, so every combo is exported; else those are that are pending themselves, hold a pending
+    option, or have a new link (to an option, or from one to a category).  A combo's row is always built from all its options.
     """
     names = ["categoryoptioncombo", "categoryoptioncombo_categoryoptions", "dataelementcategoryoption",
              "dataelementcategory_categoryoption", "dataelementcategory"]
     combos, combo_options, options, category_options, categories = (read_latest(spark, f"{store}/{n}") for n in names)
-    if not _pending(combos, options, categories):
+    new_links, new_members = _pending_links(combo_options), _pending_links(category_options)
+    if not _pending(combos, options, categories) and is_empty(new_links) and is_empty(new_members):
         return None
-    partial = None if _pending(combos, categories) else "options"
-    rows = category_dimension(combos, combo_options, options, category_options, categories, as_of, changed_only=partial)
+    if _pending(categories):
+        exported = combos
+    else:
+        src = ["sourceid"]
+        changed = changed_rows(combos).select("uid", *src).unionByName(
+            new_links.select(F.col("category_option_combo_id").alias("uid"), *src))
+        held = changed_rows(options).select("uid", *src).unionByName(
+            new_members.select(F.col("categoryoption_id").alias("uid"), *src))
+        exported = combos.join(touched_combos(combo_options, changed, held, src), ["uid", *src], "left_semi")
+    rows = category_dimension(exported, combo_options, options, category_options, categories, as_of, changed_only=None)
     version = load_dimension(spark, f"{warehouse}/category", rows, category_plan(categories),
                              ["categoryoptioncomboid", "sourceid"])
     _reset_exported(spark, store, {names[0]: combos, names[2]: options, names[4]: categories})
+    _reset_links(spark, store, {names[1]: combo_options, names[3]: category_options})
     return version
 
 
 def export_dataelements(spark: SparkSession, store: str, warehouse: str, as_of: str) -> int | None:
-    """One warehouse load of the data-element dimension (a full export, as its flags have no change status)."""
+    """One warehouse load of the data-element dimension: a full export, whenever an element, a group or a link is pending.
+
+    Links are never changed or removed, so a run without any of these would write the same rows again.
+    """
     elements, links, groups = (read_latest(spark, f"{store}/{n}")
                                for n in ("dataelement", "dataelement_dataelementgroup", "dataelementgroup"))
-    if not _pending(elements, groups):
+    if not _pending(elements, groups) and is_empty(_pending_links(links)):
         return None
     rows = dataelement_dimension(elements, links, groups, as_of)
     version = load_dimension(spark, f"{warehouse}/dataelement", rows, dataelement_plan(groups), ["uid", "sourceid"])
     _reset_exported(spark, store, {"dataelement": elements, "dataelementgroup": groups})
+    _reset_links(spark, store, {"dataelement_dataelementgroup": links})
     return version
 
 
@@ -324,23 +441,26 @@ def load_data_values(spark: SparkSession, landed_dir: str, store: str, source_ur
     part of the key, so no other partition can change.
     """
     item = read_schema(DATA_VALUE_SPEC)
-    raw = read_unit_documents(spark, landed_dir, "dataValues", item, "_unit", layout=layout, multi_line=True)
+    parsed = unit_files(spark, landed_dir, "dataValues", item, "_unit", layout=layout, multi_line=True)
     if leaf_units is not None:
         # Only files of known leaf units count (a unit id is the file or folder name).
-        raw = semi_join_keys(raw, leaf_units.select(F.col("uid").alias("_unit")).distinct(), ["_unit"])
-    mapped = apply_mapping(raw, DATA_VALUE_SPEC, source_url)
+        parsed = semi_join_keys(parsed, leaf_units.select(F.col("uid").alias("_unit")).distinct(), ["_unit"])
+    mapped = mapped_items(placed_items(parsed, on_bad="fail"), DATA_VALUE_SPEC, source_url)
+    # What cannot be staged is kept aside; of the rest only what is since the mark.
+    since = F.col("lastupdated").isNull() | F.col("reason").isNotNull() | (F.col("lastupdated") >= F.lit(mark).cast("timestamp_ntz"))
+    # Parsed once: rejects, the guard, the partition list, the merge and the next mark read the staged slice.
+    mapped = cut_lineage(mapped.where(since))
     # A value without a time can neither be ordered nor marked: it is kept aside, not dropped.
-    _keep_rejects(rejected_rows(mapped, DATA_VALUES), store, "datavalue")
-    fresh = since_mark(split_rejects(mapped, DATA_VALUES.keys)[0], "lastupdated", mark)
+    fresh, rejects = _split_mapped(mapped, [*DATA_VALUES.keys, *DATA_VALUES.required])
+    _keep_rejects(rejects, store, "datavalue")
+    fresh = since_mark(fresh, "lastupdated", mark)
     if group_links is not None and groups:
-        fresh = group_members(fresh, group_links, groups, "dataelementid", "dataelement_id", "group_id")
-    # Parsed once: the guard, the partition list, the merge and the next mark read the staged slice.
-    fresh = cut_lineage(fresh)
+        fresh = cut_lineage(group_members(fresh, group_links, groups, "dataelementid", "dataelement_id", "group_id"))
     if is_empty(fresh):
         return mark  # nothing new: no write, the mark stays
     merge_into_partitions(
         spark, f"{store}/datavalue", fresh, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
-        _staged_schema(mapped, DATA_VALUES),
+        _data_value_schema(spark),
     )
     top = fresh.agg(F.max("lastupdated")).first()[0]  # one value: the next mark
     return top if top is not None else mark
@@ -359,26 +479,31 @@ def start_data_value_stream(spark: SparkSession, landed_dir: str, store: str, so
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.text(landed_dir, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), parse_documents(F.col("value"), "dataValues", item).alias("items"))
-    stream = items_of(stream, (), "fail")
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"),
+        parse_documents(F.col("value"), "dataValues", item).alias("items"))
+    stream = placed_items(stream, on_bad="fail")
     path = f"{store}/datavalue"
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        mapped = apply_mapping(batch, DATA_VALUE_SPEC, source_url)
-        _keep_rejects(rejected_rows(mapped, DATA_VALUES), store, "datavalue")
-        mapped = split_rejects(mapped, [*DATA_VALUES.keys, *DATA_VALUES.required])[0]
-        merge_into_partitions(spark, path, mapped, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
-                              _staged_schema(mapped, DATA_VALUES))
+        # Parsed once per batch: rejects, the partition list and the merge read the staged slice.
+        mapped = cut_lineage(mapped_items(batch, DATA_VALUE_SPEC, source_url))
+        rows, rejects = _split_mapped(mapped, [*DATA_VALUES.keys, *DATA_VALUES.required])
+        _keep_rejects(rejects, store, "datavalue")
+        merge_into_partitions(spark, path, rows, ["period"], lambda cur, new: stage_rows(cur, new, DATA_VALUES),
+                              _data_value_schema(spark))
 
     writer = stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
+def _data_value_schema(spark: SparkSession) -> T.StructType:
+    empty = apply_mapping(spark.createDataFrame([], read_schema(DATA_VALUE_SPEC)), DATA_VALUE_SPEC, "")
+    return _staged_schema(empty, DATA_VALUES)
+
+
 def read_data_values(spark: SparkSession, store: str) -> DataFrame:
-    item = read_schema(DATA_VALUE_SPEC)
-    empty = apply_mapping(spark.createDataFrame([], item), DATA_VALUE_SPEC, "")
-    return read_partitioned(spark, f"{store}/datavalue", _staged_schema(empty, DATA_VALUES))
+    return read_partitioned(spark, f"{store}/datavalue", _data_value_schema(spark))
 
 
 def case_control_payloads(forms: Mapping[str, DataFrame], config: ReportConfig, orgunits: DataFrame,

@@ -12,7 +12,14 @@ from tallysheet.operators.mapping import apply_mapping, read_schema, spread_sect
 from tallysheet.operators.unnest import explode_links
 from tallysheet.operators.upsert import insert_new
 from tallysheet.sources.csv_typed import read_typed_csv, rejected_cells
-from tallysheet.sources.documents import read_documents, read_unit_documents, rejected_documents, tag_union
+from tallysheet.sources.documents import (
+    parsed_files,
+    placed_items,
+    read_documents,
+    read_unit_documents,
+    rejected_documents,
+    tag_union,
+)
 
 ORG_UNIT_SPEC = {
     "id": {"column": "uid", "type": "str"},
@@ -150,3 +157,31 @@ def test_section_field_beats_the_source_tag(spark):
     )
     flat = spread_sections(rows, ["s1", "s2"], tag=("SOURCE_FORM", F.lit("formA")))
     assert sorted((r["a"], r["SOURCE_FORM"]) for r in flat.collect()) == [(1, "from-section"), (2, "formA")]
+
+
+def test_text_behind_the_value_and_bad_leaves_make_a_bad_document(spark, tmp_dir):
+    item = T.StructType([T.StructField("id", T.StringType()), T.StructField("n", T.IntegerType())])
+    good = {"a.json": '\ufeff [{"id": "1", "n": 1}, null]\n', "b.json": '{"xs": [{"id": "2", "z": {}}], "pager": {"page": 1}}',
+            "c.json": " { } ", "d.json": '{"xs": []}', "e.json": '[{"id": "[x]\\"}"}]'}
+    bad = {"f.json": '[{"id":"a"}][{"id":"b"}]', "g.json": '{"xs":[{"id":"c"}]}{"xs":[{"id":"d"}]}', "h.json": '[{"id":"f"}] x ]',
+           "i.json": '[{"id":"g"}],"end":true', "j.json": '{"xs":[]},{"xs":[{"id":"h"}]}', "k.json": '[{"id":"i","n":"abc"}]',
+           "l.json": '{"xs":[{"id":"j","n":"abc"}]}', "m.json": '{"xs":{"id":"k"}}', "n.json": "[1,2]", "o.json": '[{"id":"l"}]}',
+           "p.json": '{"xs":[{"id":"m"}]}]', "q.json": "null", "r.json": '{"xs":null}', "s.json": '"[]"'}
+    for name, text in {**good, **bad}.items():
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write(text)
+    parsed = parsed_files(spark, tmp_dir, "xs", item, True)
+    rejects = {os.path.basename(r["file"]): r["text"] for r in rejected_documents(spark, tmp_dir, "xs", item, True).collect()}
+    assert rejects == bad
+    rows = placed_items(parsed).collect()
+    assert {os.path.basename(r["_file"]): r["_bad_text"] for r in rows if r["_bad_text"] is not None} == bad
+    items = sorted((os.path.basename(r["_file"]), r["_position"], r["id"], r["n"]) for r in rows if r["_bad_text"] is None)
+    assert items == [("a.json", 0, "1", 1), ("a.json", 1, None, None), ("b.json", 0, "2", None), ("e.json", 0, '[x]"}', None)]
+    with pytest.raises(Exception, match="bad document"):
+        placed_items(parsed, on_bad="fail").collect()
+
+
+def test_a_document_is_trimmed_and_parsed_once(spark, tmp_dir):
+    item = T.StructType([T.StructField("id", T.StringType())])
+    plan = read_documents(spark, tmp_dir, "xs", item, True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 2 and plan.count("trim") == 1  # one per shape, of which a row takes one

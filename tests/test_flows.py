@@ -25,6 +25,11 @@ UNITS = ENDPOINTS["organisationUnits"]
 
 
 def land(path, name, doc):
+    """Items with a time of change also get one of creation, which every staged row must have."""
+    for items in doc.values() if isinstance(doc, dict) else [doc]:
+        for item in items:
+            if isinstance(item, dict) and "lastUpdated" in item:
+                item.setdefault("created", item["lastUpdated"])
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, name), "w") as f:
         json.dump(doc, f, indent=1)
@@ -82,7 +87,8 @@ def test_orgunit_flow_two_runs(spark, tmp_dir):
 def test_link_table_is_insert_only(spark, tmp_dir):
     store = f"{tmp_dir}/store"
     land(f"{tmp_dir}/combos", "p1.json", {"categoryCombos": [
-        {"id": "cc1", "name": "Combo", "categories": [{"id": "c1"}, {"id": "c2"}]}, {"id": "cc2", "name": "Empty"}]})
+        {"id": "cc1", "name": "Combo", "lastUpdated": "2024-01-01T00:00:00", "categories": [{"id": "c1"}, {"id": "c2"}, {}]},
+        {"id": "cc2", "name": "Empty", "lastUpdated": "2024-01-01T00:00:00"}]})
     link = LINKS["dataelementcategory_categorycombo"]
     stage_links(spark, f"{tmp_dir}/combos", link, store, URL)
     stage_links(spark, f"{tmp_dir}/combos", link, store, URL)  # replay: no duplicates
@@ -92,6 +98,8 @@ def test_link_table_is_insert_only(spark, tmp_dir):
     stage_endpoint(spark, f"{tmp_dir}/combos", ENDPOINTS["categoryCombos"], store, URL)
     assert sorted(r["uid"] for r in read_latest(spark, f"{store}/categorycombo").collect()) == ["cc1", "cc2"]
     assert rows == [("cc1", "c1"), ("cc1", "c2")]
+    rejects = spark.read.parquet(f"{store}/{link.table}_rejects").collect()  # a child without an id, listed once
+    assert [r["reason"] for r in rejects] == ["missing dataelementcategory_id"] and "cc1" in rejects[0]["row"]
 
 
 def value(de, ou, v, ts, stored_by="u"):
