@@ -6,14 +6,15 @@ its first ``i`` turns.  A conversation whose hash over all its turns is the hash
 proper prefix of another is dropped (anti-join); of equal conversations the least
 ``conv_id`` stays.  What remains is rendered.
 
-Scale: only hashes are shuffled until the last step.  Turns are numbered, hashed and
-rendered in blocks of ``BLOCK`` turn numbers, with offsets added from one row per
-block, so a conversation that holds a third of all turns is spread over tasks and
-rendered in parts.  Prefixes are made distinct with map-side combining before the
+Scale: only hashes are shuffled until the last step.  Turns are numbered through a global range sort, then hashed and
+rendered in blocks of ``BLOCK`` turns, with offsets added from one row per
+block: a conversation that holds a third of all turns is spread over tasks and
+rendered in parts, whatever its turn numbers are (all null or all the same included).  Prefixes are made distinct
+with map-side combining before the
 anti-join, so a first turn that every conversation shares is one row.
 
 Defined cases: turns without ``conv_id`` belong to no conversation; null ``turn`` numbers come
-last, in a part of their own; turns with one number are ordered by a hash of role and text; null role and text
+last; turns with one number are ordered by a hash of role and text; null role and text
 differ from empty ones when compared and are rendered as ``unknown`` and as nothing;
 template marks inside texts are broken up, so no text can end its own turn; other
 columns are ignored.
@@ -24,7 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallysheet.llm.prefix_trie import numbered_turns
 from tallysheet.llm.staging import staged
+from tallysheet.operators.skew import semi_join_keys
 
 BLOCK = 4096
 OPEN, CLOSE, END = "<|", "|>", "<|end|>"
@@ -35,12 +38,12 @@ def _content(seed: int) -> Column:
                       F.coalesce("text", F.lit("")))
 
 
-def _block() -> Column:
-    return F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit((1 << 62))).cast("long")
-
-
-def _turns(conversations: DataFrame) -> DataFrame:
-    return conversations.where("conv_id is not null").select("conv_id", "turn", "role", "text", _block().alias("block"))
+def _numbered(conversations: DataFrame, *carried: str) -> DataFrame:
+    """``(conv_id, n_turns, pos, block, h1, h2, *carried)``: turns in order, numbered from 1, in blocks of ``BLOCK``."""
+    rows = conversations.where("conv_id is not null").select(
+        "conv_id", "turn", _content(1).alias("h1"), _content(2).alias("h2"), *carried)
+    rows = numbered_turns(rows.withColumn("tie", F.struct("h1", "h2")), nulls_first=False).drop("turn", "tie")
+    return rows.withColumn("block", F.expr(f"(pos - 1) div {BLOCK}"))
 
 
 def _before(value: str, agg) -> Column:
@@ -51,20 +54,12 @@ def _before(value: str, agg) -> Column:
 
 def prefix_hashes(conversations: DataFrame) -> DataFrame:
     """``(conv_id, n_turns, pos, x1, x2)``: the rolling hash after each turn."""
-    rows = _turns(conversations).select("conv_id", "block", "turn", _content(1).alias("h1"), _content(2).alias("h2"))
-    sizes = rows.groupBy("conv_id", "block").agg(F.count("*").alias("size"))
-    # A row per block, staged: the joins below then deal rows by block, not by conversation.
-    sizes = staged(sizes.select("conv_id", "block", _before("size", F.sum).alias("offset")), "chat-offsets")
-    order = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "h1", "h2")
-    rows = rows.withColumn("number", F.row_number().over(order)).join(sizes, ["conv_id", "block"])
-    rows = rows.withColumn("pos", F.col("offset") + F.col("number"))
-    rows = rows.select("conv_id", "block", "pos", F.xxhash64("pos", "h1").alias("h1"), F.xxhash64("pos", "h2").alias("h2"))
-    totals = rows.groupBy("conv_id", "block").agg(F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2"),
-                                                  F.max("pos").alias("upto"))
-    whole = Window.partitionBy("conv_id")
-    totals = staged(totals.select(
-        "conv_id", "block", _before("b1", F.bit_xor).alias("o1"), _before("b2", F.bit_xor).alias("o2"),
-        F.max("upto").over(whole).alias("n_turns")), "chat-prefixes")
+    rows = staged(_numbered(conversations), "chat-turns").select(
+        "conv_id", "n_turns", "block", "pos", F.xxhash64("pos", "h1").alias("h1"), F.xxhash64("pos", "h2").alias("h2"))
+    totals = rows.groupBy("conv_id", "block").agg(F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2"))
+    # A row per block, staged: the join deals rows by block, not by conversation.
+    totals = staged(totals.select("conv_id", "block", _before("b1", F.bit_xor).alias("o1"), _before("b2", F.bit_xor).alias("o2")),
+                    "chat-prefixes")
     run = Window.partitionBy("conv_id", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("r1", F.bit_xor("h1").over(run)).withColumn("r2", F.bit_xor("h2").over(run))
     return rows.join(totals, ["conv_id", "block"]).select(
@@ -81,16 +76,12 @@ def maximal(conversations: DataFrame) -> DataFrame:
 
 
 def render(conversations: DataFrame) -> DataFrame:
-    """``(conv_id, n_turns, part, text)``: the maximal conversations, in parts of ``BLOCK`` turn numbers."""
-    turns = _turns(conversations)
-    number = F.row_number().over(Window.partitionBy("conv_id").orderBy("block")) - 1
-    parts = turns.select("conv_id", "block").distinct().join(maximal(conversations), "conv_id")
-    # A row per block, staged: texts are dealt by block, never by conversation.
-    parts = staged(parts.select("conv_id", "block", "n_turns", number.cast("int").alias("part")), "chat-parts")
+    """``(conv_id, n_turns, part, text)``: the maximal conversations, in parts of ``BLOCK`` turns."""
+    kept = staged(maximal(conversations), "chat-maximal").select("conv_id")
+    turns = _numbered(semi_join_keys(conversations, kept, ["conv_id"]), "role", "text")
     safe = F.replace(F.coalesce("text", F.lit("")), F.lit(OPEN), F.lit("< |"))
     said = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("unknown")), F.lit(CLOSE + "\n"), safe, F.lit(END + "\n"))
-    key = F.struct(F.col("turn").isNull(), "turn", _content(1).alias("h1"), _content(2).alias("h2"), said.alias("said"))
-    rows = turns.join(parts, ["conv_id", "block"]).select("conv_id", "block", "n_turns", "part", key.alias("t"))
-    rows = rows.groupBy("conv_id", "block", "n_turns", "part").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    rows = turns.select("conv_id", "n_turns", F.col("block").cast("int").alias("part"), F.struct("pos", said.alias("said")).alias("t"))
+    rows = rows.groupBy("conv_id", "n_turns", "part").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     return rows.select("conv_id", "n_turns", "part",
                        F.array_join(F.transform("turns", lambda t: t["said"]), "").alias("text"))

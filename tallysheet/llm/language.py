@@ -9,7 +9,8 @@ margin is the gap to the second smallest total as a share of it; below
 ``MIN_MARGIN`` the answer is marked as rejected.
 
 Dictionaries are the normalised texts of a bounded sample: about ``PER_LANGUAGE``
-labelled documents of each language, chosen by a hash of ``doc_id``, joined in that
+labelled documents of each language, chosen by a hash of ``doc_id``, of each its first ``SAMPLE_CHARS`` characters (cut
+in Spark, so the driver gets a bounded number of bytes), joined in that
 order up to ``DICTIONARY`` bytes.  Rows whose ``crc32(doc_id) mod 5`` is 0 are never
 learned from.  The dictionaries are what goes to the tasks; more than ``MAX_LANGUAGES``
 languages raise an error.
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from tallysheet.llm.toxicity import held_out
 
 PER_LANGUAGE = 300
+SAMPLE_CHARS = 8 * 1024
 DICTIONARY = 128 * 1024
 MAX_LANGUAGES = 500
 PIECE = 2048
@@ -61,7 +63,7 @@ def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> dict[str, b
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"]))])
     place = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 30)) / float(1 << 30)
     rows = known.where(place < share[F.col("lang")]).select(
-        "lang", place.alias("place"), "doc_id", "text").collect()
+        "lang", place.alias("place"), "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
     out: dict[str, bytes] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["place"], r["doc_id"] is not None, r["doc_id"], r["text"])):
         held = out.get(row["lang"], b"")

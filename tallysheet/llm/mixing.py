@@ -14,25 +14,33 @@ Copies are spread over partitions, and ordered within them, by a hash of
 ``(seed, doc_id, copy)``: a global random order.
 
 Scale: one aggregate with map-side combining gives a row per source.  The
-distribution function of a source is one array of about ``rate + 12 sqrt(rate)``
-numbers; the row is joined to the documents, broadcast only if at most
-``MAX_SOURCES`` sources were counted.  The documents are shuffled once, at the end,
+distribution function of a source is a row per number of copies, within ``WIDTH`` standard deviations
+of the rate (what lies outside is below 1e-30), summed up in a window per source: some
+``24 sqrt(rate)`` rows, 40,000 for a source that each document repeats three million times.  Packed into
+one array per source it is joined to the documents, broadcast only if at most ``MAX_ENTRIES`` numbers were
+counted.  The documents are shuffled once, at the end,
 on a hash of each copy, so a source with a third of the rows is no hot key.
 
 Defined cases: null sources form a source of their own, ``''`` another; sources
 without a weight get weight 0 and leave; a weighted source without documents
-leaves its share to nobody; a null ``doc_id`` hashes as an empty text; repeated rows
+leaves its share to nobody; a source of size 0 (all its texts null or empty, in characters) cannot
+reach any share of characters: its rate is 1, in either unit; a null ``doc_id`` hashes as an empty text; repeated rows
 draw the same number and are repeated alike; an empty table gives an empty one;
 documents of size 0 are drawn by the rate of their source like any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SEED = 17
-MAX_SOURCES = 10_000
+#: Half the width of the distribution in standard deviations, and a margin for small rates.
+WIDTH, MARGIN = 12, 20
+#: Numbers in the distribution functions of all sources up to which they are broadcast (16 MB).
+MAX_ENTRIES = 2_000_000
 
 
 def _hash_unit(*parts: Column) -> Column:
@@ -52,25 +60,35 @@ def equal_weights(sizes: DataFrame) -> DataFrame:
     return sizes.select("source", (F.lit(1.0) / sizes.select(F.count("*")).scalar()).alias("weight"))
 
 
-def with_distribution(sizes: DataFrame, weights: DataFrame) -> DataFrame:
-    """``(source, rate, cdf)``; ``cdf[k]`` is the probability of ``k`` copies or fewer."""
+def log_factorial(k: Column) -> Column:
+    """Natural logarithm of ``k!`` by Stirling's series, eight steps up where it is exact to 1e-15."""
+    x = k.cast("double") + 9.0
+    up = F.lit(1.0)
+    for j in range(1, 9):
+        up = up * (k.cast("double") + float(j))
+    series = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+    return series - F.log(up)
+
+
+def rates(sizes: DataFrame, weights: DataFrame) -> DataFrame:
+    """``(source, rate)`` of the sources that stay: those with a weight."""
     total = sizes.select(F.sum("size")).scalar()
     joined = sizes.join(weights.select(F.col("source").alias("__source"), "weight"),
-                        F.col("source").eqNullSafe(F.col("__source")), "left")
-    rate = F.when(F.col("size") > 0, F.coalesce("weight", F.lit(0.0)) * total / F.col("size")).otherwise(F.lit(0.0))
-    out = joined.select("source", rate.alias("rate"))
-    # log p(k) = log p(k-1) + log(rate) - log(k): no factor under- or overflows at large rates.
-    upto = F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 20).cast("int")
-    start = F.struct((-F.col("rate")).alias("logp"), F.exp(-F.col("rate")).alias("sum"),
-                     F.array(F.exp(-F.col("rate"))).alias("cdf"))
+                        F.col("source").eqNullSafe(F.col("__source")))
+    rate = F.when(F.col("size") > 0, F.col("weight") * total / F.col("size")).otherwise(F.lit(1.0))
+    return joined.where("weight > 0").select("source", rate.alias("rate"))
 
-    def step(a, k):
-        logp = a["logp"] + F.log("rate") - F.log(k.cast("double"))
-        return F.struct(logp.alias("logp"), (a["sum"] + F.exp(logp)).alias("sum"),
-                        F.concat(a["cdf"], F.array(a["sum"] + F.exp(logp))).alias("cdf"))
 
-    cdf = F.when(F.col("rate") > 0, F.aggregate(F.sequence(F.lit(1), upto), start, step, lambda a: a["cdf"]))
-    return out.withColumn("cdf", F.coalesce(cdf, F.array(F.lit(1.0))))
+def with_distribution(rates: DataFrame) -> DataFrame:
+    """``(source, rate, low, cdf)``; ``cdf[i]`` is the probability of ``low + i`` copies or fewer."""
+    spread = WIDTH * F.sqrt("rate") + MARGIN
+    low = F.greatest(F.floor(F.col("rate") - spread), F.lit(0)).cast("long").alias("low")
+    counts = rates.select("source", "rate", low, F.explode(F.sequence(low, F.ceil(F.col("rate") + spread).cast("long"))).alias("k"))
+    p = F.exp(F.col("k") * F.log("rate") - F.col("rate") - log_factorial(F.col("k")))
+    upto = Window.partitionBy("source").orderBy("k")
+    summed = counts.withColumn("c", F.sum(p).over(upto))
+    return summed.groupBy("source", "rate", "low").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("k", "c"))), lambda e: e["c"]).alias("cdf"))
 
 
 def mix(documents: DataFrame, weights: DataFrame | None = None, unit: str = "characters", seed: int = SEED,
@@ -82,18 +100,18 @@ def mix(documents: DataFrame, weights: DataFrame | None = None, unit: str = "cha
     all sources weigh the same.
     """
     sizes = source_sizes(documents, unit)
-    table = with_distribution(sizes, equal_weights(sizes) if weights is None else weights)
-    table = table.select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), "cdf")
-    if sizes.count() <= MAX_SOURCES:
+    known = rates(sizes, equal_weights(sizes) if weights is None else weights)
+    table = with_distribution(known).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), "low", "cdf")
+    if (known.select(F.sum(2 * (WIDTH * F.sqrt("rate") + MARGIN))).first()[0] or 0) <= MAX_ENTRIES:
         table = F.broadcast(table)
     drawn = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"))
     doc_id = F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))
     drawn = drawn.withColumn("u", _hash_unit(F.lit(str(seed)), doc_id))
     drawn = drawn.join(table, F.col("row.source").eqNullSafe(F.col("__source")))
     # The number of k with cdf[k] < u inverts the distribution function.
-    times = F.size(F.filter("cdf", lambda c: c < F.col("u")))
+    times = F.col("low") + F.size(F.filter("cdf", lambda c: c < F.col("u")))
     copies = drawn.withColumn("times", times).where("times > 0").select(
-        "row", "__rate", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__copy"))
+        "row", "__rate", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("__copy"))
     key = _hash_unit(F.lit(str(seed)), F.lit("order"), doc_id, F.col("__copy").cast("string"))
     copies = copies.withColumn("__order", key)
     spread = copies.repartition(F.col("__order")).sortWithinPartitions("__order")

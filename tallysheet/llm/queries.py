@@ -118,7 +118,7 @@ WITH sizes AS (
   SELECT source, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS size FROM documents GROUP BY source
 ), rates AS (
   SELECT source, CASE WHEN size > 0 THEN (1.0::DOUBLE / (SELECT count(*) FROM sizes)) * (SELECT sum(size) FROM sizes)::DOUBLE / size
-                      ELSE 0.0 END AS rate FROM sizes
+                      ELSE 1.0 END AS rate FROM sizes
 ), terms AS (
   SELECT source, rate, k, exp(k * ln(rate) - rate - lgamma(k + 1)) AS p
   FROM (SELECT source, rate, unnest(generate_series(0, CAST(ceil(rate + 12 * sqrt(rate) + 20) AS BIGINT))) AS k

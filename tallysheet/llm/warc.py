@@ -15,8 +15,9 @@ Scale: payloads are compared by SHA-1 in an aggregate with map-side combining, t
 joined once (a payload that a third of the pages share is split by Spark's skew join).
 Each task writes its rows to archives of about ``ARCHIVE_BYTES`` in the shared folder
 of ``spark.checkpoint.dir`` and returns their names; attempts use names of their own,
-so a repeated task leaves no record twice.  Reading deals archives to tasks and
-holds one record at a time.  The dictionary is trained on ``SAMPLE_PAGES`` pages at most,
+so a repeated task leaves no record twice.  Reading deals the archives to as many tasks as there are
+archives, up to ``READ_TASKS``, and
+holds one record at a time.  The dictionary is trained on the first ``SAMPLE_CHARS`` characters of ``SAMPLE_PAGES`` pages at most,
 chosen by a hash of ``page_id``.
 
 Defined cases: null html is an empty payload; null urls are written as an empty
@@ -45,6 +46,8 @@ from tallysheet.session import scratch_path
 
 DICTIONARY_MAGIC = 0x184D2A5D
 SAMPLE_PAGES = 500
+SAMPLE_CHARS = 8 * 1024
+READ_TASKS = 20_000
 DICTIONARY_BYTES = 64 * 1024
 ARCHIVE_BYTES = 64 * 1024 * 1024
 READ_BYTES = 64 * 1024
@@ -197,7 +200,9 @@ def with_references(pages: DataFrame, min_bytes: int) -> DataFrame:
 
 def sample_dictionary(pages: DataFrame, n: int = SAMPLE_PAGES) -> bytes:
     ids = pages.where("page_id is not null").select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(n)
-    rows = pages.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.max("html").alias("html")).collect()
+    # Cut in Spark: what comes to the driver is bounded in bytes.
+    start = F.substring("html", 1, SAMPLE_CHARS)
+    rows = pages.join(F.broadcast(ids), "page_id").groupBy("page_id").agg(F.max(start).alias("html")).collect()
     rows.sort(key=lambda r: r["page_id"])
     return train_dictionary([r["html"].encode() for r in rows if r["html"]])
 
@@ -261,7 +266,9 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_FIELDS)
 
-    return manifest.select("path", "records").repartition(F.col("path")).mapInArrow(
+    # A list of names is tiny: without an explicit number Spark would read all archives in one task.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    return manifest.select("path", "records").repartition(tasks).mapInArrow(
         per_task, "page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
                   "refers_to long, payload binary")
 

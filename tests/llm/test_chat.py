@@ -60,3 +60,14 @@ def test_a_long_conversation_is_rendered_in_parts(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert C.render(frame(spark, [])).count() == 0
+
+
+def test_a_hot_conversation_of_null_or_equal_turn_numbers_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(C, "BLOCK", 100)
+    rows = [(1, None, "user", f"n{i % 7}") for i in range(1000)] + [(2, 5, "user", f"n{i % 7}") for i in range(1000)] + [
+        (3, 0, "user", "w" * 300_000), (4, 0, "user", "a")]
+    got = C.render(frame(spark, rows, extra=True)).collect()
+    assert sorted((r.conv_id, r.part) for r in got) == [(c, p) for c in (1,) for p in range(10)] + [(3, 0), (4, 0)]
+    text = "".join(r.text for r in sorted(got, key=lambda r: r.part) if r.conv_id == 1)
+    assert text.count("<|end|>") == 1000 and text.count("n3<|end|>") == sum(i % 7 == 3 for i in range(1000))
+    assert {r.n_turns for r in got if r.conv_id == 1} == {1000}  # conversation 2 has the same turns

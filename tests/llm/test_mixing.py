@@ -63,3 +63,28 @@ def test_defined_cases(spark, documents_of):
     assert seen[4] % 2 == 0  # repeated rows are repeated alike
     assert M.mix(documents_of([])).count() == 0
     assert M.mix(documents_of([(1, "a", None, "s")]), weights_of(spark, [("other", 1.0)])).count() == 0
+
+
+def test_sources_of_size_zero_stay(spark, documents_of):
+    rows = [(i, None if i % 2 else "", None, "blank") for i in range(2000)] + [(9000 + i, "abc", None, "s") for i in range(500)]
+    out = M.mix(documents_of(rows)).collect()
+    times = Counter(r.source for r in out)
+    assert {r.rate for r in out if r.source == "blank"} == {1.0}
+    assert times["blank"] == pytest.approx(2000, abs=5 * math.sqrt(2000))
+    assert all(r.text in (None, "") for r in out if r.source == "blank")
+    only = M.mix(documents_of([(i, "", None, "blank") for i in range(500)])).count()  # nothing has any characters
+    assert only == pytest.approx(500, abs=5 * math.sqrt(500))
+
+
+def test_a_rate_of_millions_is_a_bounded_distribution(spark, documents_of):
+    sizes = spark.createDataFrame([("one", 1), ("rest", 5_999_999)], "source string, size long")
+    known = M.rates(sizes, weights_of(spark, [("one", 0.5), ("rest", 0.5)]))
+    table = {r.source: r for r in M.with_distribution(known).collect()}
+    assert table["one"].rate == 3_000_000 and len(table["one"].cdf) < 45_000
+    cdf, low = table["one"].cdf, table["one"].low
+    assert cdf[3_000_000 - low] == pytest.approx(0.5, abs=1e-3) and cdf[-1] == pytest.approx(1, abs=1e-6)
+    assert cdf[round(3_000_000 + 1732.05) - low] == pytest.approx(0.8413, abs=1e-3)
+    small = table["rest"].cdf
+    rate = table["rest"].rate
+    for k in range(8):
+        assert small[k] == pytest.approx(sum(math.exp(-rate) * rate**j / math.factorial(j) for j in range(k + 1)), rel=1e-12)

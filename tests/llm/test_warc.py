@@ -100,3 +100,13 @@ def test_damaged_archives_are_refused():
     for bad in (raw[4:], raw[:6], raw[:-3], b""):
         with pytest.raises((ValueError, zstandard.ZstdError)):
             list(W.read_records(io.BytesIO(bad)))
+
+
+def test_archives_are_read_in_parallel(spark):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>" * 50) for i in range(60)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-test")
+    manifest = W.write_archives(pages.repartition(12), folder, archive_bytes=200)
+    n = manifest.count()
+    back = W.read_archives(manifest, payloads=False)
+    assert n >= 12 and back.rdd.getNumPartitions() == n
+    assert sorted(r["page_id"] for r in back.collect()) == list(range(60))
