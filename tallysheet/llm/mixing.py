@@ -61,13 +61,13 @@ def equal_weights(sizes: DataFrame) -> DataFrame:
 
 
 def log_factorial(k: Column) -> Column:
-    """Natural logarithm of ``k!`` by Stirling's series, eight steps up where it is exact to 1e-15."""
-    x = k.cast("double") + 9.0
-    up = F.lit(1.0)
-    for j in range(1, 9):
+    """Natural logarithm of ``k!`` by Stirling's series, sixteen steps up where it is exact to 1e-14."""
+    x, up = k.cast("double") + 17.0, F.lit(1.0)
+    for j in range(1, 17):
         up = up * (k.cast("double") + float(j))
-    series = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
-    return series - F.log(up)
+    y = 1 / (x * x)
+    series = (1 / x) * (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y / 1680)))
+    return (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series - F.log(up)
 
 
 def rates(sizes: DataFrame, weights: DataFrame) -> DataFrame:
