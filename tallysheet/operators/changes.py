@@ -68,9 +68,13 @@ def _differs(new: Column, old: Column, null_safe: bool) -> Column:
     return F.coalesce(new != old, F.lit(False))
 
 
-def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sparse: bool = False) -> DataFrame:
+def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sparse: bool = False,
+                   present: tuple[str, Mapping[str, int]] | None = None) -> DataFrame:
     """Upsert ``incoming`` into ``current`` and set status / previous values.
 
+    ``sparse``: only what ``incoming`` has replaces a stored value, which is what is not NULL, or, with ``present``
+    (a bitmap column of both and the bit of each column), what the bitmap says.
+
     ``incoming`` has the keys and any subset of the data columns (no status
     and no previous-value columns); keys are unique in both inputs.  One full
     outer join on the keys, everything else is a projection.
@@ -92,12 +96,18 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
     else:
         late = F.lit(False)
 
+    def has(side: str, c: str) -> Column:
+        if present is None or c not in present[1]:
+            return F.col(quoted(side + c)).isNotNull()
+        return F.coalesce(F.col(quoted(side + present[0])).bitwiseAND(F.lit(present[1][c]).cast("long")) != 0, F.lit(False))
+
+    def first_that_has(first: str, second: str, c: str) -> Column:
+        return F.when(has(first, c), F.col(quoted(first + c))).otherwise(F.col(quoted(second + c)))
+
     changed = F.lit(False)
     for c in spec.tracked:
         if c in in_cols:
-            new_value = F.col(quoted("n__" + c))
-            if sparse:
-                new_value = F.coalesce(new_value, F.col(quoted("o__" + c)))
+            new_value = first_that_has("n__", "o__", c) if sparse else F.col(quoted("n__" + c))
             changed = changed | _differs(new_value, F.col(quoted("o__" + c)), spec.null_safe)
     changed = old_hit & new_hit & changed  # new_hit: the incoming row is taken
 
@@ -116,13 +126,15 @@ def detect_changes(current: DataFrame, incoming: DataFrame, spec: ChangeSpec, sp
         elif c in spec.previous.values():
             source = next(k for k, v in spec.previous.items() if v == c)
             out.append(F.when(changed, F.col(quoted("o__" + source))).otherwise(F.col(quoted("o__" + c))).alias(c))
+        elif present is not None and c == present[0]:
+            both = [F.coalesce(F.col(quoted(side + c)), F.lit(0).cast("long")) for side in ("n__", "o__")]
+            out.append(both[0].bitwiseOR(both[1]).alias(c))
         elif c in in_cols and c not in state_cols:
             new_value, old_value = F.col(quoted("n__" + c)), F.col(quoted("o__" + c))
-            if sparse:
-                new_value = F.coalesce(new_value, old_value)
             kept = old_value
             if sparse:  # a late document still fills what no newer one carried
-                kept = F.when(late, F.coalesce(old_value, F.col(quoted("n__" + c)))).otherwise(old_value)
+                new_value = first_that_has("n__", "o__", c)
+                kept = F.when(late, first_that_has("o__", "n__", c)).otherwise(old_value)
             out.append(F.when(new_hit, new_value).otherwise(kept).alias(c))
         else:
             out.append(F.col(quoted("o__" + c)).alias(c))

@@ -3,6 +3,7 @@
 from tallysheet.plans import (  # noqa: F401  (importing registers the queries)
     integrity_queries,
     load_queries,
+    presence_queries,
     report_queries,
     scan_queries,
     state_queries,

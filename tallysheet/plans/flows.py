@@ -33,6 +33,14 @@ from tallysheet.operators.incremental import group_members, is_empty, since_mark
 from tallysheet.operators.skew import semi_join_keys
 from tallysheet.operators.ordering import cluster_for_write
 from tallysheet.operators.mapping import apply_mapping, malformed_cells, read_schema, spread_sections
+from tallysheet.operators.presence import (
+    PRESENT,
+    fold_present,
+    malformed_present,
+    map_present,
+    present_bits,
+    upsert_present,
+)
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
 from tallysheet.operators.schema_evolution import apply_plan, schema_plan
 from tallysheet.operators.unnest import explode_links
@@ -62,6 +70,7 @@ from tallysheet.sources.documents import (
     read_documents,
     unit_files,
 )
+from tallysheet.sources.variants import variant_items
 
 
 def _staged_schema(mapped: DataFrame, ep: Endpoint) -> T.StructType:
@@ -168,6 +177,34 @@ def stage_endpoint(spark: SparkSession, landed_dir: str, ep: Endpoint, store: st
     return commit(_stage_folded(current, batch, ep), path)
 
 
+def stage_present(spark: SparkSession, landed_dir: str, ep: Endpoint, store: str, source_url: str,
+                  multi_line: bool = True, on_bad: str = "fail") -> int:
+    """As :func:`stage_endpoint`, by the keys that documents have: a key with null overwrites, an absent key does not.
+
+    The staged table has a ``present`` column (see ``operators.presence``); a table staged before without it counts
+    its non-null columns as given.
+    """
+    bits = present_bits(ep.spec)
+    placed = variant_items(spark, landed_dir, ep.list_key, multi_line, on_bad=on_bad)
+    cells = F.array_join(malformed_present(ep.spec), ", ")
+    reason = F.when(F.col(BAD_TEXT).isNotNull(), F.lit("unreadable document")).when(
+        F.length(cells) > 0, F.concat(F.lit("malformed "), cells))
+    mapped = map_present(placed.withColumn("reason", reason), ep.spec, source_url, carry=[FILE, POSITION, BAD_TEXT, "reason"])
+    rows, rejects = _split_mapped(cut_lineage(mapped), ep.keys)
+    seq = F.struct(*([F.col(ep.order_col)] if ep.order_col in rows.columns else []), F.col(FILE), F.col(POSITION))
+    batch = fold_present(rows.withColumn("_seq", seq).drop(FILE, POSITION), list(ep.keys), "_seq", bits)
+    path = f"{store}/{ep.table}"
+    current = read_latest(spark, path, _staged_schema(batch, ep))
+    given = reduce(lambda a, c: a.bitwiseOR(F.when(F.col(f"`{c}`").isNotNull(), F.lit(bits[c])).otherwise(0).cast("long")),
+                   [c for c in bits if c in current.columns], F.lit(0).cast("long"))
+    current = current.withColumn(PRESENT, F.coalesce(PRESENT, given))
+    batch, incomplete = _without_incomplete(current, batch, ep)
+    _keep_rejects(rejects.unionByName(incomplete), store, ep.table)
+    version = ep.order_col if ep.order_col in batch.columns else None
+    spec = ChangeSpec(keys=list(ep.keys), tracked=list(ep.tracked), previous=dict(ep.previous), version_col=version)
+    return commit(upsert_present(current, batch, spec, bits), path)
+
+
 def _without_incomplete(current: DataFrame, batch: DataFrame, ep: Endpoint) -> tuple[DataFrame, DataFrame]:
     """``batch`` without the new keys that lack a required column, and those as ``(reason, row)``.
 
