@@ -7,6 +7,10 @@ rename their name column.  The plan is a DataFrame of ordered actions; it
 is metadata-sized, so applying it collects it and folds it into a single
 ``select`` list (idempotent: existing columns are not added twice, a rename
 whose source is gone is skipped).
+
+Renames of one plan happen at the same time: two levels may change names, or each take the next one's.
+``ordered_renames`` puts them in an order in which no name is taken before its column has left it; a cycle goes through a
+temporary name.  Renames come before additions, so a new column may take a name that became free.
 """
 
 from __future__ import annotations
@@ -64,22 +68,75 @@ def schema_plan(meta: DataFrame, order_by: Sequence[str], uid: str = "uid", name
     )
 
 
+TEMPORARY = "__renaming"
+
+
+def ordered_renames(renames: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Simultaneous ``(from, to)`` renames as statements that can run one after the other.
+
+    Chains run from their free end backwards; a cycle first moves one column to a temporary name.  A column renamed
+    twice in one plan follows its last rename.
+    """
+    target = {old: new for old, new in renames if old != new}
+    leaves = {}  # name -> the column that wants it
+    for old, new in target.items():
+        leaves.setdefault(new, old)
+    out: list[tuple[str, str]] = []
+    open_names = dict(target)
+
+    def run_back(name: str) -> None:
+        """Renames into ``name``, which is free, then into the name that this frees, and so on."""
+        while name in leaves and leaves[name] in open_names and open_names[leaves[name]] == name:
+            old = leaves[name]
+            out.append((old, open_names.pop(old)))
+            name = old
+
+    for new in sorted(set(target.values()) - set(target)):
+        run_back(new)
+    for old in sorted(target):
+        if old in open_names and leaves.get(open_names[old]) == old:  # what is left are cycles
+            parked = old + TEMPORARY
+            new = open_names.pop(old)
+            out.append((old, parked))
+            run_back(old)
+            out.append((parked, new))
+    # Several columns that want one name: the first has it, the others come last and find it taken.
+    out += sorted(open_names.items())
+    return out
+
+
+def ordered_actions(actions: Sequence[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    """``(action, column_name, anchor)`` in an order that can be run statement by statement: renames, then additions."""
+    renames = ordered_renames([(anchor, column) for action, column, anchor in actions if action == "RENAME"])
+    return [("RENAME", new, old) for old, new in renames] + [a for a in actions if a[0] == "ADD"]
+
+
+def ordered_plan(plan: DataFrame) -> DataFrame:
+    """``(seq, action, column_name, anchor)``: the plan as statements in the order of :func:`ordered_actions`."""
+    rows = bounded_rows(plan.orderBy("seq"), "schema actions")
+    actions = ordered_actions([(r["action"], r["column_name"], r["anchor"]) for r in rows])
+    return plan.sparkSession.createDataFrame([(i, *a) for i, a in enumerate(actions, 1)],
+                                             "seq int, action string, column_name string, anchor string")
+
+
 def plan_columns(columns: Sequence[str], actions: Sequence[tuple[str, str, str]]) -> list[tuple[str, str | None]]:
     """Fold ``(action, column_name, anchor)`` over a column list.
 
-    Returns ``(output name, source column or None for a new '' column)``.
+    Returns ``(output name, source column or None for a new '' column)``.  A rename into a name that another column
+    keeps raises: the plan would be taken as done while its column still had the old name.
     """
     out: list[list] = [[c, c] for c in columns]
     names = lambda: [o[0] for o in out]
-    for action, column, anchor in actions:
+    for action, column, anchor in ordered_actions(actions):
         if action == "ADD":
             if column in names():
                 continue
             pos = names().index(anchor) + 1 if anchor in names() else len(out)
             out.insert(pos, [column, None])
-        elif action == "RENAME":
-            if anchor in names() and column not in names():
-                out[names().index(anchor)][0] = column
+        elif action == "RENAME" and anchor in names():
+            if column in names():
+                raise ValueError(f"column {anchor!r} cannot be renamed: there is a column {column!r}")
+            out[names().index(anchor)][0] = column
     return [(o[0], o[1]) for o in out]
 
 

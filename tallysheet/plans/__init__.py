@@ -7,6 +7,7 @@ from tallysheet.plans import (  # noqa: F401  (importing registers the queries)
     report_queries,
     scan_queries,
     state_queries,
+    tree_queries,
     warehouse_queries,
 )
 from tallysheet.plans.registry import ORACLES, QUERIES

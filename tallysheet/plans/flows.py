@@ -43,6 +43,7 @@ from tallysheet.operators.presence import (
 )
 from tallysheet.operators.report import BandSpec, ReportConfig, fill_cast, form_report
 from tallysheet.operators.schema_evolution import apply_plan, schema_plan
+from tallysheet.operators.tree import new_closure_rows, with_descendants
 from tallysheet.operators.unnest import explode_links
 from tallysheet.operators.upsert import apply_changes, changed_rows, fold_sparse, insert_new, upsert
 from tallysheet.operators.widen import membership_flags, pivot_options
@@ -251,20 +252,33 @@ def data_source_dimension(warehouse: DataFrame, staged: DataFrame) -> DataFrame:
     return apply_changes(warehouse, changed_rows(staged), ["id"])
 
 
-def orgunit_dimension(units: DataFrame, levels: DataFrame, plan_anchor: str = "lastupdated"
-                      ) -> tuple[DataFrame, DataFrame]:
+def orgunit_dimension(units: DataFrame, levels: DataFrame, plan_anchor: str = "lastupdated",
+                      closure: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(column plan, warehouse rows) for the org-unit dimension.
 
     Rows: the pending units, flattened against the full unit table, without
-    ``change``/``path``/``parentid``, ``lastupdated`` truncated to seconds.
+    ``change``/``path``/``parentid``, ``lastupdated`` truncated to seconds.  With the ``closure`` of the units'
+    inner paths also all units below a pending one, whose rows show its name.
     """
     plan = schema_plan(levels, ["level", "uid"], anchor=plan_anchor)
     pending = changed_rows(units)
+    if closure is not None:
+        pending = with_descendants(units, pending, closure, source="sourceid")
     flat = flatten_hierarchy(pending, level_columns(levels), keep=["sourceid", "lastupdated"], lookup=units,
                              source="sourceid")
     return plan, flat.withColumn("lastupdated", truncate_seconds(F.col("lastupdated")))
 
 
+def extend_closure(spark: SparkSession, store: str, units: DataFrame) -> DataFrame:
+    """The store's closure of inner paths, with those of ``units`` added; only new ones are written."""
+    path = f"{store}/organisationunit_closure"
+    stored = spark.read.schema("sourceid string, ancestor string, inner string").parquet(path) if path_exists(spark, path) else None
+    fresh = cut_lineage(new_closure_rows(stored, units, source="sourceid"))
+    if stored is None or not is_empty(fresh):
+        fresh.select("sourceid", "ancestor", "inner").write.mode("append").parquet(path)
+    return spark.read.schema("sourceid string, ancestor string, inner string").parquet(path)
+
+
 def category_dimension(combos: DataFrame, combo_options: DataFrame, options: DataFrame,
                        category_options: DataFrame, categories: DataFrame, as_of: str,
                        changed_only: str | None = "options") -> DataFrame:
@@ -401,12 +415,15 @@ def _reset_links(spark: SparkSession, store: str, snapshots: Mapping[str, DataFr
 def export_orgunits(spark: SparkSession, store: str, warehouse: str) -> int | None:
     """One warehouse load of the org-unit dimension: plan, flatten, load, then reset what was exported.
 
-    Works on one snapshot of the staged tables.  Returns the warehouse version (None: nothing pending).
+    A renamed (or newly known) unit takes its whole subtree along, found through the closure of inner paths, to which
+    the pending units' paths are added first; no other row is built.  Works on one snapshot of the staged tables.  Returns the warehouse version (None: nothing pending).
     """
     units, levels = read_latest(spark, f"{store}/organisationunit"), read_latest(spark, f"{store}/orgunitlevel")
     if not _pending(units, levels):
         return None
-    plan, rows = orgunit_dimension(units, levels)
+    closure_path = f"{store}/organisationunit_closure"
+    closure = extend_closure(spark, store, changed_rows(units) if path_exists(spark, closure_path) else units)
+    plan, rows = orgunit_dimension(units, levels, closure=closure)
     version = load_dimension(spark, f"{warehouse}/organisationunit", rows, plan, ["uid", "sourceid"])
     _reset_exported(spark, store, {"organisationunit": units, "orgunitlevel": levels})
     return version
