@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.functions.keys import merge_named, merged_names, quoted, sanitize
+from tallysheet.session import MAX_METADATA_ROWS
 
 
 def _head(carry: Sequence[str], order: str) -> Column:
@@ -92,20 +93,56 @@ def pivot_options(links: DataFrame, key: str | Sequence[str], categories: Sequen
     return merged.fillna(fill, subset=[quoted(n) for n in merged_names(n for n, _ in pairs)])
 
 
+#: Bits of one bitmap column: a long's without its sign.
+WORD_BITS = 63
+_WORD = "_bits"
+
+
+def membership_words(links: DataFrame, key: str | Sequence[str], group_uids: Sequence[str], group_uid: str) -> DataFrame:
+    """Per key, the groups it is in as a bitmap: ``_bits0``, ``_bits1``, ... of ``WORD_BITS`` groups each, in the list's order.
+
+    One numeric aggregate over the links, whatever the number of groups (5,000 are 80 columns): the group's number is looked
+    up in the list (broadcast, metadata-sized) and its bit is or-ed, first in every map task.  Links need not be distinct.
+    A key whose groups are all unknown has no bit.
+    """
+    keys = _keys(key)
+    numbers = [(u, i // WORD_BITS, 1 << (i % WORD_BITS)) for i, u in enumerate(dict.fromkeys(group_uids))]
+    if len(numbers) > MAX_METADATA_ROWS:
+        raise ValueError(f"more than {MAX_METADATA_ROWS} groups")
+    spark = links.sparkSession
+    known = spark.createDataFrame(numbers, f"{quoted(group_uid)} {links.schema[group_uid].dataType.simpleString()}, _word int, _bit long")
+    marked = links.select(*keys, group_uid).join(F.broadcast(known), group_uid, "left")
+    words = range(-(-len(numbers) // WORD_BITS))
+    bits = [F.bit_or(F.when(F.col("_word") == w, F.col("_bit")).otherwise(F.lit(0).cast("long"))).alias(f"{_WORD}{w}") for w in words]
+    return marked.groupBy(*keys).agg(*bits) if bits else marked.select(*keys).distinct()
+
+
+def in_group(number: int) -> Column:
+    """Whether the bitmap of :func:`membership_words` has the group of that number in the list."""
+    return F.col(f"{_WORD}{number // WORD_BITS}").bitwiseAND(F.lit(1 << (number % WORD_BITS)).cast("long")) != 0
+
+
+def group_count(words: DataFrame) -> Column:
+    """In how many groups a key of :func:`membership_words` is."""
+    return sum((F.bit_count(c) for c in words.columns if c.startswith(_WORD)), F.lit(0))
+
+
 def membership_flags(links: DataFrame, key: str | Sequence[str], groups: Sequence[tuple[str, str]], group_uid: str,
                      flag: str = "t", fill: str = "") -> DataFrame:
     """Per key: ``<group uid>`` and ``<group name>`` = ``flag`` when a member, else ``fill`` (O-44).
 
     ``key`` may be several columns (uid and source); groups whose names sanitise
-    alike share a column, flagged if either has the member.
+    alike share a column, flagged if either has the member.  Memberships are aggregated as bitmaps; the text flags
+    are a projection of them.
     """
     keys = _keys(key)
     uids = list(dict.fromkeys(u for u, _ in groups))
-    marks = [F.max(F.when(F.col(group_uid) == uid, F.lit(flag))).alias(f"_g{i}") for i, uid in enumerate(uids)]
-    wide = links.select(*keys, group_uid).distinct().groupBy(*keys).agg(*marks) if marks else links.select(*keys).distinct()
+    number = {u: i for i, u in enumerate(uids)}
+    wide = membership_words(links, keys, uids, group_uid)
     pairs = []
     for uid, name in groups:
-        pairs += [(uid, F.col(f"_g{uids.index(uid)}")), (sanitize(name), F.col(f"_g{uids.index(uid)}"))]
+        shown = F.when(in_group(number[uid]), F.lit(flag))
+        pairs += [(uid, shown), (sanitize(name), shown)]
     merged = wide.select(*keys, *merge_named(pairs))
     names = [quoted(n) for n in merged_names(n for n, _ in pairs)]
     return merged.fillna(fill, subset=names) if names else merged

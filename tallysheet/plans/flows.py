@@ -71,6 +71,7 @@ from tallysheet.sources.documents import (
     read_documents,
     unit_files,
 )
+from tallysheet.sources.paging import check_complete
 from tallysheet.sources.variants import variant_items
 
 
@@ -160,13 +161,18 @@ def _keep_rejects(rejects: DataFrame, store: str, table: str) -> None:
 
 
 def stage_endpoint(spark: SparkSession, landed_dir: str, ep: Endpoint, store: str, source_url: str,
-                   multi_line: bool = True, on_bad: str = "fail") -> int:
+                   multi_line: bool = True, on_bad: str = "fail", complete: bool = False) -> int:
     """Landed pages of one endpoint -> new version of its staging table; returns the version.
 
+    With ``complete`` the pages' own pagers must say that none is missing, came twice or shifted (``sources.paging``),
+    or the load fails before anything is written.
+
     Rows without a key, with a cell that is no value of its column's type, and new rows without a required
     column go to ``<table>_rejects``; a document that cannot be read fails the
     load, or goes there too with ``on_bad="skip"``.  The pages are parsed once.
     """
+    if complete:
+        check_complete(spark, landed_dir, ep.list_key, multi_line)
     schema = read_schema(ep.spec)
     parsed = parsed_files(spark, landed_dir, ep.list_key, schema, multi_line)
     mapped = cut_lineage(mapped_items(placed_items(parsed, on_bad=on_bad), ep.spec, source_url))

@@ -12,6 +12,7 @@ from tallysheet.plans.flows import stage_present
 from tallysheet.plans.registry import SOURCE_URL, register
 from tallysheet.session import scratch_path
 from tallysheet.sinks.versioned import commit, read_latest
+from tallysheet.sources.paging import landed_pages, page_problems
 from tallysheet.sources.tables import Tables
 from tallysheet.sources.variants import read_mixed_forms
 
@@ -114,3 +115,39 @@ def q_schema_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which forms have which keys, and where types disagree (between forms, or inside one)."""
     _, report = read_mixed_forms(spark, land_mixed_forms(Tables(spark, sf_dir).orders, "schema_conflicts"), "value", multi_line=False)
     return report.select("field", "forms", "conflict")
+
+
+def land_pages(customer: DataFrame) -> str:
+    """Customer pages with a pager, as a pull that went wrong: pages lost, one list object on two pages, pages taken twice."""
+    key, path = F.col("c_custkey"), scratch_path(customer.sparkSession, "pages")
+    page = F.floor(key / 50) + 1
+    last = key % 50 == 49
+    rows = customer.select(page.alias("page"), key.alias("id")).unionByName(
+        customer.where(last & (key % 100 == 99)).select((page + 1).alias("page"), key.alias("id")))
+    pages = rows.groupBy("page").agg(F.collect_list(F.struct("id")).alias("items")).where((F.col("page") % 9 > 1) | (F.col("page") == 1))
+    pages = pages.withColumns({"total": customer.select(F.count(F.lit(1))).scalar(), "pageCount": customer.select(F.max(page)).scalar()})
+    body = F.to_json(F.struct(F.struct("page", "pageCount", "total").alias("pager"), F.col("items").alias("customers")))
+    twice = F.explode(F.when(F.col("page") % 11 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    pages.select(body.alias("value"), twice.alias("copy")).select("value").write.text(path)
+    return path
+
+
+@register(
+    "page_check",
+    """WITH p AS (SELECT c_custkey AS id, CAST(floor(c_custkey / 50) AS BIGINT) + 1 AS page FROM customer
+  UNION ALL SELECT c_custkey, CAST(floor(c_custkey / 50) AS BIGINT) + 2 FROM customer WHERE c_custkey % 100 = 99
+), n AS (SELECT max(page) AS upto FROM (SELECT CAST(floor(c_custkey / 50) AS BIGINT) + 1 AS page FROM customer)
+), l AS (SELECT * FROM p WHERE page % 9 > 1 OR page = 1
+), gaps AS (
+  SELECT g, g - row_number() OVER (ORDER BY g) AS island
+  FROM (SELECT unnest(generate_series(1, greatest((SELECT upto FROM n), (SELECT max(page) FROM l)))) AS g) WHERE g NOT IN (SELECT page FROM l)
+), held AS (SELECT id, min(page) AS first, max(page) AS last FROM l GROUP BY id)
+SELECT 'missing' AS problem, min(g) AS first, max(g) AS last, count(*) AS found FROM gaps GROUP BY island
+UNION ALL SELECT DISTINCT 'repeated', page, page, 2 FROM l WHERE page % 11 = 5
+UNION ALL SELECT 'overlap', min(first), max(last), count(*) FROM held WHERE first <> last HAVING count(*) > 0
+UNION ALL SELECT 'total', NULL, (SELECT count(*) FROM customer), count(*) FROM held HAVING count(*) <> (SELECT count(*) FROM customer)""",
+)
+def q_page_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a broken pull of customer pages lacks, has twice, and holds on two pages."""
+    path = land_pages(Tables(spark, sf_dir).customer)
+    return page_problems(landed_pages(spark, path, "customers", multi_line=False)).select("problem", "first", "last", "found")

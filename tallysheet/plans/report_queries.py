@@ -15,10 +15,14 @@ from tallysheet.functions.casts import day_text
 from tallysheet.operators.report import (
     BandSpec,
     ReportConfig,
+    apply_report_delta,
     band_indicators,
     band_report_wide,
+    changed_submissions,
     fill_cast,
     form_report,
+    report_delta,
+    report_totals,
 )
 from tallysheet.plans.registry import register
 from tallysheet.sources.tables import Tables
@@ -180,3 +184,48 @@ def q_fill_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("v"),
     )
     return fill_cast(raw, ["k", "v"])
+
+
+def _edited(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The submissions before and after a round of edits: some deleted, some inserted, ages and facilities changed."""
+    li = t.lineitem
+    # No column of the table is a key; all of these together tell its rows apart.
+    number = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("id")
+    rows = submissions(t)
+    keyed = fill_cast(li.select(
+        number, "l_orderkey", F.col("l_shipdate").cast("date").alias("interview_date"), F.col("l_suppkey").alias("health_facility"),
+        F.col("l_quantity").alias("participant_age"), F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", 2)
+        .alias("participant_gender"), F.when(F.col("l_linestatus") == "O", 1).when(F.col("l_linestatus") == "F", 2).alias("case_control")))
+    kind = F.col("l_orderkey") % 40
+    columns = ["id", *rows.columns]
+    before = keyed.where(kind != 1).select(*columns)
+    after = keyed.where(kind != 2).withColumn("participant_age", F.when(kind == 3, F.col("participant_age") + 7).otherwise(F.col("participant_age")))
+    after = after.withColumn("health_facility", F.when(kind == 4, F.lit(1).cast(after.schema["health_facility"].dataType))
+                             .otherwise(F.col("health_facility")))
+    return before, after.select(*columns)
+
+
+@register(
+    "report_delta",
+    """WITH s AS (
+  SELECT CAST(l_shipdate AS DATE) AS d, CASE WHEN l_orderkey % 40 = 4 THEN 1 ELSE l_suppkey END AS f,
+         CAST(trunc(l_quantity) AS INTEGER) + CASE WHEN l_orderkey % 40 = 3 THEN 7 ELSE 0 END AS age,
+         CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 0 END AS sex, CASE l_linestatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 0 END AS arm
+  FROM lineitem WHERE l_orderkey % 40 <> 2
+)
+SELECT CAST(d AS VARCHAR) AS interview_date, f AS health_facility, count(*) AS submissions,
+       count(*) FILTER (WHERE age >= 15 AND age < 25 AND sex = 1 AND arm = 2) AS "15-24-Male-Control",
+       count(*) FILTER (WHERE age >= 50 AND sex = 2 AND arm = 2) AS ">=50-Female-Control"
+FROM s GROUP BY d, f""",
+)
+def q_report_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals of the first state, moved to the second by what was edited: equal to counting the second anew."""
+    before, after = _edited(Tables(spark, sf_dir))
+    keys = ["interview_date", "health_facility"]
+    totals = report_totals(before)
+    gone, come = changed_submissions(before, after, "id")
+    touched, empty = apply_report_delta(totals, report_delta(gone, come))
+    rewritten = touched.select(*keys).unionByName(empty)
+    kept = totals.join(rewritten, keys, "left_anti")
+    return kept.unionByName(touched).select(
+        F.col("interview_date").cast("string").alias("interview_date"), "health_facility", "submissions", "`15-24-Male-Control`", "`>=50-Female-Control`")

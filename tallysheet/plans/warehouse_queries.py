@@ -14,7 +14,15 @@ from tallysheet.functions.casts import load_timestamp
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
 from tallysheet.operators.ordering import global_ordinal
 from tallysheet.operators.upsert import changed_rows
-from tallysheet.operators.widen import fold_option_map, map_as_text, membership_flags, pivot_options
+from tallysheet.operators.widen import (
+    fold_option_map,
+    group_count,
+    in_group,
+    map_as_text,
+    membership_flags,
+    membership_words,
+    pivot_options,
+)
 from tallysheet.plans.registry import register
 from tallysheet.session import bounded_rows
 from tallysheet.sources.tables import Tables
@@ -274,3 +282,22 @@ def q_group_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
         "uid", "name", "sourceid", load_timestamp(AS_OF).alias("lastupdated"),
         *[F.col(f"`{c}`") for c in flags.columns if c not in ("uid", "sourceid")],
     )
+
+
+MANY_GROUPS = 5_000
+
+
+@register(
+    "group_bitmaps",
+    f"""SELECT l_suppkey AS uid, CAST(count(DISTINCT l_orderkey % {MANY_GROUPS}) AS INTEGER) AS n_groups, bool_or(l_orderkey % {MANY_GROUPS} = 0) AS in_first,
+       bool_or(l_orderkey % {MANY_GROUPS} = 62) AS in_63rd, bool_or(l_orderkey % {MANY_GROUPS} = 63) AS in_64th,
+       bool_or(l_orderkey % {MANY_GROUPS} = {MANY_GROUPS - 1}) AS in_last
+FROM lineitem GROUP BY l_suppkey""",
+)
+def q_group_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five thousand groups in one aggregate: suppliers by the order numbers (modulo 5,000) they deliver to."""
+    links = Tables(spark, sf_dir).lineitem.select(
+        F.col("l_suppkey").alias("uid"), F.concat(F.lit("G"), F.col("l_orderkey") % MANY_GROUPS).alias("group_uid"))
+    words = membership_words(links, "uid", [f"G{i}" for i in range(MANY_GROUPS)], "group_uid")
+    return words.select("uid", group_count(words).cast("int").alias("n_groups"), in_group(0).alias("in_first"), in_group(62).alias("in_63rd"),
+                        in_group(63).alias("in_64th"), in_group(MANY_GROUPS - 1).alias("in_last"))
