@@ -9,7 +9,9 @@ the identity term is swapped for another of its kind; the squared change of the
 document's score (its logit) under the swap is penalised with weight
 ``cf_weight``.  What a neutral mention adds to the score is thereby driven to
 what any other group's mention adds, and words such as "muslim" cannot carry
-the label themselves.
+the label themselves.  The terms are an argument (English, German, French and Spanish ones by default); the model
+says how many sentences had one (``swapped``): with none, the penalty has nothing to act on and the model is a plain
+L1 logistic regression.
 
 Training rows are a bounded sample: the ``MAX_PER_CLASS`` labelled documents of
 each class whose hashed id is least; only these reach the driver.  Rows whose
@@ -27,6 +29,7 @@ Repeated rows each get the same result.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Mapping
 
 import numpy as np
 import pandas as pd
@@ -43,19 +46,55 @@ L1_SCALE = 0.02
 RELAXED = 0.1
 CF_WEIGHT = 1.0
 
-#: Identity terms by kind; a swap stays within its kind.
+#: Identity terms by language and kind; a swap stays within its kind.  An argument of ``train`` replaces them.
 IDENTITY_TERMS = {
-    "religion": "muslim christian jewish hindu buddhist atheist catholic protestant sikh".split(),
-    "religion_plural": "muslims christians jews hindus buddhists atheists catholics protestants sikhs".split(),
-    "gender": "woman man girl boy".split(),
-    "gender_plural": "women men girls boys".split(),
-    "orientation": "gay lesbian bisexual straight heterosexual homosexual transgender queer".split(),
-    "origin": "african american asian european mexican arab chinese indian russian german french spanish".split(),
-    "colour": "black white".split(),
-    "ability": "deaf blind disabled autistic".split(),
-    "age": "young old elderly teenage".split(),
+    "en religion": "muslim christian jewish hindu buddhist atheist catholic protestant sikh",
+    "en religion, plural": "muslims christians jews hindus buddhists atheists catholics protestants sikhs",
+    "en gender": "woman man girl boy",
+    "en gender, plural": "women men girls boys",
+    "en orientation": "gay lesbian bisexual straight heterosexual homosexual transgender queer",
+    "en origin": "african american asian european mexican arab chinese indian russian german french spanish",
+    "en colour": "black white",
+    "en ability": "deaf blind disabled autistic",
+    "en age": "young old elderly teenage",
+    "de religion": "muslimisch christlich jüdisch hinduistisch buddhistisch atheistisch katholisch evangelisch",
+    "de religion, plural": "muslime christen juden hindus buddhisten atheisten katholiken protestanten",
+    "de gender": "frau mann mädchen junge",
+    "de gender, plural": "frauen männer",
+    "de orientation": "schwul lesbisch bisexuell heterosexuell homosexuell transsexuell",
+    "de origin": "türkisch deutsch russisch polnisch arabisch chinesisch afrikanisch französisch spanisch",
+    "de colour": "schwarz weiß",
+    "de ability": "taub blind behindert autistisch",
+    "fr religion": "musulman chrétien juif hindou bouddhiste athée catholique protestant",
+    "fr religion, plural": "musulmans chrétiens juifs hindous bouddhistes athées catholiques protestants",
+    "fr gender": "femme homme fille garçon",
+    "fr gender, plural": "femmes hommes filles garçons",
+    "fr orientation": "gay lesbienne bisexuel hétérosexuel homosexuel transgenre",
+    "fr origin": "africain américain asiatique européen arabe chinois russe allemand français espagnol",
+    "fr colour": "noir blanc",
+    "fr ability": "sourd aveugle handicapé autiste",
+    "es religion": "musulmán cristiano judío hindú budista ateo católico protestante",
+    "es religion, plural": "musulmanes cristianos judíos hindúes budistas ateos católicos protestantes",
+    "es gender": "mujer hombre niña niño",
+    "es gender, plural": "mujeres hombres niñas niños",
+    "es orientation": "gay lesbiana bisexual heterosexual homosexual transgénero",
+    "es origin": "africano americano asiático europeo árabe chino ruso alemán francés español",
+    "es colour": "negro blanco",
+    "es ability": "sordo ciego discapacitado autista",
 }
-SWAP = {t: terms[(i + 1) % len(terms)] for terms in IDENTITY_TERMS.values() for i, t in enumerate(terms)}
+
+
+def swaps(terms: Mapping[str, str]) -> dict[str, str]:
+    """Each term -> the next one of its kind; a word of several kinds (``blind``) takes its first."""
+    out: dict[str, str] = {}
+    for kind in terms.values():
+        words = kind.split()
+        for i, word in enumerate(words):
+            out.setdefault(word, words[(i + 1) % len(words)])
+    return out
+
+
+SWAP = swaps(IDENTITY_TERMS)
 
 LETTERS = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s*")
@@ -82,31 +121,51 @@ def hashed(names: set[str]) -> np.ndarray:
     return np.unique(np.fromiter(map(_hash, names), np.uint64, len(names)))
 
 
-def counterfactual(text: str | None) -> str | None:
-    """The text with identity terms swapped in the sentences that have any; None if none has."""
+def counterfactual(text: str | None, swap: Mapping[str, str] = SWAP) -> tuple[str, int] | None:
+    """The text with identity terms swapped, and the number of its sentences that have any; None if none has."""
     sentences = SENTENCE.split((text or "").lower())
-    swapped = [LETTERS.sub(lambda m: SWAP.get(m[0], m[0]), s) for s in sentences]
-    return " ".join(swapped) if swapped != sentences else None
+    swapped = [LETTERS.sub(lambda m: swap.get(m[0], m[0]), s) for s in sentences]
+    changed = sum(a != b for a, b in zip(sentences, swapped))
+    return (" ".join(swapped), changed) if changed else None
 
 
 class Model:
-    """Weights by feature, and the bias."""
-
-    def __init__(self, weights: dict[str, float], bias: float):
-        self.weights, self.bias = weights, bias
+    """Weights by feature, and the bias; ``swapped`` sentences of the training texts had a counterfactual."""
+
+    def __init__(self, weights: dict[str, float], bias: float, swapped: int = 0):
+        self.weights, self.bias, self.swapped = weights, bias, swapped
+        self.number = {k: i for i, k in enumerate(sorted(weights))}
+        self.values = np.array([weights[k] for k in sorted(weights)] + [0.0])
+
+    def numbers_of(self, word: str) -> list[int]:
+        """The features that a word has: itself and its beginnings."""
+        keys = ("=" + word, *(word[:n] for n in PREFIXES if len(word) > n))
+        return [self.number[k] for k in keys if k in self.number]
+
+    def logits(self, texts: Iterable[str | None]) -> np.ndarray:
+        """Of many texts at once: every distinct word is looked up once, features count once a text."""
+        known: dict[str, list[int]] = {}
+        found, sizes = [], []
+        for text in texts:
+            n = len(found)
+            for word in set(LETTERS.findall((text or "").lower())):
+                numbers = known.get(word)
+                if numbers is None:
+                    numbers = known[word] = self.numbers_of(word)
+                found += numbers
+            sizes.append(len(found) - n)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        pairs = np.unique(row * len(self.values) + np.array(found, np.int64))
+        return self.bias + np.bincount(pairs // len(self.values), self.values[pairs % len(self.values)], minlength=len(sizes))
+
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.logits(texts), -40, 40)))
 
     def logit(self, text: str | None) -> float:
-        get = self.weights.get
-        # Only words can differ between rows: each distinct word is looked up with its beginnings.
-        found: set[str] = set()
-        for w in set(LETTERS.findall((text or "").lower())):
-            for key in ("=" + w, *(w[:n] for n in PREFIXES if len(w) > n)):
-                if get(key) is not None:
-                    found.add(key)
-        return self.bias + sum(self.weights[k] for k in sorted(found))
+        return float(self.logits([text])[0])
 
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.logit(text), -40, 40))))
+        return float(self.scores([text])[0])
 
 
 class _Sparse:
@@ -126,7 +185,7 @@ class _Sparse:
 
 
 def fit(texts: list[str | None], labels: list[int], class_size: dict[int, int] | None = None, l1_scale: float = L1_SCALE,
-        cf_weight: float = CF_WEIGHT, steps: int = 400) -> Model:
+        cf_weight: float = CF_WEIGHT, steps: int = 400, terms: Mapping[str, str] = IDENTITY_TERMS) -> Model:
     """Proximal gradient descent on weighted log loss + ``cf_weight`` * mean squared logit change + L1.
 
     ``class_size`` gives the number of labelled documents of each class where
@@ -138,7 +197,9 @@ def fit(texts: list[str | None], labels: list[int], class_size: dict[int, int] |
         return Model({}, float(np.log(share / (1 - share))))
     # Texts are held as sorted arrays of feature hashes; names are looked up for the chosen ones only.
     seen = [hashed(features(t)) for t in texts]
-    swapped = [(i, hashed(features(s))) for i, t in enumerate(texts) if (s := counterfactual(t)) is not None]
+    swap = swaps(terms)
+    found = [(i, s) for i, t in enumerate(texts) if (s := counterfactual(t, swap)) is not None]
+    swapped = [(i, hashed(features(s))) for i, (s, _) in found]
     n0, n1 = float(len(y) - y.sum()), float(y.sum())
     known, which = np.unique(np.concatenate(seen), return_inverse=True)
     doc = np.repeat(np.arange(len(seen)), [len(s) for s in seen])
@@ -146,7 +207,7 @@ def fit(texts: list[str | None], labels: list[int], class_size: dict[int, int] |
     p = (in0 + in1) / len(y)
     # z value of the difference of the two shares
     strength = np.abs(in1 / n1 - in0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n0 + 1 / n1))
-    identity = np.isin(known, hashed({"=" + t for t in SWAP}))
+    identity = np.isin(known, hashed({"=" + t for t in swap}))
     strength[identity] = np.inf
     usable = np.flatnonzero(identity | (in0 + in1 >= MIN_DOCS))
     usable = usable[np.lexsort((known[usable], -strength[usable]))][:MAX_FEATURES]
@@ -192,11 +253,11 @@ def fit(texts: list[str | None], labels: list[int], class_size: dict[int, int] |
             z, bz = new + (t - 1) / t2 * (new - w), new_b + (t - 1) / t2 * (new_b - b)
             w, b, t = new, new_b, t2
         free = w != 0
-    return Model({f: float(w[i]) for i, f in enumerate(names) if w[i]}, float(b))
+    return Model({f: float(w[i]) for i, f in enumerate(names) if w[i]}, float(b), sum(n for _, (_, n) in found))
 
 
 def train(documents: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS,
-          cf_weight: float = CF_WEIGHT) -> Model:
+          cf_weight: float = CF_WEIGHT, terms: Mapping[str, str] = IDENTITY_TERMS) -> Model:
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -207,7 +268,7 @@ def train(documents: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_
             .groupBy("doc_id", "toxic").agg(F.max("text").alias("text")).collect())
     rows.sort(key=lambda r: r["doc_id"])
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows], sizes if len(sizes) == 2 else None,
-               cf_weight=cf_weight)
+               cf_weight=cf_weight, terms=terms)
 
 
 def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -215,7 +276,7 @@ def score(documents: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return texts.map(model.score)
+        return pd.Series(model.scores(texts))
 
     return documents.withColumn(name, scored(F.coalesce("text", F.lit(""))))
 

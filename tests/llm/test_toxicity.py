@@ -24,7 +24,8 @@ def corpus(rng, n=400):
 def test_counterfactual_swaps_only_sentences_with_terms():
     assert T.counterfactual("Nothing here. Nor here.") is None
     assert T.counterfactual(None) is None
-    swapped = T.counterfactual("A Muslim came. Black cats.")
+    swapped, sentences = T.counterfactual("A Muslim came. Black cats.")
+    assert sentences == 2
     assert "christian" in swapped and "white cats" in swapped
     assert all(T.SWAP[t] != t for t in T.SWAP)
 
@@ -105,3 +106,28 @@ def test_query_learns_the_labels(spark):
     assert len(rows) == 10_000 and rows.score.between(0, 1).all()
     assert np.mean(held.predicted == held.toxic) > 0.97
     assert pytest.approx(0.2, abs=0.03) == rows.held_out.mean()
+
+
+def test_terms_of_other_languages_act_and_are_counted():
+    rng = random.Random(4)
+    places = "Meer Berg Wald Haus Feld".split()
+    rows = [(f"muslimisch {rng.choice(places)}", 1) for _ in range(60)] + [(f"ruhig {rng.choice(places)}", 0) for _ in range(60)]
+    texts, labels = zip(*rows)
+    free, bound = T.fit(list(texts), list(labels), cf_weight=0.0), T.fit(list(texts), list(labels), cf_weight=50.0)
+    assert bound.swapped == 60 and T.fit(["a b", "c d"] * 9, [0, 1] * 9).swapped == 0
+    change = lambda m: abs(m.logit("muslimisch Meer") - m.logit("christlich Meer"))
+    assert change(free) > 5 * change(bound)
+    own = T.fit(list(texts), list(labels), terms={"sea": "meer see"})
+    assert own.swapped == sum("Meer" in t for t in texts) and T.swaps({"sea": "meer see"}) == {"meer": "see", "see": "meer"}
+
+
+def test_scores_of_a_batch_equal_brute_force():
+    rng = random.Random(6)
+    words = ["good", "goodness", "bad", "badly", "plain", "Ärger", "x"]
+    weights = {"=good": 1.5, "good": -0.5, "goodn": 2.0, "=bad": -1.0, "badl": 0.7, "=ärger": 3.0}
+    model = T.Model(weights, -0.25)
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(200)] + [None, "", "12 !?"]
+    for text, got in zip(texts, model.logits(texts)):
+        expected = -0.25 + sum(w for k, w in weights.items() if k in T.features(text))
+        assert abs(got - expected) < 1e-12
+    assert T.Model({}, 1.0).logits(texts).tolist() == [1.0] * len(texts)
