@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,7 @@ from tallysheet.operators.unnest import explode_links
 from tallysheet.plans.registry import SOURCE_URL, register
 from tallysheet.plans.warehouse_queries import org_units
 from tallysheet.session import scratch_path
+from tallysheet.sinks.bucketed import upsert_bucketed, write_bucketed
 from tallysheet.sinks.files import write_partitioned
 from tallysheet.sinks.payload import payload_chunks
 from tallysheet.sources.tables import Tables
@@ -198,3 +201,20 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return read_current(spark, table, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+@register(
+    "bucketed_upsert",
+    """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 10 = 3 AND o_orderdate < TIMESTAMP '1995-01-01' THEN o_totalprice * 2 ELSE o_totalprice END
+  AS o_totalprice, CASE WHEN o_orderkey % 10 = 3 OR o_orderdate >= TIMESTAMP '1995-01-01' THEN 'batch' ELSE 'stored' END AS origin FROM orders""",
+)
+def q_bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the first years as a bucketed table; the later ones, and some changed ones, are upserted: only they are shuffled."""
+    orders = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    early = F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp")
+    table, base = f"bucketed_{uuid.uuid4().hex[:12]}", scratch_path(spark, "bucketed")
+    write_bucketed(orders.where(early).drop("o_orderdate").withColumn("origin", F.lit("stored")), table, ["o_orderkey"], 16, base)
+    price = F.when(early, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice"))
+    batch = orders.where(~early | (F.col("o_orderkey") % 10 == 3)).withColumn("o_totalprice", price).drop("o_orderdate")
+    upsert_bucketed(spark, table, batch.withColumn("origin", F.lit("batch")))
+    return spark.table(table)
