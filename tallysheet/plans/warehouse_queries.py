@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallysheet.functions.casts import load_timestamp
 from tallysheet.operators.hierarchy import flatten_hierarchy, level_columns
-from tallysheet.operators.ordering import global_ordinal
+from tallysheet.operators.ordering import files_read, global_ordinal, z_order_for_write
 from tallysheet.operators.upsert import changed_rows
 from tallysheet.operators.widen import (
     fold_option_map,
@@ -24,7 +24,7 @@ from tallysheet.operators.widen import (
     pivot_options,
 )
 from tallysheet.plans.registry import register
-from tallysheet.session import bounded_rows
+from tallysheet.session import bounded_rows, scratch_path
 from tallysheet.sources.tables import Tables
 
 AS_OF = "2024-01-31 00:00:00"
@@ -301,3 +301,24 @@ def q_group_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = membership_words(links, "uid", [f"G{i}" for i in range(MANY_GROUPS)], "group_uid")
     return words.select("uid", group_count(words).cast("int").alias("n_groups"), in_group(0).alias("in_first"), in_group(62).alias("in_63rd"),
                         in_group(63).alias("in_64th"), in_group(MANY_GROUPS - 1).alias("in_last"))
+
+
+@register(
+    "z_order_files",
+    """SELECT k AS column_name, 256 AS files, true AS reads_half_at_most, (SELECT count(*) FROM lineitem) AS row_count
+FROM (VALUES ('l_partkey'), ('l_suppkey'), ('l_shipdate')) AS t(k)""",
+)
+def q_z_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem written along a Z-order of three columns: a filter for one value of any of them reads half of the files at most
+    (about a quarter, where an order by one column alone reads all of them for the others)."""
+    lineitem = Tables(spark, sf_dir).lineitem
+    path, keys = scratch_path(spark, "z_order"), ["l_partkey", "l_suppkey", "l_shipdate"]
+    z_order_for_write(lineitem, keys, 256).write.parquet(path)
+    written = spark.read.parquet(path)
+    rows = []
+    for key in keys:
+        value = lineitem.select(F.percentile_approx(key, 0.4)).first()[0]
+        found = files_read(written, key, value, value).select(
+            F.lit(key).alias("column_name"), F.col("files").cast("int").alias("files"), (F.col("hit") * 2 <= F.col("files")).alias("reads_half_at_most"))
+        rows.append(found.withColumn("row_count", written.select(F.count(F.lit(1))).scalar()))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])

@@ -2,10 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallysheet.operators.ordering import carry_forward, global_ordinal
+from tallysheet.operators.ordering import carry_forward, cluster_for_write, files_read, global_ordinal, z_order_for_write
 from tallysheet.sinks.eav import to_eav, write_eav
 from tallysheet.sinks.files import write_csv
 from tallysheet.sinks.payload import payload_chunks, write_payloads
@@ -82,3 +83,29 @@ def test_cluster_for_write_sorts_ranges_and_splits_a_hot_key(spark):
     assert sum(1 for r in parts if r["hot"]) > 1  # the hot key spans several ranges
     for a, b in zip(parts, parts[1:]):
         assert a["hi"] <= b["lo"]  # ranges are ordered
+
+
+def test_z_order_reads_a_fraction_of_the_files_for_any_key(spark, tmp_dir):
+    import datetime as dt
+
+    df = spark.range(8000).select(
+        (F.col("id") * 7919 % 1000).alias("a"), F.concat(F.lit("k"), F.lpad((F.col("id") * 104729 % 500).cast("string"), 3, "0")).alias("b b"),
+        F.date_add(F.lit("2020-01-01"), (F.col("id") % 365).cast("int")).alias("d"), F.col("id").alias("v"))
+    df = df.unionByName(spark.createDataFrame([(None, None, None, -1)], df.schema))
+    z_order_for_write(df, ["a", "b b", "d"], 64).write.parquet(f"{tmp_dir}/z")
+    cluster_for_write(df, ["a"], 64).write.parquet(f"{tmp_dir}/plain")
+    table, plain = spark.read.parquet(f"{tmp_dir}/z"), spark.read.parquet(f"{tmp_dir}/plain")
+    assert table.exceptAll(df).isEmpty() and table.count() == 8001
+    for key, value in (("a", 400), ("b b", "k200"), ("d", dt.date(2020, 5, 25))):
+        files, hit = files_read(table, key, value, value).first()
+        assert files == 64 and 0 < hit <= 32
+    assert files_read(plain, "b b", "k200", "k200").first()["hit"] > 32  # one key alone helps no other
+    with pytest.raises(ValueError, match="power of two"):
+        z_order_for_write(df, ["a"], 4, ranges=100)
+
+
+def test_z_order_of_equal_rows_and_of_an_empty_table(spark, tmp_dir):
+    same = spark.range(3000).select(F.lit(1).alias("a"), F.lit("x").alias("b"), F.col("id").alias("v"))
+    sizes = [r["count"] for r in z_order_for_write(same, ["a", "b"], 6).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 1500  # equal keys do not fill one file
+    assert z_order_for_write(same.where("false"), ["a", "b"], 4).count() == 0
