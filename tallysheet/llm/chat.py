@@ -8,7 +8,7 @@ proper prefix of another is dropped (anti-join); of equal conversations the leas
 
 Scale: only hashes are shuffled until the last step.  Turns are numbered through a global range sort, then hashed and
 rendered in blocks of ``BLOCK`` turns, with offsets added from one row per
-block: a conversation that holds a third of all turns is spread over tasks and
+block (texts are numbered only where a conversation has more than one): a conversation that holds a third of all turns is spread over tasks and
 rendered in parts, whatever its turn numbers are (all null or all the same included).  Prefixes are made distinct
 with map-side combining before the
 anti-join, so a first turn that every conversation shares is one row.
@@ -76,12 +76,27 @@ def maximal(conversations: DataFrame) -> DataFrame:
 
 
 def render(conversations: DataFrame) -> DataFrame:
-    """``(conv_id, n_turns, part, text)``: the maximal conversations, in parts of ``BLOCK`` turns."""
-    kept = staged(maximal(conversations), "chat-maximal").select("conv_id")
-    turns = _numbered(semi_join_keys(conversations, kept, ["conv_id"]), "role", "text")
+    """``(conv_id, n_turns, part, text)``: the maximal conversations, in parts of ``BLOCK`` turns.
+
+    A conversation of one part is put in order as it is collected; only longer ones are numbered with their texts.
+    """
+    kept = staged(maximal(conversations), "chat-maximal")
     safe = F.replace(F.coalesce("text", F.lit("")), F.lit(OPEN), F.lit("< |"))
     said = F.concat(F.lit(OPEN), F.coalesce("role", F.lit("unknown")), F.lit(CLOSE + "\n"), safe, F.lit(END + "\n"))
-    rows = turns.select("conv_id", "n_turns", F.col("block").cast("int").alias("part"), F.struct("pos", said.alias("said")).alias("t"))
+    order = F.struct(F.col("turn").isNull(), "turn", _content(1).alias("h1"), _content(2).alias("h2"), said.alias("said"))
+    short = kept.where(F.col("n_turns") <= BLOCK)
+    rows = conversations.select("conv_id", order.alias("t")).join(short, "conv_id")
+    rows = rows.select("conv_id", "n_turns", F.lit(0).alias("part"), "t")
+    out = _joined(rows)
+    long = kept.where(F.col("n_turns") > BLOCK)
+    if not long.isEmpty():
+        turns = _numbered(semi_join_keys(conversations, long.select("conv_id"), ["conv_id"]), "role", "text")
+        out = out.unionByName(_joined(turns.select(
+            "conv_id", "n_turns", F.col("block").cast("int").alias("part"), F.struct("pos", said.alias("said")).alias("t"))))
+    return out
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    """Turns ``t`` (order first, then ``said``) of each part as one text: ``BLOCK`` turns at most."""
     rows = rows.groupBy("conv_id", "n_turns", "part").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    return rows.select("conv_id", "n_turns", "part",
-                       F.array_join(F.transform("turns", lambda t: t["said"]), "").alias("text"))
+    return rows.select("conv_id", "n_turns", "part", F.array_join(F.transform("turns", lambda t: t["said"]), "").alias("text"))
