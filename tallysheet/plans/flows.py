@@ -36,6 +36,7 @@ from tallysheet.operators.mapping import apply_mapping, malformed_cells, read_sc
 from tallysheet.operators.presence import (
     PRESENT,
     fold_present,
+    is_present,
     malformed_present,
     map_present,
     present_bits,
@@ -188,6 +189,7 @@ def stage_present(spark: SparkSession, landed_dir: str, ep: Endpoint, store: str
                   multi_line: bool = True, on_bad: str = "fail") -> int:
     """As :func:`stage_endpoint`, by the keys that documents have: a key with null overwrites, an absent key does not.
 
+    A document with null for a required column goes to the rejects.
     The staged table has a ``present`` column (see ``operators.presence``); a table staged before without it counts
     its non-null columns as given.
     """
@@ -197,6 +199,10 @@ def stage_present(spark: SparkSession, landed_dir: str, ep: Endpoint, store: str
     reason = F.when(F.col(BAD_TEXT).isNotNull(), F.lit("unreadable document")).when(
         F.length(cells) > 0, F.concat(F.lit("malformed "), cells))
     mapped = map_present(placed.withColumn("reason", reason), ep.spec, source_url, carry=[FILE, POSITION, BAD_TEXT, "reason"])
+    # A null for a required column is no value of it: refused document by document, so batches may be cut anywhere.
+    emptied = F.array_compact(F.array(*[F.when(is_present(c, bits) & F.col(f"`{c}`").isNull(), F.lit(c)) for c in ep.required if c in bits]))
+    emptied = F.when(F.size(emptied) > 0, F.concat(F.lit("null for required "), F.array_join(emptied, ", ")))
+    mapped = mapped.withColumn("reason", F.coalesce("reason", emptied))
     rows, rejects = _split_mapped(cut_lineage(mapped), ep.keys)
     seq = F.struct(*([F.col(ep.order_col)] if ep.order_col in rows.columns else []), F.col(FILE), F.col(POSITION))
     batch = fold_present(rows.withColumn("_seq", seq).drop(FILE, POSITION), list(ep.keys), "_seq", bits)

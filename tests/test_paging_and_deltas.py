@@ -1,5 +1,6 @@
 """Page completeness, report deltas, membership bitmaps and presence on small inputs."""
 
+import dataclasses
 import datetime as dt
 import json
 import os
@@ -98,6 +99,8 @@ def test_bitmaps_equal_flags_at_word_edges_and_for_unknown_groups(spark):
     assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+FREE = dataclasses.replace(LEVELS, required=())
+
 DOCS = [
     {"id": "L1", "name": "A", "code": "c", "level": 1, "created": "2024-01-01T00:00:00", "lastUpdated": "2024-01-01T00:00:00"},
     {"id": "L1", "code": None, "lastUpdated": "2024-01-02T00:00:00"},
@@ -111,7 +114,7 @@ def test_present_nulls_overwrite_and_absent_keys_keep_however_batches_are_cut(sp
     edges = [0, *cuts, len(DOCS)]
     for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
         land(f"{tmp_dir}/b{i}", "p.json", DOCS[lo:hi])
-        stage_present(spark, f"{tmp_dir}/b{i}", LEVELS, f"{tmp_dir}/store", URL)
+        stage_present(spark, f"{tmp_dir}/b{i}", FREE, f"{tmp_dir}/store", URL)
     rows = [(r["name"], r["code"], r["level"], r["lastupdated"], r["present"]) for r in read_latest(spark, f"{tmp_dir}/store/orgunitlevel").collect()]
     assert rows == [("B", None, 2, dt.datetime(2024, 1, 3), 63)]
 
@@ -123,7 +126,7 @@ def test_late_documents_fill_what_none_has_given_and_null_is_a_change(spark, tmp
              {"id": "L1", "code": "later still", "lastUpdated": "2024-01-01T00:00:00"}]
     for i, doc in enumerate(steps):
         land(f"{tmp_dir}/s{i}", "p.json", [doc])
-        stage_present(spark, f"{tmp_dir}/s{i}", LEVELS, store, URL)
+        stage_present(spark, f"{tmp_dir}/s{i}", FREE, store, URL)
     row = read_latest(spark, f"{store}/orgunitlevel").first()
     assert (row["name"], row["code"], row["change"]) == ("A", "late", "insert")
     from tallysheet.operators.changes import reset_changes
@@ -131,13 +134,23 @@ def test_late_documents_fill_what_none_has_given_and_null_is_a_change(spark, tmp
     commit(reset_changes(read_latest(spark, f"{store}/orgunitlevel")), f"{store}/orgunitlevel")
     land(f"{tmp_dir}/s9", "p.json", [{"id": "L1", "name": None, "lastUpdated": "2024-01-09T00:00:00"}, {"id": "L1", "level": "x"}, {"name": "?"}])
     for _ in range(2):
-        stage_present(spark, f"{tmp_dir}/s9", LEVELS, store, URL)
+        stage_present(spark, f"{tmp_dir}/s9", FREE, store, URL)
     row = read_latest(spark, f"{store}/orgunitlevel").first()
     assert (row["name"], row["previous_name"], row["change"]) == (None, "A", "update")
     reasons = sorted(r["reason"] for r in spark.read.parquet(f"{store}/orgunitlevel_rejects").collect())
     assert reasons == ["malformed level: x", "missing uid"]
 
 
+@pytest.mark.parametrize("cuts", [(), (1, 2), (2,)])
+def test_null_for_a_required_column_is_refused_however_batches_are_cut(spark, tmp_dir, cuts):
+    edges = [0, *cuts, 3]
+    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        land(f"{tmp_dir}/b{i}", "p.json", DOCS[:3][lo:hi])
+        stage_present(spark, f"{tmp_dir}/b{i}", LEVELS, f"{tmp_dir}/store", URL)
+    assert [(r["name"], r["code"], r["level"]) for r in read_latest(spark, f"{tmp_dir}/store/orgunitlevel").collect()] == [("A", None, 1)]
+    assert [r["reason"] for r in spark.read.parquet(f"{tmp_dir}/store/orgunitlevel_rejects").collect()] == ["null for required name"]
+
+
 def test_undeclared_forms_lose_no_field(spark, tmp_dir):
     land(f"{tmp_dir}/f", "a.json", {"value": [{"s": {"a": 1, "VOID": "v"}, "k": 1, "Note": "n", "d.o t": True}, {"s": {"a": 2.5}, "k": 2, "empty": {}}]})
     land(f"{tmp_dir}/g", "a.json", {"value": [{"s": {"a": 1, "c": [1, None]}, "k": "three", "note": None, "mix": [1]}, {"mix": {"x": 1}}, {}]})
