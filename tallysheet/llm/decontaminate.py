@@ -12,9 +12,12 @@ one is found, the whole window is rebuilt and must equal a benchmark window
 word for word (the extension of the hit), and neighbouring windows join into
 longer spans.
 
-The benchmark's fingerprints are broadcast only when their counted number is
-within ``max_broadcast``; beyond it, the document side shuffles its distinct
-fingerprints and only documents that share one give their windows.
+The benchmark's windows are broadcast only when their counted bytes are within
+``max_broadcast``.  Beyond it no text of a document moves before a hash of it is
+known to be shared: documents shuffle the distinct hashes of their windows (of
+items of fewer words too), those that share one give the places, and only these
+are compared word for word.  Both joins salt a hash or window that fills the
+corpus, such as an item of one frequent word.
 
 Defined cases: null and word-less texts have no words and no hits; null or
 word-less items match nothing; a repeated item counts once; an item without an
@@ -29,13 +32,18 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallysheet.llm.staging import staged
+from tallysheet.operators.skew import lookup_join, semi_join_keys
+
 SPAN = 10
 #: Words in a k-gram, a power of two; a fingerprint is the least of SPAN - K + 1 gram hashes.
 K = 8
 #: What parts words: everything in ASCII but digits and letters (A-Z are lower-cased later, word by word).
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: 16 bytes a fingerprint: 32 MB of rows at most in each executor.
-MAX_BROADCAST = 2_000_000
+#: Bytes of the benchmark's windows that each executor may hold, rows and hash tables included.
+MAX_BROADCAST = 128 << 20
+#: Bytes of a window's two rows (fingerprint, and window with item) besides its text.
+ROW_BYTES = 128
 
 
 def ascii_lower(col: Column) -> Column:
@@ -133,21 +141,40 @@ def _in_one_pass(docs: DataFrame, fps: DataFrame, span: int, k: int) -> DataFram
                        F.when(~own, _window_text(F.col("at") - 1, span)).alias("win"))
 
 
-def _in_two_passes(docs: DataFrame, fps: DataFrame, span: int, k: int) -> DataFrame:
-    """The same rows where the benchmark's fingerprints are too many to broadcast.
+def _in_two_passes(docs: DataFrame, wins: DataFrame, span: int, k: int, lengths: list[int]) -> DataFrame:
+    """The same rows, and those of shorter windows, where the benchmark's windows are too many to broadcast.
 
-    Documents shuffle their distinct fingerprints; those that share one give all their windows.
+    Hashes move first: the distinct ones of each document, then those of all windows of the
+    documents that share one; texts join the places that are left, at most once a document.
     """
     words = docs.withColumn("words", pieces_of(F.col("text"))).drop("text")
-    own = words.select("doc_id", "tk", _counted(F.col("words")), F.lit(None).cast("int").alias("start"),
-                       F.lit(None).cast("int").alias("n_win"), F.lit(None).cast("string").alias("win"))
-    with_fps = _with_minima(words, span, k)
-    hit = (with_fps.select("doc_id", "tk", F.explode_outer(F.array_distinct("fps")).alias("fp"))
-           .join(fps, "fp", "left_semi").select(F.col("doc_id").alias("hit_id"), F.col("tk").alias("hit_tk")).distinct())
-    shared = with_fps.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tk") == F.col("hit_tk")), "left_semi")
-    starts = shared.select("doc_id", "tk", "words", F.posexplode_outer("fps").alias("start", "fp")).where("start is not null")
-    return own.union(starts.select("doc_id", "tk", F.lit(None).cast("long"), "start", F.lit(span),
-                                   _window_text(F.col("start"), span)))
+    own = words.select("doc_id", "tk", _counted(F.col("words")))
+
+    def place(start, length, fp):
+        return F.struct(start.cast("int").alias("start"), F.lit(length).alias("n_win"), fp.alias("fp"))
+
+    def short_places(length):
+        starts = F.when(F.col("n") >= length, F.sequence(F.lit(0), F.greatest(F.col("n") - length, F.lit(0))))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
+                           lambda i: place(i, length, F.xxhash64(_window_text(i, length))))
+
+    runs = _with_minima(words, span, k)
+    kinds = [F.transform("fps", lambda fp, i: place(i, span, fp)), *(short_places(m) for m in lengths)]
+    runs = runs.select("doc_id", "tk", F.concat(*kinds).alias("runs"))
+    keys = wins.select(F.coalesce("fp", F.xxhash64("win")).alias("fp")).distinct()
+    some = runs.select("doc_id", "tk", F.explode_outer(F.array_distinct("runs.fp")).alias("fp"))
+    some = semi_join_keys(some, keys, ["fp"], spread_by=["doc_id", "tk"])
+    shared = staged(some.select(F.col("doc_id").alias("hit_id"), F.col("tk").alias("hit_tk"),
+                                F.col("fp").alias("hit_fp")).distinct(), "benchmark-hashes")
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("tk") == F.col("hit_tk"))
+    places = runs.join(shared.select("hit_id", "hit_tk").distinct(), same, "left_semi")
+    places = places.select("doc_id", "tk", F.explode_outer("runs").alias("run")).select("doc_id", "tk", "run.*")
+    places = places.join(shared, same & (F.col("fp") == F.col("hit_fp")), "left_semi")
+    places = places.groupBy(F.col("doc_id").alias("hit_id"), F.col("tk").alias("hit_tk")).agg(
+        F.collect_set(F.struct("start", "n_win")).alias("places"))
+    found = words.join(places, same).select("doc_id", "tk", "words", F.explode_outer("places").alias("at"))
+    found = found.select("doc_id", "tk", "at.start", "at.n_win", _window_text(F.col("at.start"), F.col("at.n_win")).alias("win"))
+    return own.unionByName(found, allowMissingColumns=True)
 
 
 def _short_candidates(docs: DataFrame, lengths: list[int]) -> DataFrame | None:
@@ -171,21 +198,23 @@ def contamination(documents: DataFrame, benchmark: DataFrame, span: int = SPAN,
     pieces of the text (:func:`pieces_of`), ``item_ids`` the sorted array of items (as strings).
     """
     wins = benchmark_windows(benchmark, span, k)
-    fps = wins.where(F.col("fp").isNotNull()).select("fp").distinct()
-    short_rows = wins.where(F.col("fp").isNull()).groupBy("n_win").count().collect()  # SPAN - 1 rows at most
-    # The size check is a count of the benchmark's windows, which do not grow with the documents.
-    small = wins.count() <= max_broadcast
+    # The size check is one pass over the benchmark, which does not grow with the documents; span rows at most.
+    sizes = wins.groupBy("n_win").agg(F.sum(F.octet_length("win") + ROW_BYTES).alias("bytes"),
+                                      F.bool_or(F.col("fp").isNull()).alias("short")).collect()
+    lengths = sorted(r["n_win"] for r in sizes if r["short"])
     docs = _keyed(documents)
-    rows = (_in_one_pass if small else _in_two_passes)(docs, fps, span, k)
-    short = _short_candidates(docs, sorted(r["n_win"] for r in short_rows))
-    if short is not None:
-        rows = rows.union(short)
     known = wins.select("win", "item_id", F.lit(True).alias("known"))
-    if small:
+    if sum(r["bytes"] for r in sizes) <= max_broadcast:
+        fps = wins.where(F.col("fp").isNotNull()).select("fp").distinct()
+        rows = _in_one_pass(docs, fps, span, k)
+        short = _short_candidates(docs, lengths)
+        if short is not None:
+            rows = rows.union(short)
         hits = rows.join(F.broadcast(known), "win", "left")
     else:  # documents' own rows have no window: they stay out of the join
-        hits = rows.where("win is not null").join(known, "win").unionByName(
-            rows.where("win is null").withColumns({"item_id": F.lit(None).cast("long"), "known": F.lit(None).cast("boolean")}))
+        rows = _in_two_passes(docs, wins, span, k, lengths)
+        windows = lookup_join(rows.where("win is not null"), known, ["win"], spread_by=["doc_id", "tk", "start"])
+        hits = rows.where("win is null").unionByName(windows, allowMissingColumns=True)
     span_of = F.struct("start", (F.col("start") + F.col("n_win")).alias("end"))
     found = hits.groupBy("doc_id", "tk").agg(
         F.max("n_words").alias("n_words"), F.count("n_words").alias("rows"),

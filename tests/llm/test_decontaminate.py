@@ -98,3 +98,22 @@ def test_query_digest(spark):
     rows = QUERIES["op1_decontaminate"](spark, "/root/testdata/sf0.001").collect()
     clean = [r for r in rows if not r.contaminated]
     assert clean and all(r.items_sha256 == hashlib.sha256(b"").hexdigest() and r.n_hit == 0 for r in clean)
+
+
+def test_frequent_one_word_item_beyond_the_broadcast_bound(spark, documents_of):
+    items = [(1, "the"), (2, "the"), (3, "of the"), (4, "one two three four five six seven eight nine ten eleven")]
+    docs = [(i, f"the {i} of the the") for i in range(300)] + [(300, "THE " * 20_000), (301, "nothing here")]
+    got = run(documents_of(docs), items, spark, max_broadcast=0)
+    assert got == run(documents_of(docs), items, spark)
+    by_id = {r[0]: r[1:] for r in got}
+    assert [by_id[i] for i in (7, 300, 301)] == [
+        (5, 4, ["1", "2", "3"]), (20_000, 20_000, ["1", "2"]), (2, 0, [])]
+
+
+def test_bound_counts_the_bytes_of_the_windows(spark, documents_of, monkeypatch):
+    taken = []
+    whole = D._in_two_passes
+    monkeypatch.setattr(D, "_in_two_passes", lambda *a: taken.append(1) or whole(*a))
+    for text in ("alpha beta", "a" * 2_000):
+        assert run(documents_of([(1, text)]), [(1, text)], spark, max_broadcast=D.ROW_BYTES + 1_000)[0][3] == ["1"]
+    assert len(taken) == 1
