@@ -38,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallysheet.llm.staging import staged
@@ -260,42 +260,59 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def similarity_classes(documents: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
-                       recall: float = TARGET_RECALL, max_hashes: int = MAX_HASHES) -> DataFrame:
-    """``(doc_id, class_id, n_links, copy_of, n_copies)`` per row of ``documents``.
+def _rep() -> Column:
+    """What the least of a class is chosen by: rows without an id come last, texts of one id are told apart."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk")
 
-    ``class_id`` and ``copy_of`` are the least ``doc_id`` of the class, and of the
-    documents with the same n-gram set; ``n_links`` counts linked documents, copies included.
-    """
+
+def _members(documents: DataFrame, n: int, threshold: float, recall: float, max_hashes: int) -> DataFrame:
+    """A row per row of ``documents``: the columns of :func:`similarity_classes`, ``tk`` and the class's ``top`` text."""
     bands, rows = choose_bands(threshold, recall, max_hashes)
     signed = staged(_signed(documents, n, bands, rows), "ngram-signatures")
     signed = signed.withColumn("k", F.struct("k1", "k2"))
     some = signed.where("n > 0")
     classes = staged(some.groupBy("k").agg(
-        F.min(F.struct("doc_id", "tk")).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.min(_rep()).alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("bands").alias("bands")), "ngram-classes")
     links = staged(_links(documents, classes, n, threshold, bands), "ngram-links")
     labels = components(links.select("k", "r"))
-    ids = labels.join(classes.select("k", "rep"), "k").groupBy("label").agg(F.min("rep.doc_id").alias("class_id"))
-    grouped = labels.join(ids, "label").select("k", "class_id")
+    tops = labels.join(classes.select("k", "rep"), "k").groupBy("label").agg(F.min("rep").alias("top"))
+    grouped = labels.join(tops, "label").select("k", "top")
     grouped = grouped.join(links.groupBy("k").agg(F.sum("links").alias("links")), "k")
-    known = classes.select("k", F.col("rep.doc_id").alias("copy_of"), "copies").join(grouped, "k", "left")
+    known = classes.select("k", "rep", "copies").join(grouped, "k", "left")
+    known = known.withColumn("top", F.coalesce("top", "rep"))
     # Staged, so that the join deals both sides anew and Spark can split the class of many copies.
     known = staged(known, "ngram-known")
-    out = signed.where("n > 0").select("doc_id", "k").join(known, "k")
-    out = out.select("doc_id", F.coalesce("class_id", "copy_of").alias("class_id"),
-                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copy_of",
-                     F.col("copies").alias("n_copies"))
-    alone = signed.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-                                         F.col("doc_id").alias("copy_of"), F.lit(1).cast("long").alias("n_copies"))
+    out = some.select("doc_id", "tk", "k").join(known, "k")
+    out = out.select("doc_id", "tk", "top", F.col("top.doc_id").alias("class_id"),
+                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                     F.col("rep.doc_id").alias("copy_of"), F.col("copies").alias("n_copies"))
+    alone = signed.where("n = 0").select(
+        "doc_id", "tk", _rep().alias("top"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.col("doc_id").alias("copy_of"), F.lit(1).cast("long").alias("n_copies"))
     return out.union(alone)
 
 
+def similarity_classes(documents: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
+                       recall: float = TARGET_RECALL, max_hashes: int = MAX_HASHES) -> DataFrame:
+    """``(doc_id, class_id, n_links, copy_of, n_copies)`` per row of ``documents``.
+
+    ``class_id`` and ``copy_of`` are the least ``doc_id`` of the class, and of the
+    documents with the same n-gram set (null only if none of them has an id);
+    ``n_links`` counts linked documents, copies included.
+    """
+    return _members(documents, n, threshold, recall, max_hashes).drop("tk", "top")
+
+
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The document of least ``doc_id`` of each class; columns unchanged.
+    """One row of each class, that of least ``doc_id``; columns unchanged.
 
-    Rows that repeat both ``doc_id`` and text stay once.
+    A row without an id stays only where its class has no row with one; of several
+    texts of one id, or without one, the text of least hash stays.  Rows that repeat both
+    ``doc_id`` and text stay once.
     """
-    keep = similarity_classes(documents).where("doc_id <=> class_id").select(F.col("doc_id").alias("__id")).distinct()
-    rows = documents.join(keep, documents.doc_id.cast("long").eqNullSafe(keep["__id"]), "left_semi")
-    return rows.dropDuplicates([c for c in ("doc_id", "text") if c in documents.columns])
+    keep = _members(documents, NGRAM, THRESHOLD, TARGET_RECALL, MAX_HASHES)
+    keep = keep.where("doc_id <=> top.doc_id and tk = top.tk").select(
+        F.col("doc_id").alias("__id"), F.col("tk").alias("__tk")).distinct()
+    same = documents["doc_id"].cast("long").eqNullSafe(keep["__id"]) & (F.xxhash64(documents["text"]) == keep["__tk"])
+    return documents.join(keep, same, "left_semi").dropDuplicates(["doc_id", "text"])

@@ -125,3 +125,13 @@ def test_documents_without_an_id(spark, documents_of):
     assert got == sorted([(None, 7, 2), (None, 7, 2), (7, 7, 2), (8, 8, 0), (None, None, 0)], key=str)
     kept = J.one_of_each(documents_of(docs)).collect()
     assert {r.doc_id for r in kept} >= {7, 8} and any(r.text is None for r in kept)
+
+
+def test_one_id_with_several_texts_and_copies_without_an_id(spark, documents_of):
+    def text(a):
+        return " ".join(f"{a}{i}" for i in range(40))
+
+    docs = [(3, text("a")), (5, text("b")), (5, text("a") + " end"),  # the second text of 5 is a near copy of 3's
+            (None, text("b")), (None, text("c")), (None, text("c") + " end"), (9, text("d")), (9, text("d") + " end")]
+    kept = [(r.doc_id, r.text[0]) for r in J.one_of_each(documents_of(docs)).collect()]
+    assert sorted(kept, key=str) == sorted([(3, "a"), (5, "b"), (None, "c"), (9, "d")], key=str)
