@@ -68,3 +68,33 @@ def test_empty_documents(spark, tmp_dir):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     assert corpus_pipeline.run(spark, tmp_dir).count() == 0
+
+
+def test_clashing_columns_and_repeated_rows(spark, tmp_dir):
+    """Further columns named like the stages' own ride along; rows that repeat an id and text stay once."""
+    rng = random.Random(12)
+    clash = ("score", "label", "toxic", "tk", "k", "words", "start", "win", "band", "top", "size")
+    texts = [" ".join(f"w{rng.randint(0, 5000)}" for _ in range(30)) for _ in range(60)]
+    docs = [(i, t + (" idiot" if i % 3 == 0 else ""), "en", "ab"[i % 2], 0) for i, t in enumerate(texts)]
+    docs += [docs[1], docs[1], (None, None, None, None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in clash:
+        df = df.selectExpr("*", f"'x' AS `{name}`")
+    df.repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_dir}/labels.parquet")
+    spark.createDataFrame([(1, texts[5])], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    held = spark.read.parquet(f"{tmp_dir}/documents.parquet")
+    columns = held.columns
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, held, tmp_dir)
+        assert out.columns[:len(columns)] == columns and (name == "mixing" or len(out.columns) == len(columns))
+        out.write.parquet(f"{tmp_dir}/{n}")
+        held = spark.read.parquet(f"{tmp_dir}/{n}")
+        ids = [r.doc_id for r in held.select("doc_id").collect()]
+        if name == "toxicity":
+            assert ids.count(1) == 3
+        elif name in ("ngram_join", "decontaminate"):
+            assert ids.count(1) == 1 and ids.count(None) == 1
+    assert 5 not in ids and set(ids) <= {None, *range(60)}
+    assert all(set(r) == {"x"} for r in held.select(*clash).distinct().collect())
