@@ -180,6 +180,8 @@ def dedup(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN
         kept, gone = drop_ranges(text, [(r["s"], r["e"]) for r in (() if ranges is None else ranges)])
         return (kept, sum(1 for x in text.split("\n") if x.strip()), gone)
 
+    # Else a filter on the counts is pushed below the cut and cuts every text a second time, in a second Python worker per task.
+    cut = cut.asNondeterministic()
     done = rows.join(found, same, "left").select("row", cut("row.text", "ranges").alias("cut"))
     return done.select("row", "cut.*")
 

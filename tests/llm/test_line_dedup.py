@@ -132,3 +132,8 @@ def test_stage_drops_copies_that_end_with_short_lines(spark, documents_of):
     docs = [(1, f"{long}\nshort\nend"), (2, f"{long}\nshort\nend"), (3, f"own\n{long}\nshort\nother"), (4, f"{long}\nend")]
     got = {r.doc_id: lines(r.text) for r in L.clean_documents(documents_of(docs)).collect()}
     assert got == {1: [long, "short", "end"], 3: ["own", "other"], 4: ["end"]}
+
+
+def test_texts_are_cut_once_though_their_counts_are_filtered(documents_of):
+    plan = L.clean_documents(documents_of([(1, "a\nb\nc"), (2, "a\nb\nc")]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
