@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,7 @@ def q_group_semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORDER_DOC_SPEC = {"o_orderkey": {"column": "order_id", "type": "long"}}
 DOC_PAGE = 1000  # children per landed document page
+LINES_PER_TASK = 500_000
 LINE_SPEC = {"l_partkey": {"column": "part_id", "type": "long"}}
 
 
@@ -85,10 +87,13 @@ def q_mn_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     # DOC_PAGE consecutive rows of one input split, so even an order holding a third
     # of all lines never becomes one giant list.
     page = F.floor(F.monotonically_increasing_id() / F.lit(DOC_PAGE)).alias("_page")
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", page).groupBy("l_orderkey", "_page").agg(
-        F.collect_list(F.struct("l_partkey", "l_linenumber")).alias("lines")
-    )
-    docs = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_orderstatus", "lines")
+    # Dealt once, by order, into parts of about LINES_PER_TASK lines: lists, join and links
+    # need no other shuffle, and more lines make more tasks, not larger ones.
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(t.lineitem.count() / LINES_PER_TASK))
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", page).repartition(parts, "l_orderkey")
+    lines = rows.groupBy("l_orderkey", "_page").agg(F.collect_list(F.struct("l_partkey", "l_linenumber")).alias("lines"))
+    orders = t.orders.select("o_orderkey", "o_orderstatus").repartition(parts, "o_orderkey")
+    docs = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_orderstatus", "lines")
     links = explode_links(docs, ORDER_DOC_SPEC, "lines", LINE_SPEC, SOURCE_URL)
     # Link rows are all key columns: a repeated link is inserted once (DO NOTHING).
     return links.dropDuplicates(["order_id", "sourceid", "part_id"])

@@ -185,3 +185,23 @@ def test_a_document_is_trimmed_and_parsed_once(spark, tmp_dir):
     item = T.StructType([T.StructField("id", T.StringType())])
     plan = read_documents(spark, tmp_dir, "xs", item, True)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") <= 2 and plan.count("trim") == 1  # one per shape, of which a row takes one
+
+
+def test_links_are_dealt_to_more_tasks_as_lines_grow(spark, tmp_dir, monkeypatch):
+    import __spark_entry__ as E
+    from tallysheet.plans import load_queries
+
+    lines = [(o, p, n) for o in range(60) for n, p in enumerate((o % 7, o % 7, o % 5 + 10), 1)]
+    lines += [(5, p % 40, 1) for p in range(400)] + [(None, 1, 1), (777, 1, 1), (8, None, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int").repartition(3).write.parquet(
+        f"{tmp_dir}/lineitem.parquet")
+    orders = [*range(60), 3, None]  # one order comes twice
+    spark.createDataFrame([(o, "F") for o in orders], "o_orderkey long, o_orderstatus string").write.parquet(
+        f"{tmp_dir}/orders.parquet")
+    monkeypatch.setattr(load_queries, "LINES_PER_TASK", 50)
+    links = E.queries()["mn_explode"](spark, tmp_dir)
+    assert "hashpartitioning(l_orderkey" in (plan := links._jdf.queryExecution().executedPlan().toString())
+    assert plan.count("REPARTITION_BY_NUM") == 2 and f", {-(-len(lines) // 50)}), REPARTITION_BY_NUM" in plan
+    got = sorted((r["order_id"], r["part_id"]) for r in links.where("part_id IS NOT NULL").collect())
+    assert got == sorted({(o, p) for o, p, _ in lines if o in range(60) and p is not None})
+    assert links.where("part_id IS NULL").count() == 1
