@@ -46,13 +46,18 @@ def heavy_hashes(df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE) ->
     return found.select(heavy).scalar()
 
 
+def is_heavy(df: DataFrame, on: Sequence[str], share: int = HEAVY_SHARE) -> Column:
+    """Whether the row's key holds more than one in ``share`` of the rows of ``df``."""
+    return F.array_contains(heavy_hashes(df, on, share), _key_hash(on, df))
+
+
 def _salted(big: DataFrame, small: DataFrame, on: list[str], share: int, salts: int,
             spread_by: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_salt``: rows of heavy keys are spread, entries of heavy keys repeated."""
-    is_heavy = F.array_contains(heavy_hashes(big, on, share), _key_hash(on, big))
+    heavy = is_heavy(big, on, share)
     spread = F.xxhash64(*[F.col(quoted(c)) for c in spread_by]) if spread_by else F.monotonically_increasing_id()
-    salted_big = big.withColumn("_salt", F.when(is_heavy, F.pmod(spread, F.lit(salts))).otherwise(0).cast("int"))
-    last = F.when(is_heavy, salts - 1).otherwise(0)
+    salted_big = big.withColumn("_salt", F.when(heavy, F.pmod(spread, F.lit(salts))).otherwise(0).cast("int"))
+    last = F.when(heavy, salts - 1).otherwise(0)
     return salted_big, small.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
 
 

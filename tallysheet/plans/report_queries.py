@@ -8,6 +8,8 @@ facility -> org-unit map is derived from supplier.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from tallysheet.plans.registry import register
 from tallysheet.sources.tables import Tables
 
 SPEC = BandSpec()
+SUBMISSIONS_PER_TASK = 500_000
 INDICATORS = SPEC.names()
 CASE_INDICATORS = [name for name in INDICATORS if name.endswith("-Case")]
 
@@ -64,6 +67,11 @@ def submissions(t: Tables) -> DataFrame:
     return fill_cast(raw)
 
 
+def report_parts(t: Tables) -> int:
+    """Tasks to deal the submissions to: nearly every submission is a group of its own, of twenty sums and thirty rows."""
+    return max(t.spark.sparkContext.defaultParallelism, math.ceil(t.lineitem.count() / SUBMISSIONS_PER_TASK))
+
+
 def facility_units(t: Tables) -> DataFrame:
     return t.supplier.select(
         F.col("s_suppkey").alias("health_facility"),
@@ -129,7 +137,7 @@ JOIN ou ON long.health_facility = ou.health_facility"""
 @register("form_report", _report_sql())
 def q_form_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return form_report(submissions(t), CONFIG, facility_units(t), SPEC)
+    return form_report(submissions(t), CONFIG, facility_units(t), SPEC, report_parts(t))
 
 
 @register(
@@ -155,7 +163,8 @@ def q_band_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("band_report_wide", _wide_sql())
 def q_band_report_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = band_report_wide(submissions(Tables(spark, sf_dir)), ("interview_date", "health_facility"), SPEC)
+    t = Tables(spark, sf_dir)
+    wide = band_report_wide(submissions(t), ("interview_date", "health_facility"), SPEC, parts=report_parts(t))
     return wide.withColumn("interview_date", day_text(F.col("interview_date")))
 
 
